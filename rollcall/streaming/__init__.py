@@ -1,0 +1 @@
+"""Empty on purpose: every operator of this library is a batch transform over whole panels."""
