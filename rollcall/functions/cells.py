@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +68,11 @@ def sum_skipping_nulls(columns: list[str]) -> Column:
     return reduce(add, [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in columns])
 
 
+def any_of(conditions) -> Column:
+    """True when one of the conditions holds."""
+    return reduce(or_, list(conditions))
+
+
 def fingerprint(columns: list[str], seed: str) -> Column:
     """64-bit hash of a row that tells null from any value; the seed gives independent hashes."""
     parts: list[Column] = [F.lit(seed)]

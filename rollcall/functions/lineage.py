@@ -3,28 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_folder(spark: SparkSession) -> None:
-    """Use the folder in ``spark.checkpoint.dir``; make one up only on a local master."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; one is made up only on a local master."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rollcall-")
-    sc.setCheckpointDir(folder)
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="rollcall-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from there.
+def settle(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from that table.
 
     Several steps use their input more than once; settling between them keeps the work of a
-    chain linear in its steps, and fixes row ordinals against recomputation.
+    chain linear in its steps, and fixes row ordinals against recomputation.  Being a columnar
+    table, it lets later passes read only the columns they need, and only the ``by`` value they
+    filter on.  Like checkpoints, the tables are not removed.
     """
-    ensure_checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rollcall-{uuid.uuid4().hex}"
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

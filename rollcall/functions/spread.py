@@ -30,20 +30,21 @@ def bounded_broadcast(df: DataFrame, at_most: int) -> DataFrame:
     The limit bounds what is ever sent; row ``at_most`` only exists when the bound is broken.
     """
     first = df.columns[0]
-    # a limit leaves one partition, in which these ids count from zero
-    numbered = df.limit(at_most + 1).withColumn("_nth", F.monotonically_increasing_id())
+    # in a single partition these ids count from zero
+    numbered = df.limit(at_most + 1).coalesce(1).withColumn("_nth", F.monotonically_increasing_id())
     checked = F.when(F.col("_nth") < at_most, F.col(f"`{first}`")).otherwise(
         F.raise_error(F.lit(f"side to broadcast exceeds {at_most} rows")))
     return F.broadcast(numbered.withColumn(first, checked).drop("_nth"))
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, salt: Column,
-           how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+           how: str = "left", hot_rows: int | None = None) -> DataFrame:
     """Join each row with the fact row of its group.
 
     ``facts`` has one row per group: the keys, ``count`` (rows in the group, dropped from the
     result) and the facts.  ``salt`` is any integer that differs between the rows of a group.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     names = [c for c in facts.columns if c not in keys and c != count]
     packed = facts.select(*keys, count, F.struct(*[F.col(f"`{c}`") for c in names]).alias("_fact"))
     hot = (packed.where(F.col(count) >= hot_rows)
@@ -73,8 +74,13 @@ def fits_broadcast(df: DataFrame, at_most: int) -> bool:
     return df.limit(at_most + 1).count() <= at_most
 
 
-def _chunk(spec: PanelSpec) -> Column:
-    return F.shiftright(F.col(spec.order), CHUNK_BITS)
+CHUNK_KEY = ["_slot", "_chunk"]
+
+
+def _with_chunks(rows: DataFrame, spec: PanelSpec) -> DataFrame:
+    # a struct is never null, so slots with a null part join like any other
+    return rows.withColumns({"_slot": F.struct(*[F.col(f"`{c}`") for c in spec.slot_key]),
+                             "_chunk": F.shiftright(F.col(spec.order), CHUNK_BITS)})
 
 
 def _row_order(spec: PanelSpec) -> list[Column]:
@@ -93,9 +99,8 @@ def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *,
     if one_per_date:
         w = Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
         return rows.withColumns({"_prev": F.lag(here).over(w), "_nth": F.row_number().over(w)})
-    chunk_key = [*spec.slot_key, "_chunk"]
-    inside = Window.partitionBy(*chunk_key).orderBy(spec.order)
-    local = rows.withColumn("_chunk", _chunk(spec)).withColumns({
+    inside = Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
+    local = _with_chunks(rows, spec).withColumns({
         "_here": here,
         "_before": F.lag(here).over(inside),
         "_pos": F.row_number().over(inside).cast("bigint"),
@@ -105,10 +110,10 @@ def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *,
         F.col(spec.date).asc_nulls_last(), "_chunk")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     ends = local.where("_last").select(
-        *chunk_key,
+        *CHUNK_KEY,
         F.lag("_here").over(along).alias("_carried"),
         F.coalesce(F.sum("_pos").over(earlier), F.lit(0)).alias("_offset"))
-    return (_join_chunks(local, ends, chunk_key)
+    return (local.join(ends, CHUNK_KEY, "left")
             .withColumns({"_prev": F.coalesce("_before", "_carried"),
                           "_nth": F.col("_pos") + F.col("_offset")})
             .select(*[F.col(f"`{c}`") for c in rows.columns], "_prev", "_nth"))
@@ -121,30 +126,18 @@ def running_sums(rows: DataFrame, spec: PanelSpec, amounts: dict[str, Column], *
         w = (Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.withColumns({n: F.sum(a).over(w) for n, a in amounts.items()})
-    chunk_key = [*spec.slot_key, "_chunk"]
-    inside = (Window.partitionBy(*chunk_key).orderBy(spec.order)
+    inside = (Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rows.withColumn("_chunk", _chunk(spec)).withColumns(
-        {f"_in_{n}": F.sum(a).over(inside) for n, a in amounts.items()})
-    totals = rows.withColumn("_chunk", _chunk(spec)).groupBy(*chunk_key).agg(
-        *[F.sum(a).alias(f"_total_{n}") for n, a in amounts.items()])
+    local = _with_chunks(rows, spec).withColumns(
+        {f"_in_{n}": F.sum(a).over(inside) for n, a in amounts.items()}
+        | {"_last": F.lead(F.lit(1)).over(Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)).isNull()})
     earlier = (Window.partitionBy(*spec.entity_key)
                .orderBy(F.col(spec.date).asc_nulls_last(), "_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
-    before = totals.select(*chunk_key, *[
-        F.coalesce(F.sum(f"_total_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}")
+    # the last row of a chunk holds the chunk's total
+    before = local.where("_last").select(*CHUNK_KEY, *[
+        F.coalesce(F.sum(f"_in_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}")
         for n in amounts])
-    return (_join_chunks(local, before, chunk_key)
+    return (local.join(before, CHUNK_KEY, "left")
             .select(*[F.col(f"`{c}`") for c in rows.columns],
                     *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(n) for n in amounts]))
-
-
-def _join_chunks(rows: DataFrame, summaries: DataFrame, chunk_key: list[str]) -> DataFrame:
-    # null-safe: a slot with a null date is still a slot
-    on = None
-    s = summaries.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(chunk_key)],
-                         *[c for c in summaries.columns if c not in chunk_key])
-    for i, c in enumerate(chunk_key):
-        same = F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
-        on = same if on is None else on & same
-    return rows.join(s, on, "left").drop(*[f"_k{i}" for i in range(len(chunk_key))])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions.cells import fingerprint, is_dirty, like_column, replace_columns, to_long
+from rollcall.functions.cells import any_of, fingerprint, is_dirty, like_column, replace_columns, to_long
 from rollcall.functions.spread import attach
 from rollcall.spec import SHEET, PanelSpec
 
@@ -40,7 +40,7 @@ def collapse_adding(df: DataFrame, spec: PanelSpec = SHEET, *, add_current: bool
     open_order = F.when(is_open, F.col(spec.order))
 
     def any_dirty(columns):
-        return F.exists(F.array(*[is_dirty(rows, c) for c in columns]), lambda x: x)
+        return any_of(is_dirty(rows, c) for c in columns)
 
     current_dirty = any_dirty(spec.current)
     sums = [F.sum(F.coalesce(to_long(rows, c), F.lit(0))).alias(f"_sum{i}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.functions.cells import replace_columns
+from rollcall.functions.cells import any_of, replace_columns
 from rollcall.functions.spread import attach
 from rollcall.spec import SHEET, PanelSpec
 
@@ -23,7 +23,7 @@ def replace_no_data(df: DataFrame, spec: PanelSpec = SHEET, *, markers=NO_DATA)
     cells = {c: F.lower(F.col(f"`{c}`").cast("string")) for c in spec.running}
     rows = replace_columns(df, cells)
     hidden = {c: F.coalesce(F.col(f"`{c}`").isin(*markers), F.lit(False)) for c in spec.running}
-    any_hidden = F.exists(F.array(*hidden.values()), lambda x: x)
+    any_hidden = any_of(hidden.values())
 
     values = F.struct(*[F.col(f"`{c}`") for c in spec.running])
     per_date = rows.where(F.col(spec.entity).isNotNull()).groupBy(*spec.slot_key).agg(

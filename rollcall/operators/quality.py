@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.cells import fingerprint, text_to_double, to_long
+from rollcall.functions.cells import any_of, fingerprint, text_to_double, to_long
 from rollcall.functions.spread import attach, bounded_broadcast, previous_row, row_salt
 from rollcall.operators.standardize import standardize
 from rollcall.spec import SHEET, PanelSpec
@@ -69,7 +69,10 @@ def check_data_types(df: DataFrame, spec: PanelSpec = SHEET, *, sheet: str | Non
     when ``sheet`` names the column telling input sheets apart, ``state`` (a sheet with more
     than two states).
     """
+    bad_cells = []
+
     def finding(check: str, column: str, bad: Column) -> Column:
+        bad_cells.append(F.coalesce(bad, F.lit(False)))
         return F.when(bad, F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"),
                                     F.col(f"`{column}`").cast("string").alias("value")))
 
@@ -82,7 +85,7 @@ def check_data_types(df: DataFrame, spec: PanelSpec = SHEET, *, sheet: str | Non
               for c in (spec.opened, spec.closed) if c in df.columns]
     found += [finding("metric", c, _not_integer(df, c)) for c in spec.metrics]
     found += [finding("status", spec.status, ~status.isin("OPEN", "CLOSED"))]
-    violations = (df.select(F.col(f"`{spec.state}`").alias("State"),
+    violations = (df.where(any_of(bad_cells)).select(F.col(f"`{spec.state}`").alias("State"),
                             F.explode(F.array_compact(F.array(*found))).alias("f"))
                   .groupBy("State", "f.check", "f.column", "f.value")
                   .agg(F.count(F.lit(1)).alias("n")))
@@ -157,9 +160,7 @@ def comparable_totals(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
             text = F.when(F.col(spec.state) == "MA", F.lit("-1")).otherwise(text)
         cells[c] = F.coalesce(F.try_element_at(meaning, text), text)
     rows = df.withColumns(cells)
-    broken = F.exists(F.array(*[F.col(f"`{c}`") for c in spec.running]),
-                      lambda x: x.isin(*NOT_COMPARABLE))
-    return rows.where(~broken)
+    return rows.where(~any_of(F.col(f"`{c}`").isin(*NOT_COMPARABLE) for c in spec.running))
 
 
 def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bool = False,
@@ -176,13 +177,16 @@ def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bo
     slim = rows.select(spec.state, spec.facility, spec.date, spec.facility_type, spec.entity,
                        spec.order, *[v.alias(n) for n, v in numbers.items()])
     before = previous_row(slim, spec, [spec.date, *numbers], one_per_date=one_row_per_date)
-    pairs = [F.struct(F.lit(c).alias("field"), F.col(f"_v{i}").alias("now"),
-                      F.col("_prev").getField(f"_v{i}").alias("was"))
-             for i, c in enumerate(spec.running)]
-    fell = F.filter(F.array(*pairs), lambda p: (p["now"] != -1) & (p["now"] < p["was"]))
-    found = before.select(
+    falls, pairs = [], []
+    for i, c in enumerate(spec.running):
+        now, was = F.col(f"_v{i}"), F.col("_prev").getField(f"_v{i}")
+        fell = F.coalesce((now != -1) & (now < was), F.lit(False))
+        falls.append(fell)
+        pairs.append(F.when(fell, F.struct(F.lit(c).alias("field"), now.alias("now"), was.alias("was"))))
+    # few rows fall, so only those are unpivoted
+    found = before.where(any_of(falls)).select(
         F.col(spec.state).alias("State"), F.col(spec.facility).alias("Facility"),
-        F.explode(fell).alias("f"), F.col(spec.date).alias("Date"),
+        F.explode(F.array_compact(F.array(*pairs))).alias("f"), F.col(spec.date).alias("Date"),
         F.col("_prev").getField(spec.date).alias("Prev Date"),
         F.col(spec.facility_type).alias("CTP_Facility_Type"), F.col(spec.entity).alias("ctp_id"))
     report = found.select(

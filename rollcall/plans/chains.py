@@ -87,12 +87,13 @@ REUSING = {"add_entity_id", "close_missing", "collapse_adding", "collapse_withou
 def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
               registry: DataFrame | None = None, registry_rows_at_most: int | None = None,
               grid: Sequence[int] | None = None, ordered: bool = False, standardized: bool = False,
-              settle_with: Step | None = settle, counts: dict[str, Observation] | None = None,
+              settling: bool = True, counts: dict[str, Observation] | None = None,
               **options) -> DataFrame:
     """Standardize, run the special steps of ``chain``, finish.
 
-    ``settle_with`` cuts the plan ahead of steps that read their input several times (None
-    keeps one lazy plan).  ``counts`` receives an observation with the rows after each step.
+    With ``settling`` the input of steps that read it several times is written out first;
+    without, the chain is one lazy plan, for frames whose ordinals are already fixed.
+    ``counts`` receives an observation with the rows after each step.
     """
     first = [] if standardized else [("standardize", partial(
         standardize.standardize, spec=spec, registry=registry,
@@ -101,11 +102,11 @@ def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
                               close_unknown_status=chain == "wyoming"))
     steps = [*first, *special_steps(chain, spec, registry=registry, grid=grid,
                                     registry_rows_at_most=registry_rows_at_most, **options), last]
-    out, settled = df, standardized
+    out = df
     for i, (name, transform) in enumerate(steps):
-        if settle_with is not None and name in REUSING and not settled:
-            out = settle_with(out)
-        out, settled = transform(out), False
+        if settling and i > 0 and name in REUSING:
+            out = settle(out)
+        out = transform(out)
         if counts is not None:
             seen = Observation(f"{chain} {i} {name}")
             out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -113,23 +114,27 @@ def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
     return out
 
 
-def process_states(df: DataFrame, states: Iterable[str] | None = None, spec: PanelSpec = SHEET,
-                   **options) -> tuple[DataFrame, list[str]]:
+def process_states(df: DataFrame, states: Iterable[str] | None = None, spec: PanelSpec = SHEET, *,
+                   settling: bool = True, **options) -> tuple[DataFrame, list[str]]:
     """Run every state's chain and put the results together.
 
     Returns the panel and the requested states that have no chain.  States sharing a chain run
-    as one job.
+    as one job, which reads only its own part of the settled input.
     """
     wanted = ALL_STATES if states is None else tuple(states)
     skipped = [s for s in wanted if s not in ALL_STATES]
-    parts = []
-    for chain, members in CHAINS.items():
-        chosen = [s for s in members if s in wanted]
-        if chosen:
-            rows = df.where(tidy_text(F.col(f"`{spec.state}`")).isin(*chosen))
-            parts.append(run_chain(rows, chain, spec, **options))
-    if not parts:
+    chosen = {chain: [s for s in members if s in wanted] for chain, members in CHAINS.items()}
+    chosen = {chain: members for chain, members in chosen.items() if members}
+    if not chosen:
         raise ValueError("none of the requested states has a chain")
+    state, chain_of = tidy_text(F.col(f"`{spec.state}`")), F.lit(None).cast("string")
+    for chain, members in chosen.items():
+        chain_of = F.when(state.isin(*members), chain).otherwise(chain_of)
+    tagged = df.withColumn("_chain", chain_of).where(F.col("_chain").isNotNull())
+    if settling:
+        tagged = settle(tagged, by="_chain")
+    parts = [run_chain(tagged.where(F.col("_chain") == chain).drop("_chain"), chain, spec,
+                       settling=settling, **options) for chain in chosen]
     panel = parts[0]
     for part in parts[1:]:
         panel = panel.unionByName(part, allowMissingColumns=True)

@@ -29,7 +29,7 @@ def process(spark: SparkSession, manifest_path: str, states: Iterable[str] | Non
     manifest's Final path, where states without rows keep what is there.
     """
     manifest = sheets.read_manifest(spark, manifest_path)
-    raw = settle(sheets.read_states(spark, manifest, states, spec=spec))
+    raw = sheets.read_states(spark, manifest, states, spec=spec)
     registry, at_most = None, None
     if registry_path is not None:
         registry = sheets.read_registry(spark, registry_path, spec=spec)
