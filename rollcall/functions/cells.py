@@ -20,11 +20,9 @@ def tidy_text(c: Column) -> Column:
 
 def strip_odd_characters(c: Column) -> Column:
     """New line -> space, U+0372 and U+2010 -> '-', section sign dropped."""
-    return F.translate(c, "\nͲ‐§", " --")
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)
+    for odd, plain in (("\n", " "), ("§", ""), ("Ͳ", "-"), ("‐", "-")):
+        c = F.replace(c, F.lit(odd), F.lit(plain))
+    return c
 
 
 def text_to_double(c: Column) -> Column:

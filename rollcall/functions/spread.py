@@ -5,12 +5,15 @@ brings the rows of such a group into one task:
 
 * ``attach`` joins rows with one fact row per group.  Facts of the few hot groups travel by
   broadcast and the rows of those groups are spread over many shuffle partitions.
-* ``previous_row`` and ``running_sums`` scan an entity in row order chunk by chunk.  Only one
+* ``by_heat`` lets ordinary entities take a plain window and sends only hot ones the long way.
+* ``previous_row`` and ``running_sums`` scan a hot entity in row order chunk by chunk.  Only one
   summary row per chunk is ordered across the whole entity.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,18 +90,49 @@ def _row_order(spec: PanelSpec) -> list[Column]:
     return [F.col(spec.date).asc_nulls_last(), F.col(spec.order).asc()]
 
 
-def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *,
-                 one_per_date: bool = False) -> DataFrame:
+def _hot_entities(rows: DataFrame, spec: PanelSpec) -> DataFrame:
+    return (rows.groupBy(*spec.entity_key).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") >= HOT_ROWS)
+            .orderBy(F.col("_rows").desc(), *spec.entity_key).limit(HOT_GROUPS_AT_MOST)
+            .select(*spec.entity_key))
+
+
+def by_heat(rows: DataFrame, spec: PanelSpec, scan: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """Apply ``scan(part, fits)`` to the rows of ordinary and of hot entities, and unite.
+
+    Ordinary entities fit one task.  Where no entity is hot, the second part is found empty
+    before it is read.
+    """
+    hot = F.broadcast(_hot_entities(rows, spec))
+    ordinary = scan(rows.join(hot, spec.entity_key, "left_anti"), True)
+    return ordinary.unionByName(scan(rows.join(hot, spec.entity_key, "left_semi"), False))
+
+
+def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -> DataFrame:
+    """Add aggregates over each row's (state, entity, date) slot."""
+    def scan(part: DataFrame, fits: bool) -> DataFrame:
+        if fits:
+            w = Window.partitionBy(*spec.slot_key)
+            return part.withColumns({n: f.over(w) for n, f in facts.items()})
+        per_slot = part.groupBy(*spec.slot_key).agg(
+            F.count(F.lit(1)).alias("_in_slot"), *[f.alias(n) for n, f in facts.items()])
+        return attach(part, per_slot, spec.slot_key, count="_in_slot", salt=F.col(spec.order))
+
+    return by_heat(rows, spec, scan)
+
+
+def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *, fits: bool) -> DataFrame:
     """Add ``_prev``, the struct of ``wanted`` of the entity's previous row, and ``_nth``.
 
     Rows are ordered by date, then ordinal.  ``_prev`` is null on the first row and ``_nth``
-    counts from 1.  ``one_per_date`` promises one row per slot, which bounds an entity by the
-    number of dates and needs a single shuffle; without it entities are scanned in chunks.
+    counts from 1.  ``fits`` says that the rows of an entity fit one task; otherwise they are
+    scanned in chunks.
     """
     here = F.struct(*[F.col(f"`{c}`") for c in wanted])
-    if one_per_date:
+    if fits:
         w = Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
-        return rows.withColumns({"_prev": F.lag(here).over(w), "_nth": F.row_number().over(w)})
+        return rows.withColumns({"_prev": F.lag(here).over(w),
+                                 "_nth": F.row_number().over(w).cast("bigint")})
     inside = Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
     local = _with_chunks(rows, spec).withColumns({
         "_here": here,
@@ -119,18 +153,17 @@ def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *,
             .select(*[F.col(f"`{c}`") for c in rows.columns], "_prev", "_nth"))
 
 
-def running_sums(rows: DataFrame, spec: PanelSpec, amounts: dict[str, Column], *,
-                 one_per_date: bool = False) -> DataFrame:
+def running_sums(rows: DataFrame, spec: PanelSpec, amounts: dict[str, Column], *, fits: bool) -> DataFrame:
     """Add, per name in ``amounts``, the running sum over the entity up to the current row."""
-    if one_per_date:
+    if fits:
         w = (Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.withColumns({n: F.sum(a).over(w) for n, a in amounts.items()})
-    inside = (Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = _with_chunks(rows, spec).withColumns(
-        {f"_in_{n}": F.sum(a).over(inside) for n, a in amounts.items()}
-        | {"_last": F.lead(F.lit(1)).over(Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)).isNull()})
+        {f"_in_{n}": F.sum(a).over(so_far) for n, a in amounts.items()}
+        | {"_last": F.lead(F.lit(1)).over(inside).isNull()})
     earlier = (Window.partitionBy(*spec.entity_key)
                .orderBy(F.col(spec.date).asc_nulls_last(), "_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.cells import (is_dirty, like_column, null_safe_add, replace_columns,
                                       to_long)
-from rollcall.functions.spread import attach, previous_row, running_sums
+from rollcall.functions.spread import attach, by_heat, previous_row, running_sums
 from rollcall.operators.densify import fill_missing_dates
 from rollcall.spec import SHEET, PanelSpec
 
@@ -22,23 +22,26 @@ def carry_closed_event(df: DataFrame, spec: PanelSpec = SHEET, *, since: int = C
     The closing is the entity's last row on or after ``since`` with status CLOSED whose
     previous row is OPEN (exact case).  The previous row's current-event values are added to
     the running totals of that row and of all later ones.  Rows without entity are dropped.
+    ``one_row_per_date`` promises one row per slot, so that no entity can be hot.
     """
     rows = df.where(F.col(spec.entity).isNotNull())
     numbers = {f"_c{i}": to_long(rows, c) for i, c in enumerate(spec.current)}
-    before = previous_row(rows.withColumns(numbers), spec, [spec.status, *numbers],
-                          one_per_date=one_row_per_date)
     place = F.struct(F.col(spec.date).alias("at"), F.col(spec.order).alias("nth"))
     closing = F.when((F.col(spec.date) >= since) & (F.col(spec.status) == "CLOSED")
                      & (F.col("_prev").getField(spec.status) == "OPEN"), place)
-    if one_row_per_date:
-        whole = Window.partitionBy(*spec.entity_key)
-        marked = before.withColumns({"_from": F.max(closing).over(whole),
-                                     "_event": F.max_by("_prev", closing).over(whole)})
-    else:
-        facts = before.groupBy(*spec.entity_key).agg(
-            F.count(F.lit(1)).alias("_rows"), F.max(closing).alias("_from"),
-            F.max_by("_prev", closing).alias("_event")).where("_from is not null")
-        marked = attach(rows, facts, spec.entity_key, count="_rows", salt=F.col(spec.order))
+
+    def mark(part: DataFrame, fits: bool) -> DataFrame:
+        before = previous_row(part.withColumns(numbers), spec, [spec.status, *numbers], fits=fits)
+        facts = {"_from": F.max(closing), "_event": F.max_by("_prev", closing)}
+        if fits:
+            whole = Window.partitionBy(*spec.entity_key)
+            return (before.withColumns({n: f.over(whole) for n, f in facts.items()})
+                    .drop("_prev", "_nth", *numbers))
+        per_entity = before.groupBy(*spec.entity_key).agg(
+            F.count(F.lit(1)).alias("_rows"), *[f.alias(n) for n, f in facts.items()])
+        return attach(part, per_entity, spec.entity_key, count="_rows", salt=F.col(spec.order))
+
+    marked = mark(rows, True) if one_row_per_date else by_heat(rows, spec, mark)
     corrected = {}
     for i, running in enumerate(spec.running):
         total = null_safe_add(to_long(rows, running), F.col("_event").getField(f"_c{i}"))
@@ -58,18 +61,21 @@ def add_past_events(df: DataFrame, spec: PanelSpec = SHEET, *, skip_first_transi
     """
     rows = df.where(F.col(spec.entity).isNotNull())
     numbers = {f"_n{i}": to_long(rows, c) for i, c in enumerate(spec.running)}
-    before = previous_row(rows.withColumns(numbers), spec, [spec.status, *numbers],
-                          one_per_date=one_row_per_date)
     reopened = ((F.upper(F.col(spec.status)) == "OPEN")
                 & (F.upper(F.col("_prev").getField(spec.status)) == "CLOSED"))
     if skip_first_transition:
         reopened = reopened & (F.col("_nth") > 2)
     reopened = F.coalesce(reopened, F.lit(False))
-    before = before.select(*[F.col(f"`{c}`") for c in rows.columns], *numbers, *[
-        F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0)
-        .alias(f"_add{n}") for n in numbers], reopened.cast("bigint").alias("_reopened"))
-    sums = {f"_sum{n}": F.col(f"_add{n}") for n in numbers} | {"_events": F.col("_reopened")}
-    summed = running_sums(before, spec, sums, one_per_date=one_row_per_date)
+
+    def total(part: DataFrame, fits: bool) -> DataFrame:
+        before = previous_row(part.withColumns(numbers), spec, [spec.status, *numbers], fits=fits)
+        before = before.select(*[F.col(f"`{c}`") for c in rows.columns], *numbers, *[
+            F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0)
+            .alias(f"_add{n}") for n in numbers], reopened.cast("bigint").alias("_reopened"))
+        sums = {f"_sum{n}": F.col(f"_add{n}") for n in numbers} | {"_events": F.col("_reopened")}
+        return running_sums(before, spec, sums, fits=fits)
+
+    summed = total(rows, True) if one_row_per_date else by_heat(rows, spec, total)
     corrected = {}
     for i, running in enumerate(spec.running):
         total = F.col(f"_sum_n{i}") + F.coalesce(F.col(f"_n{i}"), F.lit(0))

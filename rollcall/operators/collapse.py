@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import any_of, fingerprint, is_dirty, like_column, replace_columns, to_long
-from rollcall.functions.spread import attach
+from rollcall.functions.spread import add_slot_facts
 from rollcall.spec import SHEET, PanelSpec
 
 # Facility types that the restricted collapse looks at.
 RESTRICTED_TYPES = ("RESIDENTIAL CARE", "RCFE")
 
 
-def _content(df: DataFrame, spec: PanelSpec) -> list[str]:
-    return [c for c in df.columns if c != spec.order]
+def _hashes(df: DataFrame, spec: PanelSpec, which: Column) -> dict[str, Column]:
+    """Aggregates telling whether the rows selected by ``which`` are all alike."""
+    content = [c for c in df.columns if c != spec.order]
+    out = {}
+    for seed in ("a", "b"):  # two independent hashes
+        h = F.when(which, fingerprint(content, seed))
+        out |= {f"_low_{seed}": F.min(h), f"_high_{seed}": F.max(h)}
+    return out
 
 
-def _differ(df: DataFrame, spec: PanelSpec, which) -> F.Column:
-    """True when the rows selected by ``which`` are not all alike (two independent hashes)."""
-    tests = []
-    for seed in ("a", "b"):
-        h = F.when(which, fingerprint(_content(df, spec), seed))
-        tests.append(F.min(h) != F.max(h))
-    return F.coalesce(tests[0] | tests[1], F.lit(False))
+def _rows_differ() -> Column:
+    return F.coalesce((F.col("_low_a") != F.col("_high_a")) | (F.col("_low_b") != F.col("_high_b")),
+                      F.lit(False))
 
 
 def collapse_adding(df: DataFrame, spec: PanelSpec = SHEET, *, add_current: bool = True) -> DataFrame:
@@ -38,22 +40,18 @@ def collapse_adding(df: DataFrame, spec: PanelSpec = SHEET, *, add_current: bool
     rows = df.where(F.col(spec.date).isNotNull() & F.col(spec.entity).isNotNull())
     is_open = F.coalesce(F.col(spec.status) == "OPEN", F.lit(False))
     open_order = F.when(is_open, F.col(spec.order))
-
-    def any_dirty(columns):
-        return any_of(is_dirty(rows, c) for c in columns)
-
-    current_dirty = any_dirty(spec.current)
-    sums = [F.sum(F.coalesce(to_long(rows, c), F.lit(0))).alias(f"_sum{i}")
-            for i, c in enumerate(spec.running)]
-    facts = rows.groupBy(*spec.slot_key).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.coalesce(F.min(open_order), F.min(spec.order)).alias("_kept"),
-        (F.max(any_dirty(spec.running)) | _differ(rows, spec, is_open)
-         | F.coalesce(F.min_by(current_dirty, open_order),
-                      F.min_by(current_dirty, spec.order))).alias("_as_is"),
-        *sums)
-    joined = attach(rows, facts, spec.slot_key, count="_rows", salt=F.col(spec.order), how="inner")
-    kept = joined.where(F.col("_as_is") | (F.col("_kept") == F.col(spec.order)))
+    current_dirty = any_of(is_dirty(rows, c) for c in spec.current)
+    facts = {"_first_open": F.min(open_order), "_first": F.min(spec.order),
+             "_dirty": F.max(any_of(is_dirty(rows, c) for c in spec.running)),
+             "_open_dirty": F.min_by(current_dirty, open_order),
+             "_first_dirty": F.min_by(current_dirty, spec.order),
+             **_hashes(rows, spec, is_open)}
+    for i, c in enumerate(spec.running):
+        facts[f"_sum{i}"] = F.sum(F.coalesce(to_long(rows, c), F.lit(0)))
+    told = add_slot_facts(rows, spec, facts).withColumns({
+        "_as_is": F.col("_dirty") | _rows_differ() | F.coalesce("_open_dirty", "_first_dirty"),
+        "_kept": F.coalesce("_first_open", "_first")})
+    kept = told.where(F.col("_as_is") | (F.col("_kept") == F.col(spec.order)))
     totals = {}
     for i, (running, current) in enumerate(spec.pairs):
         total = F.col(f"_sum{i}")
@@ -70,10 +68,11 @@ def collapse_diagnostics(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     named = [spec.facility, spec.state_type, spec.county]
     return (df.where(is_open).groupBy(*spec.slot_key).agg(
         F.count(F.lit(1)).alias("open_rows"),
-        _differ(df, spec, is_open).alias("rows_differ"),
+        *[h.alias(n) for n, h in _hashes(df, spec, is_open).items()],
         # one or two labels describe a slot; the smallest and largest bound the state kept
         *[F.array_distinct(F.array(F.min(c), F.max(c))).alias(c) for c in named if c in df.columns])
-        .where("open_rows > 1"))
+        .where("open_rows > 1").withColumn("rows_differ", _rows_differ())
+        .drop("_low_a", "_high_a", "_low_b", "_high_b"))
 
 
 def collapse_without_adding(df: DataFrame, spec: PanelSpec = SHEET, *,
@@ -90,21 +89,18 @@ def collapse_without_adding(df: DataFrame, spec: PanelSpec = SHEET, *,
     listed = F.coalesce(F.upper(F.col(spec.state_type)).isin(*types), F.lit(False)) \
         if restrict_types else F.lit(True)
     moved = F.struct(*[F.col(f"`{c}`").alias(f"m{i}") for i, c in enumerate(spec.running)])
-    facts = rows.groupBy(*spec.slot_key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(F.lit(1)).alias("_size"),
-        F.min(spec.order).alias("_first"), F.count_if(is_open).alias("_open"),
-        F.min(F.when(is_open, F.col(spec.order))).alias("_open_order"),
-        _differ(rows, spec, F.lit(True)).alias("_differ"),
-        F.min_by(listed, spec.order).alias("_listed"),
-        F.min_by(moved, F.when(~is_open, F.col(spec.order))).alias("_moved"))
-    facts = facts.select(
-        *spec.slot_key, "_rows", "_moved",
+    told = add_slot_facts(rows, spec, {
+        "_size": F.count(F.lit(1)), "_first": F.min(spec.order),
+        "_open": F.sum(is_open.cast("int")),
+        "_open_order": F.min(F.when(is_open, F.col(spec.order))),
+        "_listed": F.min_by(listed, spec.order),
+        "_moved": F.min_by(moved, F.when(~is_open, F.col(spec.order))),
+        **_hashes(rows, spec, F.lit(True))})
+    told = told.withColumn("_action", (
         F.when((F.col("_size") != 2) | ~F.col("_listed"), "as is")
-        .when(~F.col("_differ"), "one of two")
-        .when(F.col("_open") == 1, "merge").otherwise("as is").alias("_action"),
-        "_first", "_open_order")
-    joined = attach(rows, facts, spec.slot_key, count="_rows", salt=F.col(spec.order), how="inner")
-    kept = joined.where(
+        .when(~_rows_differ(), "one of two")
+        .when(F.col("_open") == 1, "merge").otherwise("as is")))
+    kept = told.where(
         (F.col("_action") == "as is")
         | ((F.col("_action") == "one of two") & (F.col(spec.order) == F.col("_first")))
         | ((F.col("_action") == "merge") & (F.col(spec.order) == F.col("_open_order"))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.cells import any_of, fingerprint, text_to_double, to_long
-from rollcall.functions.spread import attach, bounded_broadcast, previous_row, row_salt
+from rollcall.functions.spread import attach, bounded_broadcast, by_heat, previous_row, row_salt
 from rollcall.operators.standardize import standardize
 from rollcall.spec import SHEET, PanelSpec
 
@@ -31,11 +31,19 @@ NOT_COMPARABLE = (
     "COVID-19 Positive Residents",
 )
 
-# Date spellings accepted for the opening and closing date of an event.
-DATE_FORMATS = (
-    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd", "M/d/yyyy", "M/d/yy", "M-d-yyyy",
-    "MMMM d, yyyy", "MMM d, yyyy", "d MMM yyyy", "yyyy/M/d",
-)
+# Date spellings accepted for the opening and closing date of an event, by their shape.
+DATE_SHAPES = {
+    r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd",
+    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$": "yyyy-MM-dd HH:mm:ss",
+    r"^\d{8}$": "yyyyMMdd",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{1,2}/\d{1,2}/\d{2}$": "M/d/yy",
+    r"^\d{1,2}-\d{1,2}-\d{4}$": "M-d-yyyy",
+    r"^\d{4}/\d{1,2}/\d{1,2}$": "yyyy/M/d",
+    r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}$": "MMMM d, yyyy",
+    r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$": "MMM d, yyyy",
+    r"^\d{1,2} [A-Z][a-z]{2} \d{4}$": "d MMM yyyy",
+}
 
 DECREASE_COLUMNS = (
     "State", "Facility", "cumulative_field_decreased", "Date", "current_cumulative_value",
@@ -57,7 +65,10 @@ def _not_a_date(df: DataFrame, name: str) -> Column:
     c = F.col(f"`{name}`")
     if not isinstance(df.schema[name].dataType, T.StringType):
         return F.lit(False)
-    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in DATE_FORMATS])
+    # a failed parse is slow, so a spelling is tried only on text of its shape
+    parsed = F.lit(None).cast("timestamp")
+    for shape, spelling in DATE_SHAPES.items():
+        parsed = F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(spelling))).otherwise(parsed)
     return c.isNotNull() & parsed.isNull()
 
 
@@ -176,7 +187,11 @@ def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bo
                for i, c in enumerate(spec.running)}
     slim = rows.select(spec.state, spec.facility, spec.date, spec.facility_type, spec.entity,
                        spec.order, *[v.alias(n) for n, v in numbers.items()])
-    before = previous_row(slim, spec, [spec.date, *numbers], one_per_date=one_row_per_date)
+
+    def look_back(part: DataFrame, fits: bool) -> DataFrame:
+        return previous_row(part, spec, [spec.date, *numbers], fits=fits)
+
+    before = look_back(slim, True) if one_row_per_date else by_heat(slim, spec, look_back)
     falls, pairs = [], []
     for i, c in enumerate(spec.running):
         now, was = F.col(f"_v{i}"), F.col("_prev").getField(f"_v{i}")

@@ -82,10 +82,18 @@ def provider_number(c: Column) -> Column:
     return F.split(F.ltrim(c.cast("string"), F.lit("0")), "[.]").getItem(0)
 
 
-def iso_week(c: Column, formats=("MM/dd/yyyy", "MM/dd/yy", "yyyy-MM-dd")) -> Column:
+# Spellings of a week-ending date, by their shape.
+WEEK_SHAPES = {r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd", r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+               r"^\d{1,2}/\d{1,2}/\d{2}$": "M/d/yy"}
+
+
+def iso_week(c: Column) -> Column:
     """A week-ending date as yyyy-MM-dd text."""
-    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    return F.date_format(parsed, "yyyy-MM-dd")
+    week = F.lit(None).cast("string")
+    for shape, spelling in WEEK_SHAPES.items():
+        week = F.when(c.rlike(shape),
+                      F.date_format(F.try_to_timestamp(c, F.lit(spelling)), "yyyy-MM-dd")).otherwise(week)
+    return week
 
 
 def add_totals(df: DataFrame, totals: dict[str, tuple[str, ...]]) -> DataFrame:

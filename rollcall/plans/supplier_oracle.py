@@ -233,7 +233,8 @@ suspect AS (
          WHEN (ctp_id + week) % 17 = 0 THEN CAST(Cume_Res_Pos - 400 AS VARCHAR)
          ELSE CAST(Cume_Res_Pos AS VARCHAR) END AS Cume_Res_Pos,
     CASE WHEN (ctp_id + week) % 31 = 0 THEN '58 *' WHEN (ctp_id + week) % 7 = 0 THEN NULL
-         ELSE CAST(Cume_Staff_Pos AS VARCHAR) || '.5' END AS Cume_Staff_Pos) FROM {src})"""
+         WHEN (ctp_id + week) % 5 = 0 THEN CAST(Cume_Staff_Pos AS VARCHAR) || '.5'
+         ELSE CAST(Cume_Staff_Pos AS VARCHAR) END AS Cume_Staff_Pos) FROM {src})"""
 
 
 def _decrease(src: str, only: str = "") -> str:
@@ -429,7 +430,8 @@ SELECT State, check_name AS "check", column_name AS "column", value, count(*) AS
   UNION ALL SELECT State, 'event_date', 'Outbrk_Closed', '13/45/2020' FROM suspect WHERE (ctp_id + week) % 61 = 0
   UNION ALL SELECT State, 'metric', 'Cume_Res_Pos', Cume_Res_Pos FROM suspect
             WHERE Cume_Res_Pos IN ('<11', 'Data Pending')
-  UNION ALL SELECT State, 'metric', 'Cume_Staff_Pos', Cume_Staff_Pos FROM suspect WHERE Cume_Staff_Pos IS NOT NULL
+  UNION ALL SELECT State, 'metric', 'Cume_Staff_Pos', Cume_Staff_Pos FROM suspect
+            WHERE Cume_Staff_Pos = '58 *' OR Cume_Staff_Pos LIKE '%.5'
   UNION ALL SELECT State, 'status', 'Outbrk_Status', CASE WHEN (ctp_id + week) % 43 = 0 THEN 'Unknown' ELSE '' END
             FROM suspect WHERE (ctp_id + week) % 43 = 0 OR (ctp_id + week) % 47 = 0)
 GROUP BY ALL

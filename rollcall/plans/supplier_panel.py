@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns
 from rollcall.functions.dates import date_grid
+from rollcall.functions.lineage import settle
 from rollcall.operators import (carry, collapse, densify, entity, markers, ordering, peers, quality,
                                 reconcile, standardize, statewise, unreset)
 from rollcall.operators.reconcile import Side
@@ -41,7 +42,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     # at most two rows per supplier and week
     so_far = (Window.partitionBy("ctp_id").orderBy("day", "Outbrk_Status")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    date = F.date_format("day", "yyyyMMdd").cast("int")
+    date = F.year("day") * 10000 + F.month("day") * 100 + F.day("day")
     totals = weekly.select(
         "ctp_id", "Outbrk_Status", "Outbrk_Res_Pos", "Outbrk_Staff_Pos", date.alias("Date"),
         (F.datediff("day", F.lit("1995-01-05").cast("date")) / 7).cast("int").alias("week"),
@@ -52,7 +53,14 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
                  .select(F.col("s_suppkey").alias("ctp_id"), F.col("s_name").alias("Facility"),
                          F.col("n_name").alias("State"), F.col("n_nationkey").alias("nation_key")))
-    return totals.join(suppliers, "ctp_id").select(*REPORT, "nation_key", "week", "_ord")
+    # the totals lie sorted by supplier already, so a merge join moves only the suppliers
+    return totals.join(suppliers.hint("merge"), "ctp_id").select(*REPORT, "nation_key", "week", "_ord")
+
+
+def iso(date: str) -> Column:
+    """A yyyymmdd number as yyyy-MM-dd text."""
+    t = F.col(date).cast("string")
+    return F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))
 
 
 def every(n: int, *parts: str) -> Column:
@@ -295,7 +303,8 @@ def _suspect(p: DataFrame) -> DataFrame:
         .otherwise(F.col("Cume_Res_Pos").cast("string")),
         "Cume_Staff_Pos": F.when(every(31, "ctp_id", "week"), "58 *")
         .when(every(7, "ctp_id", "week"), F.lit(None))
-        .otherwise((F.col("Cume_Staff_Pos") + 0.5).cast("string")),
+        .when(every(5, "ctp_id", "week"), F.concat(F.col("Cume_Staff_Pos"), F.lit(".5")))
+        .otherwise(F.col("Cume_Staff_Pos").cast("string")),
     }).withColumn("CTP_Facility_Type", F.lit("Nursing Home"))
 
 
@@ -358,9 +367,8 @@ DIFFERENCES = {"cms_ctp_cases_diff": ("cms_total_cases", "ctp_total_cases"),
 def federal_raw(spark, sf_dir) -> DataFrame:
     """OPEN rows under spreadsheet headings, provider numbers padded with zeros."""
     p = panel(spark, sf_dir).where(F.col("Outbrk_Status") == "OPEN")
-    day = F.to_date(F.col("Date").cast("string"), "yyyyMMdd")
     return p.select(
-        F.date_format(day, "MM/dd/yyyy").alias("Week Ending"),
+        iso("Date").alias("Week Ending"),
         F.concat(F.lpad((F.col("ctp_id") + 1).cast("string"), 8, "0"), F.lit(".0"))
         .alias("Federal Provider Number"),
         F.col("Facility").alias(" Provider Name"), F.col("State").alias("Provider-State"),
@@ -377,9 +385,8 @@ def federal(spark, sf_dir) -> DataFrame:
 def national(spark, sf_dir) -> DataFrame:
     """CLOSED rows, some without a federal id."""
     p = panel(spark, sf_dir).where(F.col("Outbrk_Status") == "CLOSED")
-    day = F.to_date(F.col("Date").cast("string"), "yyyyMMdd")
     rows = p.select(
-        F.date_format(day, "yyyy-MM-dd").alias("ctp_cms_week"),
+        iso("Date").alias("ctp_cms_week"),
         F.when(~every(12, "ctp_id", "week"), (F.col("ctp_id") + 1).cast("string")).alias("ctp_cms_id"),
         F.col("Facility").alias("ctp_facility"), F.col("State").alias("ctp_state"),
         F.col("ctp_id").alias("ctp_ctp_id"),
@@ -402,7 +409,9 @@ def _inner(spark, sf_dir) -> DataFrame:
 
 
 def _outer(spark, sf_dir) -> DataFrame:
-    return reconcile.match_outer(federal(spark, sf_dir), national(spark, sf_dir), FEDERAL, NATIONAL)
+    # each side is read three times
+    fed, nat = settle(federal(spark, sf_dir)), settle(national(spark, sf_dir))
+    return reconcile.match_outer(fed, nat, FEDERAL, NATIONAL)
 
 
 def recon_federal(spark, sf_dir):
