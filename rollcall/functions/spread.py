@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.functions.cells import fingerprint
 from rollcall.spec import PanelSpec
 
 # A group with more rows than this is spread.  The broadcast list is cut at HOT_GROUPS_AT_MOST;
@@ -68,8 +69,11 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, sa
 
 
 def row_salt(df: DataFrame, spec: PanelSpec) -> Column:
-    """The ordinal, or the row's place in its task where a frame has no ordinal."""
-    return F.col(spec.order) if spec.order in df.columns else F.monotonically_increasing_id()
+    """The ordinal; in frames without one a hash of the row, which keeps exact copies together.
+
+    Either gives the same value when a lost task runs again.
+    """
+    return F.col(spec.order) if spec.order in df.columns else fingerprint(df.columns, "salt")
 
 
 def fits_broadcast(df: DataFrame, at_most: int) -> bool:

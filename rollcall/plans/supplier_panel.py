@@ -78,8 +78,8 @@ def thinned(p: DataFrame) -> DataFrame:
 
 def one_row_per_date(p: DataFrame) -> DataFrame:
     """The OPEN row of a supplier and week, or the CLOSED one where there is no other."""
-    row = F.struct(*[F.col(c) for c in p.columns])
-    return (p.groupBy("ctp_id", "Date").agg(F.min_by(row, "_ord").alias("r")).select("r.*"))
+    slot = Window.partitionBy("ctp_id", "Date").orderBy("_ord")  # one or two rows
+    return p.withColumn("nth", F.row_number().over(slot)).where("nth = 1").drop("nth")
 
 
 def dirty(p: DataFrame) -> DataFrame:
@@ -89,13 +89,15 @@ def dirty(p: DataFrame) -> DataFrame:
         "Cume_Staff_Pos": F.when(every(19, "ctp_id", "week"), "<11")
         .when(every(23, "ctp_id", "week"), F.lit(None))
         .otherwise(F.col("Cume_Staff_Pos").cast("string"))})
-    text = text.withColumn("_ord", F.col("_ord") * 4)
-    doubled = text.where(every(17, "ctp_id", "week")).withColumn("_ord", F.col("_ord") + 1)
-    rival = text.where(every(13, "ctp_id", "week") & (F.col("Outbrk_Status") == "OPEN")).withColumns(
-        {"_ord": F.col("_ord") + 2, "Outbrk_Res_Pos": F.col("Outbrk_Res_Pos") + 1})
-    return (text.unionByName(doubled).unionByName(rival)
-            .withColumn("State_Facility_Type", F.when(every(3, "ctp_id"), "RCFE")
-                        .when(every(2, "ctp_id"), "Residential Care").otherwise("NH")))
+    # 0 is the row itself, 1 its double, 2 its rival
+    copies = F.array_compact(F.array(
+        F.lit(0), F.when(every(17, "ctp_id", "week"), 1),
+        F.when(every(13, "ctp_id", "week") & (F.col("Outbrk_Status") == "OPEN"), 2)))
+    return (text.withColumn("copy", F.explode(copies)).withColumns({
+        "_ord": F.col("_ord") * 4 + F.col("copy"),
+        "Outbrk_Res_Pos": F.col("Outbrk_Res_Pos") + (F.col("copy") == 2).cast("int"),
+        "State_Facility_Type": F.when(every(3, "ctp_id"), "RCFE")
+        .when(every(2, "ctp_id"), "Residential Care").otherwise("NH")}).drop("copy"))
 
 
 def labelled(p: DataFrame) -> DataFrame:
@@ -124,10 +126,12 @@ def std_text(spark, sf_dir):
 
 def std_dedup(spark, sf_dir):
     rows = labelled(panel(spark, sf_dir))
-    again = rows.where(every(3, "ctp_id")).withColumns(
-        {"Facility": F.upper("Facility"), "_ord": F.col("_ord") + 1_000_000_000})
-    unkeyed = rows.where(every(10, "ctp_id")).withColumn("Facility", F.lit(None).cast("string"))
-    return standardize.standardize(rows.unionByName(again).unionByName(unkeyed), SPEC).select(*LABELS)
+    # 0 is the row itself, 1 the same in other spelling, 2 one without a name
+    copies = F.array_compact(F.array(F.lit(0), F.when(every(3, "ctp_id"), 1), F.when(every(10, "ctp_id"), 2)))
+    more = rows.withColumn("copy", F.explode(copies)).withColumns({
+        "Facility": F.when(F.col("copy") == 0, F.col("Facility")).when(F.col("copy") == 1, F.upper("Facility")),
+        "_ord": F.col("_ord") + F.col("copy") * 1_000_000_000}).drop("copy")
+    return standardize.standardize(more, SPEC).select(*LABELS)
 
 
 def registry(spark, sf_dir) -> DataFrame:
@@ -228,7 +232,8 @@ RESET = unreset.Reset(19991230, 20000101, 20000000, ("Cume_Res_Pos", "Cume_Staff
 
 
 def _new_year(spark, sf_dir) -> DataFrame:
-    return one_row_per_date(panel(spark, sf_dir)).where(F.col("Date").between(19991101, 20000217))
+    rows = one_row_per_date(panel(spark, sf_dir)).where(F.col("Date").between(19991101, 20000217))
+    return settle(rows)  # a small part of the panel, read several times
 
 
 def undo_reset(spark, sf_dir):
@@ -394,8 +399,9 @@ def national(spark, sf_dir) -> DataFrame:
         F.col("Cume_Res_Pos").alias("ctp_cases"),
         F.when(every(5, "ctp_id", "week"), F.col("Outbrk_Res_Pos")).alias("ctp_probable"),
         F.when(~every(11, "ctp_id", "week"), F.col("Cume_Staff_Pos")).alias("ctp_deaths"))
-    doubled = rows.where(every(9, "ctp_ctp_id"))
-    return reconcile.prepare_national(rows.unionByName(doubled), totals=NAT_TOTALS)
+    times = F.when(every(9, "ctp_ctp_id"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    doubled = rows.withColumn("time", F.explode(times)).drop("time")
+    return reconcile.prepare_national(doubled, totals=NAT_TOTALS)
 
 
 FED_ALL = [*FED_COLUMNS, *FED_TOTALS]
@@ -404,14 +410,20 @@ NAT_ALL = ["ctp_cms_week", "ctp_cms_id", "ctp_facility", "ctp_state", "ctp_ctp_i
 
 
 def _inner(spark, sf_dir) -> DataFrame:
-    both = reconcile.match_both(federal(spark, sf_dir), national(spark, sf_dir), FEDERAL, NATIONAL)
-    return reconcile.add_differences(both, DIFFERENCES)
+    return _matched(federal(spark, sf_dir), national(spark, sf_dir))
+
+
+def _matched(fed: DataFrame, nat: DataFrame) -> DataFrame:
+    return reconcile.add_differences(reconcile.match_both(fed, nat, FEDERAL, NATIONAL), DIFFERENCES)
+
+
+def _sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both sources written out, for queries that read them several times."""
+    return settle(federal(spark, sf_dir)), settle(national(spark, sf_dir))
 
 
 def _outer(spark, sf_dir) -> DataFrame:
-    # each side is read three times
-    fed, nat = settle(federal(spark, sf_dir)), settle(national(spark, sf_dir))
-    return reconcile.match_outer(fed, nat, FEDERAL, NATIONAL)
+    return reconcile.match_outer(*_sides(spark, sf_dir), FEDERAL, NATIONAL)
 
 
 def recon_federal(spark, sf_dir):
@@ -432,8 +444,9 @@ def recon_outer(spark, sf_dir):
 
 
 def recon_latest(spark, sf_dir):
-    matched = _inner(spark, sf_dir)
-    return (reconcile.at_latest_week(_outer(spark, sf_dir), matched, "cms_week", "ctp_cms_week")
+    fed, nat = _sides(spark, sf_dir)
+    outer = reconcile.match_outer(fed, nat, FEDERAL, NATIONAL)
+    return (reconcile.at_latest_week(outer, _matched(fed, nat), "cms_week", "ctp_cms_week")
             .select(*FED_ALL, *NAT_ALL))
 
 
@@ -445,13 +458,13 @@ def recon_unmatched_top5(spark, sf_dir):
 
 
 def recon_divergent(spark, sf_dir):
-    return (reconcile.most_divergent(_inner(spark, sf_dir), "cms_ctp_cases_diff", 15, "ctp_state",
+    return (reconcile.most_divergent(_matched(*_sides(spark, sf_dir)), "cms_ctp_cases_diff", 15, "ctp_state",
                                      ["cms_week", "cms_federal_provider_number"])
             .select("ctp_state", "end", "rank", "cms_week", "ctp_facility", "cms_ctp_cases_diff"))
 
 
 def recon_divergent_week(spark, sf_dir):
-    matched = _inner(spark, sf_dir)
+    matched = _matched(*_sides(spark, sf_dir))
     latest = reconcile.at_latest_week(matched, matched, "ctp_cms_week")
     return (reconcile.divergent(latest, "cms_ctp_cases_diff", 15, "cms_federal_provider_number")
             .select("ctp_state", "ctp_facility", "cms_week", "cms_ctp_cases_diff", "cms_ctp_cases_diff_abs"))

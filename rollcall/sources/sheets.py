@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.cells import replace_columns
 from rollcall.operators.entity import REGISTRY_COLUMNS
 from rollcall.spec import SHEET, SHEET_COLUMNS, PanelSpec, text_schema
 
@@ -22,7 +21,7 @@ MANIFEST_ROWS_AT_MOST = 10_000
 
 
 def read_text_table(spark: SparkSession, paths, columns: Iterable[str] | None = None, *,
-                    multi_line: bool = True, missing=MISSING_TEXT) -> DataFrame:
+                    multi_line: bool = True, missing=MISSING_TEXT, source: str | None = None) -> DataFrame:
     """CSV with a header, every column as text, short rows padded with null.
 
     With ``columns`` the header must name exactly these; without, it supplies the names.
@@ -37,8 +36,8 @@ def read_text_table(spark: SparkSession, paths, columns: Iterable[str] | None =
         # enforceSchema=False compares the header of every file with the names
         reader = reader.schema(text_schema(columns)).option("enforceSchema", False)
     df = reader.csv(paths)
-    return replace_columns(df, {
-        c: F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")) for c in df.columns})
+    cells = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in df.columns]
+    return df.select(*cells, *([F.col("_metadata.file_path").alias(source)] if source else []))
 
 
 def with_row_order(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
@@ -51,9 +50,13 @@ def with_row_order(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
 
 
 def read_sheets(spark: SparkSession, paths, *, columns=SHEET_COLUMNS, spec: PanelSpec = SHEET,
-                multi_line: bool = True) -> DataFrame:
-    """Facility sheets of any number of states in one frame, rows numbered."""
-    return with_row_order(read_text_table(spark, paths, columns, multi_line=multi_line), spec)
+                multi_line: bool = True, source: str | None = None) -> DataFrame:
+    """Facility sheets of any number of states in one frame, rows numbered.
+
+    ``source`` names an extra column holding the path of each row's file.
+    """
+    table = read_text_table(spark, paths, columns, multi_line=multi_line, source=source)
+    return with_row_order(table, spec)
 
 
 def read_registry(spark: SparkSession, path, *, spec: PanelSpec = SHEET) -> DataFrame:

@@ -37,6 +37,13 @@ SHEET_COLUMNS = DESCRIPTIVE_COLUMNS + CUMULATIVE_COLUMNS + OUTBREAK_COLUMNS + TR
 POINT_IN_TIME_COLUMNS = ("Res_Census", "Res_Test", "Staff_Test", "PPE")
 
 
+def positional_pairs(columns) -> tuple[tuple[str, str], ...]:
+    """The pairs a sheet's layout implies: twelve totals after 14 columns, then their counterparts."""
+    n, start = len(CUMULATIVE_COLUMNS), len(DESCRIPTIVE_COLUMNS)
+    columns = list(columns)
+    return tuple(zip(columns[start:start + n], columns[start + n:start + 2 * n]))
+
+
 def text_schema(columns) -> T.StructType:
     """All-string landing schema: cells are typed by the operator that needs numbers."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -102,5 +109,10 @@ class PanelSpec:
         if missing:
             raise ValueError(f"panel lacks metric columns {missing}")
 
+    def check_layout(self, columns) -> None:
+        """Fail when a sheet's metric columns are not where the pairs of this spec say."""
+        if positional_pairs(columns) != self.pairs:
+            raise ValueError("metric columns are not in sheet order")
+
 
 SHEET = PanelSpec()

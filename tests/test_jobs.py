@@ -38,6 +38,8 @@ def test_reading_sheets(spark, tmp_path):
     assert {t for c, t in df.dtypes if c != "_ord"} == {"string"}
     short = sheets.read_sheets(spark, write_sheet(tmp_path / "b.csv", rows[1:], cut=1)).first()
     assert short["ctp_id"] is None and short["Facility"] == "Home  2"
+    named = sheets.read_sheets(spark, str(tmp_path / "a.csv"), source="file").first()
+    assert named["file"].endswith("a.csv")
     with pytest.raises(Exception):
         sheets.read_sheets(spark, write_sheet(tmp_path / "c.csv", rows, columns=SHEET_COLUMNS[::-1])).collect()
 

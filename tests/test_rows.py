@@ -37,6 +37,9 @@ def test_sheet_layout():
     assert [SHEET_COLUMNS.index(c) for c in CUMULATIVE_COLUMNS] == list(range(14, 26))
     assert [SHEET_COLUMNS.index(c) for c in OUTBREAK_COLUMNS] == list(range(26, 38))
     assert all(o == r.replace("Cume", "Outbrk").replace(" ", "") for r, o in SHEET.pairs)
+    SHEET.check_layout(SHEET_COLUMNS)
+    with pytest.raises(ValueError, match="sheet order"):
+        SHEET.check_layout(SHEET_COLUMNS[::-1])
     with pytest.raises(ValueError, match="Outbrk_Res_Pos"):
         SHEET.check_pairs([c for c in SHEET_COLUMNS if c != "Outbrk_Res_Pos"])
 
