@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.cells import replace_columns
 from rollcall.functions.spread import attach, bounded_broadcast, row_salt
 from rollcall.spec import SHEET, PanelSpec
 
@@ -57,8 +58,10 @@ def add_entity_id(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET, *
     key_text = F.concat_ws(" | ", *[F.col(f"`{c}`") for c in _lookup_key(spec)])
     refuse = F.raise_error(F.concat(F.lit("no entity id for: "), key_text))
     found = F.when(F.col("_id").isNull(), refuse).otherwise(F.col("_id"))
-    kept = [F.col(f"`{c}`") for c in df.columns if c != spec.entity]
-    return matched.select(*kept, found.alias(spec.entity))
+    known = matched.withColumn("_id", found)
+    if spec.entity not in df.columns:
+        return known.withColumnRenamed("_id", spec.entity)
+    return replace_columns(known, {spec.entity: F.col("_id")}).drop("_id")
 
 
 def unmatched_entities(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:

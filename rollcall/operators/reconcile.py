@@ -83,17 +83,22 @@ def provider_number(c: Column) -> Column:
 
 
 # Spellings of a week-ending date, by their shape.
-WEEK_SHAPES = {r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd", r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
-               r"^\d{1,2}/\d{1,2}/\d{2}$": "M/d/yy"}
+WEEK_SHAPES = {
+    r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd",
+    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$": "yyyy-MM-dd HH:mm:ss",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{1,2}/\d{1,2}/\d{2}$": "M/d/yy",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AP]M$": "M/d/yyyy h:mm:ss a",
+}
 
 
 def iso_week(c: Column) -> Column:
-    """A week-ending date as yyyy-MM-dd text."""
-    week = F.lit(None).cast("string")
+    """A week-ending date as yyyy-MM-dd text; fails on text that is no date."""
+    week = F.lit(None).cast("timestamp")
     for shape, spelling in WEEK_SHAPES.items():
-        week = F.when(c.rlike(shape),
-                      F.date_format(F.try_to_timestamp(c, F.lit(spelling)), "yyyy-MM-dd")).otherwise(week)
-    return week
+        week = F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(spelling))).otherwise(week)
+    refuse = F.raise_error(F.concat(F.lit("no week-ending date: "), c))
+    return F.when(c.isNotNull() & week.isNull(), refuse).otherwise(F.date_format(week, "yyyy-MM-dd"))
 
 
 def add_totals(df: DataFrame, totals: dict[str, tuple[str, ...]]) -> DataFrame:

@@ -71,3 +71,18 @@ def check(panel: DataFrame, out: str | None = None, spec: PanelSpec = SHEET, *,
             state = "State" if name == "decreased_cumulative" else spec.state
             sinks.write_report(report, f"{out}/{name}", state, format=format)
     return found
+
+
+def check_states(spark: SparkSession, manifest_path: str | None = None, states: Iterable[str] | None = None, *,
+                 processed: str | None = None, out: str | None = None, format: str = "csv",
+                 spec: PanelSpec = SHEET, only_this_week: bool = False) -> dict[str, DataFrame]:
+    """Check published panels, or with ``processed`` the output of an own run."""
+    if processed is not None:
+        paths = [processed]
+    else:
+        manifest = sheets.read_manifest(spark, manifest_path)
+        paths = sorted({p for p in sheets.manifest_paths(manifest, "Final", states).values() if p})
+    panel = sheets.read_processed(spark, paths, format=format)
+    if states is not None:
+        panel = panel.where(F.col(f"`{spec.state}`").isin(*states))
+    return check(settle(panel), out, spec, only_this_week=only_this_week)

@@ -88,15 +88,20 @@ def read_states(spark: SparkSession, manifest: DataFrame, states: Iterable[str]
     return read_sheets(spark, sorted(set(paths)), spec=spec, **options)
 
 
-def read_processed(spark: SparkSession, path: str, *, columns: Iterable[str],
+def read_processed(spark: SparkSession, paths, *, columns: Iterable[str] | None = None,
                    format: str = "csv") -> DataFrame:
-    """Own output, for checking.  Rows are numbered anew."""
+    """Own output, for checking.  Cells are text and rows are numbered anew."""
     if format == "csv":
         reader = (spark.read.option("header", True).option("multiLine", True)
-                  .option("quote", '"').option("escape", '"').schema(text_schema(columns))
+                  .option("quote", '"').option("escape", '"')
                   .option("ignoreLeadingWhiteSpace", False)
-                  .option("ignoreTrailingWhiteSpace", False))
-        table = reader.option("recursiveFileLookup", True).csv(path)
+                  .option("ignoreTrailingWhiteSpace", False)
+                  .option("recursiveFileLookup", True))
+        if columns is not None:
+            reader = reader.schema(text_schema(columns))
+        table = reader.csv(paths)
     else:
-        table = spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in columns])
+        table = spark.read.option("recursiveFileLookup", True).format(format).load(paths)
+        if columns is not None:
+            table = table.select(*[F.col(f"`{c}`") for c in columns])
     return with_row_order(table)

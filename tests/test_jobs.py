@@ -125,13 +125,15 @@ def test_process_and_check_all_states(spark, tmp_path):
     for folder in ("out", "final"):
         again = sheets.read_processed(spark, str(tmp_path / folder), columns=[*SHEET_COLUMNS, "last_recorded"])
         assert again.count() == panel.count()
-    again = sheets.read_processed(spark, str(tmp_path / "final"), columns=[*SHEET_COLUMNS, "last_recorded"])
-    found = jobs.check(lineage.settle(again), str(tmp_path / "reports"))
+    assert panel.drop("_ord").columns == [*SHEET_COLUMNS, "last_recorded"]
+    found = jobs.check_states(spark, manifest, out=str(tmp_path / "reports"))
     assert found["dupes"].count() == 0
     assert found["types"].where("check = 'metric'").count() == 0
     assert found["date_data_dupes"].count() > 0
     assert os.path.isdir(tmp_path / "reports" / "date_data_dupes" / "sheet=CT")
     assert not os.path.isdir(tmp_path / "reports" / "dupes" / "sheet=CT")
+    some = jobs.check_states(spark, states=["CT"], processed=str(tmp_path / "out"))
+    assert {r["State"] for r in some["date_data_dupes"].collect()} == {"CT"}
 
 
 def test_some_states(spark, tmp_path):

@@ -123,7 +123,7 @@ def test_entity_lookup(spark, groups, bound):
     known = {"Date": "1", "State": "XX", "Facility": "HOME", "City": "C", "County": "K", "CTP_Facility_Type": "NH"}
     df = sheet(spark, known, known, known)
     out = entity.add_entity_id(df, reg, registry_rows_at_most=bound)
-    assert cells(out, "ctp_id") == [("new",)] * 3 and out.columns[-1] == "ctp_id"
+    assert cells(out, "ctp_id") == [("new",)] * 3 and out.columns == df.columns
     for name in ("ELSE", "BLANK", "NOWHERE"):
         lost = sheet(spark, {"State": "XX", "Facility": name, "City": "", "County": "", "CTP_Facility_Type": ""})
         with pytest.raises(Exception, match=f"no entity id for: {name}"):
@@ -230,7 +230,7 @@ def test_numbers_and_fingerprints(spark):
 def test_federal_table(spark):
     raw = spark.createDataFrame(
         [("01/31/2021", "015009", "Home", "AL", 1.0, None), ("05/24/2020", "1", "Early", "AL", 1.0, 1.0),
-         ("02/07/21", "45.0", None, "AK", None, None)],
+         ("02/07/21", "45.0", None, "AK", None, None), (None, "3", None, "AK", None, None)],
         "`Week Ending` string, ` Federal Provider Number` string, `Provider Name ` string, `Provider-State` string, `A/B` double, C double")
     got = reconcile.prepare_federal(raw, columns=("cms_week", "cms_federal_provider_number", "cms_provider_state", "cms_a_b", "cms_c"),
                                     totals={"cms_total": ("cms_a_b", "cms_c")})
@@ -238,6 +238,14 @@ def test_federal_table(spark):
         ("2021-01-31", "15009", 1.0), ("2021-02-07", "45", 0.0)]
 
 
+def test_week_spellings(spark):
+    df = spark.createDataFrame([("2021-01-31",), ("2021-01-31 00:00:00",), ("1/31/2021",), ("01/31/21",),
+                                ("01/31/2021 12:00:00 AM",), (None,)], "w string")
+    assert [r[0] for r in df.select(reconcile.iso_week(F.col("w"))).collect()] == ["2021-01-31"] * 5 + [None]
+    with pytest.raises(Exception, match="no week-ending date: 31 Jan"):
+        spark.createDataFrame([("31 Jan",)], "w string").select(reconcile.iso_week(F.col("w"))).collect()
+
+
 def test_reconciliation(spark):
     fed = spark.createDataFrame([("w2", "1", "AR", "h1", 5.0), ("w2", "2", "AR", "h2", 9.0), ("w1", "1", "AR", "h1", None)],
                                 "cms_week string, cms_federal_provider_number string, cms_provider_state string, cms_provider_name string, d double")
