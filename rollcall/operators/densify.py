@@ -40,7 +40,7 @@ def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence
     reported = (df.where(date.isNotNull()).groupBy(state, date)
                 .agg(F.count(F.lit(1)).alias("_rows"))
                 .withColumn("_next", F.lead(date).over(by_date)))
-    weeks = F.array(*[F.lit(d) for d in grid]) if grid else F.array().cast("array<int>")
+    weeks = F.expr(f"cast(array({', '.join(str(int(d)) for d in grid)}) as array<int>)")
     gap = F.filter(weeks, lambda g: (g > date) & (F.col("_next").isNull() | (g < F.col("_next"))))
     gaps = (reported.withColumn("_gap", gap).where(F.size("_gap") > 0)
             .select("_gap", "_rows", state, date))

@@ -291,6 +291,10 @@ def recon(body: str) -> str:
     return sql(body, RECON)
 
 
+def part(src: str, out: str, state: str) -> str:
+    return f"{out} AS (SELECT * FROM {src} WHERE State = '{state}')"
+
+
 READY = """
 ready AS (SELECT * REPLACE (upper(Facility) AS Facility) FROM panel WHERE (nation_key + week) % 5 <> 0)"""
 
@@ -463,12 +467,12 @@ coarse AS (
     "recon_outer": recon("SELECT * FROM either"),
     "recon_latest": recon("SELECT e.* FROM either e, last_week WHERE cms_week = latest OR ctp_cms_week = latest"),
     "recon_unmatched_top5": recon("""
-SELECT cms_provider_state, "rank", cms_week, cms_provider_name, cms_deaths FROM (
+SELECT cms_provider_state, CAST("rank" AS INT) AS "rank", cms_week, cms_provider_name, cms_deaths FROM (
   SELECT *, row_number() OVER (PARTITION BY cms_provider_state
                                ORDER BY cms_deaths DESC NULLS LAST, cms_week, cms_federal_provider_number) AS "rank"
   FROM either WHERE ctp_cms_week IS NULL) WHERE "rank" <= 5"""),
     "recon_divergent": recon("""
-SELECT ctp_state, side AS "end", "rank", cms_week, ctp_facility, cms_ctp_cases_diff FROM (
+SELECT ctp_state, side AS "end", CAST("rank" AS INT) AS "rank", cms_week, ctp_facility, cms_ctp_cases_diff FROM (
   SELECT *, 'lowest' AS side, row_number() OVER (PARTITION BY ctp_state
     ORDER BY cms_ctp_cases_diff, cms_week, cms_federal_provider_number) AS "rank"
   FROM both_sides WHERE cms_ctp_cases_diff_abs > 15
@@ -516,4 +520,48 @@ WHERE ctp_facility = 'Supplier#000000003' AND ctp_cms_week IS NOT NULL"""),
 blanked AS (
   SELECT * REPLACE (CASE WHEN (ctp_id + week) % 6 <> 0 THEN Outbrk_Status END AS Outbrk_Status)
   FROM panel WHERE (nation_key + week) % 5 <> 0)""", fill("blanked", "filled"), unknown_closed("filled", "known")),
+    "process_states": sql(f"""
+SELECT {REPORT}, CAST(NULL AS INT) AS last_recorded FROM ct_done
+UNION ALL SELECT {REPORT}, last_recorded FROM ar_done
+UNION ALL SELECT {REPORT}, NULL FROM co_done
+UNION ALL SELECT {REPORT}, last_recorded FROM nj_done
+UNION ALL SELECT {REPORT}, last_recorded FROM wy_done""", READY, """
+coded AS (SELECT * REPLACE (['CT', 'AR', 'CO', 'NJ', 'WY'][nation_key % 5 + 1] AS State) FROM ready)""",
+        part("coded", "ct", "CT"), fill("ct", "ct_done"),
+        part("coded", "ar", "AR"), close("ar", "ar_closed"), fill("ar_closed", "ar_done"),
+        part("coded", "co", "CO"), collapse("co", "co_merged"), fill("co_merged", "co_done"),
+        part("coded", "nj", "NJ"), close("nj", "nj_closed"),
+        "nj_recent AS (SELECT * FROM nj_closed WHERE Date >= 19960101)", collapse("nj_recent", "nj_merged"),
+        carry("nj_merged", "nj_carried", 19970101), fill("nj_carried", "nj_done"),
+        part("coded", "wy", "WY"), collapse("wy", "wy_merged"), close("wy_merged", "wy_closed"),
+        fill("wy_closed", "wy_filled"), unknown_closed("wy_filled", "wy_known"), past("wy_known", "wy_summed"),
+        fill("wy_summed", "wy_again"), unknown_closed("wy_again", "wy_done")),
+    "check_findings": sql("""
+SELECT State, 'types' AS kind, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
+UNION ALL
+SELECT State, 'dupes', count(*) FROM (
+  SELECT State, count(*) FILTER (Outbrk_Status = 'OPEN') OVER (PARTITION BY ctp_id, Date) AS n, Outbrk_Status FROM d)
+WHERE n > 1 AND Outbrk_Status = 'OPEN' GROUP BY State
+UNION ALL
+SELECT State, 'date_data_dupes', count(*) FROM (
+  SELECT State, count(*) OVER (PARTITION BY State, Date, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos,
+                               Outbrk_Staff_Pos) AS n FROM d) WHERE n > 1 GROUP BY State
+UNION ALL
+SELECT State, 'decreased_cumulative',
+       CAST(sum(CASE WHEN res < was_res THEN 1 ELSE 0 END + CASE WHEN staff <> -1 AND staff < was_staff THEN 1 ELSE 0 END) AS BIGINT)
+FROM seq WHERE res < was_res OR (staff <> -1 AND staff < was_staff) GROUP BY State""", DIRTY, """
+d AS (
+  SELECT State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos,
+         min(_ord) AS _ord,
+         CAST(Cume_Res_Pos AS BIGINT) AS res,
+         CASE WHEN Cume_Staff_Pos IS NULL THEN -1 WHEN Cume_Staff_Pos = '<11' THEN 1
+              ELSE CAST(Cume_Staff_Pos AS BIGINT) END AS staff
+  FROM dirty GROUP BY State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos),
+seq AS (SELECT *, lag(res) OVER w AS was_res, lag(staff) OVER w AS was_staff
+        FROM d WINDOW w AS (PARTITION BY ctp_id ORDER BY Date, _ord))"""),
+    "written_and_read": sql("""
+SELECT State, CASE WHEN ctp_id % 7 = 0 THEN 'a "b", ' || Facility || chr(10) || 'c' ELSE Facility END AS Facility,
+       ctp_id, Date, CASE WHEN (ctp_id + week) % 6 = 0 THEN ' ' WHEN (ctp_id + week) % 5 <> 0 THEN Outbrk_Status END
+       AS Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos
+FROM panel WHERE (nation_key + week) % 5 <> 0"""),
 }

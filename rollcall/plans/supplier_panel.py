@@ -7,16 +7,20 @@ spec carries two metric pairs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns
 from rollcall.functions.dates import date_grid
-from rollcall.functions.lineage import settle
+from rollcall.functions.lineage import settle, shared_folder
 from rollcall.operators import (carry, collapse, densify, entity, markers, ordering, peers, quality,
                                 reconcile, standardize, statewise, unreset)
 from rollcall.operators.reconcile import Side
+from rollcall.plans import chains, jobs
 from rollcall.plans.chains import run_chain
+from rollcall.sources import sheets, sinks
 from rollcall.spec import PanelSpec
 
 SPEC = PanelSpec(pairs=(("Cume_Res_Pos", "Outbrk_Res_Pos"), ("Cume_Staff_Pos", "Outbrk_Staff_Pos")))
@@ -543,6 +547,43 @@ def finish_panel(spark, sf_dir):
     return ordering.finish(p, SPEC, grid=GRID, close_unknown_status=True).select(*REPORT)
 
 
+def process_states(spark, sf_dir):
+    """Nations stand for five states with five different chains."""
+    states = ("CT", "AR", "CO", "NJ", "WY")
+    code = F.element_at(F.array(*[F.lit(c) for c in states]), (F.col("nation_key") % 5 + 1).cast("int"))
+    rows = _ready(spark, sf_dir).withColumn("State", code)
+    out, _ = chains.process_states(rows, states, SPEC, grid=GRID, since=19960101, carry_from=19970101)
+    return out.select(*REPORT, "last_recorded")
+
+
+def check_findings(spark, sf_dir):
+    """Findings per state and kind of a panel checked as a whole."""
+    rows = dirty(panel(spark, sf_dir)).withColumn("CTP_Facility_Type", F.lit(""))
+    rows = rows.withColumns({"County": F.lit(""), "City": F.lit("")})
+    found = jobs.findings(settle(rows), SPEC)
+    counts = [found[kind].groupBy("State").agg(F.sum("n" if kind == "types" else F.lit(1)).alias("n"))
+              .withColumn("kind", F.lit(kind)) for kind in sorted(found)]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out.select("State", "kind", "n")
+
+
+def written_and_read(spark, sf_dir):
+    """The panel through the CSV writer and reader."""
+    rows = _ready(spark, sf_dir).withColumns({
+        "Facility": F.when(every(7, "ctp_id"), F.concat(F.lit('a "b", '), F.col("Facility"), F.lit("\nc")))
+        .otherwise(F.col("Facility")),
+        "Outbrk_Status": F.when(every(6, "ctp_id", "week"), " ")
+        .when(~every(5, "ctp_id", "week"), F.col("Outbrk_Status"))})
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    sinks.write_processed(rows.select(*REPORT, "County", "City", "State_Facility_Type", "_ord"), path, SPEC)
+    return sheets.read_processed(spark, path).select(
+        "State", "Facility", F.col("ctp_id").cast("bigint").alias("ctp_id"),
+        F.col("Date").cast("int").alias("Date"), "Outbrk_Status",
+        *[F.col(c).cast("bigint").alias(c) for c in METRICS])
+
+
 QUERIES = {f.__name__: f for f in (
     std_text, std_dedup, entity_lookup, entity_unmatched, fill_missing_dates, close_missing, locf_markers,
     collapse_add, collapse_diagnostics, collapse_no_add, collapse_no_add_listed, carry_closed,
@@ -551,4 +592,5 @@ QUERIES = {f.__name__: f for f in (
     dq_date_dupes, dq_decrease, dq_decrease_many_rows, dq_decrease_this_week, recon_federal,
     recon_national, recon_inner, recon_outer, recon_latest, recon_unmatched_top5, recon_divergent,
     recon_divergent_week, recon_unique_ids, recon_totals, recon_value_counts, recon_counts,
-    recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy, finish_panel)}
+    recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy, finish_panel,
+    process_states, check_findings, written_and_read)}

@@ -22,8 +22,14 @@ def bag(columns, rows) -> Counter:
     return Counter(tuple(None if r[i] is None else str(r[i]) for i in order) for r in rows)
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 def compare(df, con, statement: str) -> str | None:
-    """None when equal, else a short description of the difference."""
+    """None when names, types and rows are equal, else a short description of the difference."""
+    kinds = {r[0]: r[1] for r in con.execute("DESCRIBE " + statement).fetchall()}
+    if kinds != {c: TYPES[t] for c, t in df.dtypes}:
+        return f"types {df.dtypes} against {kinds}"
     cur = con.execute(statement)
     names = [d[0] for d in cur.description]
     if sorted(names) != sorted(df.columns):
