@@ -46,40 +46,69 @@ def anchor_places(n_words: int, length: int) -> np.ndarray:
 
 
 BATCH = 1_000_000  # keys a task compares among themselves before it ships them
+COUNT_ONLY = -1 << 31
 
 
-def _shipped(keys: np.ndarray, places: np.ndarray, docs: np.ndarray, high: np.ndarray | None = None) -> dict:
+def _groups(keys: np.ndarray, high: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """For each row whether the batch holds its key again, and whether it is the first with its key."""
+    order = np.argsort(keys, kind="stable") if high is None else np.lexsort((high, keys))
+    same = keys[order][1:] == keys[order][:-1]
+    if high is not None:
+        same &= high[order][1:] == high[order][:-1]
+    later, known = np.empty((2, len(keys)), bool)
+    later[order] = np.concatenate([[False], same])
+    known[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    return known, ~later
+
+
+def _own(docs: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Keys that spread rows evenly which need no counting."""
+    return mixed(docs.view(U64) + mixed(places.astype(U64)))
+
+
+def _ship_anchors(keys: np.ndarray, places: np.ndarray, docs: np.ndarray) -> dict:
     """Rows to be counted: ``place`` is negative (~place) where the batch itself holds the key again.
 
-    Of such a key one row keeps the key; the others go under a key of their own, spread evenly.
+    Of such a key one row keeps the key; the others go under keys of their own.
     """
-    order = np.argsort(keys, kind="stable") if high is None else np.lexsort((high, keys))
-    keys, places, docs = keys[order], places[order], docs[order]
-    same = keys[1:] == keys[:-1]
-    if high is not None:
-        high = high[order]
-        same &= high[1:] == high[:-1]
-    later = np.concatenate([[False], same])
-    known = later | np.concatenate([same, [False]])
-    keys = np.where(later, mixed(docs.view(U64) + mixed(places.astype(U64)) + keys), keys)
-    out = {"key": keys.view(np.int64), "doc": docs}
-    places = np.where(known, ~places, places)
-    if high is None:
-        return out | {"place": places.astype(np.int32)}
-    return out | {"rest": (high.astype(np.int64) << 32) | (places & 0xFFFFFFFF)}
-
-
-def _buffered(parts, width: int):
-    """Concatenate pieces of ``width`` arrays until they hold BATCH keys."""
+    known, first = _groups(keys, None)
+    return {"key": np.where(first, keys, _own(docs, places)).view(np.int64), "doc": docs,
+            "place": np.where(known, ~places, places).astype(np.int32)}
+
+
+def _ship_windows(keys: np.ndarray, places: np.ndarray, docs: np.ndarray, high: np.ndarray) -> dict:
+    """Rows to be counted: the low half of ``rest`` is a place, the high half belongs to the key.
+
+    Where the batch holds keys again, the places that follow each other in a document become one row
+    (~place, and in the high half how many more follow) under a key of its own, and one row per key
+    (place COUNT_ONLY) lets other batches see it.
+    """
+    known, first = _groups(keys, high)
+    at = np.flatnonzero(known)
+    starts = np.ones(len(at), bool)
+    starts[1:] = (docs[at][1:] != docs[at][:-1]) | (places[at][1:] != places[at][:-1] + 1)
+    begin = at[starts]
+    more = np.diff(np.append(np.flatnonzero(starts), len(at))) - 1
+    lone, shown = ~known, known & first
+    low = (1 << 32) - 1
+    return {"key": np.concatenate([keys[lone], keys[shown], _own(docs[begin], places[begin])]).view(np.int64),
+            "doc": np.concatenate([docs[lone], docs[shown], docs[begin]]),
+            "rest": np.concatenate([(high[lone].astype(np.int64) << 32) | places[lone],
+                                    (high[shown].astype(np.int64) << 32) | (COUNT_ONLY & low),
+                                    (more << 32) | (~places[begin] & low)])}
+
+
+def _buffered(parts, ship):
+    """Ship pieces together once they hold BATCH keys."""
     held, size = [], 0
     for part in parts:
         held.append(part)
         size += len(part[0])
         if size >= BATCH:
-            yield _shipped(*[np.concatenate([p[k] for p in held]) for k in range(width)])
+            yield ship(*map(np.concatenate, zip(*held)))
             held, size = [], 0
     if size:
-        yield _shipped(*[np.concatenate([p[k] for p in held]) for k in range(width)])
+        yield ship(*map(np.concatenate, zip(*held)))
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -97,7 +126,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
                         yield (rolling.hashes(digests.of(words)[:, 0].copy(), width, places), places,
                                np.full(len(places), doc, np.int64))
 
-        return _buffered(parts(), 3)
+        return _buffered(parts(), _ship_anchors)
 
     return by_arrow(docs.select("doc", "text"), work, "key bigint, doc bigint, place int")
 
@@ -123,17 +152,19 @@ def _windows(found: DataFrame, length: int) -> DataFrame:
                                np.full(len(starts), doc, np.int64),
                                rolling.hashes(hashes[:, 1].copy(), length, starts) >> np.uint64(32))
 
-        return _buffered(parts(), 4)
+        return _buffered(parts(), _ship_windows)
 
     return by_arrow(found, work, "key bigint, doc bigint, rest bigint")
 
 
-def _twice(rows: DataFrame, keys: list, place) -> DataFrame:
-    """(doc, place) of rows whose key occurs in another row, or did within its batch."""
+def _twice(rows: DataFrame, keys: list[str], more) -> DataFrame:
+    """(doc, place) of rows whose key occurs in another row, or did within its batch; the high half of
+    ``place`` says how many places after it belong to it too."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return (rows.select(*keys, "doc", place.alias("place")).withColumn("n", n)
-            .where("n > 1 OR place < 0")
-            .select("doc", F.when(F.col("place") < 0, F.bitwise_not("place")).otherwise(F.col("place")).alias("place")))
+    place = F.when(F.col("place") >= 0, F.col("place").cast("bigint")).otherwise(
+        F.bitwise_not("place").cast("bigint") + F.shiftleft(more.cast("bigint"), 32))
+    return (rows.withColumn("n", n).where(f"(n > 1 OR place < 0) AND place != {COUNT_ONLY}")
+            .select("doc", place.alias("place")))
 
 
 def repeats(docs: DataFrame, length: int = 35) -> DataFrame:
@@ -148,11 +179,11 @@ def repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         for doc, packed, places in groups:
             yield {"doc": [doc], "packed": [packed], "anchors": [places.astype(np.int32).tobytes()]}
 
-    found = settle(merged(pack(docs), _twice(_anchors(docs, length), ["key"], F.col("place")), anchored,
+    found = settle(merged(pack(docs), _twice(_anchors(docs, length), ["key"], F.lit(0)), anchored,
                           "doc bigint, packed binary, anchors binary"))
     windows = _windows(found, length).withColumn("high", F.shiftright("rest", 32)).withColumn(
         "place", F.shiftright(F.shiftleft("rest", 32), 32).cast("int"))
-    return found, _twice(windows, ["key", "high"], F.col("place"))
+    return found, _twice(windows, ["key", "high"], F.col("high"))
 
 
 def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 35) -> DataFrame:
@@ -164,7 +195,9 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", leng
         unpack = zstandard.ZstdDecompressor()
         for doc, packed, starts in groups:
             words = unpack.decompress(packed).split()
-            gone = covered(len(words), starts[starts <= len(words) - length].astype(np.int64), length)
+            starts, more = starts & 0xFFFFFFFF, starts >> 32
+            fits = starts <= len(words) - length
+            gone = covered(len(words), starts[fits], more[fits] + length)
             kept = b" ".join([w for w, out in zip(words, gone.tolist()) if not out])
             yield {"doc": [doc], "n_removed": [int(gone.sum())], "kept": [kept],
                    "kept_sha256": [hashlib.sha256(kept).hexdigest()]}

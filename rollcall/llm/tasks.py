@@ -51,8 +51,8 @@ def merged(texts: DataFrame, places: DataFrame, work: Callable, ddl: str) -> Dat
     a task streams each document's text and then its places, without collecting lists.  ``work`` gets an
     iterator of (doc, packed, places as an int array) of documents that have places and yields columns.
     """
-    rows = texts.select("doc", F.lit(-1).alias("place"), "packed").unionByName(
-        places.select("doc", "place", F.lit(None).cast("binary").alias("packed")))
+    rows = texts.select("doc", F.lit(-1).cast("bigint").alias("place"), "packed").unionByName(
+        places.select("doc", F.col("place").cast("bigint").alias("place"), F.lit(None).cast("binary").alias("packed")))
     dealt = rows.repartition("doc").sortWithinPartitions("doc", "place")
 
     def groups(batches):

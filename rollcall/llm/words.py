@@ -66,7 +66,7 @@ class Rolling:
         return mixed((sums[starts + width] - sums[starts]) * self.down[starts])
 
 
-def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
+def covered(n: int, starts: np.ndarray, width: int | np.ndarray) -> np.ndarray:
     """Which of n places lie in a run of ``width`` places from one of ``starts``."""
     steps = np.zeros(n + 1, np.int64)
     np.add.at(steps, starts, 1)
