@@ -6,15 +6,16 @@ hash i gives the shingles; registers of a union are the maxima of the registers,
 in a register about as often as their sets do.
 
 1. Equal sets are one class, named by its smallest id; only classes go on.
-2. Registers are banded, ``ROWS`` to a band.  In each bucket every class meets the class with the smallest
-   id: pairs grow with the members of a bucket, not with their square.
-3. A pair's similarity is estimated jointly from its registers (larger, smaller, equal) by maximum
-   likelihood given both set sizes; pairs for which 0.8 is far less likely than the estimate are dropped.
-4. The remaining pairs are confirmed by intersecting the full sets made from the texts.
-5. Confirmed links give components by label propagation.  Buckets that still hold several components are
-   searched again: members outside the bucket's main component meet all members of other components, as
-   long as their known distances to the first member allow a link (Jaccard distance is a metric).  Links
-   found there merge components, and the search ends when no unmet pairs are left.
+2. Registers are banded, ``ROWS`` to a band.  The centre of a bucket is its member that meets most others
+   over all its buckets, which in a group of copies is the text they were made from.  Every member is
+   compared with the centre on full sets: comparisons grow with the members, not with their square.
+3. Links to centres give components.  Where members of a bucket end up in different components, pairs of
+   them could still be links.  Each member is known by what it lacks and adds relative to the centre: both
+   counts and a 256-bit map of each.  They bound the overlap of two members from above exactly, and only
+   pairs whose bound allows a link leave the join.
+4. Those pairs are estimated jointly from their registers (larger, smaller, equal) by maximum likelihood
+   given both set sizes; where 0.8 is far less likely than the estimate they are dropped.  The rest is
+   confirmed on full sets, and all links together give the components by label propagation.
 
 With BANDS = 32 and ROWS = 4 a pair at exactly 0.8 shares no band with probability below 1e-7.
 
@@ -132,8 +133,19 @@ def _plausible(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return by_arrow(joined.select("a", "b", "n_a", "r_a", "n_b", "r_b"), work, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """(a, b, near, distance): pairs with exact Jaccard distance, ``near`` if 100 * shared >= least * all."""
+_MAPS = [f"{kind}{k}" for kind in ("lack", "plus") for k in range(4)]
+
+
+def _bits(items: np.ndarray) -> np.ndarray:
+    """256-bit map of a set of hashes as four integers."""
+    flags = np.zeros(256, np.uint8)
+    flags[(items & np.uint64(255)).astype(np.int64)] = 1
+    return np.packbits(flags).view(np.int64)
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """(a, b) with ``near`` (100 * shared >= least * all, on full sets) and b described relative to a:
+    sizes, what b lacks of a and adds to it, as counts and as maps."""
     one = texts.select(F.col("id").alias("a"), F.col("packed").alias("t_a"))
     two = texts.select(F.col("id").alias("b"), F.col("packed").alias("t_b"))
 
@@ -143,19 +155,24 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                out = {"a": part.column(0), "b": part.column(1), "near": [], "distance": []}
-                for a, t_a, t_b in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
+                rows = []
+                for a, t_a, t_b in zip(*[part.column(k).to_pylist() for k in (0, 2, 3)]):
                     if a != last:
                         last, first = a, shingles(unpack.decompress(t_a), digests)
                     other = shingles(unpack.decompress(t_b), digests)
-                    shared = len(np.intersect1d(first, other, assume_unique=True))
-                    union = len(first) + len(other) - shared
-                    out["near"].append(100 * shared >= least * union)
-                    out["distance"].append(1 - shared / union)
-                yield out
+                    place = np.minimum(np.searchsorted(first, other), len(first) - 1)
+                    shared = first[place] == other
+                    n = int(shared.sum())
+                    kept = np.zeros(len(first), bool)
+                    kept[place[shared]] = True
+                    rows.append([100 * n >= least * (len(first) + len(other) - n), len(first), len(other),
+                                 len(first) - n, len(other) - n, *_bits(first[~kept]), *_bits(other[~shared])])
+                names = ["near", "n_a", "n_b", "lacks", "adds", *_MAPS]
+                yield {"a": part.column(0), "b": part.column(1)} | dict(zip(names, map(list, zip(*rows))))
 
     joined = pairs.join(two, "b").join(one, "a").select("a", "b", "t_a", "t_b")
-    return over_batches(joined, work, "a bigint, b bigint, near boolean, distance double")
+    return over_batches(joined, work, "a bigint, b bigint, near boolean, n_a bigint, n_b bigint, lacks bigint, "
+                        "adds bigint, " + ", ".join(f"{m} bigint" for m in _MAPS))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -185,59 +202,59 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least
     members = sketched.where("n > 0 AND id IS NOT NULL")
     classes = settle(members.groupBy("low", "high").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.max("registers").alias("registers")))
-    bands = _bands(classes)
-    firsts = bands.groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    # of the members of shared buckets, with the first of each
-    buckets = settle(settle(bands).join(settle(firsts.drop("size")), "bucket"))
-    pairs = settle(_plausible(buckets.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-                              .distinct(), classes, least / 100))
-    needed = settle(buckets.select("id").distinct())
-    wanted = keyed.join(needed, "id").groupBy("id").agg(F.max("text").alias("text"))
-    texts = settle(pack(wanted.withColumnRenamed("id", "doc")).withColumnRenamed("doc", "id"))
-    known = settle(_confirmed(pairs, texts, least))
+    bands = settle(_bands(classes))
+    sizes = settle(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    buckets = settle(bands.join(sizes, "bucket"))
+    crowd = settle(buckets.groupBy("id").agg(F.sum("size").alias("crowd")))
+    centres = settle(buckets.join(crowd, "id").groupBy("bucket").agg(
+        F.max_by("id", F.struct("crowd", -F.col("id"))).alias("a")))
+    pairs = settle(buckets.join(centres, "bucket").where("id != a").select("a", F.col("id").alias("b")).distinct())
+    packed = pack(keyed.select(F.col("id").alias("doc"), "text"))
+    texts = settle(packed.join(crowd.select(F.col("id").alias("doc")), "doc").groupBy(F.col("doc").alias("id"))
+                   .agg(F.max("packed").alias("packed")))
+    known = settle(_measured(pairs, texts, least))
     links = known.where("near").select("a", "b")
     labels = components(links)
-    while True:
-        unmet = _unmet(buckets, labels, known, least / 100)
-        found = settle(_plausible(unmet, classes, least / 100))
-        if found.isEmpty():
-            break
-        more = settle(_confirmed(found, texts, least))
-        known = settle(known.unionByName(more))
-        if more.where("near").isEmpty():
-            break
-        labels = components(known.where("near").select("a", "b"))
+    further = settle(_plausible(settle(_unmet(known, labels, least)), classes, least / 100))
+    if not further.isEmpty():
+        more = settle(_measured(further, texts, least)).where("near").select("a", "b")
+        labels = components(links.unionByName(more))
     classed = settle(classes.select("low", "high", "id").join(labels, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component")))
-    out = sketched.join(classed, ["low", "high"], "left")
+    out = sketched.select("id", "n", "low", "high").join(classed, ["low", "high"], "left")
     component = F.when(F.col("id").isNull(), F.lit(None).cast("bigint")).otherwise(
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _unmet(buckets: DataFrame, labels: DataFrame, known: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket whose components differ and that have not met.
+def _unmet(known: DataFrame, labels: DataFrame, least: int) -> DataFrame:
+    """Pairs of members of one centre that lie in different components and may be links.
 
-    In a bucket, members of the first member's component are its main part; only members outside it look
-    for partners, so a bucket of one component costs nothing.
+    With C the centre, |x & y| = |C| - lacks_x - lacks_y + |both lack| + |both add|, and the maps bound
+    the last two: shared places, plus the members that had to share a place.
     """
     named = labels.select("id", "component")
-    mine = buckets.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    lead = labels.select(F.col("id").alias("first"), F.col("component").alias("main"))
-    mine = mine.join(lead, "first", "left").withColumn("main", F.coalesce("main", "first"))
-    distance = known.groupBy(F.col("a").alias("first"), F.col("b").alias("id")).agg(F.min("distance").alias("distance"))
-    outside = settle(mine.where("component != main").select("bucket", "id", "component", "first")
-                     .join(distance, ["first", "id"], "left"))
-    several = outside.select("bucket").distinct()
-    inside = settle(mine.join(several, "bucket", "left_semi").where("id != first")
-                    .select("bucket", "id", "component", "first").join(distance, ["first", "id"], "left"))
-    gap = F.abs(F.col("o.distance") - F.col("i.distance"))
-    met = (outside.alias("o").join(inside.alias("i"), F.col("o.bucket") == F.col("i.bucket"))
-           .where("o.component != i.component")
-           .where(F.coalesce(gap, F.lit(0.0)) <= 1 - least + 1e-9)
-           .select(F.least("o.id", "i.id").alias("a"), F.greatest("o.id", "i.id").alias("b")).distinct())
-    return met.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    mine = known.join(named.withColumnRenamed("id", "b"), "b", "left").withColumn(
+        "component", F.coalesce("component", "b"))
+    lead = named.select(F.col("id").alias("a"), F.col("component").alias("main"))
+    mine = mine.join(lead, "a", "left").withColumn("main", F.coalesce("main", "a"))
+    for kind, count in (("lack", "lacks"), ("plus", "adds")):
+        crowded = sum((F.bit_count(f"{kind}{k}") for k in range(4)), F.lit(0))
+        mine = mine.withColumn(f"{kind}_over", F.col(count) - crowded)
+    mine = settle(mine)
+    outside = mine.where("component != main")
+    inside = mine.join(settle(outside.select("a").distinct()), "a", "left_semi")
+
+    def both(kind: str, count: str):
+        places = sum((F.bit_count(F.col(f"o.{kind}{k}").bitwiseAND(F.col(f"i.{kind}{k}"))) for k in range(4)), F.lit(0))
+        return F.least(f"o.{count}", f"i.{count}", places + F.least(f"o.{kind}_over", f"i.{kind}_over"))
+
+    most = (F.col("o.n_a") - F.col("o.lacks") - F.col("i.lacks") + both("lack", "lacks") + both("plus", "adds"))
+    met = outside.alias("o").join(settle(inside).alias("i"), (F.col("o.a") == F.col("i.a"))
+                                  & (F.col("o.component") != F.col("i.component"))
+                                  & ((100 + least) * most >= least * (F.col("o.n_b") + F.col("i.n_b"))))
+    return met.select(F.least("o.b", "i.b").alias("a"), F.greatest("o.b", "i.b").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
