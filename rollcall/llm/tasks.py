@@ -13,6 +13,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 SLICE = 256  # rows turned into Python objects at a time
+BATCH_ROWS = 1024  # rows Spark sends to a task's Python at a time
+SHIPPED = 1 << 20  # bytes of results gathered before they go back
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -38,9 +40,19 @@ def over_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Itera
     schema = to_arrow_schema(kind)
 
     def run(batches):
+        held, size = [], 0
         for out in work(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
-
+            held.append(pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema))
+            size += held[-1].nbytes
+            if size >= SHIPPED:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        yield from pa.Table.from_batches(held, schema).combine_chunks().to_batches()
+
+    conf = df.sparkSession.conf
+    # whole texts are long rows: a batch of the usual 10,000 would be large
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(run, kind)
 
 
