@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontaminate, lines, mixing, near, substrings
+from rollcall.llm import (contextmix, decontaminate, language, licences, lines, mixing, near, quality,
+                          substrings, syncmers)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,31 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.groups(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_decontamination, op4_near_dedup, op8_mixing)}
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextmix.report(table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_decontamination, op4_near_dedup, op5_language_id,
+                                    op6_quality, op7_licence_scan, op8_mixing, op9_lm_score,
+                                    op10_fingerprints)}

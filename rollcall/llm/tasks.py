@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -95,14 +96,14 @@ def merged(texts: DataFrame, places: DataFrame, work: Callable, ddl: str) -> Dat
     return over_batches(dealt, lambda batches: work(groups(batches)), ddl)
 
 
-def pack(docs: DataFrame) -> DataFrame:
-    """(doc, text as bytes) with the text compressed, to be shuffled."""
+def pack(docs: DataFrame, kind: str = "bigint") -> DataFrame:
+    """(doc, text as bytes) with the text compressed, to be shuffled; ``kind`` is the type of doc."""
     def work(slices):
         squeeze = zstandard.ZstdCompressor(level=3)
         for rows in slices:
             yield {"doc": [d for d, _ in rows], "packed": [squeeze.compress(t) for _, t in rows]}
 
-    return by_arrow(docs.select("doc", "text"), work, "doc bigint, packed binary")
+    return by_arrow(docs.select("doc", "text"), work, f"doc {kind}, packed binary")
 
 
 def doc_key(doc_id: str, text: str) -> Column:
@@ -112,3 +113,8 @@ def doc_key(doc_id: str, text: str) -> Column:
 
 def as_bytes(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
+
+
+def sent(spark, thing):
+    """Broadcast a model or table of bounded size, classes by value; ``cloudpickle.loads(x.value)`` in tasks."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(thing))
