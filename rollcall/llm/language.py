@@ -18,11 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import ftrl
-from rollcall.llm.tasks import by_arrow, sent
+from rollcall.llm.tasks import by_arrow, lowest, sent
 
 FEATURES = 1 << 14
 
@@ -85,9 +85,7 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
     n_langs = known.select("lang").distinct().count()
     if not n_langs:
         return Model([], idf, np.zeros((FEATURES, 0)), 1.0)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.select("id", "lang").withColumn("nth", nth).where(
-        F.col("nth") <= max(20, sample // n_langs)).select("id").distinct()
+    chosen = lowest(known.select("id", "lang"), max(20, sample // n_langs), key="id", by="lang").select("id").distinct()
 
     def features(slices):
         for rows in slices:

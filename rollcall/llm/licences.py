@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import ftrl
-from rollcall.llm.tasks import as_bytes, by_arrow, sent
+from rollcall.llm.tasks import as_bytes, by_arrow, lowest, sent
 from rollcall.llm.words import U64, Digests, mixed
 
 FEATURES = 1 << 15
@@ -109,9 +109,7 @@ class Model:
 def fit(docs: DataFrame, *, text: str = "text", sample: int = 3000, variants: int = 60, seed: int = 1) -> Model:
     """Learn families from templates and ``unknown`` from ``sample`` paragraphs of ``docs``."""
     lines = docs.select(F.explode(F.split(F.col(f"`{text}`").cast("string"), "\n")).alias("line")).where("trim(line) != ''")
-    # a bounded sample, the same whatever the partitioning
-    drawn = (lines.select("line", F.xxhash64("line", F.lit(seed)).alias("h")).orderBy("h").limit(sample)
-             .select(F.substring("line", 1, 20_000).alias("line")).collect())
+    drawn = sorted(lowest(lines, sample, key="line").select("line").collect())
     digests, rng = Digests(), np.random.default_rng(seed)
     pairs = template_pairs(digests)
     others = [w for w in (words_of(r["line"].encode()) for r in drawn) if w]

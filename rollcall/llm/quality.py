@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.language import held_out
-from rollcall.llm.tasks import as_bytes, by_arrow, sent
+from rollcall.llm.tasks import as_bytes, by_arrow, lowest, sent
 
 GRAMS = 2048
 _UPPER, _DIGIT, _SPACE, _MARK = (np.array([chr(b).isascii() and test(chr(b)) for b in range(256)]) for test in (
@@ -106,12 +106,6 @@ class Model:
         return _sigmoid(self.slope * (x @ self.weights[:-1] + self.weights[-1]) + self.offset)
 
 
-def _first(rows: DataFrame, by: list[str], n: int) -> DataFrame:
-    """The n rows of each group whose ids hash lowest."""
-    nth = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("id"), "id"))
-    return rows.withColumn("nth", nth).where(F.col("nth") <= n)
-
-
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         positives: int = 1500, unlabelled: int = 3000, checked: int = 800) -> Model:
     """Learn from ``labels`` (all of them) and from ``docs`` without their labels."""
@@ -122,8 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         return Model(None, 0, 0, float(next(iter(shares))) if shares else 0.5)
     prior = shares[1] / sum(shares.values())
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), as_bytes(text).alias("text")).where("id IS NOT NULL")
-    marked = _first(known, ["label"], positives + checked).select("id", "label", "nth")
-    any_ids = texts.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(unlabelled).select("id")
+    marked = lowest(known, positives + checked, key="id", by="label")
+    any_ids = lowest(texts.select("id"), unlabelled, key="id").select("id")
     # both lists are bounded by the parameters
     chosen = any_ids.distinct().withColumn("free", F.lit(1)).join(marked, "id", "full")
 

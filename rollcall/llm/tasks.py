@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -118,3 +118,22 @@ def as_bytes(text: str) -> Column:
 def sent(spark, thing):
     """Broadcast a model or table of bounded size, classes by value; ``cloudpickle.loads(x.value)`` in tasks."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+
+def lowest(rows: DataFrame, n: int, *, key: str, by: str | None = None) -> DataFrame:
+    """The n rows of each group whose ``key`` hashes lowest: a bounded sample that does not depend on the
+    partitioning.
+
+    Groups are counted first, and rows whose hash lies clearly beyond the n-th are dropped where they are,
+    so about 1.5 n rows of a group are ranked, however many it has.
+    """
+    group = F.col(by) if by else F.lit(0)
+    unit = F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 11) / F.lit(float(1 << 53))
+    marked = rows.withColumns({"_group": group, "_unit": unit})
+    totals = {r["_group"]: r["n"] for r in marked.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limits = [x for g, total in totals.items() for x in (F.lit(g), F.lit(min(1.0, (1.5 * n + 50) / total)))]
+    if not limits:
+        return rows.limit(0)
+    near = marked.where(F.col("_unit") <= F.element_at(F.create_map(*limits), F.col("_group")))
+    nth = F.row_number().over(Window.partitionBy("_group").orderBy("_unit", key))
+    return near.withColumn("nth", nth).where(F.col("nth") <= n).drop("_group", "_unit")
