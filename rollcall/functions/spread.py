@@ -7,7 +7,7 @@ brings the rows of such a group into one task:
   broadcast and the rows of those groups are spread over many shuffle partitions.
 * ``by_heat`` lets ordinary entities take a plain window and sends only hot ones the long way.
 * ``previous_row`` and ``running_sums`` scan a hot entity in row order chunk by chunk.  Only one
-  summary row per chunk is ordered across the whole entity.
+  summary row per chunk of 2^20 rows is ordered across the whole entity.
 """
 
 from __future__ import annotations
@@ -18,42 +18,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import fingerprint
+from rollcall.functions.lineage import settle
 from rollcall.spec import PanelSpec
 
-# A group with more rows than this is spread.  The broadcast list is cut at HOT_GROUPS_AT_MOST;
-# groups beyond the cut take the shuffle join, so the cut never changes a result.
+# A group with this many rows is spread.  All hot groups are listed: there is at most one per
+# HOT_ROWS rows of the input, which bounds what is broadcast.
 HOT_ROWS = 1_000_000
-HOT_GROUPS_AT_MOST = 20_000
-# Order ordinals are unique in a slot, so a chunk holds at most 2^CHUNK_BITS rows.
+# A chunk of a hot entity holds at most 2^CHUNK_BITS rows.
 CHUNK_BITS = 20
 
 
-def bounded_broadcast(df: DataFrame, at_most: int) -> DataFrame:
-    """Broadcast ``df``, or fail the query when it has more than ``at_most`` rows.
-
-    The limit bounds what is ever sent; row ``at_most`` only exists when the bound is broken.
-    """
-    first = df.columns[0]
-    # in a single partition these ids count from zero
-    numbered = df.limit(at_most + 1).coalesce(1).withColumn("_nth", F.monotonically_increasing_id())
-    checked = F.when(F.col("_nth") < at_most, F.col(f"`{first}`")).otherwise(
-        F.raise_error(F.lit(f"side to broadcast exceeds {at_most} rows")))
-    return F.broadcast(numbered.withColumn(first, checked).drop("_nth"))
-
-
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, salt: Column,
-           how: str = "left", hot_rows: int | None = None) -> DataFrame:
+           how: str = "left", hot_rows: int | None = None, null_keys: bool = False) -> DataFrame:
     """Join each row with the fact row of its group.
 
     ``facts`` has one row per group: the keys, ``count`` (rows in the group, dropped from the
     result) and the facts.  ``salt`` is any integer that differs between the rows of a group.
+    With ``null_keys`` a missing key part is a value like any other; else such rows get no fact.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     names = [c for c in facts.columns if c not in keys and c != count]
+    out = rows.columns
+    if null_keys:  # a struct is never null
+        whole = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key")
+        facts, rows, keys = facts.select(whole, count, *names), rows.select("*", whole), ["_key"]
     packed = facts.select(*keys, count, F.struct(*[F.col(f"`{c}`") for c in names]).alias("_fact"))
-    hot = (packed.where(F.col(count) >= hot_rows)
-           .orderBy(F.col(count).desc(), *keys).limit(HOT_GROUPS_AT_MOST)
-           .select(*keys, F.col("_fact").alias("_hot_fact"), F.col(count).alias("_hot_rows")))
+    hot = packed.where(F.col(count) >= hot_rows).select(
+        *keys, F.col("_fact").alias("_hot_fact"), F.col(count).alias("_hot_rows"))
     # about hot_rows rows per spot, however large the group is
     spots = F.ceil(F.col("_hot_rows") / F.lit(hot_rows)).cast("bigint")
     spot = F.when(F.col("_hot_fact").isNull(), F.lit(-1)).otherwise(
@@ -64,8 +55,7 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, sa
     fact = F.coalesce("_hot_fact", "_fact")
     if how == "inner":
         joined = joined.where(fact.isNotNull())
-    return joined.select(*[F.col(f"`{c}`") for c in rows.columns],
-                         *[fact.getField(c).alias(c) for c in names])
+    return joined.select(*[F.col(f"`{c}`") for c in out], *[fact.getField(c).alias(c) for c in names])
 
 
 def row_salt(df: DataFrame, spec: PanelSpec) -> Column:
@@ -76,40 +66,41 @@ def row_salt(df: DataFrame, spec: PanelSpec) -> Column:
     return F.col(spec.order) if spec.order in df.columns else fingerprint(df.columns, "salt")
 
 
-def fits_broadcast(df: DataFrame, at_most: int) -> bool:
-    """Check by a bounded count whether ``df`` has at most ``at_most`` rows."""
-    return df.limit(at_most + 1).count() <= at_most
-
-
-CHUNK_KEY = ["_slot", "_chunk"]
+CHUNK_KEY = ["_entity", "_chunk"]
 
 
 def _with_chunks(rows: DataFrame, spec: PanelSpec) -> DataFrame:
-    # a struct is never null, so slots with a null part join like any other
-    return rows.withColumns({"_slot": F.struct(*[F.col(f"`{c}`") for c in spec.slot_key]),
-                             "_chunk": F.shiftright(F.col(spec.order), CHUNK_BITS)})
+    """Number the rows of hot entities densely in row order and cut them into chunks.
+
+    The rows are range-sorted and written, so an id counts rows within its range partition.  The
+    chunks of an entity are about its rows / 2^CHUNK_BITS, however many tasks its rows came from.
+    """
+    order = [*[F.col(f"`{c}`").asc() for c in spec.entity_key], *_row_order(spec)]
+    placed = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_place", F.monotonically_increasing_id()))
+    # a struct is never null, so entities with a null part join like any other
+    return placed.withColumns({"_entity": F.struct(*[F.col(f"`{c}`") for c in spec.entity_key]),
+                               "_chunk": F.shiftright("_place", CHUNK_BITS)})
 
 
 def _row_order(spec: PanelSpec) -> list[Column]:
     return [F.col(spec.date).asc_nulls_last(), F.col(spec.order).asc()]
 
 
-def _hot_entities(rows: DataFrame, spec: PanelSpec) -> DataFrame:
-    return (rows.groupBy(*spec.entity_key).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") >= HOT_ROWS)
-            .orderBy(F.col("_rows").desc(), *spec.entity_key).limit(HOT_GROUPS_AT_MOST)
-            .select(*spec.entity_key))
-
-
 def by_heat(rows: DataFrame, spec: PanelSpec, scan: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
     """Apply ``scan(part, fits)`` to the rows of ordinary and of hot entities, and unite.
 
-    Ordinary entities fit one task.  Where no entity is hot, the second part is found empty
-    before it is read.
+    Rows are counted per entity first.  Ordinary entities fit one task; where no entity is hot,
+    that is all there is to it.
     """
-    hot = F.broadcast(_hot_entities(rows, spec))
-    ordinary = scan(rows.join(hot, spec.entity_key, "left_anti"), True)
-    return ordinary.unionByName(scan(rows.join(hot, spec.entity_key, "left_semi"), False))
+    whole = F.struct(*[F.col(f"`{c}`") for c in spec.entity_key]).alias("_hot")
+    hot = settle(rows.groupBy(*spec.entity_key).agg(F.count(F.lit(1)).alias("_rows"))
+                 .where(F.col("_rows") >= HOT_ROWS).select(whole))
+    if hot.isEmpty():
+        return scan(rows, True)
+    keyed, hot = rows.withColumn("_hot", whole), F.broadcast(hot)
+    ordinary = scan(keyed.join(hot, "_hot", "left_anti").drop("_hot"), True)
+    return ordinary.unionByName(scan(keyed.join(hot, "_hot", "left_semi").drop("_hot"), False))
 
 
 def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -> DataFrame:
@@ -120,7 +111,8 @@ def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -
             return part.withColumns({n: f.over(w) for n, f in facts.items()})
         per_slot = part.groupBy(*spec.slot_key).agg(
             F.count(F.lit(1)).alias("_in_slot"), *[f.alias(n) for n, f in facts.items()])
-        return attach(part, per_slot, spec.slot_key, count="_in_slot", salt=F.col(spec.order))
+        return attach(part, per_slot, spec.slot_key, count="_in_slot", salt=F.col(spec.order),
+                      null_keys=True)
 
     return by_heat(rows, spec, scan)
 
@@ -137,15 +129,14 @@ def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *, fits: b
         w = Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
         return rows.withColumns({"_prev": F.lag(here).over(w),
                                  "_nth": F.row_number().over(w).cast("bigint")})
-    inside = Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
+    inside = Window.partitionBy(*CHUNK_KEY).orderBy("_place")
     local = _with_chunks(rows, spec).withColumns({
         "_here": here,
         "_before": F.lag(here).over(inside),
         "_pos": F.row_number().over(inside).cast("bigint"),
         "_last": F.lead(F.lit(1)).over(inside).isNull(),
     })
-    along = Window.partitionBy(*spec.entity_key).orderBy(
-        F.col(spec.date).asc_nulls_last(), "_chunk")
+    along = Window.partitionBy(*spec.entity_key).orderBy("_chunk")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     ends = local.where("_last").select(
         *CHUNK_KEY,
@@ -163,13 +154,13 @@ def running_sums(rows: DataFrame, spec: PanelSpec, amounts: dict[str, Column], *
         w = (Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return rows.withColumns({n: F.sum(a).over(w) for n, a in amounts.items()})
-    inside = Window.partitionBy(*CHUNK_KEY).orderBy(spec.order)
+    inside = Window.partitionBy(*CHUNK_KEY).orderBy("_place")
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = _with_chunks(rows, spec).withColumns(
         {f"_in_{n}": F.sum(a).over(so_far) for n, a in amounts.items()}
         | {"_last": F.lead(F.lit(1)).over(inside).isNull()})
     earlier = (Window.partitionBy(*spec.entity_key)
-               .orderBy(F.col(spec.date).asc_nulls_last(), "_chunk")
+               .orderBy("_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
     # the last row of a chunk holds the chunk's total
     before = local.where("_last").select(*CHUNK_KEY, *[

@@ -39,7 +39,7 @@ def carry_closed_event(df: DataFrame, spec: PanelSpec = SHEET, *, since: int = C
                     .drop("_prev", "_nth", *numbers))
         per_entity = before.groupBy(*spec.entity_key).agg(
             F.count(F.lit(1)).alias("_rows"), *[f.alias(n) for n, f in facts.items()])
-        return attach(part, per_entity, spec.entity_key, count="_rows", salt=F.col(spec.order))
+        return attach(part, per_entity, spec.entity_key, count="_rows", salt=F.col(spec.order), null_keys=True)
 
     marked = mark(rows, True) if one_row_per_date else by_heat(rows, spec, mark)
     corrected = {}

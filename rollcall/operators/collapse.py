@@ -63,16 +63,26 @@ def collapse_adding(df: DataFrame, spec: PanelSpec = SHEET, *, add_current: bool
 
 
 def collapse_diagnostics(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
-    """Slots with more than one OPEN row: who they are, and whether the rows differ."""
+    """Slots with more than one OPEN row: who they are, and whether the rows differ.
+
+    One row per slot, describing column (facility, state type, county) and value in it, with
+    ``rows`` (OPEN rows of the slot that hold the value); missing values are not listed.
+    """
     is_open = F.col(spec.status) == "OPEN"
-    named = [spec.facility, spec.state_type, spec.county]
-    return (df.where(is_open).groupBy(*spec.slot_key).agg(
+    named = [c for c in (spec.facility, spec.state_type, spec.county) if c in df.columns]
+    told = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in named]
+    rows = df.where(is_open)
+    slots = (rows.groupBy(*spec.slot_key).agg(
         F.count(F.lit(1)).alias("open_rows"),
-        *[h.alias(n) for n, h in _hashes(df, spec, is_open).items()],
-        # one or two labels describe a slot; the smallest and largest bound the state kept
-        *[F.array_distinct(F.array(F.min(c), F.max(c))).alias(c) for c in named if c in df.columns])
+        *[h.alias(n) for n, h in _hashes(df, spec, is_open).items()])
         .where("open_rows > 1").withColumn("rows_differ", _rows_differ())
         .drop("_low_a", "_high_a", "_low_b", "_high_b"))
+    # equal labels of a slot are combined before they meet it
+    labels = (rows.select(*spec.slot_key, F.explode(F.array(*told)).alias("l"))
+              .where("l.value is not null").groupBy(*spec.slot_key, "l.column", "l.value")
+              .agg(F.count(F.lit(1)).alias("rows")))
+    return slots.join(labels, spec.slot_key).select(
+        *spec.slot_key, "open_rows", "rows_differ", "column", "value", "rows")
 
 
 def collapse_without_adding(df: DataFrame, spec: PanelSpec = SHEET, *,

@@ -9,25 +9,16 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns
 from rollcall.functions.dates import date_grid
-from rollcall.functions.spread import attach, bounded_broadcast, row_salt
+from rollcall.functions.spread import attach, row_salt
 from rollcall.spec import SHEET, PanelSpec
 
-# State-level date lists are broadcast: one row per state, or per state and report date that
-# precedes a gap.  Both are calendar-sized; a panel beyond the bound fails instead of flooding
-# the executors, and runs with None, which joins by shuffle and spreads busy states.
-STATE_DATES_AT_MOST = 1_000_000
 
+def _join_state_facts(rows: DataFrame, facts: DataFrame, keys: list[str], spec: PanelSpec) -> DataFrame:
+    """Left join with facts that count their rows in ``_rows``; busy states are spread."""
+    return attach(rows, facts, keys, count="_rows", salt=row_salt(rows, spec))
 
-def _join_state_facts(rows: DataFrame, facts: DataFrame, keys: list[str], spec: PanelSpec,
-                      at_most: int | None) -> DataFrame:
-    """Left join with facts that count their rows in ``_rows``."""
-    if at_most is None:
-        return attach(rows, facts, keys, count="_rows", salt=row_salt(rows, spec))
-    return rows.join(bounded_broadcast(facts.drop("_rows"), at_most), keys, "left")
 
-
-def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence[int] | None = None,
-                       state_dates_at_most: int | None = STATE_DATES_AT_MOST) -> DataFrame:
+def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence[int] | None = None) -> DataFrame:
     """Give every state a row set for each grid date on or after its first report.
 
     A grid date without any row in the state repeats all rows of the state's latest earlier
@@ -45,7 +36,7 @@ def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence
     gaps = (reported.withColumn("_gap", gap).where(F.size("_gap") > 0)
             .select("_gap", "_rows", state, date))
     kind = df.schema[spec.date].dataType.simpleString()
-    dated = _join_state_facts(df, gaps, [spec.state, spec.date], spec, state_dates_at_most)
+    dated = _join_state_facts(df, gaps, [spec.state, spec.date], spec)
     own = F.array(date)
     every = F.when(F.col("_gap").isNull(), own).otherwise(
         F.concat(own, F.col("_gap").cast(f"array<{kind}>")))
@@ -56,8 +47,7 @@ def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence
     return replace_columns(spread, changed).drop("_at")
 
 
-def close_missing(df: DataFrame, spec: PanelSpec = SHEET, *, closed: str = "Closed",
-                  state_dates_at_most: int | None = STATE_DATES_AT_MOST) -> DataFrame:
+def close_missing(df: DataFrame, spec: PanelSpec = SHEET, *, closed: str = "Closed") -> DataFrame:
     """Report entities on the state dates they skip after their first report.
 
     Each skipped date repeats the first row of the entity's last real report, with empty
@@ -72,7 +62,7 @@ def close_missing(df: DataFrame, spec: PanelSpec = SHEET, *, closed: str = "Clos
                 .select("_dates", "_rows", spec.state))
 
     def with_calendar(table: DataFrame) -> DataFrame:
-        return _join_state_facts(table, calendar, [spec.state], spec, state_dates_at_most)
+        return _join_state_facts(table, calendar, [spec.state], spec)
 
     firsts = (rows.where(F.col(spec.entity).isNotNull())
               .groupBy(*spec.slot_key).agg(F.min(spec.order).alias(spec.order)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns
-from rollcall.functions.spread import attach, bounded_broadcast, row_salt
+from rollcall.functions.spread import attach, row_salt
 from rollcall.spec import SHEET, PanelSpec
 
 # Column names of the registry sheet.
@@ -35,26 +35,20 @@ def _lookup_key(spec: PanelSpec) -> list[str]:
     return [spec.facility, spec.city, spec.county, spec.state, spec.facility_type]
 
 
-def match_entities(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET, *,
-                   registry_rows_at_most: int | None = None) -> DataFrame:
+def match_entities(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """Left lookup: adds ``_id``, null where the registry knows no such facility.
 
-    ``registry_rows_at_most`` promises a registry small enough to broadcast; a larger one
-    fails the query.  Without it the rows are joined by shuffle, with busy facilities spread.
+    Busy facilities are spread.
     """
     ids, keys = registry_ids(registry, spec), _lookup_key(spec)
-    if registry_rows_at_most is not None:
-        small = bounded_broadcast(ids.select("_id", *keys), registry_rows_at_most)
-        return df.join(small, keys, "left").select(*[F.col(f"`{c}`") for c in df.columns], "_id")
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     facts = counted.join(ids, keys, "inner")
     return attach(df, facts, keys, count="_rows", salt=row_salt(df, spec))
 
 
-def add_entity_id(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET, *,
-                  registry_rows_at_most: int | None = None) -> DataFrame:
+def add_entity_id(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """Strict lookup: the query fails when a row has no id in the registry."""
-    matched = match_entities(df, registry, spec, registry_rows_at_most=registry_rows_at_most)
+    matched = match_entities(df, registry, spec)
     key_text = F.concat_ws(" | ", *[F.col(f"`{c}`") for c in _lookup_key(spec)])
     refuse = F.raise_error(F.concat(F.lit("no entity id for: "), key_text))
     found = F.when(F.col("_id").isNull(), refuse).otherwise(F.col("_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.cells import any_of, fingerprint, text_to_double, to_long
-from rollcall.functions.spread import attach, bounded_broadcast, by_heat, previous_row, row_salt
+from rollcall.functions.spread import attach, by_heat, previous_row, row_salt
 from rollcall.operators.standardize import standardize
 from rollcall.spec import SHEET, PanelSpec
 
@@ -50,9 +50,6 @@ DECREASE_COLUMNS = (
     "Prev Date", "prev_cumulative_value", "CTP_Facility_Type", "ctp_id",
 )
 
-STATES_AT_MOST = 100_000
-
-
 def _not_integer(df: DataFrame, name: str) -> Column:
     """Integer text or a finite number passes; so does null."""
     c = F.col(f"`{name}`")
@@ -78,7 +75,7 @@ def check_data_types(df: DataFrame, spec: PanelSpec = SHEET, *, sheet: str | Non
     Checks: ``date`` (null, no integer or not 8 digits), ``event_date``, ``metric`` (no integer;
     null passes), ``status`` (neither open nor closed, any case; null passes, '' does not) and,
     when ``sheet`` names the column telling input sheets apart, ``state`` (a sheet with more
-    than two states).
+    than two states: one row for each of them, with its rows there).
     """
     bad_cells = []
 
@@ -102,14 +99,11 @@ def check_data_types(df: DataFrame, spec: PanelSpec = SHEET, *, sheet: str | Non
                   .agg(F.count(F.lit(1)).alias("n")))
     if sheet is None:
         return violations
-    pairs = df.groupBy(sheet, spec.state).agg(F.count(F.lit(1)).alias("_rows"))
-    mixed = (pairs.groupBy(sheet)
-             .agg(F.count(F.lit(1)).alias("_states"),
-                  F.array_join(F.sort_array(F.collect_list(spec.state)), ",").alias("value"),
-                  F.sum("_rows").alias("n"))
-             .where("_states > 2")
-             .select(F.lit(None).cast("string").alias("State"), F.lit("state").alias("check"),
-                     F.lit(spec.state).alias("column"), "value", "n"))
+    pairs = df.groupBy(sheet, spec.state).agg(F.count(F.lit(1)).alias("n"))
+    many = pairs.groupBy(sheet).agg(F.count(F.lit(1)).alias("_states")).where("_states > 2")
+    mixed = pairs.join(many, sheet).select(
+        F.col(spec.state).alias("State"), F.lit("state").alias("check"), F.lit(spec.state).alias("column"),
+        F.col(sheet).cast("string").alias("value"), "n")
     return violations.unionByName(mixed)
 
 
@@ -211,5 +205,5 @@ def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bo
     if only_this_week:
         latest = (rows.groupBy(F.col(spec.state).alias("State")).agg(F.max(spec.date).alias("Date"))
                   .select("Date", "State"))
-        report = report.join(bounded_broadcast(latest, STATES_AT_MOST), ["State", "Date"], "left_semi")
+        report = report.join(latest, ["State", "Date"], "left_semi")
     return report.select(*DECREASE_COLUMNS)

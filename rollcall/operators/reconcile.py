@@ -128,18 +128,16 @@ def match_both(fed: DataFrame, nat: DataFrame, f: Side = FEDERAL, n: Side = NATI
 def match_outer(fed: DataFrame, nat: DataFrame, f: Side = FEDERAL, n: Side = NATIONAL) -> DataFrame:
     """Full outer join on (week, provider); both sides keep their key columns.
 
-    Written as the matched rows plus what each side has alone.  Unlike one full outer join,
-    each part can be split at run time where a key is hot, and rows without a key, which are
-    many in the national export, never meet in one task.
+    Written as the national rows with their match, if any, plus what the federal side has alone.
+    Unlike one full outer join, both can be split at run time where a national key is hot, and
+    rows without a key, which are many in the national export, never meet in one task.
     """
     keyed = nat.where(F.col(n.week).isNotNull() & F.col(n.id).isNotNull())
     unkeyed = nat.where(F.col(n.week).isNull() | F.col(n.id).isNull())
     same = (F.col(f.week) == F.col(n.week)) & (F.col(f.id) == F.col(n.id))
     fed_only = fed.join(keyed.select(*n.key), same, "left_anti")
-    nat_only = keyed.join(fed.select(*f.key), same, "left_anti")
-    return (fed.join(keyed, same)
+    return (keyed.join(fed, same, "left").select(*[F.col(f"`{c}`") for c in (*fed.columns, *nat.columns)])
             .unionByName(fed_only, allowMissingColumns=True)
-            .unionByName(nat_only, allowMissingColumns=True)
             .unionByName(unkeyed, allowMissingColumns=True))
 
 

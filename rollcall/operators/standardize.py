@@ -55,13 +55,13 @@ def drop_exact_duplicates(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     return first.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def standardize(df: DataFrame, spec: PanelSpec = SHEET, *, registry: DataFrame | None = None,
-                registry_rows_at_most: int | None = None) -> DataFrame:
+def standardize(df: DataFrame, spec: PanelSpec = SHEET, *, registry: DataFrame | None = None
+                ) -> DataFrame:
     """The first step of every state chain.
 
     Without a ``registry`` the entity ids of the frame are kept as they are.
     """
     out = tidy_text_columns(integer_dates(drop_unkeyed_rows(df, spec), spec), spec)
     if registry is not None:
-        out = add_entity_id(out, registry, spec, registry_rows_at_most=registry_rows_at_most)
+        out = add_entity_id(out, registry, spec)
     return drop_exact_duplicates(clean_names(out, spec), spec)

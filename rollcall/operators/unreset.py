@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import is_dirty, like_column, replace_columns, to_long
-from rollcall.functions.spread import attach, bounded_broadcast
+from rollcall.functions.spread import attach
 from rollcall.spec import SHEET, PanelSpec
 
 # Running totals that were reset.
@@ -25,14 +25,13 @@ class Reset:
     columns: tuple[str, ...] = RESET_COLUMNS
 
 
-STATES_AT_MOST = 100_000
-
-
 def _entity_facts(df: DataFrame, spec: PanelSpec, reset: Reset) -> DataFrame:
     """Per entity: its new-year dates, its base totals and what the state's dates require of it."""
     date = F.col(spec.date)
     listed = F.when(date > reset.listed_after, date)
-    base = F.struct(*[to_long(df, c).alias(f"b{i}") for i, c in enumerate(reset.columns)])
+    # the base totals, and whether they are text that is no number
+    base = F.struct(*[to_long(df, c).alias(f"b{i}") for i, c in enumerate(reset.columns)],
+                    *[is_dirty(df, c).alias(f"t{i}") for i, c in enumerate(reset.columns)])
     # at most one array entry per calendar date
     entities = (df.where(F.col(spec.entity).isNotNull()).groupBy(*spec.entity_key).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(spec.order).alias("_first"),
@@ -40,7 +39,7 @@ def _entity_facts(df: DataFrame, spec: PanelSpec, reset: Reset) -> DataFrame:
         F.collect_set(listed).alias("_own")))
     state_dates = (df.where(date > reset.listed_after).groupBy(spec.state)
                    .agg(F.collect_set(date).alias("_listed")).select("_listed", spec.state))
-    joined = entities.join(bounded_broadcast(state_dates, STATES_AT_MOST), spec.state, "left")
+    joined = entities.join(state_dates, spec.state, "left")
     kind = df.schema[spec.date].dataType.simpleString()
     required = F.filter("_listed", lambda d: d >= F.array_min("_own"))
     return joined.select(
@@ -56,11 +55,12 @@ def undo_reset(df: DataFrame, spec: PanelSpec = SHEET, reset: Reset = Reset()) -
     Entities that, once they have reported after the reset, skip a date on which their state
     has rows are left alone, and so are entities without a row on the base date.  Others first
     get rows for the state dates they lack: copies of their first row without metrics.  A
-    missing value counts as zero, a missing base makes the result missing.  ``order`` must be
-    unique within an entity.  Rows without entity are dropped.
+    missing value counts as zero, a missing base makes the result missing, and text in the base
+    or in the cell leaves the cell alone.  State dates are those of all rows, also of rows
+    without entity, which are dropped.  ``order`` must be unique within an entity.
     """
     rows = df.where(F.col(spec.entity).isNotNull())
-    facts = _entity_facts(rows, spec, reset).where("_gapless and _base is not null")
+    facts = _entity_facts(df, spec, reset).where("_gapless and _base is not null")
     marked = attach(rows, facts.drop("_gapless"), spec.entity_key, count="_rows",
                     salt=F.col(spec.order))
     own = F.array(spec.date)
@@ -73,7 +73,8 @@ def undo_reset(df: DataFrame, spec: PanelSpec = SHEET, reset: Reset = Reset()) -
     for i, c in enumerate(reset.columns):
         value = F.when(is_own, to_long(rows, c))
         total = F.col("_base").getField(f"b{i}") + F.coalesce(value, F.lit(0))
-        changed[c] = (F.when(corrects & ~(is_own & is_dirty(rows, c)), like_column(rows, c, total))
+        text = F.coalesce(F.col("_base").getField(f"t{i}"), F.lit(False)) | (is_own & is_dirty(rows, c))
+        changed[c] = (F.when(corrects & ~text, like_column(rows, c, total))
                       .otherwise(changed.get(c, F.col(f"`{c}`"))))
     changed[spec.date] = F.col("_at")
     return replace_columns(spread, changed).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from rollcall.functions.cells import tidy_text
 from rollcall.functions.lineage import settle
@@ -36,7 +38,7 @@ NJ_SINCE = 20201224
 
 
 def special_steps(chain: str, spec: PanelSpec = SHEET, *, registry: DataFrame | None = None,
-                  registry_rows_at_most: int | None = None, grid: Sequence[int] | None = None,
+                  grid: Sequence[int] | None = None,
                   since: int = NJ_SINCE, carry_from: int = carry.CARRY_FROM,
                   reset: unreset.Reset = unreset.Reset()) -> list[tuple[str, Step]]:
     """Named steps of a chain between standardizing and finishing."""
@@ -50,8 +52,7 @@ def special_steps(chain: str, spec: PanelSpec = SHEET, *, registry: DataFrame |
     if chain == "closing":
         return [close]
     if chain == "looked_up_twice":
-        again = [] if registry is None else [
-            step(entity.add_entity_id, registry=registry, registry_rows_at_most=registry_rows_at_most)]
+        again = [] if registry is None else [step(entity.add_entity_id, registry=registry)]
         return [*again, close]
     if chain == "collapsing":
         return [collapse_add]
@@ -85,7 +86,7 @@ REUSING = {"add_entity_id", "close_missing", "collapse_adding", "collapse_withou
 
 
 def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
-              registry: DataFrame | None = None, registry_rows_at_most: int | None = None,
+              registry: DataFrame | None = None,
               grid: Sequence[int] | None = None, ordered: bool = False, standardized: bool = False,
               settling: bool = True, counts: dict[str, Observation] | None = None,
               **options) -> DataFrame:
@@ -96,12 +97,10 @@ def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
     ``counts`` receives an observation with the rows after each step.
     """
     first = [] if standardized else [("standardize", partial(
-        standardize.standardize, spec=spec, registry=registry,
-        registry_rows_at_most=registry_rows_at_most))]
+        standardize.standardize, spec=spec, registry=registry))]
     last = ("finish", partial(ordering.finish, spec=spec, grid=grid, ordered=ordered,
                               close_unknown_status=chain == "wyoming"))
-    steps = [*first, *special_steps(chain, spec, registry=registry, grid=grid,
-                                    registry_rows_at_most=registry_rows_at_most, **options), last]
+    steps = [*first, *special_steps(chain, spec, registry=registry, grid=grid, **options), last]
     out = df
     for i, (name, transform) in enumerate(steps):
         if settling and i > 0 and name in REUSING:
@@ -133,8 +132,13 @@ def process_states(df: DataFrame, states: Iterable[str] | None = None, spec: Pan
     tagged = df.withColumn("_chain", chain_of).where(F.col("_chain").isNotNull())
     if settling:
         tagged = settle(tagged, by="_chain")
-    parts = [run_chain(tagged.where(F.col("_chain") == chain).drop("_chain"), chain, spec,
-                       settling=settling, **options) for chain in chosen]
+    def part_of(chain: str) -> DataFrame:
+        return run_chain(tagged.where(F.col("_chain") == chain).drop("_chain"), chain, spec,
+                         settling=settling, **options)
+
+    # chains do not wait for each other's written steps
+    with ThreadPoolExecutor(len(chosen)) as pool:
+        parts = list(pool.map(inheritable_thread_target(tagged.sparkSession)(part_of), chosen))
     panel = parts[0]
     for part in parts[1:]:
         panel = panel.unionByName(part, allowMissingColumns=True)

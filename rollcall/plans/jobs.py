@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.functions.spread import fits_broadcast
 from rollcall.operators import quality, standardize
 from rollcall.plans.chains import process_states
 from rollcall.sources import sheets, sinks
@@ -17,44 +16,44 @@ from rollcall.spec import SHEET, PanelSpec
 
 log = logging.getLogger(__name__)
 
-REGISTRY_ROWS_AT_MOST = 500_000
-
 
 def process(spark: SparkSession, manifest_path: str, states: Iterable[str] | None = None, *,
             registry_path: str | None = None, out: str | None = None, overwrite_final: bool = False,
-            format: str = "csv", spec: PanelSpec = SHEET, **options) -> DataFrame:
+            format: str = "csv", spec: PanelSpec = SHEET, multi_line: bool = True, **options) -> DataFrame:
     """Read the sheets of the states, run their chains, write the panel.
 
     ``out`` receives one directory per state; ``overwrite_final`` writes each state below the
-    manifest's Final path, where states without rows keep what is there.
+    manifest's Final path.  In both, states without rows keep what is there.  ``multi_line`` goes
+    to the reader, further options go to the chains.
     """
     manifest = sheets.read_manifest(spark, manifest_path)
-    raw = sheets.read_states(spark, manifest, states, spec=spec)
-    registry, at_most = None, None
+    raw = sheets.read_states(spark, manifest, states, spec=spec, multi_line=multi_line)
+    registry = None
     if registry_path is not None:
         registry = sheets.read_registry(spark, registry_path, spec=spec)
-        if fits_broadcast(registry, REGISTRY_ROWS_AT_MOST):
-            at_most = REGISTRY_ROWS_AT_MOST
-    panel, skipped = process_states(raw, states, spec, registry=registry,
-                                    registry_rows_at_most=at_most, **options)
+    panel, skipped = process_states(raw, states, spec, registry=registry, **options)
     if skipped:
         log.error("no chain for states: %s", ", ".join(skipped))
     if out or overwrite_final:
-        panel = settle(panel)  # written more than once
+        panel = settle(panel, by=spec.state).select(*panel.columns)  # each target reads its states only
     if out:
-        sinks.write_processed(panel, out, spec, format=format, keep_absent_states=False)
+        sinks.write_processed(panel, out, spec, format=format)
     if overwrite_final:
         sinks.publish(panel, sheets.manifest_paths(manifest, "Final", states), spec, format=format)
     return panel
 
 
-def findings(panel: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bool = False) -> dict[str, DataFrame]:
-    """All checks of a panel: types on the rows as they are, the others on standardized rows."""
-    rows = settle(standardize.standardize(panel, spec))
+def findings(panel: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bool = False,
+             sheet: str | None = None) -> dict[str, DataFrame]:
+    """All checks of a panel: types on the rows as they are, the others on standardized rows.
+
+    ``sheet`` names the column that tells input sheets apart, to find sheets of several states.
+    """
+    rows = settle(standardize.standardize(panel.drop(*([sheet] if sheet else [])), spec))
     errors = settle(quality.quality_errors(rows, spec, standardized=True))
     same_data = F.col("error") == quality.SAME_DATA
     return {
-        "types": quality.check_data_types(panel, spec),
+        "types": quality.check_data_types(panel, spec, sheet=sheet),
         "dupes": errors.where(~same_data),
         "date_data_dupes": errors.where(same_data),
         "decreased_cumulative": quality.falling_totals(rows, spec, only_this_week=only_this_week),
@@ -62,27 +61,33 @@ def findings(panel: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bool
 
 
 def check(panel: DataFrame, out: str | None = None, spec: PanelSpec = SHEET, *, format: str = "csv",
-          only_this_week: bool = False) -> dict[str, DataFrame]:
-    """Check a panel and write one report per kind of finding, one directory per state."""
-    found = findings(panel, spec, only_this_week=only_this_week)
+          only_this_week: bool = False, sheet: str | None = None) -> dict[str, DataFrame]:
+    """Check a panel and write one report per kind of finding, one directory per state.
+
+    Reports of states that are not in the panel stay; a state without findings loses its old one.
+    """
+    found = findings(panel, spec, only_this_week=only_this_week, sheet=sheet)
     if out:
         for name in ("dupes", "date_data_dupes", "decreased_cumulative"):
             report = found[name].drop(spec.order)
             state = "State" if name == "decreased_cumulative" else spec.state
-            sinks.write_report(report, f"{out}/{name}", state, format=format)
+            sinks.write_report(report, f"{out}/{name}", state, format=format, checked=panel.select(
+                F.upper(F.trim(F.col(f"`{spec.state}`"))).alias("state")))
     return found
 
 
 def check_states(spark: SparkSession, manifest_path: str | None = None, states: Iterable[str] | None = None, *,
                  processed: str | None = None, out: str | None = None, format: str = "csv",
-                 spec: PanelSpec = SHEET, only_this_week: bool = False) -> dict[str, DataFrame]:
+                 spec: PanelSpec = SHEET, only_this_week: bool = False,
+                 multi_line: bool = True) -> dict[str, DataFrame]:
     """Check published panels, or with ``processed`` the output of an own run."""
     if processed is not None:
         paths = [processed]
     else:
         manifest = sheets.read_manifest(spark, manifest_path)
         paths = sorted({p for p in sheets.manifest_paths(manifest, "Final", states).values() if p})
-    panel = sheets.read_processed(spark, paths, format=format)
+    panel = sheets.read_processed(spark, paths, format=format, multi_line=multi_line, states=states,
+                                  source="_sheet")
     if states is not None:
         panel = panel.where(F.col(f"`{spec.state}`").isin(*states))
-    return check(settle(panel), out, spec, only_this_week=only_this_week)
+    return check(settle(panel), out, spec, only_this_week=only_this_week, sheet="_sheet")

@@ -189,29 +189,54 @@ slots AS (
   FROM dirty GROUP BY State, ctp_id, Date)"""
 
 
-def _no_add(listed: bool) -> str:
+def no_add(listed: bool) -> str:
     asis = "n <> 2" + (" OR kind = 'NH'" if listed else "") + " OR (kinds > 1 AND n_open <> 1)"
     extra = ", State_Facility_Type" if listed else ""
-    return sql(f"""
+    return f"""
 SELECT {REPORT}{extra} FROM (
   SELECT d.* EXCLUDE (Cume_Res_Pos, Cume_Staff_Pos), ({asis}) AS as_is, kinds, first_ord, kept,
     CASE WHEN ({asis}) OR kinds = 1 THEN Cume_Res_Pos ELSE other_res END AS Cume_Res_Pos,
     CASE WHEN ({asis}) OR kinds = 1 THEN Cume_Staff_Pos ELSE other_staff END AS Cume_Staff_Pos
   FROM dirty d JOIN (SELECT * EXCLUDE (Facility) FROM slots) s
     ON d.State = s.State AND d.ctp_id = s.ctp_id AND d.Date = s.Date)
-WHERE as_is OR (kinds = 1 AND _ord = first_ord) OR (kinds > 1 AND _ord = kept)""", DIRTY)
+WHERE as_is OR (kinds = 1 AND _ord = first_ord) OR (kinds > 1 AND _ord = kept)"""
+
+
+def over(ctes: str, src: str) -> str:
+    """The same noise on another source than the panel."""
+    return ctes.replace("FROM panel)", f"FROM {src})")
 
 
 NEW_YEAR = """
-ny AS (SELECT * FROM one WHERE Date BETWEEN 19991101 AND 20000217),
-listed AS (SELECT DISTINCT State, Date AS d FROM ny WHERE Date > 20000101),
-began AS (SELECT State, ctp_id, min(Date) FILTER (Date > 20000101) AS first_new,
-                 count(*) FILTER (Date > 20000101) AS n_new FROM ny GROUP BY ALL),
+ny AS (
+  SELECT * EXCLUDE (Cume_Staff_Pos), (ctp_id + week) % 4 = 0 AS junk,
+         CASE WHEN (ctp_id + week) % 4 = 0 THEN '<11' ELSE CAST(Cume_Staff_Pos AS VARCHAR) END AS Cume_Staff_Pos
+  FROM one),
+listed AS (SELECT DISTINCT State, Date AS d FROM ny WHERE Date > 20010921),
+began AS (SELECT State, ctp_id, min(Date) FILTER (Date > 20010921) AS first_new,
+                 count(*) FILTER (Date > 20010921) AS n_new FROM ny GROUP BY ALL),
 ents AS (
   SELECT b.State, b.ctp_id, n_new = 0 OR n_new = (
            SELECT count(*) FROM listed l WHERE l.State = b.State AND l.d >= b.first_new) AS gapless,
-         base.Cume_Res_Pos AS base_res, base.Cume_Staff_Pos AS base_staff, base.ctp_id IS NOT NULL AS has_base
-  FROM began b LEFT JOIN ny base ON base.ctp_id = b.ctp_id AND base.Date = 19991230)"""
+         base.Cume_Res_Pos AS base_res, TRY_CAST(base.Cume_Staff_Pos AS BIGINT) AS base_staff,
+         base.junk AS base_junk, base.ctp_id IS NOT NULL AS has_base
+  FROM began b LEFT JOIN ny base ON base.ctp_id = b.ctp_id AND base.Date = 20010920)"""
+
+UNDONE = """
+SELECT n.State, n.Facility, n.ctp_id, n.Date, n.Outbrk_Status,
+       CASE WHEN e.gapless AND e.has_base AND n.Date >= 20010921 THEN e.base_res + n.Cume_Res_Pos
+            ELSE n.Cume_Res_Pos END AS Cume_Res_Pos,
+       CASE WHEN e.gapless AND e.has_base AND n.Date >= 20010921 AND NOT n.junk AND NOT e.base_junk
+            THEN CAST(e.base_staff + CAST(n.Cume_Staff_Pos AS BIGINT) AS VARCHAR)
+            ELSE n.Cume_Staff_Pos END AS Cume_Staff_Pos, n.Outbrk_Res_Pos, n.Outbrk_Staff_Pos
+FROM ny n JOIN ents e USING (State, ctp_id)
+UNION ALL
+SELECT f.State, f.Facility, f.ctp_id, l.d, f.Outbrk_Status, e.base_res, CAST(e.base_staff AS VARCHAR), NULL, NULL
+FROM ents e JOIN (SELECT * FROM ny QUALIFY row_number() OVER (PARTITION BY ctp_id ORDER BY _ord) = 1) f
+  ON f.ctp_id = e.ctp_id
+JOIN listed l ON l.State = e.State
+WHERE e.gapless AND e.has_base
+  AND NOT EXISTS (SELECT 1 FROM ny x WHERE x.ctp_id = e.ctp_id AND x.Date = l.d)"""
 
 TYPED = """
 typed AS (
@@ -287,8 +312,8 @@ either AS (
 last_week AS (SELECT max(ctp_cms_week) AS latest FROM both_sides)"""
 
 
-def recon(body: str) -> str:
-    return sql(body, RECON)
+def recon(body: str, *ctes: str) -> str:
+    return sql(body, RECON, *ctes)
 
 
 def part(src: str, out: str, state: str) -> str:
@@ -298,26 +323,14 @@ def part(src: str, out: str, state: str) -> str:
 READY = """
 ready AS (SELECT * REPLACE (upper(Facility) AS Facility) FROM panel WHERE (nation_key + week) % 5 <> 0)"""
 
-SQL: dict[str, str] = {
-    "std_text": sql(TIDY + " FROM labelled", LABELLED),
-    "std_dedup": sql("SELECT DISTINCT * FROM (" + TIDY + """ FROM (
-        SELECT * FROM labelled UNION ALL
-        SELECT * REPLACE (upper(Facility) AS Facility) FROM labelled WHERE ctp_id % 3 = 0))""", LABELLED),
-    "entity_lookup": sql("""
-SELECT a.*, 'S' || e.key AS ctp_id FROM asked a JOIN entries e USING (Facility, County, State)""", REGISTRY),
-    "entity_unmatched": sql("""
-SELECT Facility, '' AS City, County, State, 'SUPPLIER' AS CTP_Facility_Type, count(*) AS "rows"
-FROM asked a WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.key % 7 <> 0 AND e.Facility = a.Facility
-                               AND e.County = a.County AND e.State = a.State)
-GROUP BY ALL""", REGISTRY),
-    "fill_missing_dates": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"), fill("t", "filled")),
-    "close_missing": sql(f"SELECT {REPORT}, last_recorded FROM closed", close("panel", "closed")),
-    "locf_markers": sql("""
+LOCF = """
 SELECT n.State, n.Facility, n.ctp_id, n.Date, n.Outbrk_Status,
        CASE WHEN n.Cume_Res_Pos = 'no data' THEN nullif(p.res, 'none') ELSE n.Cume_Res_Pos END AS Cume_Res_Pos,
        CASE WHEN n.Cume_Staff_Pos = 'not reported' THEN nullif(p.staff, 'none')
             ELSE n.Cume_Staff_Pos END AS Cume_Staff_Pos, n.Outbrk_Res_Pos, n.Outbrk_Staff_Pos
-FROM noisy n JOIN prior p ON p.ctp_id = n.ctp_id AND p.Date = n.Date""", """
+FROM noisy n JOIN prior p ON p.ctp_id = n.ctp_id AND p.Date = n.Date"""
+
+MARKED = """
 noisy AS (
   SELECT * REPLACE (
     CASE WHEN (ctp_id + week) % 11 = 0 THEN 'no data' ELSE CAST(Cume_Res_Pos AS VARCHAR) END AS Cume_Res_Pos,
@@ -329,7 +342,32 @@ prior AS (
          last_value(CASE WHEN Cume_Res_Pos <> 'no data' THEN Cume_Res_Pos END IGNORE NULLS) OVER w AS res,
          last_value(CASE WHEN Cume_Staff_Pos IS NULL THEN 'none'
                          WHEN Cume_Staff_Pos <> 'not reported' THEN Cume_Staff_Pos END IGNORE NULLS) OVER w AS staff
-  FROM firsts WINDOW w AS (PARTITION BY ctp_id ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
+  FROM firsts WINDOW w AS (PARTITION BY ctp_id ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+GAPS = """
+SELECT * FROM (
+  SELECT State, Facility, ctp_id, Date, Outbrk_Status,
+         CASE WHEN (ctp_id + week) % 3 <> 0 THEN Cume_Res_Pos END AS Cume_Res_Pos,
+         CASE WHEN (ctp_id + week) % 6 <> 0 THEN Cume_Staff_Pos END AS Cume_Staff_Pos,
+         CASE WHEN (ctp_id + week) % 6 <> 0 THEN Outbrk_Res_Pos END AS Outbrk_Res_Pos,
+         CASE WHEN (ctp_id + week) % 9 <> 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos FROM panel)
+WHERE coalesce(Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos) IS NOT NULL"""
+
+SQL: dict[str, str] = {
+    "std_text": sql(TIDY + " FROM labelled", LABELLED),
+    "std_dedup": sql("SELECT DISTINCT * FROM (" + TIDY + """ FROM (
+        SELECT * FROM labelled UNION ALL
+        SELECT * REPLACE (upper(Facility) AS Facility) FROM labelled WHERE ctp_id % 3 = 0))""", LABELLED),
+    "entity_lookup": sql("""
+SELECT a.*, 'S' || e.key AS ctp_id FROM asked a JOIN entries e USING (Facility, County, State)""", REGISTRY),
+    "entity_unmatched": sql("""
+SELECT Facility, '' AS City, County, State, 'SUPPLIER' AS CTP_Facility_Type, count(*) AS "rows"
+FROM asked a WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.key % 7 <> 0 AND e.Facility = a.Facility
+                               AND e.County = a.County AND e.State = a.State)
+GROUP BY ALL""", REGISTRY),
+    "fill_missing_dates": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"), fill("t", "filled")),
+    "close_missing": sql(f"SELECT {REPORT}, last_recorded FROM closed", close("panel", "closed")),
+    "locf_markers": sql(LOCF, MARKED),
     "collapse_add": sql(f"""
 SELECT {REPORT} FROM (
   SELECT d.* EXCLUDE (Cume_Res_Pos, Cume_Staff_Pos), junk OR open_kinds > 1 AS as_is, kept,
@@ -341,40 +379,28 @@ SELECT {REPORT} FROM (
     ON d.State = s.State AND d.ctp_id = s.ctp_id AND d.Date = s.Date)
 WHERE as_is OR _ord = kept""", DIRTY),
     "collapse_diagnostics": sql("""
-SELECT State, ctp_id, Date, n_open AS open_rows, open_kinds > 1 AS rows_differ, Facility
-FROM slots WHERE n_open > 1""", DIRTY),
-    "collapse_no_add": _no_add(False),
-    "collapse_no_add_listed": _no_add(True),
+SELECT State, ctp_id, Date, n_open AS open_rows, open_kinds > 1 OR n_open > 1 AS rows_differ, "column", value, count(*) AS "rows"
+FROM (SELECT d.State, d.ctp_id, d.Date, n_open, open_kinds, 'Facility' AS "column",
+             d.Facility || ' ' || (d._ord % 4) AS value
+      FROM dirty d JOIN slots s ON d.State = s.State AND d.ctp_id = s.ctp_id AND d.Date = s.Date
+      WHERE Outbrk_Status = 'OPEN' AND n_open > 1
+      UNION ALL
+      SELECT d.State, d.ctp_id, d.Date, n_open, open_kinds, 'State_Facility_Type', State_Facility_Type
+      FROM dirty d JOIN slots s ON d.State = s.State AND d.ctp_id = s.ctp_id AND d.Date = s.Date
+      WHERE Outbrk_Status = 'OPEN' AND n_open > 1)
+GROUP BY ALL""", DIRTY),
+    "collapse_no_add": sql(no_add(False), DIRTY),
+    "collapse_no_add_listed": sql(no_add(True), DIRTY),
     "carry_closed": sql(f"SELECT {REPORT} FROM carried", carry("one", "carried", 19970101)),
     "carry_closed_many_rows": sql(f"SELECT {REPORT} FROM carried", carry("panel", "carried", 19970101)),
     "sum_outbreaks": sql(f"SELECT {REPORT} FROM summed", thin("one", "t"), fill("t", "filled"),
                          unknown_closed("filled", "known"), past("known", "summed")),
     "sum_outbreaks_many_rows": sql(f"SELECT {REPORT} FROM summed", past("panel", "summed")),
-    "undo_reset": sql("""
-SELECT n.State, n.Facility, n.ctp_id, n.Date, n.Outbrk_Status,
-       CASE WHEN e.gapless AND e.has_base AND n.Date >= 20000000 THEN e.base_res + n.Cume_Res_Pos
-            ELSE n.Cume_Res_Pos END AS Cume_Res_Pos,
-       CASE WHEN e.gapless AND e.has_base AND n.Date >= 20000000 THEN e.base_staff + n.Cume_Staff_Pos
-            ELSE n.Cume_Staff_Pos END AS Cume_Staff_Pos, n.Outbrk_Res_Pos, n.Outbrk_Staff_Pos
-FROM ny n JOIN ents e USING (State, ctp_id)
-UNION ALL
-SELECT f.State, f.Facility, f.ctp_id, l.d, f.Outbrk_Status, e.base_res, e.base_staff, NULL, NULL
-FROM ents e JOIN (SELECT * FROM ny QUALIFY row_number() OVER (PARTITION BY ctp_id ORDER BY _ord) = 1) f
-  ON f.ctp_id = e.ctp_id
-JOIN listed l ON l.State = e.State
-WHERE e.gapless AND e.has_base
-  AND NOT EXISTS (SELECT 1 FROM ny x WHERE x.ctp_id = e.ctp_id AND x.Date = l.d)""", NEW_YEAR),
+    "undo_reset": sql(UNDONE, NEW_YEAR),
     "early_leavers": sql("""
 SELECT DISTINCT n.State, n.Facility FROM ny n JOIN ents e USING (State, ctp_id)
 WHERE e.gapless AND NOT e.has_base""", NEW_YEAR),
-    "drop_all_null": sql("""
-SELECT * FROM (
-  SELECT State, Facility, ctp_id, Date, Outbrk_Status,
-         CASE WHEN (ctp_id + week) % 3 <> 0 THEN Cume_Res_Pos END AS Cume_Res_Pos,
-         CASE WHEN (ctp_id + week) % 6 <> 0 THEN Cume_Staff_Pos END AS Cume_Staff_Pos,
-         CASE WHEN (ctp_id + week) % 6 <> 0 THEN Outbrk_Res_Pos END AS Outbrk_Res_Pos,
-         CASE WHEN (ctp_id + week) % 9 <> 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos FROM panel)
-WHERE coalesce(Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos) IS NOT NULL"""),
+    "drop_all_null": sql(GAPS),
     "fl_rules": sql(f"""
 SELECT State, Facility, ctp_id, Date, status AS Outbrk_Status, State_Facility_Type,
        CASE WHEN State_Facility_Type = 'NH' THEN CMS_ID END AS CMS_ID, County,
@@ -440,10 +466,10 @@ SELECT State, check_name AS "check", column_name AS "column", value, count(*) AS
             FROM suspect WHERE (ctp_id + week) % 43 = 0 OR (ctp_id + week) % 47 = 0)
 GROUP BY ALL
 UNION ALL
-SELECT NULL, 'state', 'State', states, n FROM (
-  SELECT n_regionkey, string_agg(State, ',' ORDER BY State) AS states, CAST(sum(rows_) AS BIGINT) AS n, count(*) AS k
-  FROM (SELECT n_regionkey, State, count(*) AS rows_ FROM suspect JOIN nation ON n_name = State GROUP BY ALL)
-  GROUP BY n_regionkey) WHERE k > 2""", suspect("panel")),
+SELECT State, 'state', 'State', 'sheet ' || n_regionkey, n FROM (
+  SELECT *, count(*) OVER (PARTITION BY n_regionkey) AS k FROM (
+    SELECT n_regionkey, State, count(*) AS n FROM suspect JOIN nation ON n_name = State GROUP BY n_regionkey, State))
+WHERE k > 2""", suspect("panel")),
     "dq_open_dupes": sql(f"""
 SELECT DISTINCT {", ".join("d." + c.strip() for c in REPORT.split(","))},
        'Multiple open outbreak rows with different data' AS error
@@ -460,7 +486,7 @@ coarse AS (
     CASE WHEN week % 2 = 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos) FROM panel)"""),
     "dq_decrease": _decrease("one"),
     "dq_decrease_many_rows": _decrease("panel"),
-    "dq_decrease_this_week": _decrease("(SELECT * FROM panel WHERE Date <= 20010301)", "AND Date = latest"),
+    "dq_decrease_this_week": _decrease("panel", "AND Date = latest"),
     "recon_federal": recon("SELECT * FROM fed"),
     "recon_national": recon("SELECT * FROM nat"),
     "recon_inner": recon("SELECT * FROM both_sides"),
@@ -480,6 +506,19 @@ SELECT ctp_state, side AS "end", CAST("rank" AS INT) AS "rank", cms_week, ctp_fa
   SELECT *, 'highest', row_number() OVER (PARTITION BY ctp_state
     ORDER BY cms_ctp_cases_diff DESC, cms_week, cms_federal_provider_number)
   FROM both_sides WHERE cms_ctp_cases_diff_abs > 15) WHERE "rank" <= 5"""),
+    "recon_exports": recon("SELECT * FROM either"),
+    "recon_divergent_report": recon("""
+SELECT ctp_state, "end", "rank", cms_week, ctp_facility, cms_ctp_cases_diff FROM (
+  SELECT *, 'lowest' AS "end", CAST(row_number() OVER (PARTITION BY ctp_state
+            ORDER BY cms_ctp_cases_diff, cms_week, cms_federal_provider_number) AS INT) AS "rank" FROM picked
+  UNION ALL
+  SELECT *, 'highest', CAST(row_number() OVER (PARTITION BY ctp_state
+            ORDER BY cms_ctp_cases_diff DESC, cms_week, cms_federal_provider_number) AS INT) FROM picked)
+WHERE "rank" <= 5""", """
+picked AS (
+  SELECT * FROM (SELECT b.* FROM both_sides b, last_week WHERE ctp_cms_week = latest
+                 QUALIFY count(*) OVER (PARTITION BY ctp_cms_id) = 1)
+  WHERE cms_ctp_cases_diff_abs > 15)"""),
     "recon_divergent_week": recon("""
 SELECT ctp_state, ctp_facility, cms_week, cms_ctp_cases_diff, cms_ctp_cases_diff_abs
 FROM both_sides, last_week WHERE ctp_cms_week = latest AND cms_ctp_cases_diff_abs > 15"""),
@@ -516,6 +555,21 @@ WHERE ctp_facility = 'Supplier#000000003' AND ctp_cms_week IS NOT NULL"""),
     "state_chain_wy": sql(f"SELECT {REPORT}, last_recorded FROM done", READY, collapse("ready", "merged"),
                           close("merged", "closed"), fill("closed", "filled"), unknown_closed("filled", "known"),
                           past("known", "summed"), fill("summed", "again"), unknown_closed("again", "done")),
+    "state_chain_merging": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"), over(DIRTY, "t"),
+                               f"merged AS ({no_add(False)})", fill("merged", "filled")),
+    "state_chain_listed": sql(f"SELECT {REPORT}, State_Facility_Type FROM filled", thin("panel", "t"), over(DIRTY, "t"),
+                              f"merged AS ({no_add(True)})", fill("merged", "filled")),
+    "state_chain_marked": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"), over(MARKED, "t"),
+                              f"repaired AS ({LOCF})", fill("repaired", "filled")),
+    "state_chain_dropping": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"),
+                                f"kept AS ({over(GAPS, 't')})", fill("kept", "filled")),
+    "state_chain_kentucky": sql(f"""
+SELECT {REPORT}, CASE ctp_id % 6 WHEN 0 THEN 'JEFFERSON' WHEN 1 THEN 'BULLITT' WHEN 2 THEN 'BULLITTT'
+       WHEN 3 THEN 'SHELBY' WHEN 4 THEN 'WOODFORD' ELSE 'BOONE' END AS County FROM filled""", NEW_YEAR,
+                                f"undone AS ({UNDONE})", fill("undone", "filled")),
+    "state_chain_looked_up": sql(f"SELECT {REPORT}, last_recorded FROM filled", READY,
+                                 "known AS (SELECT * REPLACE ('S' || ctp_id AS ctp_id) FROM ready)",
+                                 close("known", "closed"), fill("closed", "filled")),
     "finish_panel": sql(f"SELECT {REPORT} FROM known", """
 blanked AS (
   SELECT * REPLACE (CASE WHEN (ctp_id + week) % 6 <> 0 THEN Outbrk_Status END AS Outbrk_Status)
@@ -537,7 +591,11 @@ coded AS (SELECT * REPLACE (['CT', 'AR', 'CO', 'NJ', 'WY'][nation_key % 5 + 1] A
         fill("wy_closed", "wy_filled"), unknown_closed("wy_filled", "wy_known"), past("wy_known", "wy_summed"),
         fill("wy_summed", "wy_again"), unknown_closed("wy_again", "wy_done")),
     "check_findings": sql("""
-SELECT State, 'types' AS kind, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
+SELECT State, 'types' AS kind, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT State, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
+  UNION ALL SELECT State, n FROM (
+    SELECT State, count(*) AS n, count(*) OVER (PARTITION BY any_value(nation_key) % 5) AS k FROM dirty GROUP BY State)
+  WHERE k > 2) GROUP BY State
 UNION ALL
 SELECT State, 'dupes', count(*) FROM (
   SELECT State, count(*) FILTER (Outbrk_Status = 'OPEN') OVER (PARTITION BY ctp_id, Date) AS n, Outbrk_Status FROM d)

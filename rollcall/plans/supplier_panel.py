@@ -182,14 +182,17 @@ def close_missing(spark, sf_dir):
 
 
 def locf_markers(spark, sf_dir):
-    p = panel(spark, sf_dir)
-    noisy = replace_columns(p, {
+    return markers.replace_no_data(_marked(panel(spark, sf_dir)), SPEC).select(*REPORT)
+
+
+def _marked(p: DataFrame) -> DataFrame:
+    """Totals as text, some of them markers."""
+    return replace_columns(p, {
         "Cume_Res_Pos": F.when(every(11, "ctp_id", "week"), "NO DATA")
         .otherwise(F.col("Cume_Res_Pos").cast("string")),
         "Cume_Staff_Pos": F.when(every(7, "ctp_id", "week"), "Not Reported")
         .when(every(9, "ctp_id", "week"), F.lit(None))
         .otherwise(F.col("Cume_Staff_Pos").cast("string"))})
-    return markers.replace_no_data(noisy, SPEC).select(*REPORT)
 
 
 def collapse_add(spark, sf_dir):
@@ -197,9 +200,11 @@ def collapse_add(spark, sf_dir):
 
 
 def collapse_diagnostics(spark, sf_dir):
-    return (collapse.collapse_diagnostics(dirty(panel(spark, sf_dir)), SPEC)
-            .select("State", "ctp_id", "Date", "open_rows", "rows_differ",
-                    F.col("Facility")[0].alias("Facility")))
+    """Doubles and rivals carry names of their own, so a slot has up to three labels."""
+    rows = dirty(panel(spark, sf_dir))
+    named = replace_columns(rows, {"Facility": F.concat("Facility", F.lit(" "), F.col("_ord") % 4)})
+    return collapse.collapse_diagnostics(named, SPEC).select(
+        "State", "ctp_id", "Date", "open_rows", "rows_differ", "column", "value", "rows")
 
 
 def collapse_no_add(spark, sf_dir):
@@ -232,27 +237,32 @@ def sum_outbreaks_many_rows(spark, sf_dir):
     return carry.add_past_events(panel(spark, sf_dir), SPEC).select(*REPORT)
 
 
-RESET = unreset.Reset(19991230, 20000101, 20000000, ("Cume_Res_Pos", "Cume_Staff_Pos"))
+# totals start anew six weeks before the panel ends
+RESET = unreset.Reset(20010920, 20010921, 20010921, ("Cume_Res_Pos", "Cume_Staff_Pos"))
 
 
-def _new_year(spark, sf_dir) -> DataFrame:
-    rows = one_row_per_date(panel(spark, sf_dir)).where(F.col("Date").between(19991101, 20000217))
-    return settle(rows)  # a small part of the panel, read several times
+def _reset_rows(spark, sf_dir) -> DataFrame:
+    """The whole panel, some totals suppressed, also on the base date."""
+    rows = replace_columns(one_row_per_date(panel(spark, sf_dir)), {
+        "Cume_Staff_Pos": F.when(every(4, "ctp_id", "week"), "<11").otherwise(F.col("Cume_Staff_Pos").cast("string"))})
+    return settle(rows)  # read several times
 
 
 def undo_reset(spark, sf_dir):
-    return unreset.undo_reset(_new_year(spark, sf_dir), SPEC, RESET).select(*REPORT)
+    return unreset.undo_reset(_reset_rows(spark, sf_dir), SPEC, RESET).select(*REPORT)
 
 
 def early_leavers(spark, sf_dir):
-    return unreset.early_leavers(_new_year(spark, sf_dir), SPEC, RESET)
+    return unreset.early_leavers(_reset_rows(spark, sf_dir), SPEC, RESET)
 
 
 def drop_all_null(spark, sf_dir):
-    p = panel(spark, sf_dir)
-    gaps = replace_columns(p, {c: F.when(~every(k, "ctp_id", "week"), F.col(c))
+    return statewise.drop_empty_metrics(_with_gaps(panel(spark, sf_dir)), SPEC).select(*REPORT)
+
+
+def _with_gaps(p: DataFrame) -> DataFrame:
+    return replace_columns(p, {c: F.when(~every(k, "ctp_id", "week"), F.col(c))
                                for c, k in zip(METRICS, (3, 6, 6, 9))})
-    return statewise.drop_empty_metrics(gaps, SPEC).select(*REPORT)
 
 
 FL_CONTENT = ("Outbrk_Status", "Cume_Staff_Pos", "Outbrk_Res_Pos", "Outbrk_Staff_Pos")
@@ -295,11 +305,14 @@ def fl_rules(spark, sf_dir):
     return out.select(*PEERS, "CTP_Facility_Type", "Regulate", *METRICS)
 
 
-def ky_county(spark, sf_dir):
+def _kentucky_county() -> Column:
     names = F.array(*[F.lit(n) for n in ("JEFFERSON COUNTY", "BULLIT", "BULLITT COUNTY", "SHLEBY",
                                          "WOODFOORD COUNTY", "BOONE")])
-    p = panel(spark, sf_dir).withColumn(
-        "County", F.element_at(names, (F.col("ctp_id") % 6 + 1).cast("int")))
+    return F.element_at(names, (F.col("ctp_id") % 6 + 1).cast("int"))
+
+
+def ky_county(spark, sf_dir):
+    p = panel(spark, sf_dir).withColumn("County", _kentucky_county())
     return statewise.clean_counties_ky(p, SPEC).select(*REPORT, "County")
 
 
@@ -356,8 +369,7 @@ def dq_decrease_many_rows(spark, sf_dir):
 
 
 def dq_decrease_this_week(spark, sf_dir):
-    rows = _suspect(panel(spark, sf_dir)).where(F.col("Date") <= 20010301)
-    return quality.falling_totals(rows, SPEC, only_this_week=True)
+    return quality.falling_totals(_suspect(panel(spark, sf_dir)), SPEC, only_this_week=True)
 
 
 # --- reconciliation: OPEN rows play the federal table, CLOSED rows the national export
@@ -392,7 +404,11 @@ def federal(spark, sf_dir) -> DataFrame:
 
 
 def national(spark, sf_dir) -> DataFrame:
-    """CLOSED rows, some without a federal id."""
+    return reconcile.prepare_national(national_raw(spark, sf_dir), totals=NAT_TOTALS)
+
+
+def national_raw(spark, sf_dir) -> DataFrame:
+    """CLOSED rows, some without a federal id, some twice."""
     p = panel(spark, sf_dir).where(F.col("Outbrk_Status") == "CLOSED")
     rows = p.select(
         iso("Date").alias("ctp_cms_week"),
@@ -404,8 +420,7 @@ def national(spark, sf_dir) -> DataFrame:
         F.when(every(5, "ctp_id", "week"), F.col("Outbrk_Res_Pos")).alias("ctp_probable"),
         F.when(~every(11, "ctp_id", "week"), F.col("Cume_Staff_Pos")).alias("ctp_deaths"))
     times = F.when(every(9, "ctp_ctp_id"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    doubled = rows.withColumn("time", F.explode(times)).drop("time")
-    return reconcile.prepare_national(doubled, totals=NAT_TOTALS)
+    return rows.withColumn("time", F.explode(times)).drop("time")
 
 
 FED_ALL = [*FED_COLUMNS, *FED_TOTALS]
@@ -448,10 +463,9 @@ def recon_outer(spark, sf_dir):
 
 
 def recon_latest(spark, sf_dir):
-    fed, nat = _sides(spark, sf_dir)
-    outer = reconcile.match_outer(fed, nat, FEDERAL, NATIONAL)
-    return (reconcile.at_latest_week(outer, _matched(fed, nat), "cms_week", "ctp_cms_week")
-            .select(*FED_ALL, *NAT_ALL))
+    outer = settle(_outer(spark, sf_dir))  # its matched rows tell the latest week
+    matched = outer.where(F.col("cms_week").isNotNull() & F.col("ctp_cms_week").isNotNull())
+    return reconcile.at_latest_week(outer, matched, "cms_week", "ctp_cms_week").select(*FED_ALL, *NAT_ALL)
 
 
 def recon_unmatched_top5(spark, sf_dir):
@@ -467,6 +481,31 @@ def recon_divergent(spark, sf_dir):
             .select("ctp_state", "end", "rank", "cms_week", "ctp_facility", "cms_ctp_cases_diff"))
 
 
+def recon_divergent_report(spark, sf_dir):
+    """Of the latest week, providers named once, the five lowest and highest differences of a state."""
+    matched = settle(_matched(*_sides(spark, sf_dir)))
+    latest = reconcile.at_latest_week(matched, matched, "ctp_cms_week")
+    once = reconcile.unique_ids(latest, ["ctp_cms_id"])
+    return (reconcile.most_divergent(once, "cms_ctp_cases_diff", 15, "ctp_state",
+                                     ["cms_week", "cms_federal_provider_number"])
+            .select("ctp_state", "end", "rank", "cms_week", "ctp_facility", "cms_ctp_cases_diff"))
+
+
+def recon_exports(spark, sf_dir):
+    """Both sources through CSV files with counts written as decimals."""
+    folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+    counts = {"federal": ["Cases", "Suspected", "Deaths"], "national": ["ctp_cases", "ctp_probable", "ctp_deaths"]}
+    for name, rows in (("federal", federal_raw(spark, sf_dir)), ("national", national_raw(spark, sf_dir))):
+        rows.withColumns({c: F.col(c).cast("double").cast("string") for c in counts[name]}).write.csv(
+            f"{folder}/{name}", header=True)
+    fed, nat = (sheets.read_export(spark, f"{folder}/{n}", c) for n, c in counts.items())
+    nat = nat.withColumn("ctp_ctp_id", F.col("ctp_ctp_id").cast("bigint"))
+    outer = reconcile.match_outer(
+        settle(reconcile.prepare_federal(fed, since="1995-02-01", columns=FED_COLUMNS, totals=FED_TOTALS)),
+        settle(reconcile.prepare_national(nat, totals=NAT_TOTALS)), FEDERAL, NATIONAL)
+    return outer.select(*FED_ALL, *NAT_ALL)
+
+
 def recon_divergent_week(spark, sf_dir):
     matched = _matched(*_sides(spark, sf_dir))
     latest = reconcile.at_latest_week(matched, matched, "ctp_cms_week")
@@ -541,6 +580,40 @@ def state_chain_wy(spark, sf_dir):
     return run_chain(_ready(spark, sf_dir), "wyoming", SPEC, grid=GRID).select(*REPORT, "last_recorded")
 
 
+def state_chain_merging(spark, sf_dir):
+    rows = dirty(thinned(panel(spark, sf_dir)))
+    return run_chain(rows, "merging", SPEC, grid=GRID, standardized=True).select(*REPORT)
+
+
+def state_chain_listed(spark, sf_dir):
+    rows = dirty(thinned(panel(spark, sf_dir)))
+    return run_chain(rows, "merging_listed_types", SPEC, grid=GRID, standardized=True).select(
+        *REPORT, "State_Facility_Type")
+
+
+def state_chain_marked(spark, sf_dir):
+    rows = _marked(thinned(panel(spark, sf_dir)))
+    return run_chain(rows, "marked", SPEC, grid=GRID, standardized=True).select(*REPORT)
+
+
+def state_chain_dropping(spark, sf_dir):
+    rows = _with_gaps(thinned(panel(spark, sf_dir)))
+    return run_chain(rows, "dropping_empty", SPEC, grid=GRID, standardized=True).select(*REPORT)
+
+
+def state_chain_kentucky(spark, sf_dir):
+    rows = _reset_rows(spark, sf_dir).withColumn("County", _kentucky_county())
+    return run_chain(rows, "kentucky", SPEC, grid=GRID, standardized=True, reset=RESET).select(*REPORT, "County")
+
+
+def state_chain_looked_up(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("State"), "n_regionkey")
+    rows = _ready(spark, sf_dir).drop("County", "CTP_Facility_Type").join(nations, "State").withColumns({
+        "County": F.concat(F.lit("REGION "), F.col("n_regionkey")), "CTP_Facility_Type": F.lit("Supplier")})
+    return run_chain(rows.drop("n_regionkey"), "looked_up_twice", SPEC, grid=GRID,
+                     registry=registry(spark, sf_dir).drop("key")).select(*REPORT, "last_recorded")
+
+
 def finish_panel(spark, sf_dir):
     p = _ready(spark, sf_dir).withColumn(
         "Outbrk_Status", F.when(~every(6, "ctp_id", "week"), F.col("Outbrk_Status")))
@@ -559,8 +632,9 @@ def process_states(spark, sf_dir):
 def check_findings(spark, sf_dir):
     """Findings per state and kind of a panel checked as a whole."""
     rows = dirty(panel(spark, sf_dir)).withColumn("CTP_Facility_Type", F.lit(""))
-    rows = rows.withColumns({"County": F.lit(""), "City": F.lit("")})
-    found = jobs.findings(settle(rows), SPEC)
+    rows = rows.withColumns({"County": F.lit(""), "City": F.lit(""),
+                             "sheet": F.concat(F.lit("sheet "), F.col("nation_key") % 5)})
+    found = jobs.findings(settle(rows), SPEC, sheet="sheet")
     counts = [found[kind].groupBy("State").agg(F.sum("n" if kind == "types" else F.lit(1)).alias("n"))
               .withColumn("kind", F.lit(kind)) for kind in sorted(found)]
     out = counts[0]
@@ -570,14 +644,16 @@ def check_findings(spark, sf_dir):
 
 
 def written_and_read(spark, sf_dir):
-    """The panel through the CSV writer and reader."""
+    """The panel through the CSV writer and reader, written state by state in two runs."""
     rows = _ready(spark, sf_dir).withColumns({
         "Facility": F.when(every(7, "ctp_id"), F.concat(F.lit('a "b", '), F.col("Facility"), F.lit("\nc")))
         .otherwise(F.col("Facility")),
         "Outbrk_Status": F.when(every(6, "ctp_id", "week"), " ")
         .when(~every(5, "ctp_id", "week"), F.col("Outbrk_Status"))})
     path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
-    sinks.write_processed(rows.select(*REPORT, "County", "City", "State_Facility_Type", "_ord"), path, SPEC)
+    for half in (0, 1):
+        sinks.write_processed(rows.where(F.col("nation_key") % 2 == half).select(
+            *REPORT, "County", "City", "State_Facility_Type", "_ord"), path, SPEC)
     return sheets.read_processed(spark, path).select(
         "State", "Facility", F.col("ctp_id").cast("bigint").alias("ctp_id"),
         F.col("Date").cast("int").alias("Date"), "Outbrk_Status",
@@ -591,6 +667,8 @@ QUERIES = {f.__name__: f for f in (
     drop_all_null, fl_rules, peer_fill_type, peer_fill_county, ky_county, dq_types, dq_open_dupes,
     dq_date_dupes, dq_decrease, dq_decrease_many_rows, dq_decrease_this_week, recon_federal,
     recon_national, recon_inner, recon_outer, recon_latest, recon_unmatched_top5, recon_divergent,
-    recon_divergent_week, recon_unique_ids, recon_totals, recon_value_counts, recon_counts,
-    recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy, finish_panel,
+    recon_divergent_week, recon_divergent_report, recon_exports, recon_unique_ids, recon_totals, recon_value_counts, recon_counts,
+    recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy,
+    state_chain_merging, state_chain_listed, state_chain_marked, state_chain_dropping,
+    state_chain_kentucky, state_chain_looked_up, finish_panel,
     process_states, check_findings, written_and_read)}

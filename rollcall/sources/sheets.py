@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rollcall.operators.entity import REGISTRY_COLUMNS
 from rollcall.spec import SHEET, SHEET_COLUMNS, PanelSpec, text_schema
@@ -17,14 +18,14 @@ MISSING_TEXT = (
 )
 
 MANIFEST_COLUMNS = ("State", "Entry", "Final")
-MANIFEST_ROWS_AT_MOST = 10_000
 
 
 def read_text_table(spark: SparkSession, paths, columns: Iterable[str] | None = None, *,
                     multi_line: bool = True, missing=MISSING_TEXT, source: str | None = None) -> DataFrame:
     """CSV with a header, every column as text, short rows padded with null.
 
-    With ``columns`` the header must name exactly these; without, it supplies the names.
+    With ``columns`` the header must name exactly these, but for blanks around a name; without, it
+    supplies the names.
     ``multi_line`` admits line breaks inside cells but reads each file in one task; switch it
     off for large files that have none.
     """
@@ -33,13 +34,29 @@ def read_text_table(spark: SparkSession, paths, columns: Iterable[str] | None =
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))
     if columns is not None:
-        # enforceSchema=False compares the header of every file with the names
-        reader = reader.schema(text_schema(columns)).option("enforceSchema", False)
+        check_headers(spark, paths, columns)
+        reader = reader.schema(text_schema(columns))
     df = reader.csv(paths)
     cells = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in df.columns]
     return df.select(*cells, *([F.col("_metadata.file_path").alias(source)] if source else []))
 
 
+def check_headers(spark: SparkSession, paths, columns: Iterable[str]) -> None:
+    """Fail unless the first line of every file names ``columns``, in order, blanks around a name aside."""
+    import csv
+
+    heads = spark.read.option("wholetext", False).text(paths).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.col("_metadata.file_block_start").alias("at")).withColumn("nth", F.monotonically_increasing_id())
+    first = heads.where("at = 0").groupBy("file").agg(F.min_by("value", "nth").alias("head"))
+    wanted = [c.strip() for c in columns]
+    distinct = first.groupBy("head").agg(F.min("file").alias("file"))
+    for r in distinct.collect():  # as many as there are kinds of header
+        names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([r["head"]]), [])]
+        if names != wanted:
+            raise ValueError(f"header of {r['file']} names {names}, not {wanted}")
+
+
 def with_row_order(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """Number the rows of a frame just read, in file order.
 
@@ -65,6 +82,17 @@ def read_registry(spark: SparkSession, path, *, spec: PanelSpec = SHEET) -> Data
     return table.select(*REGISTRY_COLUMNS, spec.order).na.fill("", list(REGISTRY_COLUMNS))
 
 
+def read_export(spark: SparkSession, paths, counts: Iterable[str], *, multi_line: bool = True) -> DataFrame:
+    """A reconciliation input (federal table or national export) with its header's names.
+
+    The columns in ``counts`` become whole numbers: ``3`` and ``3.0`` read 3, text that is no number
+    reads as missing.  All others stay text.
+    """
+    table = read_text_table(spark, paths, multi_line=multi_line)
+    number = {c: F.trim(F.col(f"`{c}`")).try_cast("double").try_cast("bigint") for c in counts}
+    return table.select(*[number.get(c, F.col(f"`{c}`")).alias(c) for c in table.columns])
+
+
 def read_manifest(spark: SparkSession, path) -> DataFrame:
     """State, Entry (input path) and Final (target path)."""
     return with_row_order(read_text_table(spark, path)).select(*MANIFEST_COLUMNS, SHEET.order)
@@ -74,10 +102,7 @@ def manifest_paths(manifest: DataFrame, column: str, states: Iterable[str] | Non
     """State -> path from the manifest; the first row of a state counts."""
     rows = manifest if states is None else manifest.where(F.col("State").isin(*states))
     listed = (rows.where(F.col("State").isNotNull()).groupBy("State")
-              .agg(F.min_by(column, SHEET.order).alias("path"))
-              .limit(MANIFEST_ROWS_AT_MOST + 1).collect())
-    if len(listed) > MANIFEST_ROWS_AT_MOST:
-        raise ValueError(f"manifest names more than {MANIFEST_ROWS_AT_MOST} states")
+              .agg(F.min_by(column, SHEET.order).alias("path")).collect())
     return {r["State"]: r["path"] for r in listed}
 
 
@@ -88,20 +113,33 @@ def read_states(spark: SparkSession, manifest: DataFrame, states: Iterable[str]
     return read_sheets(spark, sorted(set(paths)), spec=spec, **options)
 
 
-def read_processed(spark: SparkSession, paths, *, columns: Iterable[str] | None = None,
-                   format: str = "csv") -> DataFrame:
-    """Own output, for checking.  Cells are text and rows are numbered anew."""
+def read_processed(spark: SparkSession, paths, *, columns: Iterable[str] | None = None, format: str = "csv",
+                   multi_line: bool = True, missing=MISSING_TEXT, states: Iterable[str] | None = None,
+                   source: str | None = None) -> DataFrame:
+    """Own output, for checking.  Cells are text, with the same texts for "missing" as in raw sheets,
+    and rows are numbered anew.
+
+    With ``states`` only their directories are read.  ``source`` names an extra column holding the
+    path of each row's file.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    read = spark.read
     if format == "csv":
-        reader = (spark.read.option("header", True).option("multiLine", True)
-                  .option("quote", '"').option("escape", '"')
-                  .option("ignoreLeadingWhiteSpace", False)
-                  .option("ignoreTrailingWhiteSpace", False)
-                  .option("recursiveFileLookup", True))
-        if columns is not None:
-            reader = reader.schema(text_schema(columns))
-        table = reader.csv(paths)
-    else:
-        table = spark.read.option("recursiveFileLookup", True).format(format).load(paths)
+        read = (read.option("header", True).option("multiLine", multi_line)
+                .option("quote", '"').option("escape", '"')
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
         if columns is not None:
-            table = table.select(*[F.col(f"`{c}`") for c in columns])
+            read = read.schema(StructType([*text_schema(columns).fields, StructField("sheet", StringType())]))
+    parts = []
+    for path in paths:
+        part = read.format(format).load(path)
+        if states is not None and "sheet" in part.columns:
+            part = part.where(F.col("sheet").isin(*states))
+        names = [c for c in (columns or part.columns) if c != "sheet"]
+        cells = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`")
+                 for c, t in part.dtypes if c in names]
+        parts.append(part.select(*cells, *([F.col("_metadata.file_path").alias(source)] if source else [])))
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part, allowMissingColumns=True)
     return with_row_order(table)

@@ -52,6 +52,29 @@ def publish(df: DataFrame, targets: dict[str, str], spec: PanelSpec = SHEET, *,
         write_processed(df.where(F.col(f"`{spec.state}`").isin(*states)), path, spec, format=format)
 
 
-def write_report(df: DataFrame, path: str, state: str = "State", *, format: str = "csv") -> None:
-    """One directory per state with findings; the report of an earlier run is replaced."""
-    _write(df.withColumn(STATE_DIRECTORY, F.col(f"`{state}`")), path, format, "static")
+def write_report(df: DataFrame, path: str, state: str = "State", *, format: str = "csv",
+                 checked: DataFrame | None = None) -> None:
+    """One directory per state with findings; reports of an earlier run on these states are replaced.
+
+    ``checked`` has the states looked at in its first column: those that have a report here but no
+    finding now lose it.  Other states keep theirs.
+    """
+    if checked is not None:
+        _drop_directories(checked, path)
+    _write(df.withColumn(STATE_DIRECTORY, F.col(f"`{state}`")), path, format, "dynamic")
+
+
+def _drop_directories(states: DataFrame, path: str) -> None:
+    """Remove the directories below ``path`` of the states listed."""
+    spark = states.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    key = f"{STATE_DIRECTORY}="
+    there = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith(key)]
+    named = {p.getName()[len(key):]: p for p in there}
+    column = F.col(f"`{states.columns[0]}`")
+    # at most one row per directory
+    for r in states.where(column.isin(*named)).distinct().collect() if named else []:
+        files.delete(named[r[0]], True)

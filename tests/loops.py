@@ -165,7 +165,7 @@ def undo_reset(rows, pairs, reset):
             for r in [*own, *added]:
                 new = dict(r)
                 for c in reset.columns:
-                    if r["Date"] >= reset.correct_from and not dirty(r[c]):
+                    if r["Date"] >= reset.correct_from and not dirty(r[c]) and not dirty(base_rows[0][c]):
                         base = number(base_rows[0][c])
                         new[c] = None if base is None else base + (number(r[c]) or 0)
                 out.append(new)

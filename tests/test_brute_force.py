@@ -12,21 +12,19 @@ CURRENT = [o for _, o in PAIRS]
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("bound", [1000, None])
-def test_fill_missing_dates(spark, groups, seed, bound):
+def test_fill_missing_dates(spark, groups, seed):
     rows = random_rows(seed)
     grid = [20201126, 20201203, 20201210, 20201217, 20201224, 20201231, 20210107, 20210114, 20210121,
             20210128, 20210204]
-    got = densify.fill_missing_dates(frame(spark, rows), SPEC, grid=grid, state_dates_at_most=bound)
+    got = densify.fill_missing_dates(frame(spark, rows), SPEC, grid=grid)
     blank = ["Outbrk_Status", *CURRENT, "Res_Census"]
     same(got, loops.fill(rows, grid, blank), COLUMNS)
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("bound", [1000, None])
-def test_close_missing(spark, groups, seed, bound):
+def test_close_missing(spark, groups, seed):
     rows = random_rows(seed, thin=0.5)
-    got = densify.close_missing(frame(spark, rows), SPEC, state_dates_at_most=bound)
+    got = densify.close_missing(frame(spark, rows), SPEC)
     same(got, loops.close(rows, CURRENT), [*COLUMNS, "last_recorded"])
 
 

@@ -40,8 +40,12 @@ def test_reading_sheets(spark, tmp_path):
     assert short["ctp_id"] is None and short["Facility"] == "Home  2"
     named = sheets.read_sheets(spark, str(tmp_path / "a.csv"), source="file").first()
     assert named["file"].endswith("a.csv")
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError, match="header of"):
         sheets.read_sheets(spark, write_sheet(tmp_path / "c.csv", rows, columns=SHEET_COLUMNS[::-1])).collect()
+    # blanks around names in the header do not matter
+    path = tmp_path / "d.csv"
+    path.write_text((tmp_path / "a.csv").read_text().replace("State,", " State ,", 1))
+    assert [r["State"] for r in sheets.read_sheets(spark, str(path)).collect()] == ["AR", "AR"]
 
 
 def test_row_order_follows_the_file(spark, tmp_path):
@@ -153,3 +157,30 @@ def test_settle_uses_the_configured_folder(spark, tmp_path):
     sc = spark.sparkContext
     df = lineage.settle(spark.range(3).toDF("x"))
     assert sc.getCheckpointDir().split(":")[-1] in df.inputFiles()[0] and bag_of(df, ["x"]) == bag([{"x": i} for i in range(3)], ["x"])
+
+
+def test_reports_of_other_states_stay(spark, tmp_path):
+    out, kind = str(tmp_path / "r"), "State string, n int"
+    checked = spark.createDataFrame([("AR",), ("CT",)], "State string")
+    sinks.write_report(spark.createDataFrame([("CT", 1), ("AR", 2)], kind), out, checked=checked)
+    sinks.write_report(spark.createDataFrame([("TX", 3)], kind), out,
+                       checked=spark.createDataFrame([("TX",), ("AR",)], "State string"))
+    assert sorted(d for d in os.listdir(out) if d.startswith("sheet=")) == ["sheet=CT", "sheet=TX"]
+
+
+def test_output_of_other_states_stays(spark, tmp_path):
+    """A second run on another state, with single-line reading, leaves the first one's output."""
+    manifest, registry = full_set(tmp_path)
+    for states in (["CT"], ["AR"]):
+        jobs.process(spark, manifest, states, registry_path=registry, out=str(tmp_path / "one"), multi_line=False)
+    assert {d for d in os.listdir(tmp_path / "one") if d.startswith("sheet=")} == {"sheet=AR", "sheet=CT"}
+
+
+def test_processed_cells_read_like_raw_ones(spark, tmp_path):
+    df = spark.createDataFrame([("A", "NA", "#N/A", "x")], "State string, Facility string, City string, County string")
+    df = df.withColumns({"State_Facility_Type": F.lit(""), "ctp_id": F.lit("1"), "Date": F.lit(1)})
+    sinks.write_processed(df, str(tmp_path / "out"))
+    got = sheets.read_processed(spark, str(tmp_path / "out"), states=["A"], source="file").first()
+    assert (got["State"], got["Facility"], got["City"], got["County"]) == ("A", None, None, "x")
+    assert "sheet=A" in got["file"]
+    assert sheets.read_processed(spark, str(tmp_path / "out"), states=["B"]).count() == 0

@@ -11,6 +11,7 @@ from rollcall.operators import reconcile
 from rollcall.plans import supplier_panel
 
 SF = "/root/testdata/sf0.001"
+SPEC = supplier_panel.SPEC
 
 
 def explained(df) -> str:
@@ -85,18 +86,6 @@ def test_copies_of_a_row_are_spread_too(spark, monkeypatch):
         assert out.where("total <> 4000").count() == 0
 
 
-def test_broadcast_bound_is_enforced(spark):
-    small = spread.bounded_broadcast(spark.range(10).toDF("k"), 10)
-    assert spark.range(100).toDF("k").join(small, "k").count() == 10
-    large = spread.bounded_broadcast(spark.range(11).toDF("k"), 10)
-    with pytest.raises(Exception, match="exceeds 10 rows"):
-        spark.range(100).toDF("k").join(large, "k").collect()
-
-
-def test_fits_broadcast(spark):
-    assert spread.fits_broadcast(spark.range(10), 10) and not spread.fits_broadcast(spark.range(11), 10)
-
-
 def test_skewed_reconciliation_is_split(spark):
     """A hot (week, id) on the national side is split at run time; rows without id never shuffle together."""
     nat = spark.range(60_000).select(
@@ -116,3 +105,32 @@ def test_skewed_reconciliation_is_split(spark):
         assert out.where("cms_week is not null and ctp_cms_week is not null").count() == 20_001
         out.collect()
         assert "skew=true" in explained(out)
+
+
+def test_hot_entity_from_many_tasks_has_few_chunks(spark, monkeypatch):
+    """Summary rows of a hot entity follow its rows, not the tasks its rows came from."""
+    monkeypatch.setattr(spread, "HOT_ROWS", 100)
+    monkeypatch.setattr(spread, "CHUNK_BITS", 10)
+    rows = spark.range(0, 20_000, 1, 500).select(
+        F.lit("S").alias("State"), F.lit("E").alias("ctp_id"), F.lit(20210107).alias("Date"),
+        (F.spark_partition_id().cast("bigint") * (1 << 33) + F.col("id")).alias("_ord"))
+    chunked = spread._with_chunks(rows, SPEC)
+    n = chunked.select(*spread.CHUNK_KEY).distinct().count()
+    assert 20 <= n <= 20 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = spread.by_heat(rows, SPEC, lambda part, fits: spread.previous_row(part, SPEC, ["_ord"], fits=fits))
+    assert seen.agg(F.max("_nth")).first()[0] == 20_000
+    assert seen.where("_prev is null").count() == 1
+
+
+def test_many_hot_groups_and_null_keys(spark, monkeypatch):
+    """No hot group is cut from the list, and a missing key part is a key like any other."""
+    monkeypatch.setattr(spread, "HOT_ROWS", 2)
+    monkeypatch.setattr(spread, "CHUNK_BITS", 1)
+    rows = spark.range(90_000).select(
+        F.when(F.col("id") % 30_000 > 0, F.lit("S")).alias("State"), (F.col("id") % 30_000).cast("string").alias("ctp_id"),
+        F.lit(20210107).alias("Date"), F.col("id").alias("_ord"))
+    got = spread.by_heat(rows, SPEC, lambda part, fits: spread.running_sums(
+        part, SPEC, {"so_far": F.lit(1)}, fits=fits))
+    assert got.groupBy("so_far").count().orderBy("so_far").collect() == [(1, 30_000), (2, 30_000), (3, 30_000)]
+    slots = spread.add_slot_facts(rows, SPEC, {"size": F.count(F.lit(1))})
+    assert slots.where("size != 3").count() == 0
