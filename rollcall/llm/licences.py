@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import ftrl
 from rollcall.llm.tasks import as_bytes, by_arrow, lowest, sent
-from rollcall.llm.words import U64, Digests, mixed
+from rollcall.llm.words import U64, hashed, mixed
 
 FEATURES = 1 << 15
 UNKNOWN = "unknown"
@@ -64,25 +64,25 @@ def words_of(paragraph: bytes) -> list[bytes]:
     return [w for w in (x.strip(b".") for x in paragraph.translate(_WORD).split()) if w]
 
 
-def grams(words: list[bytes], digests: Digests) -> tuple[np.ndarray, np.ndarray]:
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and of neighbouring pairs."""
-    h = digests.of(words)[:, 0]
+    h = hashed(words)[:, 0]
     return h, mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(h[1:] + np.uint64(1)))
 
 
-def row(words: list[bytes], digests: Digests) -> ftrl.Row:
-    at = np.unique((np.concatenate(grams(words, digests)) % np.uint64(FEATURES)).astype(np.int64))
+def row(words: list[bytes]) -> ftrl.Row:
+    at = np.unique((np.concatenate(grams(words)) % np.uint64(FEATURES)).astype(np.int64))
     return at, np.full(len(at), 1 / np.sqrt(max(1, len(at))))
 
 
-def likeness(words: list[bytes], family: str, pairs: dict[str, list[np.ndarray]], digests: Digests) -> float:
+def likeness(words: list[bytes], family: str, pairs: dict[str, list[np.ndarray]]) -> float:
     """Largest share of a template's word pairs that stand in the paragraph."""
-    own = grams(words, digests)[1]
+    own = grams(words)[1]
     return max(float(np.isin(p, own).mean()) for p in pairs[family])
 
 
-def template_pairs(digests: Digests) -> dict[str, list[np.ndarray]]:
-    return {f: [np.unique(grams(words_of(t.encode()), digests)[1]) for t in texts] for f, texts in TEMPLATES.items()}
+def template_pairs() -> dict[str, list[np.ndarray]]:
+    return {f: [np.unique(grams(words_of(t.encode()))[1]) for t in texts] for f, texts in TEMPLATES.items()}
 
 
 class Model:
@@ -91,10 +91,10 @@ class Model:
     def __init__(self, weights: np.ndarray, temperature: float):
         self.weights, self.temperature = weights.astype(np.float32), temperature
 
-    def probabilities(self, paragraphs: list[list[bytes]], digests: Digests) -> np.ndarray:
+    def probabilities(self, paragraphs: list[list[bytes]]) -> np.ndarray:
         """Each gram counts as often as it occurs; paragraphs must have words."""
         sizes = np.array([len(p) for p in paragraphs])
-        h = digests.of([w for p in paragraphs for w in p])[:, 0]
+        h = hashed([w for p in paragraphs for w in p])[:, 0]
         ends = np.cumsum(sizes)
         two = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(h[1:] + np.uint64(1)))
         one, two = ((x % np.uint64(FEATURES)).astype(np.int64) for x in (h, two))
@@ -110,12 +110,12 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = 3000, variants: in
     """Learn families from templates and ``unknown`` from ``sample`` paragraphs of ``docs``."""
     lines = docs.select(F.explode(F.split(F.col(f"`{text}`").cast("string"), "\n")).alias("line")).where("trim(line) != ''")
     drawn = sorted(lowest(lines, sample, key="line").select("line").collect())
-    digests, rng = Digests(), np.random.default_rng(seed)
-    pairs = template_pairs(digests)
+    rng = np.random.default_rng(seed)
+    pairs = template_pairs()
     others = [w for w in (words_of(r["line"].encode()) for r in drawn) if w]
-    others = [w for w in others if all(likeness(w, f, pairs, digests) < 0.5 for f in pairs)] or [[b"the"]]
+    others = [w for w in others if all(likeness(w, f, pairs) < 0.5 for f in pairs)] or [[b"the"]]
     filler = [x for w in others[:300] for x in w]
-    rows, labels = [row(w, digests) for w in others], [0] * len(others)
+    rows, labels = [row(w) for w in others], [0] * len(others)
     for label, family in enumerate(FAMILIES[1:], 1):
         for text_ in TEMPLATES[family]:
             base = words_of(text_.encode())
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = 3000, variants: in
                     around = [filler[j] for j in rng.integers(0, len(filler), int(rng.integers(1, 12)))]
                     cut = int(rng.integers(0, len(around) + 1))
                     words = around[:cut] + words + around[cut:]
-                rows.append(row(words, digests))
+                rows.append(row(words))
                 labels.append(label)
     return Model(*ftrl.fit(rows, labels, FEATURES, len(FAMILIES), seed=seed, epochs=4, alpha=1.0, l1=1e-4, l2=1e-4))
 
@@ -136,8 +136,8 @@ def scan(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "
     shipped = sent(docs.sparkSession, model)
 
     def work(slices):
-        here, digests = cloudpickle.loads(shipped.value), Digests()
-        pairs = template_pairs(digests)
+        here = cloudpickle.loads(shipped.value)
+        pairs = template_pairs()
         for rows in slices:
             out = {"doc_id": [i for i, _ in rows], "n_paragraphs": [], "n_licensed": [0] * len(rows),
                    "families": [], "score": [0.0] * len(rows), "similarity": [0.0] * len(rows)}
@@ -150,10 +150,10 @@ def scan(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "
                     owner.append(n)
                     paragraphs.append(w)
             if paragraphs:
-                p = here.probabilities(paragraphs, digests)
+                p = here.probabilities(paragraphs)
                 best = p[:, 1:].argmax(axis=1) + 1
                 for k in np.flatnonzero(p[np.arange(len(p)), best] >= threshold).tolist():
-                    alike = likeness(paragraphs[k], FAMILIES[best[k]], pairs, digests)
+                    alike = likeness(paragraphs[k], FAMILIES[best[k]], pairs)
                     if alike >= similarity:
                         n = owner[k]
                         found[n].add(FAMILIES[best[k]])

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
 from rollcall.llm.tasks import as_bytes, by_arrow, over_batches, pack
-from rollcall.llm.words import U64, Digests, mixed
+from rollcall.llm.words import U64, hashed, mixed
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
@@ -43,12 +43,12 @@ LOG_GAP = 25.0  # a pair is dropped when 0.8 is e^25 times less likely than the
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=U64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingles(text: bytes, digests: Digests) -> np.ndarray:
+def shingles(text: bytes) -> np.ndarray:
     """Sorted hashes of the distinct two-word shingles; one word alone counts as one."""
     words = text.lower().split()
     if not words:
         return np.empty(0, U64)
-    h = digests.of(words)[:, 0]
+    h = hashed(words)[:, 0]
     if len(h) == 1:
         return mixed(h * np.uint64(3))
     return np.unique(mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(h[1:] + np.uint64(1))))
@@ -93,9 +93,8 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least
 def sketches(docs: DataFrame) -> DataFrame:
     """(id, n, low, high, registers) per row; low and high hash the whole set."""
     def work(slices):
-        digests = Digests()
         for rows in slices:
-            sets = [shingles(text, digests) for _, text in rows]
+            sets = [shingles(text) for _, text in rows]
             ids = np.frombuffer(b"".join([xxhash.xxh3_128_digest(s) for s in sets]), np.int64).reshape(-1, 2)
             yield {"id": [i for i, _ in rows], "n": [len(s) for s in sets], "low": ids[:, 0], "high": ids[:, 1],
                    "registers": [registers(s).tobytes() if len(s) else None for s in sets]}
@@ -150,7 +149,7 @@ def _measured(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     two = texts.select(F.col("id").alias("b"), F.col("packed").alias("t_b"))
 
     def work(batches):
-        digests, unpack = Digests(), zstandard.ZstdDecompressor()
+        unpack = zstandard.ZstdDecompressor()
         last, first = None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
@@ -158,8 +157,8 @@ def _measured(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
                 rows = []
                 for a, t_a, t_b in zip(*[part.column(k).to_pylist() for k in (0, 2, 3)]):
                     if a != last:
-                        last, first = a, shingles(unpack.decompress(t_a), digests)
-                    other = shingles(unpack.decompress(t_b), digests)
+                        last, first = a, shingles(unpack.decompress(t_a))
+                    other = shingles(unpack.decompress(t_b))
                     place = np.minimum(np.searchsorted(first, other), len(first) - 1)
                     shared = first[place] == other
                     n = int(shared.sum())

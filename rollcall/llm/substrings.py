@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
 from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack
-from rollcall.llm.words import U64, Digests, Rolling, covered, mixed
+from rollcall.llm.words import Rolling, U64, covered, hashed, mixed
 
 # fixed values: a difference cover modulo 21 (every remainder is a difference of two members)
 PERIOD = 21
@@ -115,7 +115,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
     width = length - PERIOD + 1
 
     def work(slices):
-        digests, rolling = Digests(), Rolling()
+        rolling = Rolling()
 
         def parts():
             for rows in slices:
@@ -123,7 +123,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
                     words = text.split()
                     places = anchor_places(len(words), length)
                     if len(places):
-                        yield (rolling.hashes(digests.of(words)[:, 0].copy(), width, places), places,
+                        yield (rolling.hashes(hashed(words)[:, 0].copy(), width, places), places,
                                np.full(len(places), doc, np.int64))
 
         return _buffered(parts(), _ship_anchors)
@@ -135,7 +135,7 @@ def _windows(found: DataFrame, length: int) -> DataFrame:
     """Every window around a repeated anchor, under 96 bits of hash."""
 
     def work(slices):
-        digests, rolling, unpack = Digests(), Rolling(), zstandard.ZstdDecompressor()
+        rolling, unpack = Rolling(), zstandard.ZstdDecompressor()
 
         def parts():
             for rows in slices:
@@ -147,7 +147,7 @@ def _windows(found: DataFrame, length: int) -> DataFrame:
                     near = covered(len(words) + PERIOD, places, PERIOD)[PERIOD - 1:]
                     starts = np.flatnonzero(near[:max(0, len(words) - length + 1)])
                     if len(starts):
-                        hashes = digests.of(words)
+                        hashes = hashed(words)
                         yield (rolling.hashes(hashes[:, 0].copy(), length, starts), starts,
                                np.full(len(starts), doc, np.int64),
                                rolling.hashes(hashes[:, 1].copy(), length, starts) >> np.uint64(32))

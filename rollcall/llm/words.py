@@ -15,22 +15,10 @@ _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
-class Digests(dict):
-    """Word -> 16 byte digest, emptied when it holds ``room`` words, so memory stays bounded."""
-
-    def __init__(self, room: int = 150_000):
-        super().__init__()
-        self.room = room
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.room:
-            self.clear()
-        digest = self[word] = xxhash.xxh3_128_digest(word)
-        return digest
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Two 64-bit hashes for each word, shape (n, 2)."""
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=U64).reshape(-1, 2)
+def hashed(words: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes for each word, shape (n, 2)."""
+    # hashing anew is faster than looking words up: vocabularies have long tails
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype=U64).reshape(-1, 2)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
