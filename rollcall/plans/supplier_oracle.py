@@ -250,6 +250,67 @@ typed AS (
 PEERS = "State, Facility, ctp_id, Date, Outbrk_Status, State_Facility_Type, CMS_ID, County"
 
 
+RULES = """
+rules AS (
+  SELECT * REPLACE (CASE WHEN Outbrk_Res_Pos IS NOT NULL OR Outbrk_Staff_Pos IS NOT NULL THEN 'OPEN' END AS Outbrk_Status)
+  FROM (SELECT * REPLACE (
+      CASE WHEN week % 13 = 0 THEN '' WHEN week % 11 = 0 OR week % 7 = 0 THEN 'MIAMI-DADE' ELSE County END AS County,
+      CASE WHEN (ctp_id + week) % 4 <> 0 THEN Outbrk_Res_Pos END AS Outbrk_Res_Pos,
+      CASE WHEN (ctp_id + week) % 2 <> 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos,
+      CASE WHEN (ctp_id + week) % 8 <> 0 THEN Cume_Staff_Pos END AS Cume_Staff_Pos)
+    FROM typed WHERE week % 15 <> 0))"""
+
+
+def fl_types(src: str, out: str) -> str:
+    """Common types and regulators; only nursing homes keep their federal id."""
+    return f"""
+{out} AS (
+  SELECT * REPLACE (CASE WHEN State_Facility_Type = 'NH' THEN CMS_ID END AS CMS_ID),
+         CASE State_Facility_Type WHEN 'ALF' THEN 'Assisted Living' WHEN 'NH' THEN 'Nursing Home'
+              WHEN 'ICF' THEN 'Other' END AS CTP_Facility_Type,
+         CASE State_Facility_Type WHEN 'NH' THEN 'Federal' WHEN 'ALF' THEN 'State' WHEN 'ICF' THEN 'State' END AS Regulate
+  FROM {src})"""
+
+
+def peer_types(src: str, out: str) -> str:
+    return f"""
+{out}_kinds AS (
+  SELECT State, Facility, kind FROM (
+    SELECT State, Facility, State_Facility_Type AS kind, count(*) AS n,
+           bool_or(State_Facility_Type = 'NH') OVER f AND bool_or(State_Facility_Type IN ('ALF', 'ICF')) OVER f AS mixed
+    FROM {src} WHERE State_Facility_Type <> '' GROUP BY State, Facility, State_Facility_Type
+    WINDOW f AS (PARTITION BY State, Facility))
+  WHERE NOT mixed QUALIFY row_number() OVER (PARTITION BY State, Facility ORDER BY n DESC, kind) = 1),
+{out}_ids AS (
+  SELECT State, Facility, CMS_ID AS fed FROM (
+    SELECT State, Facility, CMS_ID, count(*) AS n FROM {src}
+    WHERE State_Facility_Type <> '' AND CMS_ID IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY State, Facility ORDER BY n DESC, CMS_ID) = 1),
+{out} AS (
+  SELECT t.* REPLACE (
+    CASE WHEN t.State_Facility_Type = '' AND k.kind IS NOT NULL THEN k.kind
+         ELSE t.State_Facility_Type END AS State_Facility_Type,
+    CASE WHEN t.State_Facility_Type = '' AND k.kind = 'NH' THEN coalesce(i.fed, t.CMS_ID)
+         ELSE t.CMS_ID END AS CMS_ID)
+  FROM {src} t LEFT JOIN {out}_kinds k ON k.State = t.State AND k.Facility = t.Facility
+  LEFT JOIN {out}_ids i ON i.State = t.State AND i.Facility = t.Facility)"""
+
+
+def peer_counties(src: str, out: str) -> str:
+    return f"""
+{out} AS (
+  SELECT t.* REPLACE (
+    CASE WHEN t.County <> '' THEN t.County
+         WHEN t.State_Facility_Type = '' AND a.n = 1 THEN a.c
+         WHEN t.State_Facility_Type <> '' AND s.n = 1 THEN s.c ELSE '' END AS County)
+  FROM {src} t
+  LEFT JOIN (SELECT State, Facility, count(DISTINCT County) AS n, min(County) AS c FROM {src}
+             WHERE County <> '' GROUP BY ALL) a ON a.State = t.State AND a.Facility = t.Facility
+  LEFT JOIN (SELECT State, Facility, State_Facility_Type AS k, count(DISTINCT County) AS n, min(County) AS c
+             FROM {src} WHERE County <> '' GROUP BY ALL) s
+    ON s.State = t.State AND s.Facility = t.Facility AND s.k = t.State_Facility_Type)"""
+
+
 def suspect(src: str) -> str:
     return f"""
 suspect AS (
@@ -353,6 +414,36 @@ SELECT * FROM (
          CASE WHEN (ctp_id + week) % 9 <> 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos FROM panel)
 WHERE coalesce(Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos) IS NOT NULL"""
 
+DISTINCT = """
+d AS (
+  SELECT State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos,
+         min(_ord) AS _ord,
+         CAST(Cume_Res_Pos AS BIGINT) AS res,
+         CASE WHEN Cume_Staff_Pos IS NULL THEN -1 WHEN Cume_Staff_Pos = '<11' THEN 1
+              ELSE CAST(Cume_Staff_Pos AS BIGINT) END AS staff
+  FROM dirty GROUP BY State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos),
+seq AS (SELECT *, lag(res) OVER w AS was_res, lag(staff) OVER w AS was_staff
+        FROM d WINDOW w AS (PARTITION BY ctp_id ORDER BY Date, _ord))"""
+
+
+STATES = sql(f"""
+SELECT {REPORT}, CAST(NULL AS INT) AS last_recorded FROM ct_done
+UNION ALL SELECT {REPORT}, last_recorded FROM ar_done
+UNION ALL SELECT {REPORT}, NULL FROM co_done
+UNION ALL SELECT {REPORT}, last_recorded FROM nj_done
+UNION ALL SELECT {REPORT}, last_recorded FROM wy_done""", READY, """
+coded AS (SELECT * REPLACE (['CT', 'AR', 'CO', 'NJ', 'WY'][nation_key % 5 + 1] AS State) FROM ready)""",
+    part("coded", "ct", "CT"), fill("ct", "ct_done"),
+    part("coded", "ar", "AR"), close("ar", "ar_closed"), fill("ar_closed", "ar_done"),
+    part("coded", "co", "CO"), collapse("co", "co_merged"), fill("co_merged", "co_done"),
+    part("coded", "nj", "NJ"), close("nj", "nj_closed"),
+    "nj_recent AS (SELECT * FROM nj_closed WHERE Date >= 19960101)", collapse("nj_recent", "nj_merged"),
+    carry("nj_merged", "nj_carried", 19970101), fill("nj_carried", "nj_done"),
+    part("coded", "wy", "WY"), collapse("wy", "wy_merged"), close("wy_merged", "wy_closed"),
+    fill("wy_closed", "wy_filled"), unknown_closed("wy_filled", "wy_known"), past("wy_known", "wy_summed"),
+    fill("wy_summed", "wy_again"), unknown_closed("wy_again", "wy_done"))
+
+
 SQL: dict[str, str] = {
     "std_text": sql(TIDY + " FROM labelled", LABELLED),
     "std_dedup": sql("SELECT DISTINCT * FROM (" + TIDY + """ FROM (
@@ -402,52 +493,11 @@ SELECT DISTINCT n.State, n.Facility FROM ny n JOIN ents e USING (State, ctp_id)
 WHERE e.gapless AND NOT e.has_base""", NEW_YEAR),
     "drop_all_null": sql(GAPS),
     "fl_rules": sql(f"""
-SELECT State, Facility, ctp_id, Date, status AS Outbrk_Status, State_Facility_Type,
-       CASE WHEN State_Facility_Type = 'NH' THEN CMS_ID END AS CMS_ID, County,
-       CASE State_Facility_Type WHEN 'ALF' THEN 'Assisted Living' WHEN 'NH' THEN 'Nursing Home'
-            WHEN 'ICF' THEN 'Other' END AS CTP_Facility_Type,
-       CASE State_Facility_Type WHEN 'NH' THEN 'Federal' WHEN 'ALF' THEN 'State' WHEN 'ICF' THEN 'State' END AS Regulate,
-       Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos
-FROM (SELECT *, CASE WHEN Outbrk_Res_Pos IS NOT NULL OR Outbrk_Staff_Pos IS NOT NULL THEN 'OPEN' END AS status
-      FROM rules)
-WHERE status IS NOT NULL OR Cume_Staff_Pos IS NOT NULL""", TYPED, """
-rules AS (
-  SELECT * REPLACE (
-    CASE WHEN week % 13 = 0 THEN '' WHEN week % 11 = 0 OR week % 7 = 0 THEN 'MIAMI-DADE' ELSE County END AS County,
-    CASE WHEN (ctp_id + week) % 4 <> 0 THEN Outbrk_Res_Pos END AS Outbrk_Res_Pos,
-    CASE WHEN (ctp_id + week) % 2 <> 0 THEN Outbrk_Staff_Pos END AS Outbrk_Staff_Pos,
-    CASE WHEN (ctp_id + week) % 8 <> 0 THEN Cume_Staff_Pos END AS Cume_Staff_Pos)
-  FROM typed WHERE week % 15 <> 0)"""),
-    "peer_fill_type": sql("""
-SELECT t.State, t.Facility, ctp_id, Date, Outbrk_Status,
-       CASE WHEN t.State_Facility_Type = '' AND k.kind IS NOT NULL THEN k.kind
-            ELSE t.State_Facility_Type END AS State_Facility_Type,
-       CASE WHEN t.State_Facility_Type = '' AND k.kind = 'NH' THEN coalesce(i.fed, t.CMS_ID)
-            ELSE t.CMS_ID END AS CMS_ID, County
-FROM typed t LEFT JOIN kinds k USING (State, Facility) LEFT JOIN ids i USING (State, Facility)""", TYPED, """
-kinds AS (
-  SELECT State, Facility, kind FROM (
-    SELECT State, Facility, State_Facility_Type AS kind, count(*) AS n,
-           bool_or(State_Facility_Type = 'NH') OVER f AND bool_or(State_Facility_Type IN ('ALF', 'ICF')) OVER f AS mixed
-    FROM typed WHERE State_Facility_Type <> '' GROUP BY State, Facility, State_Facility_Type
-    WINDOW f AS (PARTITION BY State, Facility))
-  WHERE NOT mixed QUALIFY row_number() OVER (PARTITION BY State, Facility ORDER BY n DESC, kind) = 1),
-ids AS (
-  SELECT State, Facility, CMS_ID AS fed FROM (
-    SELECT State, Facility, CMS_ID, count(*) AS n FROM typed
-    WHERE State_Facility_Type <> '' AND CMS_ID IS NOT NULL GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY State, Facility ORDER BY n DESC, CMS_ID) = 1)"""),
-    "peer_fill_county": sql("""
-SELECT t.State, t.Facility, ctp_id, Date, Outbrk_Status, t.State_Facility_Type, CMS_ID,
-       CASE WHEN t.County <> '' THEN t.County
-            WHEN t.State_Facility_Type = '' AND a.n = 1 THEN a.c
-            WHEN t.State_Facility_Type <> '' AND s.n = 1 THEN s.c ELSE '' END AS County
-FROM typed t
-LEFT JOIN (SELECT State, Facility, count(DISTINCT County) AS n, min(County) AS c FROM typed
-           WHERE County <> '' GROUP BY ALL) a ON a.State = t.State AND a.Facility = t.Facility
-LEFT JOIN (SELECT State, Facility, State_Facility_Type AS k, count(DISTINCT County) AS n, min(County) AS c
-           FROM typed WHERE County <> '' GROUP BY ALL) s
-  ON s.State = t.State AND s.Facility = t.Facility AND s.k = t.State_Facility_Type""", TYPED),
+SELECT {PEERS}, CTP_Facility_Type, Regulate, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos FROM typed_out""",
+                    TYPED, RULES, """
+said AS (SELECT * FROM rules WHERE Outbrk_Status IS NOT NULL OR Cume_Staff_Pos IS NOT NULL)""", fl_types("said", "typed_out")),
+    "peer_fill_type": sql(f"SELECT {PEERS} FROM kinded", TYPED, peer_types("typed", "kinded")),
+    "peer_fill_county": sql(f"SELECT {PEERS} FROM countied", TYPED, peer_counties("typed", "countied")),
     "ky_county": sql(f"""
 SELECT {REPORT}, CASE ctp_id % 6 WHEN 0 THEN 'JEFFERSON' WHEN 1 THEN 'BULLITT' WHEN 2 THEN 'BULLITTT'
        WHEN 3 THEN 'SHELBY' WHEN 4 THEN 'WOODFORD' ELSE 'BOONE' END AS County FROM panel"""),
@@ -567,6 +617,13 @@ WHERE ctp_facility = 'Supplier#000000003' AND ctp_cms_week IS NOT NULL"""),
 SELECT {REPORT}, CASE ctp_id % 6 WHEN 0 THEN 'JEFFERSON' WHEN 1 THEN 'BULLITT' WHEN 2 THEN 'BULLITTT'
        WHEN 3 THEN 'SHELBY' WHEN 4 THEN 'WOODFORD' ELSE 'BOONE' END AS County FROM filled""", NEW_YEAR,
                                 f"undone AS ({UNDONE})", fill("undone", "filled")),
+    "state_chain_florida": sql(f"""
+SELECT {PEERS}, CTP_Facility_Type, Regulate, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos,
+       CASE WHEN Date = own THEN Res_Census END AS Res_Census FROM filled""", thin("panel", "t"), over(TYPED, "t"), RULES, """
+said AS (
+  SELECT *, Date AS own, CASE WHEN ctp_id % 4 = 0 THEN ctp_id END AS Res_Census FROM rules
+  WHERE Outbrk_Status IS NOT NULL OR ctp_id % 4 = 0)""", peer_types("said", "kinded"), peer_counties("kinded", "countied"),
+                               fl_types("countied", "finished"), fill("finished", "filled")),
     "state_chain_looked_up": sql(f"SELECT {REPORT}, last_recorded FROM filled", READY,
                                  "known AS (SELECT * REPLACE ('S' || ctp_id AS ctp_id) FROM ready)",
                                  close("known", "closed"), fill("closed", "filled")),
@@ -574,22 +631,27 @@ SELECT {REPORT}, CASE ctp_id % 6 WHEN 0 THEN 'JEFFERSON' WHEN 1 THEN 'BULLITT' W
 blanked AS (
   SELECT * REPLACE (CASE WHEN (ctp_id + week) % 6 <> 0 THEN Outbrk_Status END AS Outbrk_Status)
   FROM panel WHERE (nation_key + week) % 5 <> 0)""", fill("blanked", "filled"), unknown_closed("filled", "known")),
-    "process_states": sql(f"""
-SELECT {REPORT}, CAST(NULL AS INT) AS last_recorded FROM ct_done
-UNION ALL SELECT {REPORT}, last_recorded FROM ar_done
-UNION ALL SELECT {REPORT}, NULL FROM co_done
-UNION ALL SELECT {REPORT}, last_recorded FROM nj_done
-UNION ALL SELECT {REPORT}, last_recorded FROM wy_done""", READY, """
-coded AS (SELECT * REPLACE (['CT', 'AR', 'CO', 'NJ', 'WY'][nation_key % 5 + 1] AS State) FROM ready)""",
-        part("coded", "ct", "CT"), fill("ct", "ct_done"),
-        part("coded", "ar", "AR"), close("ar", "ar_closed"), fill("ar_closed", "ar_done"),
-        part("coded", "co", "CO"), collapse("co", "co_merged"), fill("co_merged", "co_done"),
-        part("coded", "nj", "NJ"), close("nj", "nj_closed"),
-        "nj_recent AS (SELECT * FROM nj_closed WHERE Date >= 19960101)", collapse("nj_recent", "nj_merged"),
-        carry("nj_merged", "nj_carried", 19970101), fill("nj_carried", "nj_done"),
-        part("coded", "wy", "WY"), collapse("wy", "wy_merged"), close("wy_merged", "wy_closed"),
-        fill("wy_closed", "wy_filled"), unknown_closed("wy_filled", "wy_known"), past("wy_known", "wy_summed"),
-        fill("wy_summed", "wy_again"), unknown_closed("wy_again", "wy_done")),
+    "process_states": STATES,
+    "job_process": f"""
+SELECT State, upper(Facility) AS Facility, 'S' || ctp_id AS ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos,
+       Outbrk_Res_Pos, Outbrk_Staff_Pos, last_recorded FROM ({STATES})""",
+    "output_order": sql("""
+SELECT State, Facility, ctp_id, Date, row_number() OVER (PARTITION BY State, ctp_id ORDER BY Facility, Date) AS rank
+FROM one WHERE (nation_key + week) % 5 <> 0"""),
+    "job_check": sql("""
+SELECT State, 'types' AS kind, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
+UNION ALL
+SELECT State, 'dupes', count(*) FROM (
+  SELECT State, count(*) FILTER (Outbrk_Status = 'OPEN') OVER (PARTITION BY ctp_id, Date) AS n, Outbrk_Status FROM d)
+WHERE n > 1 AND Outbrk_Status = 'OPEN' GROUP BY State
+UNION ALL
+SELECT State, 'date_data_dupes', count(*) FROM (
+  SELECT State, count(*) OVER (PARTITION BY State, Date, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos,
+                               Outbrk_Staff_Pos) AS n FROM d) WHERE n > 1 GROUP BY State
+UNION ALL
+SELECT State, 'decreased_cumulative',
+       CAST(sum(CASE WHEN res < was_res THEN 1 ELSE 0 END + CASE WHEN staff <> -1 AND staff < was_staff THEN 1 ELSE 0 END) AS BIGINT)
+FROM seq WHERE res < was_res OR (staff <> -1 AND staff < was_staff) GROUP BY State""", over(DIRTY, "one"), DISTINCT),
     "check_findings": sql("""
 SELECT State, 'types' AS kind, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT State, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
@@ -607,16 +669,7 @@ SELECT State, 'date_data_dupes', count(*) FROM (
 UNION ALL
 SELECT State, 'decreased_cumulative',
        CAST(sum(CASE WHEN res < was_res THEN 1 ELSE 0 END + CASE WHEN staff <> -1 AND staff < was_staff THEN 1 ELSE 0 END) AS BIGINT)
-FROM seq WHERE res < was_res OR (staff <> -1 AND staff < was_staff) GROUP BY State""", DIRTY, """
-d AS (
-  SELECT State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos,
-         min(_ord) AS _ord,
-         CAST(Cume_Res_Pos AS BIGINT) AS res,
-         CASE WHEN Cume_Staff_Pos IS NULL THEN -1 WHEN Cume_Staff_Pos = '<11' THEN 1
-              ELSE CAST(Cume_Staff_Pos AS BIGINT) END AS staff
-  FROM dirty GROUP BY State, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos),
-seq AS (SELECT *, lag(res) OVER w AS was_res, lag(staff) OVER w AS was_staff
-        FROM d WINDOW w AS (PARTITION BY ctp_id ORDER BY Date, _ord))"""),
+FROM seq WHERE res < was_res OR (staff <> -1 AND staff < was_staff) GROUP BY State""", DIRTY, DISTINCT),
     "written_and_read": sql("""
 SELECT State, CASE WHEN ctp_id % 7 = 0 THEN 'a "b", ' || Facility || chr(10) || 'c' ELSE Facility END AS Facility,
        ctp_id, Date, CASE WHEN (ctp_id + week) % 6 = 0 THEN ' ' WHEN (ctp_id + week) % 5 <> 0 THEN Outbrk_Status END

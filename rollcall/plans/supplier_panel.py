@@ -21,7 +21,7 @@ from rollcall.operators.reconcile import Side
 from rollcall.plans import chains, jobs
 from rollcall.plans.chains import run_chain
 from rollcall.sources import sheets, sinks
-from rollcall.spec import PanelSpec
+from rollcall.spec import SHEET_COLUMNS, PanelSpec
 
 SPEC = PanelSpec(pairs=(("Cume_Res_Pos", "Outbrk_Res_Pos"), ("Cume_Staff_Pos", "Outbrk_Staff_Pos")))
 GRID = date_grid(19950105, 20011101)
@@ -290,19 +290,26 @@ def peer_fill_county(spark, sf_dir):
     return peers.fill_counties_from_peers(_typed(panel(spark, sf_dir)), SPEC).select(*PEERS)
 
 
-def fl_rules(spark, sf_dir):
-    p = _typed(panel(spark, sf_dir))
-    noisy = replace_columns(p, {
+def _florida(p: DataFrame) -> DataFrame:
+    """Labels of all kinds, counts with gaps, and the columns that the state's rules overwrite."""
+    return replace_columns(_typed(p), {
         "County": F.when(every(15, "week"), "TOTAL ALF").when(every(13, "week"), "UNKNOWN COUNTY")
         .when(every(11, "week"), "MIAMI‐DADE").when(every(7, "week"), "DADE").otherwise(F.col("County")),
         "Outbrk_Res_Pos": F.when(~every(4, "ctp_id", "week"), F.col("Outbrk_Res_Pos")),
         "Outbrk_Staff_Pos": F.when(~every(2, "ctp_id", "week"), F.col("Outbrk_Staff_Pos")),
         "Cume_Staff_Pos": F.when(~every(8, "ctp_id", "week"), F.col("Cume_Staff_Pos")),
     }).withColumns({"CTP_Facility_Type": F.lit("?"), "Regulate": F.lit("?")})
-    out = statewise.status_from_counts(statewise.clean_counties_fl(noisy, SPEC), SPEC)
+
+
+FLORIDA = [*PEERS, "CTP_Facility_Type", "Regulate", *METRICS]
+
+
+def fl_rules(spark, sf_dir):
+    rows = _florida(panel(spark, sf_dir))
+    out = statewise.status_from_counts(statewise.clean_counties_fl(rows, SPEC), SPEC)
     out = statewise.drop_empty_content(out, FL_CONTENT)
     out = statewise.clear_federal_ids(statewise.common_types(out, SPEC), SPEC)
-    return out.select(*PEERS, "CTP_Facility_Type", "Regulate", *METRICS)
+    return out.select(*FLORIDA)
 
 
 def _kentucky_county() -> Column:
@@ -601,6 +608,14 @@ def state_chain_dropping(spark, sf_dir):
     return run_chain(rows, "dropping_empty", SPEC, grid=GRID, standardized=True).select(*REPORT)
 
 
+def state_chain_florida(spark, sf_dir):
+    """Every fourth facility has a census, the other content columns are empty."""
+    rows = _florida(thinned(panel(spark, sf_dir))).withColumns(
+        {c: F.lit(None).cast("bigint") for c in statewise.FL_CONTENT if c not in REPORT}
+        | {"Res_Census": F.when(every(4, "ctp_id"), F.col("ctp_id"))})
+    return run_chain(rows, "florida", SPEC, grid=GRID, standardized=True).select(*FLORIDA, "Res_Census")
+
+
 def state_chain_kentucky(spark, sf_dir):
     rows = _reset_rows(spark, sf_dir).withColumn("County", _kentucky_county())
     return run_chain(rows, "kentucky", SPEC, grid=GRID, standardized=True, reset=RESET).select(*REPORT, "County")
@@ -620,15 +635,82 @@ def finish_panel(spark, sf_dir):
     return ordering.finish(p, SPEC, grid=GRID, close_unknown_status=True).select(*REPORT)
 
 
-def process_states(spark, sf_dir):
+STATES = ("CT", "AR", "CO", "NJ", "WY")
+CHAIN_OPTIONS = {"grid": GRID, "since": 19960101, "carry_from": 19970101}
+
+
+def _coded(spark, sf_dir) -> DataFrame:
     """Nations stand for five states with five different chains."""
-    states = ("CT", "AR", "CO", "NJ", "WY")
-    code = F.element_at(F.array(*[F.lit(c) for c in states]), (F.col("nation_key") % 5 + 1).cast("int"))
-    rows = _ready(spark, sf_dir).withColumn("State", code)
-    out, _ = chains.process_states(rows, states, SPEC, grid=GRID, since=19960101, carry_from=19970101)
+    code = F.element_at(F.array(*[F.lit(c) for c in STATES]), (F.col("nation_key") % 5 + 1).cast("int"))
+    return _ready(spark, sf_dir).withColumn("State", code)
+
+
+def process_states(spark, sf_dir):
+    out, _ = chains.process_states(_coded(spark, sf_dir), STATES, SPEC, **CHAIN_OPTIONS)
     return out.select(*REPORT, "last_recorded")
 
 
+def _csv(rows: DataFrame, path: str, by: str | None = None) -> None:
+    writer = rows.write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False)
+    (writer if by is None else writer.partitionBy(by)).csv(path)
+
+
+def job_process(spark, sf_dir):
+    """The job from files to files: sheets, registry and manifest are written as CSV, two runs process them,
+    and the result is read from the common output for three states, from their Final paths for the others."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    rows = _coded(spark, sf_dir).withColumn("sheet", F.col("State"))
+    cells = [F.col(c) if c in rows.columns and c != "ctp_id" else F.lit(None).cast("string").alias(c)
+             for c in SHEET_COLUMNS]
+    # a supplier's rows lie in one file, in order; the heading of the state has a stray blank
+    sheet = rows.repartition("sheet", "ctp_id").sortWithinPartitions("sheet", "ctp_id", "_ord").select(*cells, "sheet")
+    _csv(sheet.withColumnRenamed("State", "State "), f"{folder}/entry", by="sheet")
+    nothing = F.lit(None).cast("string")
+    code = F.element_at(F.array(*[F.lit(c) for c in STATES]), (F.col("s_nationkey") % 5 + 1).cast("int"))
+    _csv(table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("Facility"), nothing.alias("City"), nothing.alias("County"), code.alias("ctp_state"),
+        nothing.alias("CTP_Facility_Type"), code.alias("state"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("ctp_id")),
+        f"{folder}/registry")
+    there = rows.select("sheet").distinct()
+    _csv(there.select(F.col("sheet").alias("State"), F.concat(F.lit(f"{folder}/entry/sheet="), "sheet").alias("Entry"),
+                      F.concat(F.lit(f"{folder}/final-"), "sheet").alias("Final")), f"{folder}/manifest")
+    for states in (STATES[:2], STATES[2:]):
+        jobs.process(spark, f"{folder}/manifest", states, registry_path=f"{folder}/registry", out=f"{folder}/out",
+                     overwrite_final=True, multi_line=False, **CHAIN_OPTIONS)
+    finals = sheets.manifest_paths(sheets.read_manifest(spark, f"{folder}/manifest"), "Final", STATES[3:])
+    out = sheets.read_processed(spark, f"{folder}/out", states=STATES[:3], multi_line=False).unionByName(
+        sheets.read_processed(spark, sorted(finals.values()), multi_line=False), allowMissingColumns=True)
+    return out.select("State", "Facility", "ctp_id", F.col("Date").cast("int").alias("Date"), "Outbrk_Status",
+                      *[F.col(c).cast("bigint").alias(c) for c in METRICS],
+                      F.col("last_recorded").cast("int").alias("last_recorded"))
+
+
+def job_check(spark, sf_dir):
+    """Findings per state and kind in the reports of the check job on a published panel."""
+    folder = f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
+    rows = dirty(one_row_per_date(panel(spark, sf_dir)))
+    rows = rows.withColumns({c: F.lit("") for c in ("County", "City", "CTP_Facility_Type")})
+    sinks.write_processed(rows.drop("nation_key", "week"), f"{folder}/final", SPEC)
+    _csv(table(spark, sf_dir, "nation").select(F.col("n_name").alias("State"), F.lit("").alias("Entry"),
+                                               F.lit(f"{folder}/final").alias("Final")), f"{folder}/manifest")
+    found = jobs.check_states(spark, f"{folder}/manifest", out=f"{folder}/reports", spec=SPEC, multi_line=False)
+    out = found["types"].groupBy("State").agg(F.sum("n").alias("n")).withColumn("kind", F.lit("types"))
+    for kind in ("dupes", "date_data_dupes", "decreased_cumulative"):
+        # a kind without findings has a folder without files
+        report = spark.read.schema("first string, sheet string").option("header", True).csv(f"{folder}/reports/{kind}")
+        out = out.unionByName(report.groupBy(F.col("sheet").alias("State")).agg(F.count(F.lit(1)).alias("n"))
+                              .withColumn("kind", F.lit(kind)))
+    return out.select("State", "kind", "n")
+
+
+def output_order(spark, sf_dir):
+    """Place of each report among its supplier's in the final order."""
+    rows = one_row_per_date(_ready(spark, sf_dir))
+    placed = ordering.sort_output(rows, SPEC).withColumn("at", F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.partitionBy("State", "ctp_id").orderBy("at"))
+    return placed.select("State", "Facility", "ctp_id", "Date", nth.cast("bigint").alias("rank"))
+
+
 def check_findings(spark, sf_dir):
     """Findings per state and kind of a panel checked as a whole."""
     rows = dirty(panel(spark, sf_dir)).withColumn("CTP_Facility_Type", F.lit(""))
@@ -669,6 +751,6 @@ QUERIES = {f.__name__: f for f in (
     recon_national, recon_inner, recon_outer, recon_latest, recon_unmatched_top5, recon_divergent,
     recon_divergent_week, recon_divergent_report, recon_exports, recon_unique_ids, recon_totals, recon_value_counts, recon_counts,
     recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy,
-    state_chain_merging, state_chain_listed, state_chain_marked, state_chain_dropping,
-    state_chain_kentucky, state_chain_looked_up, finish_panel,
-    process_states, check_findings, written_and_read)}
+    state_chain_merging, state_chain_listed, state_chain_marked, state_chain_dropping, state_chain_florida,
+    state_chain_kentucky, state_chain_looked_up, finish_panel, output_order,
+    process_states, job_process, check_findings, job_check, written_and_read)}
