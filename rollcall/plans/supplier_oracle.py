@@ -605,6 +605,8 @@ WHERE ctp_facility = 'Supplier#000000003' AND ctp_cms_week IS NOT NULL"""),
     "state_chain_wy": sql(f"SELECT {REPORT}, last_recorded FROM done", READY, collapse("ready", "merged"),
                           close("merged", "closed"), fill("closed", "filled"), unknown_closed("filled", "known"),
                           past("known", "summed"), fill("summed", "again"), unknown_closed("again", "done")),
+    "state_chain_collapsing": sql(f"SELECT {REPORT} FROM filled", READY, collapse("ready", "merged"),
+                                  fill("merged", "filled")),
     "state_chain_merging": sql(f"SELECT {REPORT} FROM filled", thin("panel", "t"), over(DIRTY, "t"),
                                f"merged AS ({no_add(False)})", fill("merged", "filled")),
     "state_chain_listed": sql(f"SELECT {REPORT}, State_Facility_Type FROM filled", thin("panel", "t"), over(DIRTY, "t"),

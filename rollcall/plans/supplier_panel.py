@@ -587,6 +587,10 @@ def state_chain_wy(spark, sf_dir):
     return run_chain(_ready(spark, sf_dir), "wyoming", SPEC, grid=GRID).select(*REPORT, "last_recorded")
 
 
+def state_chain_collapsing(spark, sf_dir):
+    return run_chain(_ready(spark, sf_dir), "collapsing", SPEC, grid=GRID).select(*REPORT)
+
+
 def state_chain_merging(spark, sf_dir):
     rows = dirty(thinned(panel(spark, sf_dir)))
     return run_chain(rows, "merging", SPEC, grid=GRID, standardized=True).select(*REPORT)
@@ -751,6 +755,6 @@ QUERIES = {f.__name__: f for f in (
     recon_national, recon_inner, recon_outer, recon_latest, recon_unmatched_top5, recon_divergent,
     recon_divergent_week, recon_divergent_report, recon_exports, recon_unique_ids, recon_totals, recon_value_counts, recon_counts,
     recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy,
-    state_chain_merging, state_chain_listed, state_chain_marked, state_chain_dropping, state_chain_florida,
-    state_chain_kentucky, state_chain_looked_up, finish_panel, output_order,
+    state_chain_collapsing, state_chain_merging, state_chain_listed, state_chain_marked,
+    state_chain_dropping, state_chain_florida, state_chain_kentucky, state_chain_looked_up, finish_panel, output_order,
     process_states, job_process, check_findings, job_check, written_and_read)}
