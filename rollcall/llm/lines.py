@@ -1,10 +1,17 @@
 """Line dedup (operator 1) over content-defined chunks of lines.
 
-A document's lines are hashed; after line i a chunk ends where a rolling hash over the hashes of lines
-i - 1 and i is 0 modulo ``divisor``.  Boundaries depend on nearby lines only, so an insertion moves no
-later boundary and equal passages are cut alike wherever they stand.  Chunks of two or more lines that are
-not blank count as multi-line.  Of the places of an equal chunk the first (smallest id, then position)
-stays and the others are removed, after their bytes have been compared with those of the first.
+A document's lines that are not blank are hashed; a chunk ends after a line whose hash is below that of the
+line before and not above that of the line after.  Boundaries depend on three lines only, so an insertion
+moves no later boundary and equal passages are cut alike wherever they stand.  Two boundaries are never next
+to each other and none stands next to an end of the text, so every chunk has two or more lines that are not
+blank (three on average), unless the whole text has fewer.  Of the places of an equal chunk the first
+(smallest id, then position) stays and the others are removed, after their bytes have been compared with
+those of the first.
+
+With ``extend`` a removed chunk takes along the lines before and after it for as long as they equal (64-bit
+hashes of lines at the same distance) the lines around the first place.  Boundaries inside a repeated passage
+differ near its ends only, so two neighbouring chunks on each side are looked at.  A removed line always
+equals an earlier one, of which the earliest stays.
 
 Chunk keys alone are shuffled to find repeats; bytes travel only for repeated chunks.  Joins on chunk keys
 have written tables on both sides, so adaptive execution can split a key that many documents share.
@@ -26,28 +33,35 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
 from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack
-from rollcall.llm.words import U64, mixed
+from rollcall.llm.words import U64, covered, mixed
 
-DIVISOR = 4
+REACH = 2  # neighbouring chunks looked at on each side of a removed one
+_COUNT = 1 << 31  # a run of lines is sent as first line * _COUNT + lines
 
 
-def chunks(text: bytes, divisor: int = DIVISOR) -> list[tuple[int, int, int, int]]:
+def split(text: bytes) -> list[bytes]:
+    """Lines; a break at the end of the text begins no further line."""
+    lines = text.split(b"\n")
+    if lines[-1] == b"":
+        lines.pop()
+    return lines
+
+
+def chunks(text: bytes) -> list[tuple[int, int, int, int]]:
     """(first byte, one past the last byte, lines, lines that are not blank) of each chunk, in order.
 
     The break after a chunk's last line belongs to the chunk.
     """
-    lines = text.split(b"\n")
-    if lines[-1] == b"":
-        lines.pop()
+    lines = split(text)
     if not lines:
         return []
-    hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], U64)
-    before = np.concatenate([np.zeros(1, U64), hashes[:-1]])
-    ends = np.flatnonzero(mixed(hashes * np.uint64(31) + before) % np.uint64(divisor) == 0) + 1
-    if not len(ends) or ends[-1] != len(lines):
-        ends = np.append(ends, len(lines))
+    filled = np.array([bool(x.strip()) for x in lines])
+    rows = np.flatnonzero(filled)
+    h = mixed(np.array([xxhash.xxh3_64_intdigest(lines[k]) for k in rows], U64))
+    low = (h[1:-2] < h[:-3]) & (h[1:-2] <= h[2:-1])  # not after the first line, nor the last two
+    ends = np.append(rows[np.flatnonzero(low) + 1] + 1, len(lines))
     at = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
-    full = np.concatenate([[0], np.cumsum([bool(x.strip()) for x in lines])])
+    full = np.concatenate([[0], np.cumsum(filled)])
     starts = np.concatenate([[0], ends[:-1]])
     return [(int(at[a]), min(int(at[b]), len(text)), int(b - a), int(full[b] - full[a])) for a, b in zip(starts, ends)]
 
@@ -57,12 +71,12 @@ def body(text: bytes, first: int, last: int) -> bytes:
     return text[first:last].removesuffix(b"\n")
 
 
-def _keys(docs: DataFrame, divisor: int) -> DataFrame:
+def _keys(docs: DataFrame) -> DataFrame:
     def work(slices):
         for rows in slices:
             out = {"low": [], "high": [], "doc": [], "place": []}
             for doc, text in rows:
-                for n, (a, b, _, full) in enumerate(chunks(text, divisor)):
+                for n, (a, b, _, full) in enumerate(chunks(text)):
                     if full > 1:
                         low, high = np.frombuffer(xxhash.xxh3_128_digest(body(text, a, b)), np.int64).tolist()
                         for name, x in zip(out, (low, high, doc, n)):
@@ -72,9 +86,25 @@ def _keys(docs: DataFrame, divisor: int) -> DataFrame:
     return by_arrow(docs, work, "low bigint, high bigint, doc bigint, place int")
 
 
-def repeats(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """(doc, place) of chunks that are byte-equal to an earlier one; ``docs`` has (doc, text as bytes)."""
-    keys = settle(_keys(docs, divisor).distinct())
+def _marks(text: bytes, spans: list[tuple[int, int, int, int]], first: int, last: int) -> bytes:
+    """Hashes of the lines of chunks first to last - 1, those that exist."""
+    some = spans[max(0, first):last]
+    lines = split(text[some[0][0]:some[-1][1]]) if some else []
+    return np.array([xxhash.xxh3_64_intdigest(x) for x in lines], U64).tobytes()
+
+
+def alike(one: bytes, two: bytes, back: bool = False) -> int:
+    """How many lines are equal from the start, or from the end, on."""
+    a, b = (np.frombuffer(x, U64)[::-1 if back else 1] for x in (one, two))
+    n = min(len(a), len(b))
+    other = np.flatnonzero(a[:n] != b[:n])
+    return int(other[0]) if len(other) else n
+
+
+def repeats(docs: DataFrame, extend: bool = False) -> DataFrame:
+    """(doc, place) of runs of lines, from chunks that are byte-equal to an earlier one; ``docs`` has (doc, text
+    as bytes)."""
+    keys = settle(_keys(docs).distinct())
     first = settle(keys.groupBy("low", "high").agg(
         F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     again = keys.join(first, ["low", "high"])
@@ -83,49 +113,68 @@ def repeats(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
         for doc, packed, places in groups:
             text = unpack.decompress(packed)
-            spans = chunks(text, divisor)
+            spans = chunks(text)
             places = places[places < len(spans)]
             pieces = [body(text, *spans[p][:2]) for p in places]
             ids = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), np.int64).reshape(-1, 2)
+            sizes = np.array([x[2] for x in spans], np.int64)
             yield {"low": ids[:, 0], "high": ids[:, 1], "doc": np.full(len(places), doc), "place": places,
-                   "bytes": pieces}
+                   "line": (np.cumsum(sizes) - sizes)[places], "lines": sizes[places], "bytes": pieces,
+                   "before": [_marks(text, spans, p - REACH, p) if extend else b"" for p in places.tolist()],
+                   "after": [_marks(text, spans, p + 1, p + 1 + REACH) if extend else b"" for p in places.tolist()]}
 
     pieces = settle(merged(pack(docs), again.select("doc", "place"), cut,
-                           "low bigint, high bigint, doc bigint, place int, bytes binary"))
+                           "low bigint, high bigint, doc bigint, place int, line bigint, lines bigint, bytes binary, "
+                           "before binary, after binary"))
     # the first places: one row per key
     kept = settle(pieces.join(first.select("low", "high", "first.doc", "first.place"), ["low", "high", "doc", "place"])
-                  .groupBy("low", "high").agg(F.min("bytes").alias("first_bytes"), F.min("doc").alias("first_doc"),
-                                              F.min("place").alias("first_place")))
-    same = (F.col("bytes") == F.col("first_bytes")) & ~(
-        (F.col("doc") == F.col("first_doc")) & (F.col("place") == F.col("first_place")))
-    return pieces.join(kept, ["low", "high"]).where(same).select("doc", "place")
+                  .groupBy("low", "high").agg(
+                      F.min(F.struct("bytes", "doc", "place", "before", "after")).alias("kept")))
+    same = (F.col("bytes") == F.col("kept.bytes")) & ~(
+        (F.col("doc") == F.col("kept.doc")) & (F.col("place") == F.col("kept.place")))
+    found = pieces.join(kept, ["low", "high"]).where(same).select(
+        "doc", "line", "lines", "before", "after", F.col("kept.before").alias("b"), F.col("kept.after").alias("a"))
+
+    def widen(slices):
+        for rows in slices:
+            out = {"doc": [], "place": []}
+            for doc, line, n, before, after, b, a in rows:
+                more = alike(before, b, back=True)
+                out["doc"].append(doc)
+                out["place"].append((line - more) * _COUNT + more + n + alike(after, a))
+            yield out
+
+    return by_arrow(found, widen, "doc bigint, place bigint")
 
 
-def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
-    """(doc, n_removed_chunks, n_removed_lines, kept) of the documents that lose chunks."""
+def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", extend: bool = False) -> DataFrame:
+    """(doc, n_removed_chunks, n_removed_lines, kept) of the documents that lose lines; a removed chunk is one
+    of which no line stays."""
     keyed = docs.select(doc_key(doc_id, text).alias("doc"), as_bytes(text).alias("text"))
 
     def cut(groups):
         unpack = zstandard.ZstdDecompressor()
         for doc, packed, places in groups:
             whole = unpack.decompress(packed)
-            gone = set(places.tolist())
-            spans = chunks(whole, divisor)
-            kept = b"".join([whole[a:b] for n, (a, b, _, _) in enumerate(spans) if n not in gone])
-            if spans[-1][1] == len(whole) and len(spans) - 1 in gone and not whole.endswith(b"\n"):
-                kept = kept.removesuffix(b"\n")
-            yield {"doc": [doc], "n_removed_chunks": [len(gone)], "kept": [kept.decode()],
-                   "n_removed_lines": [sum(n for k, (_, _, n, _) in enumerate(spans) if k in gone)],
-                   "kept_sha256": [hashlib.sha256(kept).hexdigest()]}
-
-    return merged(pack(keyed), repeats(keyed, divisor), cut,
+            lines = split(whole)
+            runs = places[places // _COUNT < len(lines)]
+            gone = covered(len(lines), runs // _COUNT, runs % _COUNT)
+            kept = b"\n".join([x for x, away in zip(lines, gone) if not away])
+            if whole.endswith(b"\n") and not gone.all():
+                kept += b"\n"
+            sizes = [n for _, _, n, _ in chunks(whole)]
+            left = np.add.reduceat(~gone, np.cumsum(sizes) - sizes, dtype=np.int64) if sizes else np.ones(0)
+            yield {"doc": [doc], "n_removed_chunks": [int((left == 0).sum())], "kept": [kept.decode()],
+                   "n_removed_lines": [int(gone.sum())], "kept_sha256": [hashlib.sha256(kept).hexdigest()]}
+
+    return merged(pack(keyed), repeats(keyed, extend), cut,
                   "doc bigint, n_removed_chunks bigint, n_removed_lines bigint, kept string, kept_sha256 string")
 
 
 def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
-          divisor: int = DIVISOR) -> DataFrame:
+          extend: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of the text; documents of which nothing is left go."""
-    cut = removed(docs, doc_id=doc_id, text=text, divisor=divisor).groupBy("doc").agg(F.max("kept").alias("_kept"))
+    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(F.max("kept").alias("_kept"))
     out = (docs.withColumn("_doc", doc_key(doc_id, text)).join(cut.withColumnRenamed("doc", "_doc"), "_doc", "left")
            .where("_kept IS NULL OR trim(_kept) != ''"))
     columns = {text: F.coalesce("_kept", F.col(f"`{text}`"))}
@@ -134,11 +183,11 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_char
     return out.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
+def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", extend: bool = False) -> DataFrame:
     """Per document: lines, chunks, removed lines and chunks, and the hash of what is kept."""
     def plain(slices):
         for rows in slices:
-            spans = [chunks(t, divisor) for _, _, t in rows]
+            spans = [chunks(t) for _, _, t in rows]
             yield {"doc": [d for d, _, _ in rows], "doc_id": [i for _, i, _ in rows],
                    "n_lines": [sum(x[2] for x in s) for s in spans], "n_chunks": [len(s) for s in spans],
                    "whole": [hashlib.sha256(t).hexdigest() for _, _, t in rows]}
@@ -146,7 +195,7 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", divis
     base = by_arrow(docs.select(doc_key(doc_id, text).alias("doc"), F.col(f"`{doc_id}`").cast("bigint"),
                                 as_bytes(text).alias("text")),
                     plain, "doc bigint, doc_id bigint, n_lines bigint, n_chunks bigint, whole string")
-    cut = removed(docs, doc_id=doc_id, text=text, divisor=divisor).groupBy("doc").agg(
+    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n_removed_lines", "n_removed_chunks", "kept_sha256")])
     return base.join(cut, "doc", "left").select(
         "doc_id", "n_lines", "n_chunks", F.coalesce("n_removed_lines", F.lit(0)).alias("n_removed_lines"),

@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.report(table(spark, sf_dir, "documents"))
+    return lines.report(table(spark, sf_dir, "documents"), extend=True)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
