@@ -1,23 +1,30 @@
-"""Licence scan (operator 7) by a trained paragraph classifier, confirmed by templates.
-
-Paragraphs are the lines of a text that are not blank.  Features are hashed 1- and 2-grams of words,
-scaled to length 1.  A multinomial logistic regression with one class per licence family and a class
-``unknown`` is fitted by follow-the-regularised-leader: families learn from variants of their templates
-(words dropped or replaced, words put around them), ``unknown`` from a bounded sample of the corpus' own
-paragraphs that match no template.  The temperature is calibrated on rows kept out of training, so the
-probability of ``unknown`` is calibrated too.  A family is reported when its probability reaches
-``threshold`` and at least ``similarity`` of the word 2-grams of one of its templates stand in the paragraph.
-
-All paragraphs of all documents are classified, whole.
-
-Defined results: null and empty texts have no paragraphs; a paragraph without words is ``unknown``; of
-equal probabilities the first family by name wins; repeated rows each get their own result; an empty table
+"""Licence scan (operator 7) by a trained classifier of passages, confirmed by templates.
+
+Paragraphs end at blank lines, and a notice may be wrapped over lines or stand between other lines of its
+paragraph.  So the passages looked at are all runs of neighbouring lines of a paragraph, joined: single lines
+of any length, and longer runs as far as the template's pairs lie within ``WIDEST`` words of the first line's
+start.  Features are hashed 1- and 2-grams of words, scaled to length 1.  A multinomial logistic regression
+with one class per licence family and a class ``unknown`` is fitted by follow-the-regularised-leader: families
+learn from variants of their templates (words dropped or put between, words put around them), ``unknown`` from
+a bounded sample of the corpus' own passages of one to four lines in paragraphs that match no template.  The temperature is
+calibrated on rows kept out of training, so the probability of ``unknown`` is calibrated too.  A family is
+reported when its probability reaches ``threshold`` and at least ``similarity`` of the word 2-grams of one of
+its templates stand in the passage.
+
+Both must hold, so the cheaper comparison goes first: passages that hold enough of a template are found in all
+paragraphs of all documents, and these are classified, whole.  Of passages that begin alike only those are
+taken whose last line adds a word pair of the template.
+
+Defined results: ``n_paragraphs`` counts lines that are not blank; ``n_licensed`` counts notices, where
+passages of a family that share a line are one notice; null and empty texts have no paragraphs; of equal
+probabilities the first family by name wins; repeated rows each get their own result; an empty table
 gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +35,7 @@ from rollcall.llm.words import U64, hashed, mixed
 
 FEATURES = 1 << 15
 UNKNOWN = "unknown"
+WIDEST = 200  # words
 
 # fixed values: notices by which works usually name their licence
 TEMPLATES = {
@@ -47,7 +55,8 @@ TEMPLATES = {
     "GPL": ["This work is licensed under the GNU General Public License, version 3.",
             "This program is free software under the terms of the GNU General Public License."],
     "ISC": ["Released under the ISC License."],
-    "LGPL": ["licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL": ["licensed under the GNU Lesser General Public License, version 3.",
+             "This program is free software under the terms of the GNU Lesser General Public License."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
@@ -75,16 +84,60 @@ def row(words: list[bytes]) -> ftrl.Row:
     return at, np.full(len(at), 1 / np.sqrt(max(1, len(at))))
 
 
-def likeness(words: list[bytes], family: str, pairs: dict[str, list[np.ndarray]]) -> float:
-    """Largest share of a template's word pairs that stand in the paragraph."""
-    own = grams(words)[1]
-    return max(float(np.isin(p, own).mean()) for p in pairs[family])
-
-
 def template_pairs() -> dict[str, list[np.ndarray]]:
     return {f: [np.unique(grams(words_of(t.encode()))[1]) for t in texts] for f, texts in TEMPLATES.items()}
 
 
+def paragraphs_of(raw: bytes) -> list[list[bytes]]:
+    """Lines of each paragraph; blank lines stand between paragraphs."""
+    out, open_ = [], False
+    for x in raw.split(b"\n"):
+        if not x.strip():
+            open_ = False
+        elif open_:
+            out[-1].append(x)
+        else:
+            out.append([x])
+            open_ = True
+    return out
+
+
+def passages(lines: list[list[bytes]], paragraph: np.ndarray, pairs: dict[str, list[np.ndarray]], similarity: float
+             ) -> list[tuple[str, int, int, float]]:
+    """(family, first line, last line, likeness) of runs of lines that hold enough of a template.
+
+    ``lines`` are words, ``paragraph`` numbers the paragraph of each line.
+    """
+    sizes = np.array([len(w) for w in lines], np.int64)
+    if sizes.sum() < 2:
+        return []
+    two = grams([x for w in lines for x in w])[1]
+    line = np.repeat(np.arange(len(lines)), sizes)
+    begin = np.cumsum(sizes) - sizes
+    known = np.unique(np.concatenate([p for texts in pairs.values() for p in texts]))
+    place = np.minimum(np.searchsorted(known, two), len(known) - 1)
+    at = np.flatnonzero((known[place] == two) & (paragraph[line[:-1]] == paragraph[line[1:]]))
+    found = []
+    fewest = min(similarity * len(p) for texts in pairs.values() for p in texts)
+    for part in np.split(at, np.flatnonzero(np.diff(paragraph[line[at]])) + 1):
+        if len(part) < fewest:
+            continue
+        for family, texts in pairs.items():
+            for p in texts:
+                mine = part[np.isin(two[part], p)]
+                if len(np.unique(two[mine])) / len(p) < similarity:
+                    continue
+                for first in np.unique(line[mine]).tolist():
+                    end = begin[first] + max(sizes[first], WIDEST)
+                    here = mine[np.searchsorted(mine, begin[first]):np.searchsorted(mine, end)]
+                    lasts = np.sort(line[here[np.unique(two[here], return_index=True)[1]] + 1])
+                    for last in np.unique(lasts).tolist():
+                        alike = float(np.searchsorted(lasts, last, side="right")) / len(p)
+                        if alike >= similarity:
+                            found.append((family, first, last, alike))
+    return found
+
+
 class Model:
     """Class weights on hashed grams; paragraphs of many documents are classified at once."""
 
@@ -107,13 +160,21 @@ class Model:
 
 
 def fit(docs: DataFrame, *, text: str = "text", sample: int = 3000, variants: int = 60, seed: int = 1) -> Model:
-    """Learn families from templates and ``unknown`` from ``sample`` paragraphs of ``docs``."""
-    lines = docs.select(F.explode(F.split(F.col(f"`{text}`").cast("string"), "\n")).alias("line")).where("trim(line) != ''")
-    drawn = sorted(lowest(lines, sample, key="line").select("line").collect())
+    """Learn families from templates and ``unknown`` from ``sample`` passages of ``docs``."""
+    def units(slices):
+        pairs = template_pairs()
+        for rows in slices:
+            held = [lines for (raw,) in rows for lines in paragraphs_of(raw)]
+            paragraph = np.repeat(np.arange(len(held)), [len(lines) for lines in held])
+            some = passages([words_of(x) for lines in held for x in lines], paragraph, pairs, 0.5)
+            noticed = {paragraph[first] for _, first, _, _ in some}  # their other lines may be parts of a notice, too
+            yield {"passage": [b"\n".join(lines[k:k + 1 + xxhash.xxh3_64_intdigest(x) % 4]).decode()
+                               for n, lines in enumerate(held) if n not in noticed for k, x in enumerate(lines)]}
+
+    drawn = sorted(lowest(by_arrow(docs.select(as_bytes(text).alias("text")), units, "passage string"), sample,
+                          key="passage").select("passage").collect())
     rng = np.random.default_rng(seed)
-    pairs = template_pairs()
-    others = [w for w in (words_of(r["line"].encode()) for r in drawn) if w]
-    others = [w for w in others if all(likeness(w, f, pairs) < 0.5 for f in pairs)] or [[b"the"]]
+    others = [w for w in (words_of(r["passage"].encode()) for r in drawn) if w] or [[b"the"]]
     filler = [x for w in others[:300] for x in w]
     rows, labels = [row(w) for w in others], [0] * len(others)
     for label, family in enumerate(FAMILIES[1:], 1):
@@ -125,6 +186,10 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = 3000, variants: in
                     around = [filler[j] for j in rng.integers(0, len(filler), int(rng.integers(1, 12)))]
                     cut = int(rng.integers(0, len(around) + 1))
                     words = around[:cut] + words + around[cut:]
+                if k % 6 == 5:  # as in longer forms of a notice
+                    more = [filler[j] for j in rng.integers(0, len(filler), int(rng.integers(1, 30)))]
+                    cut = int(rng.integers(0, len(words) + 1))
+                    words = words[:cut] + more + words[cut:]
                 rows.append(row(words))
                 labels.append(label)
     return Model(*ftrl.fit(rows, labels, FEATURES, len(FAMILIES), seed=seed, epochs=4, alpha=1.0, l1=1e-4, l2=1e-4))
@@ -142,24 +207,36 @@ def scan(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "
             out = {"doc_id": [i for i, _ in rows], "n_paragraphs": [], "n_licensed": [0] * len(rows),
                    "families": [], "score": [0.0] * len(rows), "similarity": [0.0] * len(rows)}
             found: list[set[str]] = [set() for _ in rows]
-            owner, paragraphs = [], []
+            owner, paragraph, lines = [], [], []
             for n, (_, raw) in enumerate(rows):
-                lines = [x for x in raw.split(b"\n") if x.strip()]
-                out["n_paragraphs"].append(len(lines))
-                for w in filter(None, map(words_of, lines)):
-                    owner.append(n)
-                    paragraphs.append(w)
-            if paragraphs:
-                p = here.probabilities(paragraphs)
+                before = len(lines)
+                for some in paragraphs_of(raw):
+                    number = paragraph[-1] + 1 if paragraph else 0
+                    lines += map(words_of, some)
+                    owner += [n] * len(some)
+                    paragraph += [number] * len(some)
+                out["n_paragraphs"].append(len(lines) - before)
+            some = passages(lines, np.array(paragraph, np.int64), pairs, similarity)
+            spans = sorted({(first, last) for _, first, last, _ in some})
+            surest = {}
+            for at in range(0, len(spans), 4096):
+                part = spans[at:at + 4096]
+                p = here.probabilities([[x for w in lines[a:b + 1] for x in w] for a, b in part])
                 best = p[:, 1:].argmax(axis=1) + 1
-                for k in np.flatnonzero(p[np.arange(len(p)), best] >= threshold).tolist():
-                    alike = likeness(paragraphs[k], FAMILIES[best[k]], pairs)
-                    if alike >= similarity:
-                        n = owner[k]
-                        found[n].add(FAMILIES[best[k]])
-                        out["n_licensed"][n] += 1
-                        out["score"][n] = max(out["score"][n], float(p[k, best[k]]))
-                        out["similarity"][n] = max(out["similarity"][n], alike)
+                surest |= {s: (FAMILIES[k], float(v[k])) for s, k, v in zip(part, best, p)}
+            taken: dict[str, set[int]] = {}
+            for family, first, last, alike in sorted(some, key=lambda x: (x[2] - x[1], x[1], -x[3])):
+                likely, score = surest[first, last]
+                if likely != family or score < threshold:
+                    continue
+                n = owner[first]
+                found[n].add(family)
+                out["score"][n] = max(out["score"][n], score)
+                out["similarity"][n] = max(out["similarity"][n], alike)
+                held = taken.setdefault(family, set())
+                if held.isdisjoint(range(first, last + 1)):
+                    held.update(range(first, last + 1))
+                    out["n_licensed"][n] += 1
             out["families"] = [",".join(sorted(f)) for f in found]
             yield out
 

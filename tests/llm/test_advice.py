@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
-from rollcall.llm import lines
+from rollcall.llm import licences, lines
 
 KIND = "doc_id bigint, text string"
 
@@ -38,3 +39,39 @@ def test_repeated_passages_go_as_a_whole(spark):
     assert got == want
     counts = {r["doc_id"]: r["n_removed_lines"] for r in lines.report(docs, extend=True).collect()}
     assert counts == {k: 12 * (k >= 20) for k in range(60)}
+
+
+def header(name):
+    return (f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as "
+            "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+            "version.")
+
+
+HEADERS = {"GPL": header("GNU General Public License"), "AGPL": header("GNU Affero General Public License"),
+           "LGPL": header("GNU Lesser General Public License"),
+           "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                  "associated documentation files (the \"Software\"), to deal in the Software without restriction.",
+           "MPL": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                  "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."}
+
+
+def test_wrapped_notices(spark):
+    rng = random.Random(33)
+    pool = [f"w{k}" for k in range(60)]
+
+    def prose(n):
+        return "\n".join(" ".join(rng.choices(pool, k=10)) for _ in range(n))
+
+    rows, want = [(k, prose(8) + "\n\n" + prose(5), ) for k in range(40)], {k: "" for k in range(40)}
+    for family, text in HEADERS.items():
+        for width, mark in ((70, ""), (40, " * "), (24, "# ")):
+            notice = "\n".join(mark + x for x in textwrap.wrap(text, width))
+            for whole in (notice, prose(3) + "\n\n" + notice + "\n\n" + prose(2), prose(3) + "\n" + notice + "\n" + prose(3)):
+                want[len(rows)] = family
+                rows.append((len(rows), whole))
+    apart = "This program is free software\n\nunder the terms\n\nof the GNU General\n\nPublic License"
+    want[len(rows)] = ""
+    rows.append((len(rows), apart))
+    got = {r["doc_id"]: r for r in licences.report(spark.createDataFrame(rows, KIND).repartition(3)).collect()}
+    assert {k: r["families"] for k, r in got.items()} == want
+    assert all(r["n_licensed"] == bool(want[k]) for k, r in got.items())
