@@ -3,7 +3,8 @@
 1. quality: documents the classifier scores below 0.7 go; the classifier learns from ``labels`` and the
    stage's own input.
 2. lines: multi-line chunks that stand earlier in the corpus are cut out; documents left empty go.
-3. near: one document of each group of near duplicates stays (the smallest id).
+3. near: one document of each group of near duplicates stays (the smallest id); near duplicates share
+   80 % of their five-word shingles (``op4_near_dedup`` takes two words).
 4. decontaminate: documents with at least 5 % of their words in passages of ``benchmark`` go.
 5. mix: documents are emitted as often as the target weights of their sources call for, with ``mix_copy``.
 
@@ -31,7 +32,7 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.keep_one(docs)
+    return near.keep_one(docs, width=5)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

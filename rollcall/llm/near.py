@@ -1,6 +1,6 @@
 """Near-duplicate groups (operator 4) by SetSketch registers.
 
-A document's set holds its distinct two-word shingles (64-bit hashes).  Register i of its sketch is
+A document's set holds its distinct shingles of ``width`` words, two by default (64-bit hashes).  Register i of its sketch is
 ``floor(1 - log_B(x_i))`` clipped to [0, TOP], where x_i is the least of the exponential variables that
 hash i gives the shingles; registers of a union are the maxima of the registers, and two documents agree
 in a register about as often as their sets do.
@@ -19,8 +19,8 @@ in a register about as often as their sets do.
 
 With BANDS = 32 and ROWS = 4 a pair at exactly 0.8 shares no band with probability below 1e-7.
 
-Defined results: null, empty and blank texts have the empty set and are linked with nothing; one word is
-one shingle; equal rows of one id fall in one class; rows without an id are not linked: their
+Defined results: null, empty and blank texts have the empty set and are linked with nothing; a text of
+fewer words than a shingle is one shingle; equal rows of one id fall in one class; rows without an id are not linked: their
 component_id is null and ``kept`` is true; empty tables give empty tables; further columns are not read.
 """
 
@@ -43,15 +43,18 @@ LOG_GAP = 25.0  # a pair is dropped when 0.8 is e^25 times less likely than the
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=U64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted hashes of the distinct two-word shingles; one word alone counts as one."""
+def shingles(text: bytes, width: int = 2) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of ``width`` words; a text of fewer words counts as one."""
     words = text.lower().split()
     if not words:
         return np.empty(0, U64)
     h = hashed(words)[:, 0]
     if len(h) == 1:
         return mixed(h * np.uint64(3))
-    return np.unique(mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(h[1:] + np.uint64(1))))
+    runs = h
+    for k in range(1, min(width, len(h))):
+        runs = mixed(runs[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(h[k:] + np.uint64(1)))
+    return np.unique(runs)
 
 
 def registers(items: np.ndarray) -> np.ndarray:
@@ -90,11 +93,11 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least
     return possible & ((score[:, -1] >= score.max(axis=1) - LOG_GAP) | (grid[:, -2] <= least))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int = 2) -> DataFrame:
     """(id, n, low, high, registers) per row; low and high hash the whole set."""
     def work(slices):
         for rows in slices:
-            sets = [shingles(text) for _, text in rows]
+            sets = [shingles(text, width) for _, text in rows]
             ids = np.frombuffer(b"".join([xxhash.xxh3_128_digest(s) for s in sets]), np.int64).reshape(-1, 2)
             yield {"id": [i for i, _ in rows], "n": [len(s) for s in sets], "low": ids[:, 0], "high": ids[:, 1],
                    "registers": [registers(s).tobytes() if len(s) else None for s in sets]}
@@ -142,7 +145,7 @@ def _bits(items: np.ndarray) -> np.ndarray:
     return np.packbits(flags).view(np.int64)
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+def _measured(pairs: DataFrame, texts: DataFrame, least: int, width: int) -> DataFrame:
     """(a, b) with ``near`` (100 * shared >= least * all, on full sets) and b described relative to a:
     sizes, what b lacks of a and adds to it, as counts and as maps."""
     one = texts.select(F.col("id").alias("a"), F.col("packed").alias("t_a"))
@@ -157,8 +160,8 @@ def _measured(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
                 rows = []
                 for a, t_a, t_b in zip(*[part.column(k).to_pylist() for k in (0, 2, 3)]):
                     if a != last:
-                        last, first = a, shingles(unpack.decompress(t_a))
-                    other = shingles(unpack.decompress(t_b))
+                        last, first = a, shingles(unpack.decompress(t_a), width)
+                    other = shingles(unpack.decompress(t_b), width)
                     place = np.minimum(np.searchsorted(first, other), len(first) - 1)
                     shared = first[place] == other
                     n = int(shared.sum())
@@ -194,10 +197,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("id"), F.col("label").alias("component"))
 
 
-def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
+def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80, width: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
     keyed = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), as_bytes(text).alias("text"))
-    sketched = settle(sketches(keyed))
+    sketched = settle(sketches(keyed, width))
     members = sketched.where("n > 0 AND id IS NOT NULL")
     classes = settle(members.groupBy("low", "high").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.max("registers").alias("registers")))
@@ -211,12 +214,12 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least
     packed = pack(keyed.select(F.col("id").alias("doc"), "text"))
     texts = settle(packed.join(crowd.select(F.col("id").alias("doc")), "doc").groupBy(F.col("doc").alias("id"))
                    .agg(F.max("packed").alias("packed")))
-    known = settle(_measured(pairs, texts, least))
+    known = settle(_measured(pairs, texts, least, width))
     links = known.where("near").select("a", "b")
     labels = components(links)
     further = settle(_plausible(settle(_unmet(known, labels, least)), classes, least / 100))
     if not further.isEmpty():
-        more = settle(_measured(further, texts, least)).where("near").select("a", "b")
+        more = settle(_measured(further, texts, least, width)).where("near").select("a", "b")
         labels = components(links.unionByName(more))
     classed = settle(classes.select("low", "high", "id").join(labels, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component")))
@@ -256,7 +259,7 @@ def _unmet(known: DataFrame, labels: DataFrame, least: int) -> DataFrame:
     return met.select(F.least("o.b", "i.b").alias("a"), F.greatest("o.b", "i.b").alias("b")).distinct()
 
 
-def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80, width: int = 2) -> DataFrame:
     """``docs`` with one document of each group (its smallest id), same columns."""
-    gone = groups(docs, doc_id=doc_id, text=text, least=least).where("NOT kept").select(F.col("doc_id").alias("_gone"))
+    gone = groups(docs, doc_id=doc_id, text=text, least=least, width=width).where("NOT kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone.distinct(), F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")

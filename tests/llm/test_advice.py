@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 import textwrap
 
-from rollcall.llm import licences, lines
+import corpus_pipeline
+from rollcall.llm import licences, lines, near
 
 KIND = "doc_id bigint, text string"
 
@@ -75,3 +76,39 @@ def test_wrapped_notices(spark):
     got = {r["doc_id"]: r for r in licences.report(spark.createDataFrame(rows, KIND).repartition(3)).collect()}
     assert {k: r["families"] for k, r in got.items()} == want
     assert all(r["n_licensed"] == bool(want[k]) for k, r in got.items())
+
+
+def five_word_groups(rows, least=80):
+    """Plain version over five-word shingles: {id: smallest id of its group}."""
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets
+             if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_near_stage_links_on_five_words(spark):
+    """Scattered edits leave 80 % of the word pairs, but not of the runs of five words."""
+    rng = random.Random(34)
+    rows = []
+    for k in range(12):
+        base = [f"v{k}x{j}" for j in range(100)]
+        for edits in (0, 2, 4, 5):
+            w = list(base)
+            for at in range(edits):
+                w[10 + at * 18] = f"e{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(900, "a b c"), (901, "A b c"), (902, "b c"), (903, "one"), (904, "")]
+    docs = spark.createDataFrame(rows, KIND).repartition(3)
+    want = five_word_groups(rows)
+    got = {r["doc_id"]: r["component_id"] for r in near.groups(docs, width=5).collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()}
+    assert kept == {i for i, c in want.items() if c == i}
+    assert kept > {r["doc_id"] for r in near.groups(docs).where("kept").collect()}
