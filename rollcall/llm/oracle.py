@@ -3,6 +3,19 @@
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# a table of the CRC of each byte, and the CRC of a column by it
+CRC_TABLE = """
+bits AS (SELECT i AS b, i::UBIGINT AS c, 0 AS k FROM range(256) r(i)
+         UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8)"""
+
+
+def crc(column: str) -> str:
+    octets = f"list_transform(range(len(hex({column})) // 2), lambda i: ('0x' || substr(hex({column}), 2 * i + 1, 2))::UBIGINT)"
+    full = "4294967295::UBIGINT"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, t[(xor(c & 255, b) + 1)::BIGINT]), {full}), {full})"
+
+
 SQL = {
     "op2_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
@@ -72,5 +85,55 @@ c AS (SELECT id, min(other) AS c FROM reach GROUP BY id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id) AS component_id,
        coalesce(c, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.id = d.doc_id
+""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (SELECT doc_id, r, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents) GROUP BY ALL),
+hashed AS (SELECT r, n, {crc("(doc_id || ':' || r)")} AS h FROM run, tab),
+spoilt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::BIGINT) || substr(r, (h % length(r))::BIGINT + 2)
+                  ELSE r END AS word, n FROM hashed),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM spoilt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT DISTINCT word, n, k, substr(word, 1, k - 1) AS a, substr(word, k + 1) AS z
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM w)),
+shorter AS (SELECT DISTINCT word, n, a || z AS other FROM cut),
+less AS (SELECT s.word AS x, s.n AS nx, w.word AS y, w.n AS ny FROM shorter s JOIN w ON s.other = w.word),
+pair AS (SELECT x AS word, y AS near, ny AS near_n FROM less UNION ALL SELECT y, x, nx FROM less
+         UNION ALL SELECT p.word, q.word, q.n FROM cut p JOIN cut q USING (k, a, z) WHERE p.word <> q.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS most, arg_min(near, (-near_n, near)) AS near FROM pair GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN near END AS form,
+             CASE WHEN most >= 10 * n THEN most END AS form_n FROM w LEFT JOIN best USING (word)),
+chain(word, last, depth) AS (SELECT word, word, 0 FROM f
+                             UNION ALL SELECT chain.word, f.form, depth + 1 FROM chain JOIN f ON chain.last = f.word
+                             WHERE f.form IS NOT NULL),
+top AS (SELECT word, arg_max(last, depth) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN top USING (word)
+""",
+    "op12_importance_resampling": rf"""
+WITH RECURSIVE {CRC_TABLE},
+one AS (SELECT 'd' AS side, doc_id, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+        UNION ALL
+        SELECT 'b', NULL, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+vocabulary AS (SELECT word, ({crc("word")} % 10000)::BIGINT AS bucket FROM (SELECT DISTINCT word FROM one), tab),
+n AS (SELECT side, doc_id, bucket, count(*)::BIGINT AS n FROM one JOIN vocabulary USING (word) GROUP BY ALL),
+total AS (SELECT coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t FROM n),
+shares AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+         FROM n GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((shares.t + 1) * (total.s + 10000) / ((shares.s + 1) * (total.t + 10000))))::BIGINT AS gain
+         FROM shares, total),
+w AS (SELECT doc_id, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS weight FROM n JOIN gain USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+x AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+             ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT::DOUBLE AS h FROM documents LEFT JOIN w USING (doc_id)),
+s AS (SELECT doc_id, n_features, weight,
+             weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS nth, 10 * count(*) OVER () // 100 AS most
+      FROM s WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN nth <= most THEN nth END AS rank FROM s LEFT JOIN o USING (doc_id)
+""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
 """,
 }

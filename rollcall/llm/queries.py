@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries, over whole tables with production parameters."""
+"""The operators and the pipeline as registered queries, over whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (contextmix, decontaminate, language, licences, lines, mixing, near, quality,
-                          substrings, syncmers)
+                          recipes, resample, substrings, syncmers, variants)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.report(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_decontamination, op4_near_dedup, op5_language_id,
                                     op6_quality, op7_licence_scan, op8_mixing, op9_lm_score,
-                                    op10_fingerprints)}
+                                    op10_fingerprints, op11_spelling_variants, op12_importance_resampling,
+                                    op13_exact_dedup)}
