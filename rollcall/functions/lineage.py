@@ -1,12 +1,18 @@
-"""Cutting the plan between the steps of a long chain."""
+"""Cutting the plan between the steps of a long chain, and the life of the tables written for that."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# the scopes that are open, the innermost last: its folder, and lasting tables written within
+_scopes: ContextVar[tuple[tuple[str, list[str]], ...]] = ContextVar("scopes", default=())
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; one is made up only on a local master."""
@@ -21,16 +27,49 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def settle(df: DataFrame, by: str | None = None) -> DataFrame:
+def files_at(spark: SparkSession, path: str):
+    """The file system of a path and the path in its terms."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """Tables settled within are removed at the end, also after a failure.
+
+    Nothing lazy may be used beyond the end but what was settled with ``lasting``, which belongs to the
+    scope around this one, or to nobody; after a failure it is removed too.  Threads started inside take
+    part if they run in a copy of the context.
+    """
+    folder, lasting = f"{shared_folder(spark)}/rollcall-scope-{uuid.uuid4().hex}", []
+    token = _scopes.set((*_scopes.get(), (folder, lasting)))
+    over = [folder]
+    try:
+        yield folder
+    except BaseException:
+        over += lasting
+        raise
+    finally:
+        _scopes.reset(token)
+        for path in over:
+            files, at = files_at(spark, path)
+            files.delete(at, True)
+
+
+def settle(df: DataFrame, by: str | None = None, *, lasting: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and continue from that table.
 
     Several steps use their input more than once; settling between them keeps the work of a
     chain linear in its steps, and fixes row ordinals against recomputation.  Being a columnar
     table, it lets later passes read only the columns they need, and only the ``by`` value they
-    filter on.  Like checkpoints, the tables are not removed.
+    filter on.  Outside of a ``scope`` the tables are not removed, like checkpoints.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/rollcall-{uuid.uuid4().hex}"
+    around = _scopes.get()
+    owners = around[:-1] if lasting else around
+    path = f"{owners[-1][0] if owners else shared_folder(spark)}/rollcall-{uuid.uuid4().hex}"
+    if lasting and around:
+        around[-1][1].append(path)
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

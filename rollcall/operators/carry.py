@@ -57,10 +57,36 @@ def add_past_events(df: DataFrame, spec: PanelSpec = SHEET, *, skip_first_transi
 
     Whenever an OPEN row follows a CLOSED one (any case), the closed row's running totals join
     a sum that is added to every row from there on; a result that is not positive becomes null.
+    Where a closed row's total is text that is no number, that total's column is left alone from there on
+    (``unreadable_closings`` lists such entities).
     ``skip_first_transition`` ignores an opening on the entity's second row.
     """
+    rows, summed = _with_past_events(df, spec, skip_first_transition, one_row_per_date)
+    corrected = {}
+    for i, running in enumerate(spec.running):
+        total = F.col(f"_sum_n{i}") + F.coalesce(F.col(f"_n{i}"), F.lit(0))
+        corrects = (F.col("_events") > 0) & (F.col(f"_sum_t{i}") == 0) & ~is_dirty(rows, running)
+        corrected[running] = (F.when(corrects, F.when(total > 0, like_column(rows, running, total)))
+                              .otherwise(F.col(f"`{running}`")))
+    return replace_columns(summed, corrected).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def unreadable_closings(df: DataFrame, spec: PanelSpec = SHEET, *, skip_first_transition: bool = True,
+                        one_row_per_date: bool = False) -> DataFrame:
+    """(state, entity, column): running totals that ``add_past_events`` can't carry on, as a closed one is text."""
+    _, summed = _with_past_events(df, spec, skip_first_transition, one_row_per_date)
+    told = F.array(*[F.when(F.col(f"_sum_t{i}") > 0, F.lit(c)) for i, c in enumerate(spec.running)])
+    return (summed.select(*spec.entity_key, F.explode(told).alias("column"))
+            .where("column IS NOT NULL").distinct())
+
+
+def _with_past_events(df: DataFrame, spec: PanelSpec, skip_first_transition: bool, one_row_per_date: bool
+                      ) -> tuple[DataFrame, DataFrame]:
+    """The rows that have an entity, and the same with numbers (``_n0`` ...), events and closed totals so far."""
     rows = df.where(F.col(spec.entity).isNotNull())
     numbers = {f"_n{i}": to_long(rows, c) for i, c in enumerate(spec.running)}
+    texts = {f"_t{i}": is_dirty(rows, c).cast("bigint") for i, c in enumerate(spec.running)}
+    known = numbers | texts
     reopened = ((F.upper(F.col(spec.status)) == "OPEN")
                 & (F.upper(F.col("_prev").getField(spec.status)) == "CLOSED"))
     if skip_first_transition:
@@ -68,21 +94,14 @@ def add_past_events(df: DataFrame, spec: PanelSpec = SHEET, *, skip_first_transi
     reopened = F.coalesce(reopened, F.lit(False))
 
     def total(part: DataFrame, fits: bool) -> DataFrame:
-        before = previous_row(part.withColumns(numbers), spec, [spec.status, *numbers], fits=fits)
+        before = previous_row(part.withColumns(known), spec, [spec.status, *known], fits=fits)
         before = before.select(*[F.col(f"`{c}`") for c in rows.columns], *numbers, *[
             F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0)
-            .alias(f"_add{n}") for n in numbers], reopened.cast("bigint").alias("_reopened"))
-        sums = {f"_sum{n}": F.col(f"_add{n}") for n in numbers} | {"_events": F.col("_reopened")}
+            .alias(f"_add{n}") for n in known], reopened.cast("bigint").alias("_reopened"))
+        sums = {f"_sum{n}": F.col(f"_add{n}") for n in known} | {"_events": F.col("_reopened")}
         return running_sums(before, spec, sums, fits=fits)
 
-    summed = total(rows, True) if one_row_per_date else by_heat(rows, spec, total)
-    corrected = {}
-    for i, running in enumerate(spec.running):
-        total = F.col(f"_sum_n{i}") + F.coalesce(F.col(f"_n{i}"), F.lit(0))
-        corrected[running] = (F.when((F.col("_events") > 0) & ~is_dirty(rows, running),
-                                     F.when(total > 0, like_column(rows, running, total)))
-                              .otherwise(F.col(f"`{running}`")))
-    return replace_columns(summed, corrected).select(*[F.col(f"`{c}`") for c in df.columns])
+    return rows, total(rows, True) if one_row_per_date else by_heat(rows, spec, total)
 
 
 def close_unknown(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:

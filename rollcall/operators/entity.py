@@ -12,6 +12,8 @@ from rollcall.spec import SHEET, PanelSpec
 # Column names of the registry sheet.
 REGISTRY_COLUMNS = ("Facility", "City", "County", "ctp_state", "CTP_Facility_Type", "state", "ctp_id")
 
+UNKNOWN = "unknown facility"
+
 
 def registry_ids(registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """One id per upper-cased registry key; of several rows with one key the last one counts.
@@ -58,6 +60,21 @@ def add_entity_id(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -
     return replace_columns(known, {spec.entity: F.col("_id")}).drop("_id")
 
 
+def set_aside_unknown(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
+    """As ``add_entity_id``, but rows without an id stay, without entity, and ``_issue`` and ``_detail`` say so.
+
+    Rows that have an issue already keep it.
+    """
+    matched = match_entities(df, registry, spec)
+    unknown = F.col("_issue").isNull() & F.col("_id").isNull()
+    changed = {"_issue": F.when(unknown, UNKNOWN).otherwise(F.col("_issue")),
+               "_detail": F.when(unknown, F.concat_ws(" | ", *[F.col(f"`{c}`") for c in _lookup_key(spec)]))
+               .otherwise(F.col("_detail"))}
+    if spec.entity not in df.columns:
+        return replace_columns(matched, changed).withColumnRenamed("_id", spec.entity)
+    return replace_columns(matched, changed | {spec.entity: F.col("_id")}).drop("_id")
+
+
 def unmatched_entities(df: DataFrame, registry: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """Quarantine: distinct lookup keys that the registry does not know, with their row counts."""
     keys = _lookup_key(spec)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns, strip_odd_characters, tidy_text, to_long
-from rollcall.operators.entity import add_entity_id
+from rollcall.operators.entity import add_entity_id, set_aside_unknown
 from rollcall.spec import SHEET, PanelSpec
 
+BAD_DATE = "bad date"
+
 
 def drop_unkeyed_rows(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     """Drop rows without a facility name or a date."""
@@ -65,3 +67,20 @@ def standardize(df: DataFrame, spec: PanelSpec = SHEET, *, registry: DataFrame |
     if registry is not None:
         out = add_entity_id(out, registry, spec)
     return drop_exact_duplicates(clean_names(out, spec), spec)
+
+
+def sort_out(df: DataFrame, spec: PanelSpec = SHEET, *, registry: DataFrame | None = None) -> DataFrame:
+    """``standardize`` that does not fail: rows it would fail on are tagged, in the same pass.
+
+    ``_issue`` is null for good rows, else BAD_DATE (``_detail`` has the date's text) or UNKNOWN (``_detail``
+    has the lookup key).  Tagged rows are standardized like the others; the date or id that cannot be had
+    is null.
+    """
+    keyed = drop_unkeyed_rows(df, spec)
+    bad = to_long(keyed, spec.date).isNull()
+    tagged = keyed.withColumns({"_issue": F.when(bad, BAD_DATE),
+                                "_detail": F.when(bad, F.col(spec.date).cast("string"))})
+    out = tidy_text_columns(replace_columns(tagged, {spec.date: to_long(keyed, spec.date).cast("int")}), spec)
+    if registry is not None:
+        out = set_aside_unknown(out, registry, spec)
+    return drop_exact_duplicates(clean_names(out, spec), spec)

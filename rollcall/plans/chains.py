@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextvars
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -84,32 +86,65 @@ REUSING = {"add_entity_id", "close_missing", "collapse_adding", "collapse_withou
            "replace_no_data", "fill_types_from_peers", "fill_counties_from_peers", "undo_reset",
            "carry_closed_event", "sum_outbreaks", "finish"}
 
+# Side outputs that hold rows set aside, and the tag of these rows.
+ISSUES = {"bad_dates": standardize.BAD_DATE, "unknown_facilities": entity.UNKNOWN}
+SIDE_OUTPUTS = (*ISSUES, "unmerged_slots", "early_leavers")
+
 
 def run_chain(df: DataFrame, chain: str, spec: PanelSpec = SHEET, *,
               registry: DataFrame | None = None,
               grid: Sequence[int] | None = None, ordered: bool = False, standardized: bool = False,
               settling: bool = True, counts: dict[str, Observation] | None = None,
+              states: Sequence[str] = (), side: dict[str, list[DataFrame]] | None = None,
               **options) -> DataFrame:
     """Standardize, run the special steps of ``chain``, finish.
 
     With ``settling`` the input of steps that read it several times is written out first;
     without, the chain is one lazy plan, for frames whose ordinals are already fixed.
-    ``counts`` receives an observation with the rows after each step.
+    ``counts`` receives an observation with the rows after each step, in all and of each of ``states``;
+    the rows before the first step are among them, as ``read``.
+
+    ``side`` receives frames by kind (SIDE_OUTPUTS).  With it rows that have an unreadable date or an
+    unknown facility are set aside instead of failing the chain: the step that notices tags them, rows are
+    written once by tag, and the chain goes on with those that have none.
     """
+    def seen(df: DataFrame, name: str) -> DataFrame:
+        if counts is None:
+            return df
+        state = tidy_text(F.col(f"`{spec.state}`"))
+        counts[name] = Observation(f"{name} {uuid.uuid4().hex}")
+        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(state == s).alias(f"rows of {s}") for s in states])
+
+    def set_aside(tagged: DataFrame) -> DataFrame:
+        rows = settle(tagged.withColumn("_issue", F.coalesce("_issue", F.lit("none"))), by="_issue")
+        for kind, issue in ISSUES.items():
+            side.setdefault(kind, []).append(rows.where(F.col("_issue") == issue).drop("_issue")
+                                             .withColumnRenamed("_detail", "detail"))
+        return rows.where("_issue = 'none'").drop("_issue", "_detail")
+
     first = [] if standardized else [("standardize", partial(
         standardize.standardize, spec=spec, registry=registry))]
     last = ("finish", partial(ordering.finish, spec=spec, grid=grid, ordered=ordered,
                               close_unknown_status=chain == "wyoming"))
     steps = [*first, *special_steps(chain, spec, registry=registry, grid=grid, **options), last]
-    out = df
+    out = seen(df, f"{chain} - read")
     for i, (name, transform) in enumerate(steps):
         if settling and i > 0 and name in REUSING:
             out = settle(out)
-        out = transform(out)
-        if counts is not None:
-            seen = Observation(f"{chain} {i} {name}")
-            out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-            counts[f"{chain} {i} {name}"] = seen
+        if side is not None and name == "standardize":
+            out = set_aside(standardize.sort_out(out, spec, registry=registry))
+        elif side is not None and name == "add_entity_id":
+            untagged = out.withColumns({c: F.lit(None).cast("string") for c in ("_issue", "_detail")})
+            out = set_aside(entity.set_aside_unknown(untagged, registry, spec))
+        else:
+            if side is not None and name in ("collapse_adding", "collapse_without_adding"):
+                side.setdefault("unmerged_slots", []).append(collapse.collapse_diagnostics(out, spec))
+            if side is not None and name == "undo_reset":
+                side.setdefault("early_leavers", []).append(
+                    unreset.early_leavers(out, spec, options.get("reset", unreset.Reset())))
+            out = transform(out)
+        out = seen(out, f"{chain} {i} {name}")
     return out
 
 
@@ -134,11 +169,13 @@ def process_states(df: DataFrame, states: Iterable[str] | None = None, spec: Pan
         tagged = settle(tagged, by="_chain")
     def part_of(chain: str) -> DataFrame:
         return run_chain(tagged.where(F.col("_chain") == chain).drop("_chain"), chain, spec,
-                         settling=settling, **options)
+                         settling=settling, states=chosen[chain], **options)
 
-    # chains do not wait for each other's written steps
+    # chains do not wait for each other's written steps; their tables belong to the scope around
+    run = inheritable_thread_target(tagged.sparkSession)(part_of)
     with ThreadPoolExecutor(len(chosen)) as pool:
-        parts = list(pool.map(inheritable_thread_target(tagged.sparkSession)(part_of), chosen))
+        parts = list(pool.map(lambda context, chain: context.run(run, chain),
+                              [contextvars.copy_context() for _ in chosen], chosen))
     panel = parts[0]
     for part in parts[1:]:
         panel = panel.unionByName(part, allowMissingColumns=True)

@@ -443,6 +443,30 @@ coded AS (SELECT * REPLACE (['CT', 'AR', 'CO', 'NJ', 'WY'][nation_key % 5 + 1] A
     fill("wy_closed", "wy_filled"), unknown_closed("wy_filled", "wy_known"), past("wy_known", "wy_summed"),
     fill("wy_summed", "wy_again"), unknown_closed("wy_again", "wy_done"))
 
+_STEPS = {  # of each state: its chain and the table after each step
+    "CT": ("plain", {"standardize": "ct", "finish": "ct_done"}),
+    "AR": ("closing", {"standardize": "ar", "close_missing": "ar_closed", "finish": "ar_done"}),
+    "CO": ("collapsing", {"standardize": "co", "collapse_adding": "co_merged", "finish": "co_done"}),
+    "NJ": ("new_jersey", {"standardize": "nj", "close_missing": "nj_closed", "since": "nj_recent",
+                          "collapse_adding": "nj_merged", "carry_closed_event": "nj_carried", "finish": "nj_done"}),
+    "WY": ("wyoming", {"standardize": "wy", "collapse_adding": "wy_merged", "close_missing": "wy_closed",
+                       "sum_outbreaks": "wy_summed", "finish": "wy_done"})}
+STEPS = STATES[:STATES.rindex("SELECT State, Facility, ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos, "
+                              "Outbrk_Res_Pos, Outbrk_Staff_Pos, CAST(NULL AS INT)")] + "\nUNION ALL ".join(
+    f"SELECT '{state}' AS State, '{chain}' AS chain, {nth}::INT AS nth, '{step}' AS step, count(*) AS \"rows\" FROM {src}"
+    for state, (chain, tables) in _STEPS.items()
+    for nth, (step, src) in enumerate([("read", next(iter(tables.values()))), *tables.items()]))
+
+PAST_TEXT = """
+past AS (
+  SELECT *, count(*) FILTER (again) OVER w AS events, count(*) FILTER (again AND last_junk) OVER w AS texts,
+         CAST(coalesce(sum(last_res) FILTER (again) OVER w, 0) AS BIGINT) AS add_res,
+         CAST(coalesce(sum(TRY_CAST(last_staff AS BIGINT)) FILTER (again) OVER w, 0) AS BIGINT) AS add_staff
+  FROM (SELECT *, row_number() OVER v > 2 AND Outbrk_Status = 'OPEN' AND lag(Outbrk_Status) OVER v = 'CLOSED' AS again,
+               lag(Cume_Res_Pos) OVER v AS last_res, lag(Cume_Staff_Pos) OVER v AS last_staff, lag(junk) OVER v AS last_junk
+        FROM ny WINDOW v AS (PARTITION BY ctp_id ORDER BY Date, _ord))
+  WINDOW w AS (PARTITION BY ctp_id ORDER BY Date, _ord ROWS UNBOUNDED PRECEDING))"""
+
 
 SQL: dict[str, str] = {
     "std_text": sql(TIDY + " FROM labelled", LABELLED),
@@ -487,6 +511,15 @@ GROUP BY ALL""", DIRTY),
     "sum_outbreaks": sql(f"SELECT {REPORT} FROM summed", thin("one", "t"), fill("t", "filled"),
                          unknown_closed("filled", "known"), past("known", "summed")),
     "sum_outbreaks_many_rows": sql(f"SELECT {REPORT} FROM summed", past("panel", "summed")),
+    "sum_outbreaks_text": sql(f"""
+SELECT State, Facility, ctp_id, Date, Outbrk_Status,
+       CASE WHEN events = 0 THEN Cume_Res_Pos WHEN add_res + Cume_Res_Pos > 0 THEN add_res + Cume_Res_Pos END AS Cume_Res_Pos,
+       CASE WHEN events = 0 OR junk OR texts > 0 THEN Cume_Staff_Pos
+            WHEN add_staff + CAST(Cume_Staff_Pos AS BIGINT) > 0
+            THEN CAST(add_staff + CAST(Cume_Staff_Pos AS BIGINT) AS VARCHAR) END AS Cume_Staff_Pos,
+       Outbrk_Res_Pos, Outbrk_Staff_Pos FROM past""", NEW_YEAR, PAST_TEXT),
+    "unreadable_closings": sql("""
+SELECT DISTINCT State, ctp_id, 'Cume_Staff_Pos' AS "column" FROM past WHERE texts > 0""", NEW_YEAR, PAST_TEXT),
     "undo_reset": sql(UNDONE, NEW_YEAR),
     "early_leavers": sql("""
 SELECT DISTINCT n.State, n.Facility FROM ny n JOIN ents e USING (State, ctp_id)
@@ -637,9 +670,38 @@ blanked AS (
     "job_process": f"""
 SELECT State, upper(Facility) AS Facility, 'S' || ctp_id AS ctp_id, Date, Outbrk_Status, Cume_Res_Pos, Cume_Staff_Pos,
        Outbrk_Res_Pos, Outbrk_Staff_Pos, last_recorded FROM ({STATES})""",
+    "job_side_reports": sql("""
+SELECT 'bad_dates' AS kind, State, Facility, count(*) AS n FROM rows WHERE bad GROUP BY ALL
+UNION ALL SELECT 'unknown_facilities', State, Facility, count(*) FROM rows WHERE NOT bad AND ctp_id % 7 = 0 GROUP BY ALL
+UNION ALL SELECT 'unmerged_slots', State, Facility, count(*) FROM (
+  SELECT State, Facility, Date FROM good WHERE State = 'CO' AND Outbrk_Status = 'OPEN' GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL
+UNION ALL SELECT 'early_leavers', State, Facility, 1 FROM ents WHERE gapless AND NOT has_base
+UNION ALL SELECT 'panel', State, Facility, count(DISTINCT Date) FROM (
+  SELECT State, Facility, Date FROM good
+  UNION ALL SELECT e.State, e.Facility, l.d FROM ents e JOIN listed l USING (State) WHERE gapless AND has_base) GROUP BY ALL""", """
+rows AS (
+  SELECT ctp_id, ['CT', 'CO', 'KY'][nation_key % 3 + 1] AS State, upper(Facility) AS Facility, Date, Outbrk_Status,
+         (ctp_id + week) % 29 = 0 AS bad
+  FROM (SELECT * FROM panel UNION ALL SELECT * FROM panel WHERE (ctp_id + week) % 13 = 0 AND Outbrk_Status = 'OPEN')),
+good AS (SELECT * FROM rows WHERE NOT bad AND ctp_id % 7 <> 0),
+listed AS (SELECT DISTINCT State, Date AS d FROM good WHERE State = 'KY' AND Date > 20010921),
+ents AS (
+  SELECT *, n_new = 0 OR n_new = (SELECT count(*) FROM listed l WHERE l.d >= first_new) AS gapless FROM (
+    SELECT State, Facility, ctp_id, min(Date) FILTER (Date > 20010921) AS first_new,
+           count(DISTINCT Date) FILTER (Date > 20010921) AS n_new, bool_or(Date = 20010920) AS has_base
+    FROM good WHERE State = 'KY' GROUP BY ALL))"""),
+    "job_step_counts": STEPS,
+    "publish_empty_state": sql("""
+SELECT State, CASE WHEN nation_key % 2 = 0 THEN upper(Facility) ELSE Facility END AS Facility, ctp_id, Date, Outbrk_Status,
+       Cume_Res_Pos, Cume_Staff_Pos, Outbrk_Res_Pos, Outbrk_Staff_Pos
+FROM panel WHERE (nation_key + week) % 5 <> 0"""),
     "output_order": sql("""
-SELECT State, Facility, ctp_id, Date, row_number() OVER (PARTITION BY State, ctp_id ORDER BY Facility, Date) AS rank
-FROM one WHERE (nation_key + week) % 5 <> 0"""),
+SELECT State, Facility, ctp_id, Date, row_number() OVER (PARTITION BY State ORDER BY
+  Facility, County NULLS LAST, City, kind, ctp_id, Date) AS rank
+FROM (SELECT * REPLACE (CASE WHEN ctp_id % 4 = 0 THEN 'Supplier' ELSE Facility END AS Facility),
+             CASE WHEN ctp_id % 5 <> 0 THEN 'County ' || (ctp_id % 3) END AS County, 'City ' || (ctp_id % 2) AS City,
+             CASE WHEN ctp_id % 3 = 0 THEN 'NH' ELSE 'ALF' END AS kind
+      FROM one WHERE (nation_key + week) % 5 <> 0)"""),
     "job_check": sql("""
 SELECT State, 'types' AS kind, count(*) AS n FROM dirty WHERE Cume_Staff_Pos = '<11' GROUP BY State
 UNION ALL

@@ -21,7 +21,7 @@ from rollcall.operators.reconcile import Side
 from rollcall.plans import chains, jobs
 from rollcall.plans.chains import run_chain
 from rollcall.sources import sheets, sinks
-from rollcall.spec import SHEET_COLUMNS, PanelSpec
+from rollcall.spec import SHEET_COLUMNS, PanelSpec, text_schema
 
 SPEC = PanelSpec(pairs=(("Cume_Res_Pos", "Outbrk_Res_Pos"), ("Cume_Staff_Pos", "Outbrk_Staff_Pos")))
 GRID = date_grid(19950105, 20011101)
@@ -248,6 +248,15 @@ def _reset_rows(spark, sf_dir) -> DataFrame:
     return settle(rows)  # read several times
 
 
+def sum_outbreaks_text(spark, sf_dir):
+    """Closed totals that are text leave later totals of their column alone."""
+    return carry.add_past_events(_reset_rows(spark, sf_dir), SPEC).select(*REPORT)
+
+
+def unreadable_closings(spark, sf_dir):
+    return carry.unreadable_closings(_reset_rows(spark, sf_dir), SPEC)
+
+
 def undo_reset(spark, sf_dir):
     return unreset.undo_reset(_reset_rows(spark, sf_dir), SPEC, RESET).select(*REPORT)
 
@@ -659,25 +668,30 @@ def _csv(rows: DataFrame, path: str, by: str | None = None) -> None:
     (writer if by is None else writer.partitionBy(by)).csv(path)
 
 
-def job_process(spark, sf_dir):
-    """The job from files to files: sheets, registry and manifest are written as CSV, two runs process them,
-    and the result is read from the common output for three states, from their Final paths for the others."""
-    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
-    rows = _coded(spark, sf_dir).withColumn("sheet", F.col("State"))
+def _entry_files(spark, sf_dir, folder: str, coded: DataFrame, states, known: Column | None = None) -> None:
+    """Sheets, registry (of the ``known`` suppliers) and manifest as CSV."""
+    rows = coded.withColumn("sheet", F.col("State"))
     cells = [F.col(c) if c in rows.columns and c != "ctp_id" else F.lit(None).cast("string").alias(c)
              for c in SHEET_COLUMNS]
     # a supplier's rows lie in one file, in order; the heading of the state has a stray blank
     sheet = rows.repartition("sheet", "ctp_id").sortWithinPartitions("sheet", "ctp_id", "_ord").select(*cells, "sheet")
     _csv(sheet.withColumnRenamed("State", "State "), f"{folder}/entry", by="sheet")
     nothing = F.lit(None).cast("string")
-    code = F.element_at(F.array(*[F.lit(c) for c in STATES]), (F.col("s_nationkey") % 5 + 1).cast("int"))
-    _csv(table(spark, sf_dir, "supplier").select(
+    code = F.element_at(F.array(*[F.lit(c) for c in states]), (F.col("s_nationkey") % len(states) + 1).cast("int"))
+    _csv(table(spark, sf_dir, "supplier").where(F.lit(True) if known is None else known).select(
         F.col("s_name").alias("Facility"), nothing.alias("City"), nothing.alias("County"), code.alias("ctp_state"),
         nothing.alias("CTP_Facility_Type"), code.alias("state"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("ctp_id")),
         f"{folder}/registry")
     there = rows.select("sheet").distinct()
     _csv(there.select(F.col("sheet").alias("State"), F.concat(F.lit(f"{folder}/entry/sheet="), "sheet").alias("Entry"),
                       F.concat(F.lit(f"{folder}/final-"), "sheet").alias("Final")), f"{folder}/manifest")
+
+
+def job_process(spark, sf_dir):
+    """The job from files to files: sheets, registry and manifest are written as CSV, two runs process them,
+    and the result is read from the common output for three states, from their Final paths for the others."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    _entry_files(spark, sf_dir, folder, _coded(spark, sf_dir), STATES)
     for states in (STATES[:2], STATES[2:]):
         jobs.process(spark, f"{folder}/manifest", states, registry_path=f"{folder}/registry", out=f"{folder}/out",
                      overwrite_final=True, multi_line=False, **CHAIN_OPTIONS)
@@ -689,6 +703,70 @@ def job_process(spark, sf_dir):
                       F.col("last_recorded").cast("int").alias("last_recorded"))
 
 
+SIDE_STATES = ("CT", "CO", "KY")
+
+
+def job_side_reports(spark, sf_dir):
+    """What the process job sets aside and reports, by facility, and the rows of its panel.
+
+    Some reports have an unreadable date, every seventh supplier is unknown to the registry, some OPEN rows
+    have a rival.  A first run has left a report that this one must take away.
+    """
+    folder = f"{shared_folder(spark)}/side-{uuid.uuid4().hex}"
+    code = F.element_at(F.array(*[F.lit(c) for c in SIDE_STATES]), (F.col("nation_key") % 3 + 1).cast("int"))
+    copies = F.array_compact(F.array(F.lit(0), F.when(every(13, "ctp_id", "week") & (F.col("Outbrk_Status") == "OPEN"), 1)))
+    rows = panel(spark, sf_dir).withColumn("copy", F.explode(copies)).withColumns({
+        "State": code, "_ord": F.col("_ord") * 2 + F.col("copy"), "Outbrk_Res_Pos": F.col("Outbrk_Res_Pos") + F.col("copy"),
+        "Date": F.when(every(29, "ctp_id", "week"), "soon").otherwise(F.col("Date").cast("string"))}).drop("copy")
+    _entry_files(spark, sf_dir, folder, rows, SIDE_STATES, known=~every(7, "s_suppkey"))
+    reports = f"{folder}/reports"
+    sinks.write_report(table(spark, sf_dir, "nation").select(F.lit("CT").alias("State"), F.lit("OLD").alias("Facility")),
+                       f"{reports}/early_leavers")
+    jobs.process(spark, f"{folder}/manifest", SIDE_STATES, registry_path=f"{folder}/registry", out=f"{folder}/out",
+                 reports=reports, multi_line=False, grid=[], reset=RESET)
+
+    aside = (*SHEET_COLUMNS, "detail")
+    columns = {"bad_dates": aside, "unknown_facilities": aside, "early_leavers": ("State", "Facility"),
+               "unmerged_slots": ("State", "ctp_id", "Date", "open_rows", "rows_differ", "column", "value", "rows")}
+
+    def read(kind: str) -> DataFrame:  # a kind without rows has no file to take a schema from
+        return (spark.read.schema(text_schema((*columns[kind], "sheet"))).option("header", True)
+                .option("enforceSchema", False).option("escape", '"').csv(f"{reports}/{kind}"))
+
+    found = [read(kind).groupBy("State", "Facility").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind))
+             for kind in ("bad_dates", "unknown_facilities", "early_leavers")]
+    slots = read("unmerged_slots").where("column = 'Facility'").groupBy("State", F.col("value").alias("Facility")).agg(
+        F.count_distinct("Date").alias("n"))
+    done = sheets.read_processed(spark, f"{folder}/out", multi_line=False).groupBy("State", "Facility").agg(
+        F.count_distinct("Date").alias("n"))
+    out = slots.withColumn("kind", F.lit("unmerged_slots")).unionByName(done.withColumn("kind", F.lit("panel")))
+    for more in found:
+        out = out.unionByName(more)
+    return out.select("kind", "State", "Facility", "n")
+
+
+def job_step_counts(spark, sf_dir):
+    """The ledger of the process job: rows of each state after each step of its chain."""
+    folder = f"{shared_folder(spark)}/steps-{uuid.uuid4().hex}"
+    _entry_files(spark, sf_dir, folder, _coded(spark, sf_dir), STATES)
+    jobs.process(spark, f"{folder}/manifest", STATES, registry_path=f"{folder}/registry", reports=f"{folder}/reports",
+                 multi_line=False, **CHAIN_OPTIONS)
+    steps = spark.read.schema("State string, chain string, nth int, step string, rows bigint, sheet string").option(
+        "header", True).csv(f"{folder}/reports/steps")
+    return steps.select("State", "chain", "nth", "step", "rows")
+
+
+def publish_empty_state(spark, sf_dir):
+    """A second publication in which every other nation has become empty leaves these nations' reports."""
+    folder = f"{shared_folder(spark)}/publish-{uuid.uuid4().hex}"
+    rows = settle(_ready(spark, sf_dir))
+    targets = {r["n_name"]: f"{folder}/{r['n_nationkey'] % 3}" for r in table(spark, sf_dir, "nation").collect()}
+    sinks.publish(rows.drop("week"), targets, SPEC, format="parquet")
+    sinks.publish(rows.where(every(2, "nation_key")).drop("week").withColumn("Facility", F.upper("Facility")), targets,
+                  SPEC, format="parquet")
+    return sheets.read_processed(spark, sorted(set(targets.values())), format="parquet").select(*REPORT)
+
+
 def job_check(spark, sf_dir):
     """Findings per state and kind in the reports of the check job on a published panel."""
     folder = f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
@@ -708,11 +786,21 @@ def job_check(spark, sf_dir):
 
 
 def output_order(spark, sf_dir):
-    """Place of each report among its supplier's in the final order."""
-    rows = one_row_per_date(_ready(spark, sf_dir))
-    placed = ordering.sort_output(rows, SPEC).withColumn("at", F.monotonically_increasing_id())
-    nth = F.row_number().over(Window.partitionBy("State", "ctp_id").orderBy("at"))
-    return placed.select("State", "Facility", "ctp_id", "Date", nth.cast("bigint").alias("rank"))
+    """Place of each report in its state's files, in the order of their names."""
+    rows = one_row_per_date(_ready(spark, sf_dir)).withColumns({
+        "Facility": F.when(every(4, "ctp_id"), "Supplier").otherwise(F.col("Facility")),
+        "County": F.when(~every(5, "ctp_id"), F.concat(F.lit("County "), F.col("ctp_id") % 3)),
+        "City": F.concat(F.lit("City "), F.col("ctp_id") % 2),
+        "State_Facility_Type": F.when(every(3, "ctp_id"), "NH").otherwise("ALF")})
+    path = f"{shared_folder(spark)}/ordered-{uuid.uuid4().hex}"
+    sinks.write_processed(rows.drop("week", "nation_key"), path, SPEC, format="parquet")
+    read = spark.read.parquet(path).select("State", "Facility", "ctp_id", "Date", F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("at"))
+    # files of a state follow each other; there are few
+    files = read.groupBy("State", "file").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(
+        Window.partitionBy("State").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return read.join(files, ["State", "file"]).select(
+        "State", "Facility", "ctp_id", "Date", (F.col("before") + F.col("at") + 1).alias("rank"))
 
 
 def check_findings(spark, sf_dir):
@@ -749,7 +837,7 @@ def written_and_read(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     std_text, std_dedup, entity_lookup, entity_unmatched, fill_missing_dates, close_missing, locf_markers,
     collapse_add, collapse_diagnostics, collapse_no_add, collapse_no_add_listed, carry_closed,
-    carry_closed_many_rows, sum_outbreaks, sum_outbreaks_many_rows, undo_reset, early_leavers,
+    carry_closed_many_rows, sum_outbreaks, sum_outbreaks_many_rows, sum_outbreaks_text, unreadable_closings, undo_reset, early_leavers,
     drop_all_null, fl_rules, peer_fill_type, peer_fill_county, ky_county, dq_types, dq_open_dupes,
     dq_date_dupes, dq_decrease, dq_decrease_many_rows, dq_decrease_this_week, recon_federal,
     recon_national, recon_inner, recon_outer, recon_latest, recon_unmatched_top5, recon_divergent,
@@ -757,4 +845,4 @@ QUERIES = {f.__name__: f for f in (
     recon_series, state_chain_plain, state_chain_closing, state_chain_nj, state_chain_wy,
     state_chain_collapsing, state_chain_merging, state_chain_listed, state_chain_marked,
     state_chain_dropping, state_chain_florida, state_chain_kentucky, state_chain_looked_up, finish_panel, output_order,
-    process_states, job_process, check_findings, job_check, written_and_read)}
+    process_states, job_process, job_side_reports, job_step_counts, publish_empty_state, check_findings, job_check, written_and_read)}

@@ -184,3 +184,148 @@ def test_processed_cells_read_like_raw_ones(spark, tmp_path):
     assert (got["State"], got["Facility"], got["City"], got["County"]) == ("A", None, None, "x")
     assert "sheet=A" in got["file"]
     assert sheets.read_processed(spark, str(tmp_path / "out"), states=["B"]).count() == 0
+
+
+def spoilt_set(tmp_path):
+    """Sheets of three states with one bad date, one unknown facility, a slot of two OPEN rows and an early leaver."""
+    manifest, registry = full_set(tmp_path)
+    more = {"CT": [report(1, "soon", "CT", ctp_id=""), report(9, 20210107, "CT", ctp_id="")],
+            "CO": [report(1, 20210107, "CO", ctp_id="", State_Facility_Type="NH", Outbrk_Res_Pos=5)],
+            "KY": []}
+    for s, rows in more.items():
+        old = [] if s == "KY" else [report(1, 20210107, s, ctp_id="", State_Facility_Type="NH", Outbrk_Res_Pos=1, Cume_Res_Pos=10)]
+        early = [report(2, 20210114, s, ctp_id="")] if s == "KY" else []
+        write_sheet(tmp_path / f"{s}.csv", [*old, *rows, *early])
+    return manifest, registry
+
+
+def names_below(path):
+    return sorted(d for d in os.listdir(path) if not d.startswith(("_SUCCESS", "._SUCCESS")))
+
+
+def test_rows_set_aside_do_not_fail_the_job(spark, tmp_path):
+    manifest, registry = spoilt_set(tmp_path)
+    reports, states = str(tmp_path / "reports"), ["CT", "CO", "KY", "AR"]
+    with pytest.raises(Exception, match="not a date number|no entity id"):
+        jobs.process(spark, manifest, states, registry_path=registry, out=str(tmp_path / "out"))
+    assert not os.path.exists(tmp_path / "out") or names_below(tmp_path / "out") == []
+    panel = jobs.process(spark, manifest, states, registry_path=registry, out=str(tmp_path / "out"), reports=reports)
+    assert {r["State"] for r in panel.select("State").distinct().collect()} == set(states)
+    assert panel.where("Facility = 'HOME 9'").count() == 0
+
+    def rows(kind):
+        return spark.read.option("header", True).csv(f"{reports}/{kind}").collect()
+
+    bad, = rows("bad_dates")
+    assert (bad["State"], bad["Facility"], bad["Date"], bad["detail"], bad["Cume_Res_Pos"]) == ("CT", "HOME 1", None, "soon", "11")
+    unknown, = rows("unknown_facilities")
+    assert (unknown["Facility"], unknown["Date"], unknown["detail"]) == ("HOME 9", "20210107", "HOME 9 | C | K | CT | NH")
+    assert {(r["State"], r["Date"], r["open_rows"]) for r in rows("unmerged_slots")} == {("CO", "20210107", "2")}
+    assert [(r["State"], r["Facility"]) for r in rows("early_leavers")] == [("KY", "HOME 2")]
+    steps = {(r["State"], r["step"]): int(r["rows"]) for r in rows("steps")}
+    assert steps[("CT", "read")] == 3 and steps[("CT", "standardize")] == 1 and steps[("AR", "read")] == 5
+    # a second run without the bad rows takes their reports away, those of other states stay
+    write_sheet(tmp_path / "CT.csv", [report(1, 20210107, "CT", ctp_id="")])
+    jobs.process(spark, manifest, ["CT"], registry_path=registry, reports=reports)
+    assert [d for d in names_below(f"{reports}/bad_dates") if d.startswith("sheet=")] == []
+    assert names_below(f"{reports}/unmerged_slots") == ["sheet=CO"]
+
+
+def test_nothing_is_replaced_by_a_job_that_fails(spark, tmp_path, monkeypatch):
+    """The last of several outputs fails while it is staged: those before it are not swapped."""
+    manifest, registry = full_set(tmp_path)
+    out, reports = tmp_path / "out", tmp_path / "reports"
+    jobs.process(spark, manifest, ["CT", "AR"], registry_path=registry, out=str(out))
+    panel = sheets.read_processed(spark, str(out))
+    jobs.check(panel, str(reports))
+    before = {d: sorted(os.listdir(d)) for d, _, _ in os.walk(tmp_path)}
+    write_sheet(tmp_path / "CT.csv", [report(1, 20210107, "CT", ctp_id="")])
+    stage = sinks.Staged
+
+    def failing(df, path, format):
+        if path.endswith(("final", "decreased_cumulative")):
+            df = df.withColumn("State", F.raise_error(F.lit("disk full")).cast("string"))
+        return stage(df, path, format)
+
+    monkeypatch.setattr(sinks, "Staged", failing)
+    with pytest.raises(Exception, match="disk full"):
+        jobs.process(spark, manifest, ["CT", "AR"], registry_path=registry, out=str(out), overwrite_final=True)
+    falling = panel.withColumn("Cume_Res_Pos", F.col("Date").cast("int") * -1)
+    with pytest.raises(Exception, match="disk full"):
+        jobs.check(falling, str(reports))
+    after = {d: sorted(os.listdir(d)) for d, _, _ in os.walk(tmp_path) if "final" not in d and d != str(tmp_path)}
+    assert after == {d: x for d, x in before.items() if d in after} and str(out / "sheet=CT") in after
+
+
+def test_a_swap_that_fails_is_undone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    kind = "State string, n int"
+    sinks.write_report(spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], kind), path)
+    staged = sinks.stage_report(spark.createDataFrame([("A", 2), ("B", 2)], kind), path)
+    there = sinks._directories
+
+    def missing(spark, at):  # a staged state whose directory is not there
+        return there(spark, at) | ({"X": "sheet=X"} if "_staged" in at else {})
+
+    monkeypatch.setattr(sinks, "_directories", missing)
+    with pytest.raises(Exception, match="sheet=X"):
+        staged.swap()
+    monkeypatch.undo()
+    got = spark.read.option("header", True).csv(path).select("State", "n").collect()
+    assert sorted((r["State"], r["n"]) for r in got) == [("A", "1"), ("B", "1"), ("C", "1")]
+    assert names_below(path) == ["sheet=A", "sheet=B", "sheet=C"]
+
+
+def test_tables_of_a_job_are_removed(spark, tmp_path, monkeypatch):
+    manifest, registry = full_set(tmp_path)
+    work = tmp_path / "work"
+    monkeypatch.setattr(lineage, "shared_folder", lambda spark: str(work))
+    states = ["CT", "CO", "WY", "KY"]
+    with lineage.scope(spark):
+        panel = jobs.process(spark, manifest, states, registry_path=registry, out=str(tmp_path / "out"),
+                             reports=str(tmp_path / "reports"))
+        assert panel.count() > 0
+        jobs.check(panel, str(tmp_path / "checks"))
+        scope, = os.listdir(work)
+        # the panel and four kinds of findings
+        assert len([d for d in os.listdir(work / scope) if d.startswith("rollcall-") and "scope" not in d]) == 5
+    assert os.listdir(work) == []
+    write_sheet(tmp_path / "CO.csv", [report(9, 20210107, "CO", ctp_id="")])
+    with pytest.raises(Exception, match="no entity id"):
+        jobs.process(spark, manifest, states, registry_path=registry, out=str(tmp_path / "out"))
+    assert os.listdir(work) == []
+    panel = jobs.process(spark, manifest, ["CT"], registry_path=registry, out=str(tmp_path / "out"))
+    assert len(os.listdir(work)) == 1 and panel.count() > 0
+
+
+def test_headers_are_read_without_a_job(spark, tmp_path):
+    """Only the beginnings of files are read: no Spark job runs before the scan of the sheets."""
+    import gzip
+    rows = [report(n, 20210107) for n in range(50)]
+    plain = write_sheet(tmp_path / "a b.csv", rows)
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write(open(plain).read())
+    tracker, group = spark.sparkContext.statusTracker(), "headers"
+    spark.sparkContext.setJobGroup(group, "headers")
+    try:
+        df = sheets.read_sheets(spark, [plain, str(tmp_path / "c.csv.gz")])
+        assert not tracker.getJobIdsForGroup(group)
+        assert df.count() == 100
+        with pytest.raises(ValueError, match="header of"):
+            sheets.read_sheets(spark, [plain, write_sheet(tmp_path / "d.csv", rows, columns=SHEET_COLUMNS[::-1])])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_closed_totals_that_are_text(spark):
+    from panels import SPEC
+    from rollcall.operators import carry
+    rows = [("S", "E", d, s, a, b) for d, s, a, b in (
+        (20201203, "OPEN", "1", 1), (20201210, "CLOSED", "<11", 4), (20201217, "OPEN", "2", 2),
+        (20201223, "CLOSED", "3", 5), (20201231, "OPEN", "1", 1))]
+    df = spark.createDataFrame(rows, "State string, ctp_id string, Date int, Outbrk_Status string, Cume_Res_Pos string, Cume_Staff_Death int")
+    df = df.withColumns({"_ord": F.col("Date").cast("bigint"), "Outbrk_Res_Pos": F.lit(0), "Outbrk_Staff_Death": F.lit(0)})
+    got = carry.add_past_events(df, SPEC).orderBy("Date").collect()
+    assert [r["Cume_Res_Pos"] for r in got] == ["1", "<11", "2", "3", "1"]
+    assert [r["Cume_Staff_Death"] for r in got] == [1, 4, 6, 9, 10]
+    assert [tuple(r) for r in carry.unreadable_closings(df, SPEC).collect()] == [("S", "E", "Cume_Res_Pos")]
