@@ -323,7 +323,7 @@ def test_scores_are_probabilities():
         h = np.array(seq, np.uint64) << np.uint64(48)
         names, ids = np.unique(h, return_inverse=True)
         c = np.array([counts.get(int(x >> np.uint64(48)), 0) for x in names])
-        blob = contextmix.packed_text(h, names, ids, c, zstandard.ZstdCompressor())
+        blob = contextmix.packed_text(names, ids, c, zstandard.ZstdCompressor())
         return 10 ** mixer.score(contextmix.Texts([(len(seq), blob)], zstandard.ZstdDecompressor()))[0][0]
 
     classes_used = {int(contextmix.class_of(np.array([c]))[0]) for c in counts.values()} | {0}
