@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
+from rollcall.llm.tasks import whole_row
 
 # words after A-Z are lowered: digits, a-z and every byte of a character beyond ASCII
 _KEPT = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -225,12 +226,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     """
     blocks = automata(benchmark, item_id=item_id, window=window)
     verdict = F.struct(judged(F.col(f"`{text}`"), blocks, cut=remove == "span").alias("v"))
-    bad = (F.col("_judged.v.n_hit") > 0) & (F.col("_judged.v.n_hit") >= coverage * F.col("_judged.v.n_words"))
-    out = docs.withColumn("_judged", verdict)
+    bad = (F.col("judged.v.n_hit") > 0) & (F.col("judged.v.n_hit") >= coverage * F.col("judged.v.n_words"))
+    out = docs.select(whole_row(docs), verdict.alias("judged"))
     if remove == "document":
-        return out.where(~bad).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return out.select(*[F.when(bad, F.col("_judged.v.cut")).otherwise(F.col(f"`{c}`")).alias(c)
-                        if c == text else F.col(f"`{c}`") for c in docs.columns])
+        return out.where(~bad).select("user.*")
+    return out.select(*[F.when(bad, F.col("judged.v.cut")).otherwise(F.col(f"user.`{c}`")).alias(c)
+                        if c == text else F.col(f"user.`{c}`").alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",

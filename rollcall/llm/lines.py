@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack
+from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack, whole_row
 from rollcall.llm.words import U64, covered, mixed
 
 REACH = 2  # neighbouring chunks looked at on each side of a removed one
@@ -174,13 +174,13 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", exte
 def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
           extend: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of the text; documents of which nothing is left go."""
-    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(F.max("kept").alias("_kept"))
-    out = (docs.withColumn("_doc", doc_key(doc_id, text)).join(cut.withColumnRenamed("doc", "_doc"), "_doc", "left")
-           .where("_kept IS NULL OR trim(_kept) != ''"))
-    columns = {text: F.coalesce("_kept", F.col(f"`{text}`"))}
+    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(F.max("kept").alias("kept"))
+    out = (docs.select(whole_row(docs), doc_key(doc_id, text).alias("doc")).join(cut, "doc", "left")
+           .where("kept IS NULL OR trim(kept) != ''"))
+    columns = {text: F.coalesce("kept", F.col(f"user.`{text}`"))}
     if n_chars in docs.columns:
-        columns[n_chars] = F.coalesce(F.length("_kept").cast(docs.schema[n_chars].dataType), F.col(f"`{n_chars}`"))
-    return out.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        columns[n_chars] = F.coalesce(F.length("kept").cast(docs.schema[n_chars].dataType), F.col(f"user.`{n_chars}`"))
+    return out.select(*[columns.get(c, F.col(f"user.`{c}`")).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", extend: bool = False) -> DataFrame:

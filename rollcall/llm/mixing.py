@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
+from rollcall.llm.tasks import whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,7 +91,7 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sourc
 def emit(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, ``mix_copy`` counting from 1."""
     taken = copies(docs, doc_id=doc_id, **options).where("copies > 0").groupBy("doc_id").agg(
-        F.max("copies").alias("_copies")).select(F.struct("doc_id").alias("_key"), "_copies")
-    return (docs.drop("mix_copy").withColumn("_key", F.struct(F.col(f"`{doc_id}`").alias("doc_id")))
-            .join(taken, "_key").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .drop("_key", "_copies"))
+        F.max("copies").alias("copies")).select(F.struct("doc_id").alias("key"), "copies")
+    plain = docs.drop("mix_copy")
+    return (plain.select(whole_row(plain), F.struct(F.col(f"`{doc_id}`").alias("doc_id")).alias("key")).join(taken, "key")
+            .select("user.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("mix_copy")))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.language import held_out
-from rollcall.llm.tasks import as_bytes, by_arrow, lowest, sent
+from rollcall.llm.tasks import as_bytes, by_arrow, lowest, sent, whole_row
 
 GRAMS = 2048
 _UPPER, _DIGIT, _SPACE, _MARK = (np.array([chr(b).isascii() and test(chr(b)) for b in range(256)]) for test in (
@@ -108,8 +108,9 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         positives: int = 1500, unlabelled: int = 3000, checked: int = 800) -> Model:
-    """Learn from ``labels`` (all of them) and from ``docs`` without their labels."""
-    known = (labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").alias("label")).dropna()
+    """Learn from ``labels`` (all of them; 1 is positive, any other value negative) and from ``docs`` without
+    their labels."""
+    known = (labels.select(F.col(f"`{doc_id}`").alias("id"), (F.col(f"`{label}`") == 1).cast("int").alias("label")).dropna()
              .groupBy("id").agg(F.max("label").alias("label")))
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(shares) < 2:
@@ -170,8 +171,8 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, doc_
     model = trained(docs, labels, doc_id=doc_id, text=text, label=label)
     if model.flat is not None:
         return docs
-    return docs.withColumn("_quality", scored(text, model, docs.sparkSession)).where(
-        F.col("_quality") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole_row(docs), scored(text, model, docs.sparkSession).alias("score")).where(
+        F.col("score") >= threshold).select("user.*")
 
 
 def report(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

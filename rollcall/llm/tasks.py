@@ -111,6 +111,11 @@ def doc_key(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.xxhash64(F.col(f"`{text}`"), F.lit("no id")))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a user's table as one struct, ``user``, beside which internal columns may have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("user")
+
+
 def as_bytes(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
 
