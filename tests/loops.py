@@ -129,16 +129,17 @@ def past_events(rows, pairs, skip=True):
     out = []
     for own in grouped(rows, "State", "ctp_id").values():
         own = in_order(own)
-        total = None
+        total, spoilt = None, set()
         for i, r in enumerate(own):
             if i > (1 if skip else 0) and (r["Outbrk_Status"] or "").upper() == "OPEN" \
                     and (own[i - 1]["Outbrk_Status"] or "").upper() == "CLOSED":
                 total = total or {c: 0 for c, _ in pairs}
                 total = {c: total[c] + (number(own[i - 1][c]) or 0) for c, _ in pairs}
+                spoilt |= {c for c, _ in pairs if dirty(own[i - 1][c])}  # a closed total that is text
             new = dict(r)
             if total:
                 for c, _ in pairs:
-                    if not dirty(r[c]):
+                    if c not in spoilt and not dirty(r[c]):
                         value = total[c] + (number(r[c]) or 0)
                         new[c] = value if value > 0 else None
             out.append(new)
