@@ -102,3 +102,23 @@ def chunks_removed(rows, cut):
             kept.append(body)
         out[i] = (b"\n".join(kept) + (b"\n" if kept and raw.endswith(b"\n") else b"")).decode()
     return out
+
+
+def common_anchors(one, two):
+    """one, two: (place, hash) lists -> anchors in common: paired by occurrence, beside a pair of the same offset,
+    in the longest sequence that rises in both."""
+    if one == two:
+        return len(one)
+    pairs = []
+    for h in {h for _, h in one}:
+        pairs += zip([p for p, x in one if x == h], [p for p, x in two if x == h])
+    good = set(pairs) if min(len(one), len(two)) <= 1 else set()
+    for side in (0, 1):
+        row = sorted(pairs, key=lambda x: x[side])
+        for a, b in zip(row, row[1:]):
+            if a[1] - a[0] == b[1] - b[0]:
+                good |= {a, b}
+    row, best = sorted(good), []
+    for k, (_, b) in enumerate(row):
+        best.append(1 + max((n for n, (_, c) in zip(best, row[:k]) if c < b), default=0))
+    return max(best, default=0)

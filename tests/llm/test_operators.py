@@ -340,9 +340,48 @@ def test_score_does_not_depend_on_company(spark):
     assert got[0] == pytest.approx(got[1]) == pytest.approx(got[5]) and got[2] == got[3]
 
 
+def plain_anchors(digits):
+    place, out = 0, []
+    for k in range(0, len(digits), syncmers.DIGITS):
+        place += int(digits[k + 7], 16)
+        out.append((place, digits[k:k + 7]))
+    return out
+
+
+def test_likeness_by_position():
+    rng, rolling = random.Random(19), Rolling()
+    passages = [" ".join(f"{rng.random():.6f}" for _ in range(40)) for _ in range(10)]
+    whole = syncmers.fingerprint("".join(passages), rolling)
+    turned = syncmers.fingerprint("".join(reversed(passages)), rolling)
+    assert syncmers.likeness(whole, turned) < 0.2  # the same passages in reversed order
+    inside = syncmers.fingerprint("".join(passages[3:5]), rolling)
+    assert syncmers.held(whole, inside) > 0.95 > 0.5 > syncmers.likeness(whole, inside) > 0.3
+    inserted = syncmers.fingerprint("".join(passages[:5] + ["something new"] + passages[5:]), rolling)
+    assert syncmers.likeness(whole, inserted) > 0.97
+    long = " ".join(f"{rng.random():.6f}" for _ in range(12_000))
+    part = syncmers.fingerprint(long[50_000:52_000], rolling)
+    assert syncmers.held(part, syncmers.fingerprint(long, rolling)) > 0.95
+    for a, b in [("", ""), ("", "x"), ("short", "short"), ("a" * 5000, "a" * 9000)]:
+        p, q = syncmers.fingerprint(a, rolling), syncmers.fingerprint(b, rolling)
+        assert syncmers.likeness(p, q) == syncmers.likeness(q, p) and (syncmers.likeness(p, q) == 1) == (a == b)
+
+
+def test_common_anchors_against_brute_force():
+    rng = random.Random(20)
+    for n in range(150):
+        texts = []
+        for _ in range(2):
+            # few short words, so anchors repeat and stand in any order
+            pool = ["alpha beta gamma delta ", "one two three four five ", "zzzzzzzzzzzzzzzzzzzzzzzzzz", "x "]
+            texts.append("".join(rng.choices(pool, k=rng.randint(0, 12))))
+        one, two = (syncmers.fingerprint(t, Rolling()) for t in texts)
+        want = brute.common_anchors(plain_anchors(one), plain_anchors(two))
+        assert syncmers.common(syncmers.Anchors.of(one), syncmers.Anchors.of(two)) == want, texts
+
+
 def test_fingerprints(spark):
     rows = corpus(17, 50, longest=400) + [(None, "tail 😀 " * 30, None, None, 0), (70, "é" * 3, None, None, 0)]
-    rows = [r for r in rows if r[1] is None or len(r[1]) < 4000]
+    assert max(len(r[1] or "") for r in rows) > 8000
     got = syncmers.report(frame(spark, rows)).collect()
     assert len(got) == len(rows)
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
@@ -356,7 +395,15 @@ def test_fingerprints(spark):
         assert (r["n_chars"], r["edited_sha256"]) == (len(text), brute.sha(edited))
         assert r["fingerprint"] == syncmers.fingerprint(text, rolling)
         assert r["edited_fingerprint"] == syncmers.fingerprint(edited, rolling)
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        assert r["near_edited"] == syncmers.likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert r["held_edited"] == syncmers.held(r["fingerprint"], r["edited_fingerprint"])
+        other = syncmers.fingerprint(after, rolling)
+        assert r["near_next"] == syncmers.likeness(r["fingerprint"], other)
+        assert r["held_next"] == syncmers.held(r["fingerprint"], other)
+        if len(text) < 1500 and len(after) < 1500:
+            a, b = plain_anchors(r["fingerprint"]), plain_anchors(other)
+            n = brute.common_anchors(a, b)
+            assert r["near_next"] == (2 * n / (len(a) + len(b)) if a and b else float(a == b))
 
 
 def test_syncmers_against_definition():
