@@ -1,24 +1,24 @@
 """Line dedup (operator 1) over content-defined chunks of lines.
 
-A document's lines that are not blank are hashed; a chunk ends after a line whose hash is below that of the
-line before and not above that of the line after.  Boundaries depend on three lines only, so an insertion
-moves no later boundary and equal passages are cut alike wherever they stand.  Two boundaries are never next
-to each other and none stands next to an end of the text, so every chunk has two or more lines that are not
-blank (three on average), unless the whole text has fewer.  Of the places of an equal chunk the first
-(smallest id, then position) stays and the others are removed, after their bytes have been compared with
-those of the first.
-
-With ``extend`` a removed chunk takes along the lines before and after it for as long as they equal (64-bit
-hashes of lines at the same distance) the lines around the first place.  Boundaries inside a repeated passage
-differ near its ends only, so two neighbouring chunks on each side are looked at.  A removed line always
-equals an earlier one, of which the earliest stays.
-
-Chunk keys alone are shuffled to find repeats; bytes travel only for repeated chunks.  Joins on chunk keys
-have written tables on both sides, so adaptive execution can split a key that many documents share.
+Lines are hashed, and rolling hashes run over the hashes of lines that are not blank, two at a time.  A chunk ends
+between the two lines of a rolling hash that is below the one before and not above the one after.  Boundaries
+depend on four lines only, so an insertion moves no later boundary and equal passages are cut alike wherever they
+stand.  Two boundaries are never next to each other and none stands next to an end of the text, so every chunk has
+two or more lines that are not blank, unless the whole text has fewer.
+
+A passage that is shorter than the chunks around it holds no whole chunk.  So the rolling hashes themselves are
+looked up as well: every window of two lines that are not blank, with the blank ones between them.  Of the places
+of an equal chunk or window the first (smallest id, then position) stays and the lines of the others are removed,
+after their bytes have been compared with those of the first.  A window inside a repeated chunk is not compared
+again.  The earliest of equal lines always stays: a window before its own would hold an earlier one.
+
+Keys alone (128 bits) are shuffled to find repeats; bytes travel only for repeated chunks and windows.  Joins on
+keys have written tables on both sides, so adaptive execution can split a key that many documents share.
 
 Defined results: null and empty texts have no lines; texts without line breaks are one line and lose
-nothing; equal rows of one id count as one place, so neither loses its chunks to the other; a null id is
-replaced by a hash of the text; empty tables give empty tables; further columns are passed on untouched.
+nothing; where no line stays that is not blank, none stays; equal rows of one id count as one place, so neither
+loses its lines to the other; a null id is replaced by a hash of the text; empty tables give empty tables; further
+columns are passed on untouched.
 """
 
 from __future__ import annotations
@@ -26,17 +26,16 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
 from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack, whole_row
-from rollcall.llm.words import U64, covered, mixed
+from rollcall.llm.words import Rolling, covered, hashed
 
-REACH = 2  # neighbouring chunks looked at on each side of a removed one
-_COUNT = 1 << 31  # a run of lines is sent as first line * _COUNT + lines
+WINDOW = 2  # lines under a rolling hash
+_COUNT = 1 << 30  # a run of lines is sent as first line * _COUNT + lines
 
 
 def split(text: bytes) -> list[bytes]:
@@ -47,134 +46,128 @@ def split(text: bytes) -> list[bytes]:
     return lines
 
 
+class Lines:
+    """The lines of a text, their hashes, and where its chunks end (one past the last line)."""
+
+    def __init__(self, text: bytes, rolling: Rolling):
+        self.lines = split(text)
+        self.rolling = rolling
+        self.hashes = hashed(self.lines)
+        self.filled = np.array([bool(x.strip()) for x in self.lines], bool)
+        self.rows = np.flatnonzero(self.filled)
+        r = rolling.hashes(self.hashes[self.rows, 0], WINDOW)
+        low = np.flatnonzero((r[1:-1] < r[:-2]) & (r[1:-1] <= r[2:])) + 1
+        self.ends = np.append(self.rows[low] + 1, len(self.lines)) if self.lines else np.empty(0, np.int64)
+        self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)[:len(self.ends)]
+
+    def units(self) -> np.ndarray:
+        """Runs of lines looked up, chunks and windows, as first line * _COUNT + lines."""
+        if len(self.rows) < WINDOW:
+            return np.empty(0, np.int64)
+        first = np.concatenate([self.starts, self.rows[:-1]])
+        return np.unique(first * _COUNT + np.concatenate([self.ends, self.rows[1:] + 1]) - first)
+
+    def keys(self, units: np.ndarray) -> list[np.ndarray]:
+        """128 bits for each unit, in two halves: rolling hashes over all its lines."""
+        return [self.rolling.hashes(self.hashes[:, k], units % _COUNT, units // _COUNT).view(np.int64) for k in (0, 1)]
+
+    def bytes_of(self, units: np.ndarray) -> list[bytes]:
+        return [b"\n".join(self.lines[a:a + n]) for a, n in zip((units // _COUNT).tolist(), (units % _COUNT).tolist())]
+
+    def inside(self, units: np.ndarray, later: np.ndarray) -> np.ndarray:
+        """Which later units lie in a chunk that is a later unit itself."""
+        first, past = units // _COUNT, units // _COUNT + units % _COUNT
+        at = np.searchsorted(self.ends, first, side="right")
+        whole = (self.starts[at] == first) & (self.ends[at] == past)
+        repeated = np.zeros(len(self.ends), bool)
+        repeated[at[whole & later]] = True
+        return later & ~whole & repeated[at] & (past <= self.ends[at])
+
+
 def chunks(text: bytes) -> list[tuple[int, int, int, int]]:
     """(first byte, one past the last byte, lines, lines that are not blank) of each chunk, in order.
 
     The break after a chunk's last line belongs to the chunk.
     """
-    lines = split(text)
-    if not lines:
-        return []
-    filled = np.array([bool(x.strip()) for x in lines])
-    rows = np.flatnonzero(filled)
-    h = mixed(np.array([xxhash.xxh3_64_intdigest(lines[k]) for k in rows], U64))
-    low = (h[1:-2] < h[:-3]) & (h[1:-2] <= h[2:-1])  # not after the first line, nor the last two
-    ends = np.append(rows[np.flatnonzero(low) + 1] + 1, len(lines))
-    at = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
-    full = np.concatenate([[0], np.cumsum(filled)])
-    starts = np.concatenate([[0], ends[:-1]])
-    return [(int(at[a]), min(int(at[b]), len(text)), int(b - a), int(full[b] - full[a])) for a, b in zip(starts, ends)]
-
-
-def body(text: bytes, first: int, last: int) -> bytes:
-    """A chunk's bytes without the break that ends it, so the end of a text is like any other end."""
-    return text[first:last].removesuffix(b"\n")
+    of = Lines(text, Rolling())
+    at = np.concatenate([[0], np.cumsum([len(x) + 1 for x in of.lines])]).astype(np.int64)
+    full = np.concatenate([[0], np.cumsum(of.filled)])
+    return [(int(at[a]), min(int(at[b]), len(text)), int(b - a), int(full[b] - full[a]))
+            for a, b in zip(of.starts, of.ends)]
 
 
 def _keys(docs: DataFrame) -> DataFrame:
     def work(slices):
+        rolling = Rolling()
         for rows in slices:
-            out = {"low": [], "high": [], "doc": [], "place": []}
-            for doc, text in rows:
-                for n, (a, b, _, full) in enumerate(chunks(text)):
-                    if full > 1:
-                        low, high = np.frombuffer(xxhash.xxh3_128_digest(body(text, a, b)), np.int64).tolist()
-                        for name, x in zip(out, (low, high, doc, n)):
-                            out[name].append(x)
-            yield out
-
-    return by_arrow(docs, work, "low bigint, high bigint, doc bigint, place int")
-
-
-def _marks(text: bytes, spans: list[tuple[int, int, int, int]], first: int, last: int) -> bytes:
-    """Hashes of the lines of chunks first to last - 1, those that exist."""
-    some = spans[max(0, first):last]
-    lines = split(text[some[0][0]:some[-1][1]]) if some else []
-    return np.array([xxhash.xxh3_64_intdigest(x) for x in lines], U64).tobytes()
-
-
-def alike(one: bytes, two: bytes, back: bool = False) -> int:
-    """How many lines are equal from the start, or from the end, on."""
-    a, b = (np.frombuffer(x, U64)[::-1 if back else 1] for x in (one, two))
-    n = min(len(a), len(b))
-    other = np.flatnonzero(a[:n] != b[:n])
-    return int(other[0]) if len(other) else n
-
-
-def repeats(docs: DataFrame, extend: bool = False) -> DataFrame:
-    """(doc, place) of runs of lines, from chunks that are byte-equal to an earlier one; ``docs`` has (doc, text
-    as bytes)."""
-    keys = settle(_keys(docs).distinct())
-    first = settle(keys.groupBy("low", "high").agg(
-        F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    again = keys.join(first, ["low", "high"])
+            found = [(doc, of, of.units()) for doc, text in rows for of in [Lines(text, rolling)]]
+            found = [(doc, u, *of.keys(u)) for doc, of, u in found if len(u)]
+            if found:
+                _, units, low, high = map(list, zip(*found))
+                yield {"low": np.concatenate(low), "high": np.concatenate(high), "place": np.concatenate(units),
+                       "doc": np.repeat(np.array([x[0] for x in found], np.int64), [len(u) for u in units])}
+
+    return by_arrow(docs, work, "low bigint, high bigint, doc bigint, place bigint")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """(doc, place) of runs of lines that are byte-equal to an earlier one; ``docs`` has (doc, text as bytes)."""
+    keys = settle(_keys(docs))
+    here = F.struct("doc", "place")
+    first = settle(keys.groupBy("low", "high").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+                   .where("first != last").drop("last"))
+    # a place is sent with a bit that says whether it is a later one
+    again = keys.join(first, ["low", "high"]).select(
+        "doc", (F.col("place") * 2 + (here != F.col("first")).cast("int")).alias("place"))
 
     def cut(groups):
-        unpack = zstandard.ZstdDecompressor()
+        unpack, rolling = zstandard.ZstdDecompressor(), Rolling()
         for doc, packed, places in groups:
-            text = unpack.decompress(packed)
-            spans = chunks(text)
-            places = places[places < len(spans)]
-            pieces = [body(text, *spans[p][:2]) for p in places]
-            ids = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), np.int64).reshape(-1, 2)
-            sizes = np.array([x[2] for x in spans], np.int64)
-            yield {"low": ids[:, 0], "high": ids[:, 1], "doc": np.full(len(places), doc), "place": places,
-                   "line": (np.cumsum(sizes) - sizes)[places], "lines": sizes[places], "bytes": pieces,
-                   "before": [_marks(text, spans, p - REACH, p) if extend else b"" for p in places.tolist()],
-                   "after": [_marks(text, spans, p + 1, p + 1 + REACH) if extend else b"" for p in places.tolist()]}
-
-    pieces = settle(merged(pack(docs), again.select("doc", "place"), cut,
-                           "low bigint, high bigint, doc bigint, place int, line bigint, lines bigint, bytes binary, "
-                           "before binary, after binary"))
+            of = Lines(unpack.decompress(packed), rolling)
+            units, later = places // 2, places % 2 == 1
+            fits = units // _COUNT + units % _COUNT <= len(of.lines)
+            units, later = units[fits], later[fits]
+            units = units[~of.inside(units, later)]
+            low, high = of.keys(units)
+            yield {"low": low, "high": high, "doc": np.full(len(units), doc), "place": units,
+                   "bytes": of.bytes_of(units)}
+
+    pieces = settle(merged(pack(docs), again, cut, "low bigint, high bigint, doc bigint, place bigint, bytes binary"))
     # the first places: one row per key
     kept = settle(pieces.join(first.select("low", "high", "first.doc", "first.place"), ["low", "high", "doc", "place"])
-                  .groupBy("low", "high").agg(
-                      F.min(F.struct("bytes", "doc", "place", "before", "after")).alias("kept")))
-    same = (F.col("bytes") == F.col("kept.bytes")) & ~(
-        (F.col("doc") == F.col("kept.doc")) & (F.col("place") == F.col("kept.place")))
-    found = pieces.join(kept, ["low", "high"]).where(same).select(
-        "doc", "line", "lines", "before", "after", F.col("kept.before").alias("b"), F.col("kept.after").alias("a"))
-
-    def widen(slices):
-        for rows in slices:
-            out = {"doc": [], "place": []}
-            for doc, line, n, before, after, b, a in rows:
-                more = alike(before, b, back=True)
-                out["doc"].append(doc)
-                out["place"].append((line - more) * _COUNT + more + n + alike(after, a))
-            yield out
-
-    return by_arrow(found, widen, "doc bigint, place bigint")
+                  .groupBy("low", "high").agg(F.min(F.struct("bytes", "doc", "place")).alias("kept")))
+    same = (F.col("bytes") == F.col("kept.bytes")) & (here != F.struct("kept.doc", "kept.place"))
+    return pieces.join(kept, ["low", "high"]).where(same).select("doc", "place")
 
 
-def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", extend: bool = False) -> DataFrame:
+def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_removed_chunks, n_removed_lines, kept) of the documents that lose lines; a removed chunk is one
     of which no line stays."""
     keyed = docs.select(doc_key(doc_id, text).alias("doc"), as_bytes(text).alias("text"))
 
     def cut(groups):
-        unpack = zstandard.ZstdDecompressor()
+        unpack, rolling = zstandard.ZstdDecompressor(), Rolling()
         for doc, packed, places in groups:
             whole = unpack.decompress(packed)
-            lines = split(whole)
-            runs = places[places // _COUNT < len(lines)]
-            gone = covered(len(lines), runs // _COUNT, runs % _COUNT)
-            kept = b"\n".join([x for x, away in zip(lines, gone) if not away])
+            of = Lines(whole, rolling)
+            runs = places[places // _COUNT < len(of.lines)]
+            gone = covered(len(of.lines), runs // _COUNT, runs % _COUNT)
+            if gone[of.filled].all():
+                gone[:] = True
+            kept = b"\n".join([x for x, away in zip(of.lines, gone) if not away])
             if whole.endswith(b"\n") and not gone.all():
                 kept += b"\n"
-            sizes = [n for _, _, n, _ in chunks(whole)]
-            left = np.add.reduceat(~gone, np.cumsum(sizes) - sizes, dtype=np.int64) if sizes else np.ones(0)
+            left = np.add.reduceat(~gone, of.starts, dtype=np.int64) if len(of.lines) else np.ones(0)
             yield {"doc": [doc], "n_removed_chunks": [int((left == 0).sum())], "kept": [kept.decode()],
                    "n_removed_lines": [int(gone.sum())], "kept_sha256": [hashlib.sha256(kept).hexdigest()]}
 
-    return merged(pack(keyed), repeats(keyed, extend), cut,
+    return merged(pack(keyed), repeats(keyed), cut,
                   "doc bigint, n_removed_chunks bigint, n_removed_lines bigint, kept string, kept_sha256 string")
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
-          extend: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with repeated chunks cut out of the text; documents of which nothing is left go."""
-    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(F.max("kept").alias("kept"))
+    cut = removed(docs, doc_id=doc_id, text=text).groupBy("doc").agg(F.max("kept").alias("kept"))
     out = (docs.select(whole_row(docs), doc_key(doc_id, text).alias("doc")).join(cut, "doc", "left")
            .where("kept IS NULL OR trim(kept) != ''"))
     columns = {text: F.coalesce("kept", F.col(f"user.`{text}`"))}
@@ -183,19 +176,20 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_char
     return out.select(*[columns.get(c, F.col(f"user.`{c}`")).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", extend: bool = False) -> DataFrame:
+def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: lines, chunks, removed lines and chunks, and the hash of what is kept."""
     def plain(slices):
+        rolling = Rolling()
         for rows in slices:
-            spans = [chunks(t) for _, _, t in rows]
+            found = [Lines(t, rolling) for _, _, t in rows]
             yield {"doc": [d for d, _, _ in rows], "doc_id": [i for _, i, _ in rows],
-                   "n_lines": [sum(x[2] for x in s) for s in spans], "n_chunks": [len(s) for s in spans],
+                   "n_lines": [len(x.lines) for x in found], "n_chunks": [len(x.ends) for x in found],
                    "whole": [hashlib.sha256(t).hexdigest() for _, _, t in rows]}
 
     base = by_arrow(docs.select(doc_key(doc_id, text).alias("doc"), F.col(f"`{doc_id}`").cast("bigint"),
                                 as_bytes(text).alias("text")),
                     plain, "doc bigint, doc_id bigint, n_lines bigint, n_chunks bigint, whole string")
-    cut = removed(docs, doc_id=doc_id, text=text, extend=extend).groupBy("doc").agg(
+    cut = removed(docs, doc_id=doc_id, text=text).groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n_removed_lines", "n_removed_chunks", "kept_sha256")])
     return base.join(cut, "doc", "left").select(
         "doc_id", "n_lines", "n_chunks", F.coalesce("n_removed_lines", F.lit(0)).alias("n_removed_lines"),

@@ -41,10 +41,11 @@ class Rolling:
             self.up = np.concatenate([one, np.cumprod(np.full(n - 1, _STEP, U64))])
             self.down = np.concatenate([one, np.cumprod(np.full(n - 1, _BACK, U64))])
 
-    def hashes(self, values: np.ndarray, width: int, starts: np.ndarray | None = None) -> np.ndarray:
-        """Hash of ``values[s:s + width]`` for each start, all starts when none are given."""
+    def hashes(self, values: np.ndarray, width: int | np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+        """Hash of ``values[s:s + width]`` for each start, all starts when none are given.  Each given start may
+        have a width of its own."""
         n = len(values)
-        if n < width:
+        if np.ndim(width) == 0 and n < width:
             return np.empty(0, U64)
         self._grow(n)
         sums = np.zeros(n + 1, U64)

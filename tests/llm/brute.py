@@ -89,18 +89,25 @@ def mix(rows, weights=(5, 2, 1), share=1.5, cap=2.0):
     return target
 
 
-def chunks_removed(rows, cut):
-    """rows: (id, text), ``cut`` gives the chunk spans of a text: {id: text without later equal chunks}."""
+def repeated_lines_removed(rows):
+    """rows: (id, text): {id: text without lines in a pair of neighbouring lines that occurs earlier}.
+
+    Neighbours are lines that are not blank; the blank ones between them belong to the pair.
+    """
     first, out = {}, {}
     for i, t in sorted(rows):
-        raw = (t or "").encode()
-        kept = []
-        for n, (a, b, _, full) in enumerate(cut(raw)):
-            body = raw[a:b].removesuffix(b"\n")
-            if full > 1 and first.setdefault(body, (i, n)) != (i, n):
-                continue
-            kept.append(body)
-        out[i] = (b"\n".join(kept) + (b"\n" if kept and raw.endswith(b"\n") else b"")).decode()
+        parts = (t or "").split("\n")
+        if parts[-1] == "":
+            parts.pop()
+        full = [k for k, x in enumerate(parts) if x.encode().strip()]
+        gone = set()
+        for a, b in zip(full, full[1:]):
+            if first.setdefault(tuple(parts[a:b + 1]), (i, a)) != (i, a):
+                gone |= set(range(a, b + 1))
+        if gone >= set(full) and gone:
+            gone = set(range(len(parts)))
+        kept = [x for k, x in enumerate(parts) if k not in gone]
+        out[i] = "\n".join(kept) + ("\n" if kept and (t or "").endswith("\n") else "")
     return out
 
 

@@ -36,9 +36,9 @@ def test_repeated_passages_go_as_a_whole(spark):
         rows.append((k, "\n".join(own[:at] + passages[k % 20] + own[at:])))
         want[k] = "\n".join(own if k >= 20 else own[:at] + passages[k] + own[at:])
     docs = spark.createDataFrame(rows, KIND).repartition(3)
-    got = {r["doc_id"]: r["text"] for r in lines.dedup(docs, extend=True).collect()}
+    got = {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()}
     assert got == want
-    counts = {r["doc_id"]: r["n_removed_lines"] for r in lines.report(docs, extend=True).collect()}
+    counts = {r["doc_id"]: r["n_removed_lines"] for r in lines.report(docs).collect()}
     assert counts == {k: 12 * (k >= 20) for k in range(60)}
 
 
