@@ -64,7 +64,8 @@ class Model:
 
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         sample: int = 2400) -> Model:
-    """Learn from all rows of ``docs`` that have an id, a text and a language."""
+    """Learn from all rows of ``docs`` that have an id, a text and a language: frequencies from all, weights from
+    ``sample`` rows at most, of rows that share an id one."""
     known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"),
                         F.col(f"`{text}`").cast("string").alias("text")).dropna()
 
@@ -85,7 +86,10 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
     n_langs = known.select("lang").distinct().count()
     if not n_langs:
         return Model([], idf, np.zeros((FEATURES, 0)), 1.0)
-    chosen = lowest(known.select("id", "lang"), max(20, sample // n_langs), key="id", by="lang").select("id").distinct()
+    ids = known.select("id", "lang")
+    # as many of each language; with more languages than the sample has rows, rows of any
+    chosen = lowest(ids, sample // n_langs, key="id", by="lang") if n_langs <= sample else lowest(ids, sample, key="id")
+    chosen = chosen.select("id").distinct()
 
     def features(slices):
         for rows in slices:
@@ -94,7 +98,8 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
                    "value": [v.astype(np.float32).tobytes() for _, v in made]}
 
     # a bounded sample
-    got = by_arrow(known.join(F.broadcast(chosen), "id").select("lang", "text"), features,
+    picked = known.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("lang", "text")).alias("row"))
+    got = by_arrow(picked.select("row.lang", "row.text"), features,
                    "lang string, at binary, value binary").collect()
     got.sort(key=lambda r: (r["lang"], r["at"], r["value"]))
     names = sorted({r["lang"] for r in got})

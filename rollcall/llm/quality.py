@@ -1,10 +1,14 @@
 """Quality classifier (operator 6) by positive-unlabelled learning.
 
-Trusted positives are documents labelled 1; unlabelled are documents whatever their label; the class prior is
-estimated as the share of 1 among the training labels.  A linear score is fitted by minimising the
-non-negative unbiased risk: prior * loss of positives as positive + max(0, loss of unlabelled as negative
-- prior * loss of positives as negative).  It is then mapped to the probability of label 1 by a logistic curve
-fitted on training labels of both kinds.
+Trusted positives are documents labelled 1; unlabelled are documents whatever their label.  A linear score is
+fitted by minimising the non-negative unbiased risk: prior * loss of positives as positive + max(0, loss of
+unlabelled as negative - prior * loss of positives as negative).
+
+The class prior is estimated from positives and unlabelled texts alone (``mixture_prior``): a first score is fitted
+with a prior of one half to one half of the unlabelled; above the threshold where nearly only positives lie, the
+share of the other half's texts over that of positives not trained on is the prior.  It can differ from the share
+of 1 among the labels, as those who label choose what they label; the model keeps both.  The final score is mapped
+to the probability of label 1 by a logistic curve fitted on training labels of both kinds, weighted by the prior.
 
 Features are hashed 1- to 3-grams of bytes (log counts, length 1) and a few shape measures, so only the text is
 read.  Fitting uses bounded samples of whole texts, chosen by a hash of the id: ``positives``, ``unlabelled``
@@ -81,6 +85,22 @@ def fit_linear(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, ro
     return w
 
 
+def mixture_prior(positive: np.ndarray, unlabelled: np.ndarray, *, slack: float = 0.1) -> float:
+    """Share of positives among the unlabelled, from scores of both that no fit has seen.
+
+    For each threshold the share of the unlabelled above it over that of the positives bounds the prior from above;
+    the bound is taken where it is least after an allowance for the sizes of the samples, which holds with a
+    probability of 1 - ``slack``.
+    """
+    p, u = np.sort(positive), np.sort(unlabelled)
+    at = np.unique(p)
+    above_p = 1 - np.searchsorted(p, at) / len(p)
+    above_u = 1 - np.searchsorted(u, at) / len(u)
+    allowance = np.sqrt(np.log(4 / slack) / 2) * (len(p) ** -0.5 + len(u) ** -0.5)
+    best = ((above_u + allowance) / above_p).argmin()
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
+
+
 def fit_curve(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve from a score to the probability of label 1 (Newton steps)."""
     z = z.astype(float)
@@ -96,8 +116,10 @@ def fit_curve(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 class Model:
-    def __init__(self, weights: np.ndarray | None, slope: float, offset: float, flat: float | None = None):
+    def __init__(self, weights: np.ndarray | None, slope: float, offset: float, flat: float | None = None,
+                 prior: float | None = None, labelled_share: float | None = None):
         self.weights, self.slope, self.offset, self.flat = weights, slope, offset, flat
+        self.prior, self.labelled_share = prior, labelled_share
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if self.flat is not None:
@@ -115,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(shares) < 2:
         return Model(None, 0, 0, float(next(iter(shares))) if shares else 0.5)
-    prior = shares[1] / sum(shares.values())
+    labelled_share = shares[1] / sum(shares.values())
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), as_bytes(text).alias("text")).where("id IS NOT NULL")
     marked = lowest(known, positives + checked, key="id", by="label")
     any_ids = lowest(texts.select("id"), unlabelled, key="id").select("id")
@@ -138,11 +160,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     cut = min(positives, max(1, shares[1] // 2))
     trusted, check = (y == 1) & (nth <= cut), ((y == 1) & (nth > cut)) | (y == 0)
     if not trusted.any() or not free.any() or len(set(y[check])) < 2:
-        return Model(None, 0, 0, prior)
-    w = fit_linear(x[trusted], x[free], prior)
+        return Model(None, 0, 0, labelled_share, labelled_share=labelled_share)
+    others, unseen = x[free], check & (y == 1)
+    prior = labelled_share
+    if len(others) > 1:  # sorted by features, so halves are dealt in turn
+        first = fit_linear(x[trusted], others[::2], 0.5)
+        prior = mixture_prior(x[unseen] @ first[:-1], others[1::2] @ first[:-1])
+    w = fit_linear(x[trusted], others, prior)
     z, seen = x[check] @ w[:-1] + w[-1], y[check]
     weight = np.where(seen == 1, prior / max(1, (seen == 1).sum()), (1 - prior) / max(1, (seen == 0).sum())) * len(seen)
-    return Model(w, *fit_curve(z, seen, weight))
+    return Model(w, *fit_curve(z, seen, weight), prior=prior, labelled_share=labelled_share)
 
 
 def scored(text: str, model: Model, spark) -> Column:
@@ -179,4 +206,6 @@ def report(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text:
     model = trained(docs, labels, doc_id=doc_id, text=text)
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id, 4, 2).alias("held_out"),
                        scored(text, model, docs.sparkSession).alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.7).cast("int"))
+        "predicted", (F.col("score") >= 0.7).cast("int")).withColumns({
+            "class_prior": F.lit(model.prior).cast("double"),
+            "labelled_share": F.lit(model.labelled_share).cast("double")})

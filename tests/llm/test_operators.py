@@ -283,12 +283,33 @@ def test_language(spark):
     assert 0 <= model.predict("the")[1] <= 1
 
 
+def test_language_sample_is_bounded(spark):
+    rows = [(k, f"text number {k} in words of its own", f"l{k % 30}", None, 0) for k in range(300)]
+    rows += [(7, "again the same id", "l7", None, 0)] * 50
+    docs = frame(spark, rows)
+    assert len(language.fit(docs, sample=60).names) == 30
+    assert 0 < len(language.fit(docs, sample=10).names) <= 10  # more languages than rows
+    assert {r["score"] >= 0 for r in language.report(docs).collect()} == {True}
+
+
+def test_class_prior_from_the_mixture():
+    rng = np.random.default_rng(3)
+    for prior in (0.1, 0.3, 0.6, 0.9):
+        kinds = rng.random(4000) < prior
+        found = quality.mixture_prior(rng.normal(2, 1, 1500), rng.normal(np.where(kinds, 2, -2), 1))
+        assert abs(found - prior) < 0.06
+    assert quality.mixture_prior(np.zeros(1), np.zeros(1)) == 0.99  # ties
+
+
 def test_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     got = quality.report(docs, labels).join(labels, "doc_id").where("held_out")
     right, n = got.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int")), F.count("*")).first()
     assert n > 500 and right > 0.95
+    prior, share = quality.report(docs, labels).select("class_prior", "labelled_share").first()
+    print("prior", prior, "share", share, "right", right)
+    assert 0.01 < prior < 0.99 and 0 < share < 1
 
 
 def test_quality_labels_missing_or_alike(spark):
