@@ -5,8 +5,9 @@ number of item words.  Every document is streamed through it: after each word th
 longest match with any item that ends there.  Where that length reaches ``window`` words, the last
 ``window`` words are an occurrence of an item window; an item of fewer words is one window as a whole.
 
-A block's automaton is made by one task, written to the shared folder and broadcast; its size is bounded
-by ``block_words``.  Documents are never shuffled: every block is applied to each row where it lies.
+Repeated items are dropped and long ones cut into pieces that overlap by ``window - 1`` words, so a window lies in a
+piece as a whole and no item, however long or frequent, outgrows a block.  A block's automaton is made by one task,
+written to the shared folder and broadcast; its size is bounded by ``block_words``.  Documents are never shuffled: every block is applied to each row where it lies.
 
 Defined results: null or empty texts have no words, no hits and are clean; items without words are never
 found; an empty benchmark leaves everything clean; a null item id reads ``null``; repeated item ids count
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.llm.tasks import whole_row
+from rollcall.llm.tasks import by_arrow, whole_row
 
 # words after A-Z are lowered: digits, a-z and every byte of a character beyond ASCII
 _KEPT = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -149,20 +150,39 @@ class Automaton:
         return spans, {self.ids[i] for i in found}
 
 
+def pieces(benchmark: DataFrame, *, item_id: str, text: str, window: int, piece_words: int) -> DataFrame:
+    """(item, words, n): the items' words joined by spaces, distinct, cut where there are more than ``piece_words``
+    windows."""
+    items = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("null")).alias("item"),
+                             F.col(f"`{text}`").cast("string").alias("text")).where("text is not null").distinct()
+
+    def cut(slices):
+        for rows in slices:
+            out = {"item": [], "words": [], "n": []}
+            for item, whole in rows:
+                words = normal_words(whole.encode())
+                for at in range(0, max(1, len(words) - window + 1), piece_words):
+                    some = words[at:at + piece_words + window - 1]
+                    for name, x in zip(out, (item, b" ".join(some), len(some))):
+                        out[name].append(x)
+            yield out
+
+    return by_arrow(items, cut, "item string, words binary, n bigint").where("n > 0").distinct()
+
+
 def automata(benchmark: DataFrame, *, item_id: str = "item_id", text: str = "text", window: int = 13,
-             block_words: int = 250_000) -> list:
+             block_words: int = 250_000, piece_words: int = 10_000) -> list:
     """Broadcast automata of the benchmark, one for each block of about ``block_words`` words."""
-    items = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("null")).alias("item"),
-                             F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-total // (4 * block_words)))  # a word and the gap after it take four characters or more
+    items = settle(pieces(benchmark, item_id=item_id, text=text, window=window, piece_words=piece_words))
+    total = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-total // block_words))
     kind = "block int, automaton binary"
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        found = Automaton([(i, normal_words(x.encode())) for i, x in zip(group["item"], group["text"])], window)
+        found = Automaton([(i, x.split()) for i, x in zip(group["item"], group["words"])], window)
         return pd.DataFrame({"block": group["block"][:1], "automaton": [cloudpickle.dumps(found)]})
 
-    made = settle(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int"))
+    made = settle(items.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)).cast("int"))
                   .groupBy("block").applyInPandas(build, kind))
     sc = benchmark.sparkSession.sparkContext
     numbers = sorted(r["block"] for r in made.select("block").collect())

@@ -102,6 +102,24 @@ def test_decontamination(spark, monkeypatch, block_words):
     assert got == sorted(brute.contaminated([r[:2] for r in rows], named), key=repr)
 
 
+def test_benchmark_of_long_and_repeated_items(spark):
+    """Items cut into pieces and items given many times lose no window and gain none."""
+    rng = random.Random(41)
+    pool = [f"w{k}" for k in range(30)]
+    long = " ".join(rng.choices(pool, k=900))
+    items = [(1, long), (2, " ".join(rng.choices(pool, k=13))), (3, "w1 w2"), (4, "w3"), (5, None), (6, " .")]
+    items += [(7, " ".join(rng.choices(pool, k=40)))] * 30
+    words = long.split(" ")
+    rows = [(k, " ".join(rng.choices(pool, k=5) + words[at:at + n]), None, None, 0)
+            for k, (at, n) in enumerate((rng.randint(0, 880), rng.randint(10, 40)) for _ in range(80))]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    want = {r[0]: r[1:4] for r in brute.contaminated([r[:2] for r in rows], items)}
+    for piece_words in (1, 7, 200):
+        blocks = decontaminate.automata(bench, block_words=300, piece_words=piece_words)
+        got = frame(spark, rows).select("doc_id", decontaminate.judged(F.col("text"), blocks).alias("v")).collect()
+        assert {r["doc_id"]: (r["v"]["n_words"], r["v"]["n_hit"], len(r["v"]["items"])) for r in got} == want
+
+
 def test_decontaminated_corpus(spark):
     rows = corpus(3)
     named = [("null" if i is None else i, t) for i, t in items(rows)]
