@@ -3,16 +3,17 @@
 One entity, name or set of copies may hold a large share of all rows.  No function here
 brings the rows of such a group into one task:
 
-* ``attach`` joins rows with one fact row per group.  Facts of the few hot groups travel by
-  broadcast and the rows of those groups are spread over many shuffle partitions.
-* ``by_heat`` lets ordinary entities take a plain window and sends only hot ones the long way.
-* ``previous_row`` and ``running_sums`` scan a hot entity in row order chunk by chunk.  Only one
-  summary row per chunk of 2^20 rows is ordered across the whole entity.
+* ``attach`` joins rows with one fact row per group.  The rows of hot groups are spread over many
+  shuffle partitions.
+* ``InOrder`` looks back, sums up and aggregates over groups in row order.  Rows are range-sorted and
+  cut into chunks, each chunk is scanned by itself, and one summary row per chunk carries the scan
+  from chunk to chunk.  Hot and ordinary groups take the same plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +22,9 @@ from rollcall.functions.cells import fingerprint
 from rollcall.functions.lineage import settle
 from rollcall.spec import PanelSpec
 
-# A group with this many rows is spread.  All hot groups are listed: there is at most one per
-# HOT_ROWS rows of the input, which bounds what is broadcast.
+# ``attach`` spreads a group with this many rows.
 HOT_ROWS = 1_000_000
-# A chunk of a hot entity holds at most 2^CHUNK_BITS rows.
+# A chunk of sorted rows holds at most 2^CHUNK_BITS of them.
 CHUNK_BITS = 20
 
 
@@ -49,7 +49,8 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, sa
     spots = F.ceil(F.col("_hot_rows") / F.lit(hot_rows)).cast("bigint")
     spot = F.when(F.col("_hot_fact").isNull(), F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(salt), spots)).cast("bigint")
-    spread_rows = (rows.join(F.broadcast(hot), keys, "left").withColumn("_spot", spot))
+    # at most one row per hot_rows rows: a broadcast where its size allows it, else a join that can be split
+    spread_rows = rows.join(hot, keys, "left").withColumn("_spot", spot)
     cold = packed.drop(count).withColumn("_spot", F.lit(-1).cast("bigint"))
     joined = spread_rows.join(cold, [*keys, "_spot"], "left")
     fact = F.coalesce("_hot_fact", "_fact")
@@ -66,106 +67,116 @@ def row_salt(df: DataFrame, spec: PanelSpec) -> Column:
     return F.col(spec.order) if spec.order in df.columns else fingerprint(df.columns, "salt")
 
 
-CHUNK_KEY = ["_entity", "_chunk"]
+# the rows of one group in one chunk
+SEGMENT = ["_group", "_chunk"]
 
 
-def _with_chunks(rows: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Number the rows of hot entities densely in row order and cut them into chunks.
-
-    The rows are range-sorted and written, so an id counts rows within its range partition.  The
-    chunks of an entity are about its rows / 2^CHUNK_BITS, however many tasks its rows came from.
-    """
-    order = [*[F.col(f"`{c}`").asc() for c in spec.entity_key], *_row_order(spec)]
-    placed = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("_place", F.monotonically_increasing_id()))
-    # a struct is never null, so entities with a null part join like any other
-    return placed.withColumns({"_entity": F.struct(*[F.col(f"`{c}`") for c in spec.entity_key]),
-                               "_chunk": F.shiftright("_place", CHUNK_BITS)})
-
-
-def _row_order(spec: PanelSpec) -> list[Column]:
-    return [F.col(spec.date).asc_nulls_last(), F.col(spec.order).asc()]
+class InOrder:
+    """Rows of groups in row order, to which scans add columns.
 
+    The rows are range-sorted by group and order and written, so that ``_place`` numbers them for good;
+    a chunk is a run of at most 2^CHUNK_BITS places within a range partition, however many tasks the rows
+    came from.  A group that continues in the next chunk is the last of one and the first of the other, so
+    a chunk has at most two segments of such groups.  ``cut`` holds their rows: it is scanned ahead for
+    the summaries that all rows are joined with, on segments, which are never larger than a chunk.
 
-def by_heat(rows: DataFrame, spec: PanelSpec, scan: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
-    """Apply ``scan(part, fits)`` to the rows of ordinary and of hot entities, and unite.
-
-    Rows are counted per entity first.  Ordinary entities fit one task; where no entity is hot,
-    that is all there is to it.
+    With ``fits`` the caller promises that the rows of any group fit one task.  Then each group is one
+    segment and nothing is carried.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in spec.entity_key]).alias("_hot")
-    hot = settle(rows.groupBy(*spec.entity_key).agg(F.count(F.lit(1)).alias("_rows"))
-                 .where(F.col("_rows") >= HOT_ROWS).select(whole))
-    if hot.isEmpty():
-        return scan(rows, True)
-    keyed, hot = rows.withColumn("_hot", whole), F.broadcast(hot)
-    ordinary = scan(keyed.join(hot, "_hot", "left_anti").drop("_hot"), True)
-    return ordinary.unionByName(scan(keyed.join(hot, "_hot", "left_semi").drop("_hot"), False))
-
 
-def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -> DataFrame:
-    """Add aggregates over each row's (state, entity, date) slot."""
-    def scan(part: DataFrame, fits: bool) -> DataFrame:
+    def __init__(self, rows: DataFrame, keys: list[str], order: list[Column], *, fits: bool = False):
+        self.columns = rows.columns
         if fits:
-            w = Window.partitionBy(*spec.slot_key)
-            return part.withColumns({n: f.over(w) for n, f in facts.items()})
-        per_slot = part.groupBy(*spec.slot_key).agg(
-            F.count(F.lit(1)).alias("_in_slot"), *[f.alias(n) for n, f in facts.items()])
-        return attach(part, per_slot, spec.slot_key, count="_in_slot", salt=F.col(spec.order),
-                      null_keys=True)
-
-    return by_heat(rows, spec, scan)
-
+            self.rows, self.cut = rows, None
+            self._segment, self._order = keys, order
+            return
+        by = [*[F.col(f"`{k}`").asc() for k in keys], *order]
+        placed = settle(rows.repartitionByRange(*by).sortWithinPartitions(*by)
+                        .withColumn("_place", F.monotonically_increasing_id()))
+        # a struct is never null, so a missing key part is a value like any other
+        self.rows = placed.withColumns({"_group": F.struct(*[F.col(f"`{k}`") for k in keys]),
+                                        "_chunk": F.shiftright("_place", CHUNK_BITS)})
+        self._segment, self._order = SEGMENT, [F.col("_place").asc()]
+        # hashes will do here: a clash only takes along a segment of a group that was not cut
+        key = F.xxhash64("_group")
+        ends = self.rows.groupBy("_chunk").agg(F.array_distinct(F.array(
+            F.min_by(key, "_place"), F.max_by(key, "_place"))).alias("ends"))
+        several = F.count(F.lit(1)).over(Window.partitionBy("_key"))
+        segments = (ends.select("_chunk", F.explode("ends").alias("_key")).withColumn("n", several)
+                    .where("n > 1").select("_key", "_chunk"))
+        self.cut = settle(self.rows.withColumn("_key", key).join(segments, ["_key", "_chunk"], "left_semi").drop("_key"))
+
+    def _then(self, add: Callable[[DataFrame], DataFrame]) -> InOrder:
+        """The same rows after ``add``, which must keep them."""
+        out = copy(self)
+        out.rows, out.cut = add(self.rows), None if self.cut is None else add(self.cut)
+        return out
+
+    def _carried(self, summary: dict[str, Column], along: dict[str, Column]) -> DataFrame:
+        """Per segment of a group that was cut: ``along``, computed over the summaries of the group's segments."""
+        return self.cut.groupBy(*SEGMENT).agg(*[s.alias(n) for n, s in summary.items()]).select(
+            *SEGMENT, *[a.alias(n) for n, a in along.items()])
+
+    def with_columns(self, columns: dict[str, Column]) -> InOrder:
+        return self._then(lambda rows: rows.withColumns(columns))
+
+    def with_previous(self, wanted: list[str]) -> InOrder:
+        """Add ``_prev``, the struct of ``wanted`` of the group's previous row (null on the first), and
+        ``_nth``, which counts its rows from 1."""
+        here = F.struct(*[F.col(f"`{c}`") for c in wanted])
+        inside = Window.partitionBy(*self._segment).orderBy(*self._order)
+        local = {"_prev": F.lag(here).over(inside), "_nth": F.row_number().over(inside).cast("bigint")}
+        if self.cut is None:
+            return self.with_columns(local)
+        chunks = Window.partitionBy("_group").orderBy("_chunk")
+        before = self._carried(
+            {"rows": F.count(F.lit(1)), "last": F.max_by(here, "_place")},
+            {"_last": F.lag("last").over(chunks),
+             "_rows": F.sum("rows").over(chunks.rowsBetween(Window.unboundedPreceding, -1))})
+        return self._then(lambda rows: rows.withColumns(local).join(before, SEGMENT, "left").withColumns(
+            {"_prev": F.coalesce("_prev", "_last"), "_nth": F.col("_nth") + F.coalesce("_rows", F.lit(0))})
+            .drop("_last", "_rows"))
+
+    def with_sums(self, amounts: dict[str, Column]) -> InOrder:
+        """Add, per name in ``amounts``, the running sum over the group up to the current row."""
+        inside = (Window.partitionBy(*self._segment).orderBy(*self._order)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local = {n: F.sum(a).over(inside) for n, a in amounts.items()}
+        if self.cut is None:
+            return self.with_columns(local)
+        earlier = (Window.partitionBy("_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))
+        before = self._carried({n: F.sum(a) for n, a in amounts.items()},
+                               {f"_before_{n}": F.sum(n).over(earlier) for n in amounts})
+        # a sum over nothing but nulls is null, with or without earlier chunks
+        both = {n: F.when(F.col(n).isNull(), F.col(f"_before_{n}"))
+                .otherwise(F.col(n) + F.coalesce(f"_before_{n}", F.lit(0))) for n in amounts}
+        return self._then(lambda rows: rows.withColumns(local).join(before, SEGMENT, "left").withColumns(both)
+                          .drop(*[f"_before_{n}" for n in amounts]))
+
+    def with_facts(self, facts: dict[str, Column]) -> InOrder:
+        """Add aggregates over the row's whole group."""
+        inside = Window.partitionBy(*self._segment)
+        local = {n: f.over(inside) for n, f in facts.items()}
+        if self.cut is None:
+            return self.with_columns(local)
+        whole = F.struct(*[F.col(n) for n in facts]).alias("_whole")
+        told = self.cut.groupBy("_group").agg(*[f.alias(n) for n, f in facts.items()]).select("_group", whole)
+        segments = self.cut.select(*SEGMENT).distinct().join(told, "_group")
+        both = {n: F.when(F.col("_whole").isNull(), F.col(n)).otherwise(F.col("_whole").getField(n)) for n in facts}
+        return self._then(lambda rows: rows.withColumns(local).join(segments, SEGMENT, "left").withColumns(both)
+                          .drop("_whole"))
+
+    def done(self, *added: str) -> DataFrame:
+        """The rows with their own columns and those named."""
+        return self.rows.select(*[F.col(f"`{c}`") for c in self.columns], *added)
+
+
+def in_order(rows: DataFrame, spec: PanelSpec, *, fits: bool = False) -> InOrder:
+    """The rows of each entity by date, then ordinal."""
+    return InOrder(rows, list(spec.entity_key), [F.col(spec.date).asc_nulls_last(), F.col(spec.order).asc()], fits=fits)
 
-def previous_row(rows: DataFrame, spec: PanelSpec, wanted: list[str], *, fits: bool) -> DataFrame:
-    """Add ``_prev``, the struct of ``wanted`` of the entity's previous row, and ``_nth``.
 
-    Rows are ordered by date, then ordinal.  ``_prev`` is null on the first row and ``_nth``
-    counts from 1.  ``fits`` says that the rows of an entity fit one task; otherwise they are
-    scanned in chunks.
-    """
-    here = F.struct(*[F.col(f"`{c}`") for c in wanted])
-    if fits:
-        w = Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
-        return rows.withColumns({"_prev": F.lag(here).over(w),
-                                 "_nth": F.row_number().over(w).cast("bigint")})
-    inside = Window.partitionBy(*CHUNK_KEY).orderBy("_place")
-    local = _with_chunks(rows, spec).withColumns({
-        "_here": here,
-        "_before": F.lag(here).over(inside),
-        "_pos": F.row_number().over(inside).cast("bigint"),
-        "_last": F.lead(F.lit(1)).over(inside).isNull(),
-    })
-    along = Window.partitionBy(*spec.entity_key).orderBy("_chunk")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    ends = local.where("_last").select(
-        *CHUNK_KEY,
-        F.lag("_here").over(along).alias("_carried"),
-        F.coalesce(F.sum("_pos").over(earlier), F.lit(0)).alias("_offset"))
-    return (local.join(ends, CHUNK_KEY, "left")
-            .withColumns({"_prev": F.coalesce("_before", "_carried"),
-                          "_nth": F.col("_pos") + F.col("_offset")})
-            .select(*[F.col(f"`{c}`") for c in rows.columns], "_prev", "_nth"))
-
-
-def running_sums(rows: DataFrame, spec: PanelSpec, amounts: dict[str, Column], *, fits: bool) -> DataFrame:
-    """Add, per name in ``amounts``, the running sum over the entity up to the current row."""
-    if fits:
-        w = (Window.partitionBy(*spec.entity_key).orderBy(*_row_order(spec))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return rows.withColumns({n: F.sum(a).over(w) for n, a in amounts.items()})
-    inside = Window.partitionBy(*CHUNK_KEY).orderBy("_place")
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = _with_chunks(rows, spec).withColumns(
-        {f"_in_{n}": F.sum(a).over(so_far) for n, a in amounts.items()}
-        | {"_last": F.lead(F.lit(1)).over(inside).isNull()})
-    earlier = (Window.partitionBy(*spec.entity_key)
-               .orderBy("_chunk")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    # the last row of a chunk holds the chunk's total
-    before = local.where("_last").select(*CHUNK_KEY, *[
-        F.coalesce(F.sum(f"_in_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}")
-        for n in amounts])
-    return (local.join(before, CHUNK_KEY, "left")
-            .select(*[F.col(f"`{c}`") for c in rows.columns],
-                    *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(n) for n in amounts]))
+def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -> DataFrame:
+    """Add aggregates over each row's (state, entity, date) slot."""
+    slots = InOrder(rows, list(spec.slot_key), [F.col(spec.order).asc()])
+    return slots.with_facts(facts).done(*facts)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.cells import (is_dirty, like_column, null_safe_add, replace_columns,
                                       to_long)
-from rollcall.functions.spread import attach, by_heat, previous_row, running_sums
+from rollcall.functions.spread import in_order
 from rollcall.operators.densify import fill_missing_dates
 from rollcall.spec import SHEET, PanelSpec
 
@@ -30,18 +30,10 @@ def carry_closed_event(df: DataFrame, spec: PanelSpec = SHEET, *, since: int = C
     closing = F.when((F.col(spec.date) >= since) & (F.col(spec.status) == "CLOSED")
                      & (F.col("_prev").getField(spec.status) == "OPEN"), place)
 
-    def mark(part: DataFrame, fits: bool) -> DataFrame:
-        before = previous_row(part.withColumns(numbers), spec, [spec.status, *numbers], fits=fits)
-        facts = {"_from": F.max(closing), "_event": F.max_by("_prev", closing)}
-        if fits:
-            whole = Window.partitionBy(*spec.entity_key)
-            return (before.withColumns({n: f.over(whole) for n, f in facts.items()})
-                    .drop("_prev", "_nth", *numbers))
-        per_entity = before.groupBy(*spec.entity_key).agg(
-            F.count(F.lit(1)).alias("_rows"), *[f.alias(n) for n, f in facts.items()])
-        return attach(part, per_entity, spec.entity_key, count="_rows", salt=F.col(spec.order), null_keys=True)
-
-    marked = mark(rows, True) if one_row_per_date else by_heat(rows, spec, mark)
+    scanned = (in_order(rows.withColumns(numbers), spec, fits=one_row_per_date)
+               .with_previous([spec.status, *numbers])
+               .with_facts({"_from": F.max(closing), "_event": F.max_by("_prev", closing)}))
+    marked = scanned.done("_from", "_event")
     corrected = {}
     for i, running in enumerate(spec.running):
         total = null_safe_add(to_long(rows, running), F.col("_event").getField(f"_c{i}"))
@@ -93,15 +85,12 @@ def _with_past_events(df: DataFrame, spec: PanelSpec, skip_first_transition: boo
         reopened = reopened & (F.col("_nth") > 2)
     reopened = F.coalesce(reopened, F.lit(False))
 
-    def total(part: DataFrame, fits: bool) -> DataFrame:
-        before = previous_row(part.withColumns(known), spec, [spec.status, *known], fits=fits)
-        before = before.select(*[F.col(f"`{c}`") for c in rows.columns], *numbers, *[
-            F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0)
-            .alias(f"_add{n}") for n in known], reopened.cast("bigint").alias("_reopened"))
-        sums = {f"_sum{n}": F.col(f"_add{n}") for n in known} | {"_events": F.col("_reopened")}
-        return running_sums(before, spec, sums, fits=fits)
-
-    return rows, total(rows, True) if one_row_per_date else by_heat(rows, spec, total)
+    added = {f"_add{n}": F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0) for n in known}
+    sums = {f"_sum{n}": F.col(f"_add{n}") for n in known} | {"_events": F.col("_reopened")}
+    scanned = (in_order(rows.withColumns(known), spec, fits=one_row_per_date)
+               .with_previous([spec.status, *known])
+               .with_columns(added | {"_reopened": reopened.cast("bigint")}).with_sums(sums))
+    return rows, scanned.done(*sums)
 
 
 def close_unknown(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.cells import any_of, fingerprint, text_to_double, to_long
-from rollcall.functions.spread import attach, by_heat, previous_row, row_salt
+from rollcall.functions.spread import attach, in_order, row_salt
 from rollcall.operators.standardize import standardize
 from rollcall.spec import SHEET, PanelSpec
 
@@ -182,10 +182,7 @@ def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bo
     slim = rows.select(spec.state, spec.facility, spec.date, spec.facility_type, spec.entity,
                        spec.order, *[v.alias(n) for n, v in numbers.items()])
 
-    def look_back(part: DataFrame, fits: bool) -> DataFrame:
-        return previous_row(part, spec, [spec.date, *numbers], fits=fits)
-
-    before = look_back(slim, True) if one_row_per_date else by_heat(slim, spec, look_back)
+    before = in_order(slim, spec, fits=one_row_per_date).with_previous([spec.date, *numbers]).done("_prev")
     falls, pairs = [], []
     for i, c in enumerate(spec.running):
         now, was = F.col(f"_v{i}"), F.col("_prev").getField(f"_v{i}")

@@ -109,28 +109,58 @@ def test_skewed_reconciliation_is_split(spark):
 
 def test_hot_entity_from_many_tasks_has_few_chunks(spark, monkeypatch):
     """Summary rows of a hot entity follow its rows, not the tasks its rows came from."""
-    monkeypatch.setattr(spread, "HOT_ROWS", 100)
     monkeypatch.setattr(spread, "CHUNK_BITS", 10)
     rows = spark.range(0, 20_000, 1, 500).select(
         F.lit("S").alias("State"), F.lit("E").alias("ctp_id"), F.lit(20210107).alias("Date"),
         (F.spark_partition_id().cast("bigint") * (1 << 33) + F.col("id")).alias("_ord"))
-    chunked = spread._with_chunks(rows, SPEC)
-    n = chunked.select(*spread.CHUNK_KEY).distinct().count()
+    chunked = spread.in_order(rows, SPEC)
+    n = chunked.rows.select(*spread.SEGMENT).distinct().count()
     assert 20 <= n <= 20 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = spread.by_heat(rows, SPEC, lambda part, fits: spread.previous_row(part, SPEC, ["_ord"], fits=fits))
+    assert chunked.cut.count() == 20_000
+    seen = chunked.with_previous(["_ord"]).done("_prev", "_nth")
     assert seen.agg(F.max("_nth")).first()[0] == 20_000
     assert seen.where("_prev is null").count() == 1
 
 
-def test_many_hot_groups_and_null_keys(spark, monkeypatch):
-    """No hot group is cut from the list, and a missing key part is a key like any other."""
-    monkeypatch.setattr(spread, "HOT_ROWS", 2)
+@pytest.mark.parametrize("bits", [0, 1, 3, 20])
+def test_scans_of_hot_and_ordinary_groups(spark, monkeypatch, bits):
+    """Wherever chunks are cut, scans give what plain windows give; a missing key part is a key like any other."""
+    monkeypatch.setattr(spread, "CHUNK_BITS", bits)
+    group = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 97)
+    rows = spark.range(3_000).select(
+        F.when(group % 5 > 0, F.lit("S")).alias("State"), group.cast("string").alias("ctp_id"),
+        (20210107 + F.col("id") % 7).cast("int").alias("Date"), F.col("id").alias("_ord"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 11).alias("v"))
+    tables = []
+    for fits in (True, False):
+        out = (spread.in_order(rows, SPEC, fits=fits).with_previous(["v"])
+               .with_columns({"met": F.coalesce(F.col("_prev.v"), F.lit(0)) * F.col("_nth")})
+               .with_sums({"total": F.col("met"), "thin": F.col("v")})
+               .with_facts({"size": F.count(F.lit(1)), "last": F.max_by("_prev", "Date"), "least": F.min("v")}))
+        tables.append(out.done("_prev.v", "_nth", "met", "total", "thin", "size", "least"))
+    assert tables[0].exceptAll(tables[1]).isEmpty() and tables[0].count() == tables[1].count() == 3_000
+
+
+def test_only_groups_that_were_cut_are_summarized(spark, monkeypatch):
+    """Ordinary groups cost no summary: at most two segments a chunk, and no broadcast is forced."""
+    monkeypatch.setattr(spread, "CHUNK_BITS", 10)
+    rows = spark.range(40_000).select(F.lit("S").alias("State"), (F.col("id") % 10_000).alias("ctp_id"),
+                                      F.lit(20210107).alias("Date"), F.col("id").alias("_ord"))
+    scan = spread.in_order(rows, SPEC)
+    chunks = scan.rows.select("_chunk").distinct().count()
+    assert scan.cut.select(*spread.SEGMENT).distinct().count() <= 2 * chunks
+    assert scan.cut.count() <= 4 * chunks
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        out = scan.with_previous(["_ord"]).done("_nth")
+        assert out.where("_nth = 4").count() == 10_000
+        assert "Broadcast" not in explained(out)
+
+
+def test_slots_of_many_rows(spark, monkeypatch):
     monkeypatch.setattr(spread, "CHUNK_BITS", 1)
-    rows = spark.range(90_000).select(
-        F.when(F.col("id") % 30_000 > 0, F.lit("S")).alias("State"), (F.col("id") % 30_000).cast("string").alias("ctp_id"),
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") % 3_000 > 0, F.lit("S")).alias("State"), (F.col("id") % 3_000).cast("string").alias("ctp_id"),
         F.lit(20210107).alias("Date"), F.col("id").alias("_ord"))
-    got = spread.by_heat(rows, SPEC, lambda part, fits: spread.running_sums(
-        part, SPEC, {"so_far": F.lit(1)}, fits=fits))
-    assert got.groupBy("so_far").count().orderBy("so_far").collect() == [(1, 30_000), (2, 30_000), (3, 30_000)]
     slots = spread.add_slot_facts(rows, SPEC, {"size": F.count(F.lit(1))})
-    assert slots.where("size != 3").count() == 0
+    assert slots.count() == 9_000 and slots.where("size != 3").count() == 0
