@@ -17,8 +17,9 @@ keys have written tables on both sides, so adaptive execution can split a key th
 
 Defined results: null and empty texts have no lines; texts without line breaks are one line and lose
 nothing; where no line stays that is not blank, none stays; equal rows of one id count as one place, so neither
-loses its lines to the other; a null id is replaced by a hash of the text; empty tables give empty tables; further
-columns are passed on untouched.
+loses its lines to the other; a null id is replaced by a hash of the text, and an id that stands beside unlike texts by
+a hash of id and text, so each of these rows is a document of its own; empty tables give empty tables; further columns
+are passed on untouched.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack, whole_row
+from rollcall.llm.tasks import by_arrow, merged, pack, rows_apart
 from rollcall.llm.words import Rolling, covered, hashed
 
 WINDOW = 2  # lines under a rolling hash
@@ -143,7 +144,10 @@ def repeats(docs: DataFrame) -> DataFrame:
 def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_removed_chunks, n_removed_lines, kept) of the documents that lose lines; a removed chunk is one
     of which no line stays."""
-    keyed = docs.select(doc_key(doc_id, text).alias("doc"), as_bytes(text).alias("text"))
+    return _removed(rows_apart(docs, doc_id, text).select("doc", "text"))
+
+
+def _removed(keyed: DataFrame) -> DataFrame:
 
     def cut(groups):
         unpack, rolling = zstandard.ZstdDecompressor(), Rolling()
@@ -167,8 +171,9 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
 
 def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with repeated chunks cut out of the text; documents of which nothing is left go."""
-    cut = removed(docs, doc_id=doc_id, text=text).groupBy("doc").agg(F.max("kept").alias("kept"))
-    out = (docs.select(whole_row(docs), doc_key(doc_id, text).alias("doc")).join(cut, "doc", "left")
+    rows = rows_apart(docs, doc_id, text)
+    cut = _removed(rows.select("doc", "text")).groupBy("doc").agg(F.max("kept").alias("kept"))
+    out = (rows.select("user", "doc").join(cut, "doc", "left")
            .where("kept IS NULL OR trim(kept) != ''"))
     columns = {text: F.coalesce("kept", F.col(f"user.`{text}`"))}
     if n_chars in docs.columns:
@@ -186,10 +191,10 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
                    "n_lines": [len(x.lines) for x in found], "n_chunks": [len(x.ends) for x in found],
                    "whole": [hashlib.sha256(t).hexdigest() for _, _, t in rows]}
 
-    base = by_arrow(docs.select(doc_key(doc_id, text).alias("doc"), F.col(f"`{doc_id}`").cast("bigint"),
-                                as_bytes(text).alias("text")),
+    rows = rows_apart(docs, doc_id, text)
+    base = by_arrow(rows.select("doc", "id", "text"),
                     plain, "doc bigint, doc_id bigint, n_lines bigint, n_chunks bigint, whole string")
-    cut = removed(docs, doc_id=doc_id, text=text).groupBy("doc").agg(
+    cut = _removed(rows.select("doc", "text")).groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n_removed_lines", "n_removed_chunks", "kept_sha256")])
     return base.join(cut, "doc", "left").select(
         "doc_id", "n_lines", "n_chunks", F.coalesce("n_removed_lines", F.lit(0)).alias("n_removed_lines"),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.llm.tasks import as_bytes, by_arrow, over_batches, pack, whole_row
+from rollcall.llm.tasks import as_bytes, by_arrow, over_batches, pack, rows_apart
 from rollcall.llm.words import U64, hashed, mixed
 
 BANDS, ROWS = 32, 4
@@ -260,6 +260,12 @@ def _unmet(known: DataFrame, labels: DataFrame, least: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = 80, width: int = 2) -> DataFrame:
-    """``docs`` with one document of each group (its smallest id), same columns."""
-    gone = groups(docs, doc_id=doc_id, text=text, least=least, width=width).where("NOT kept").select(F.col("doc_id").alias("id"))
-    return docs.select(whole_row(docs), F.col(f"`{doc_id}`").alias("id")).join(gone.distinct(), "id", "left_anti").select("user.*")
+    """``docs`` with one document of each group (its smallest id), same columns.
+
+    Rows that share an id and have unlike texts are documents of their own, ordered by a hash; rows without an
+    id stay.
+    """
+    rows = rows_apart(docs, doc_id, text).withColumn("doc", F.when(F.col("id").isNotNull(), F.col("doc")))
+    gone = groups(rows.select("doc", "text"), doc_id="doc", least=least, width=width).where("NOT kept")
+    return (rows.select("user", "doc").join(gone.select(F.col("doc_id").alias("doc")).distinct(), "doc", "left_anti")
+            .select("user.*"))

@@ -14,7 +14,7 @@ passage shared by a third of all documents is one row per task.  Texts travel co
 
 Defined results: null and empty texts have no words and hash as the empty string; texts of fewer than
 ``length`` words lose nothing; a repeated row is another place, so both copies lose their windows; rows
-that share an id but not the text share the places that are removed; a null id is replaced by a hash of the
+that share an id but not the text are documents of their own; a null id is replaced by a hash of the
 text; empty tables give empty tables; further columns are not read.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.lineage import settle
-from rollcall.llm.tasks import as_bytes, by_arrow, doc_key, merged, pack
+from rollcall.llm.tasks import by_arrow, merged, pack, rows_apart
 from rollcall.llm.words import Rolling, U64, covered, hashed, mixed
 
 # fixed values: a difference cover modulo 21 (every remainder is a difference of two members)
@@ -188,7 +188,10 @@ def repeats(docs: DataFrame, length: int = 35) -> DataFrame:
 
 def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 35) -> DataFrame:
     """(doc, n_removed, kept, kept_sha256) of the documents that lose words; ``kept`` joined by one space."""
-    keyed = docs.select(doc_key(doc_id, text).alias("doc"), as_bytes(text).alias("text"))
+    return _removed(rows_apart(docs, doc_id, text).select("doc", "text"), length)
+
+
+def _removed(keyed: DataFrame, length: int) -> DataFrame:
     found, places = repeats(keyed, length)
 
     def cut(groups):
@@ -214,10 +217,10 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lengt
                    "n_words": [len(w) for w in words],
                    "whole": [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]}
 
-    base = by_arrow(docs.select(doc_key(doc_id, text).alias("doc"), F.col(f"`{doc_id}`").cast("bigint"),
-                                as_bytes(text).alias("text")),
+    rows = rows_apart(docs, doc_id, text)
+    base = by_arrow(rows.select("doc", "id", "text"),
                     plain, "doc bigint, doc_id bigint, n_words bigint, whole string")
-    gone = removed(docs, doc_id=doc_id, text=text, length=length).groupBy("doc").agg(
+    gone = _removed(rows.select("doc", "text"), length).groupBy("doc").agg(
         F.max("n_removed").alias("n_removed"), F.max("kept_sha256").alias("kept_sha256"))
     return base.join(gone, "doc", "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),

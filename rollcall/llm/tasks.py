@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from rollcall.functions.lineage import settle
+
 SLICE = 256  # rows turned into Python objects at a time
 BATCH_ROWS = 1024  # rows Spark sends to a task's Python at a time
 SHIPPED = 1 << 20  # bytes of results gathered before they go back
@@ -111,6 +113,21 @@ def doc_key(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.xxhash64(F.col(f"`{text}`"), F.lit("no id")))
 
 
+def rows_apart(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(user, id, doc, text as bytes), where ``doc`` tells rows of unlike texts apart.
+
+    It is ``doc_key``, and for rows that share an id with an unlike text a hash of id and text, so rows share a
+    key only if they are equal in both.  Ids of unlike texts are listed in a written table; hashes alone are shuffled.
+    """
+    known = F.col(f"`{doc_id}`").cast("bigint")
+    seen = F.xxhash64(as_bytes(text))
+    unlike = settle(docs.where(known.isNotNull()).groupBy(known.alias("shared"))
+                    .agg(F.min(seen).alias("least"), F.max(seen).alias("most")).where("least != most").select("shared"))
+    rows = docs.select(whole_row(docs), known.alias("id"), as_bytes(text).alias("text"), doc_key(doc_id, text).alias("key"))
+    doc = F.when(F.col("shared").isNull(), F.col("key")).otherwise(F.xxhash64("id", "text", F.lit("unlike")))
+    return rows.join(unlike, F.col("id") == F.col("shared"), "left").select("user", "id", doc.alias("doc"), "text")
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns of a user's table as one struct, ``user``, beside which internal columns may have any name."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("user")
