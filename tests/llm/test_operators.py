@@ -402,6 +402,28 @@ def test_scores_are_probabilities():
     assert classes_used
 
 
+def test_starting_weights_see_every_training_document(spark):
+    """The fit equals one over all coded texts at once, long ones and those beyond any sample included."""
+    import zstandard
+    rng = np.random.default_rng(23)
+    mass = np.full(32, 40.0)
+    zeros, ones = rng.integers(0, 9, (2, contextmix.CONTEXTS * contextmix.SLOTS)).astype(float)
+    coded = []
+    for size in (6000, *rng.integers(1, 60, 700).tolist()):
+        names, ids = np.unique(rng.integers(1, 30, size).astype(np.uint64) << np.uint64(48), return_inverse=True)
+        blob = contextmix.packed_text(names, ids, np.bincount(ids) + rng.integers(0, 4, len(names)), zstandard.ZstdCompressor())
+        coded.append((size, blob))
+    whole = contextmix.Mixer(zeros, ones, mass)
+    whole.start_from(whole.moments(contextmix.Texts(coded, zstandard.ZstdDecompressor(), lessons=True)))
+    part = contextmix.Mixer(zeros, ones, mass)
+    part.start_from(part.moments(contextmix.Texts(coded[1:401], zstandard.ZstdDecompressor(), lessons=True)))
+    frame = spark.createDataFrame([(n, bytearray(b)) for n, b in coded], "n_tokens bigint, codes binary")
+    for n in (1, 7):
+        mixer = contextmix.Mixer(zeros, ones, mass)
+        contextmix.fit(mixer, frame.repartition(n))
+        assert (mixer.weights == whole.weights).all() and (mixer.weights != part.weights).any()
+
+
 def test_score_does_not_depend_on_company(spark):
     rows = [(k, t, None, None, 0) for k, t in enumerate(["a b a b c", "a b a b c", "", None, "q " * 900, "a b a b c"])]
     got = {r["doc_id"]: r["score"] for r in contextmix.report(frame(spark, rows)).collect()}
