@@ -49,8 +49,8 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, sa
     spots = F.ceil(F.col("_hot_rows") / F.lit(hot_rows)).cast("bigint")
     spot = F.when(F.col("_hot_fact").isNull(), F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(salt), spots)).cast("bigint")
-    # at most one row per hot_rows rows: a broadcast where its size allows it, else a join that can be split
-    spread_rows = rows.join(hot, keys, "left").withColumn("_spot", spot)
+    # at most one row per hot_rows rows, so they are sent to the rows, which would else be shuffled for them
+    spread_rows = rows.join(F.broadcast(hot), keys, "left").withColumn("_spot", spot)
     cold = packed.drop(count).withColumn("_spot", F.lit(-1).cast("bigint"))
     joined = spread_rows.join(cold, [*keys, "_spot"], "left")
     fact = F.coalesce("_hot_fact", "_fact")

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.cells import replace_columns
 from rollcall.functions.dates import date_grid
-from rollcall.functions.spread import attach, row_salt
 from rollcall.spec import SHEET, PanelSpec
 
 
 def _join_state_facts(rows: DataFrame, facts: DataFrame, keys: list[str], spec: PanelSpec) -> DataFrame:
-    """Left join with facts that count their rows in ``_rows``; busy states are spread."""
-    return attach(rows, facts, keys, count="_rows", salt=row_salt(rows, spec))
+    """Left join with facts of states or of their dates.
+
+    However many entities report, there are no more facts than states times dates, so they are sent to the rows,
+    which are not shuffled and lie in no group.
+    """
+    joined = rows.join(F.broadcast(facts), keys, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *[c for c in facts.columns if c not in keys])
 
 
 def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence[int] | None = None) -> DataFrame:
@@ -28,13 +32,12 @@ def fill_missing_dates(df: DataFrame, spec: PanelSpec = SHEET, *, grid: Sequence
     grid = date_grid() if grid is None else list(grid)
     state, date = F.col(f"`{spec.state}`"), F.col(spec.date)
     by_date = Window.partitionBy(state).orderBy(date)
-    reported = (df.where(date.isNotNull()).groupBy(state, date)
-                .agg(F.count(F.lit(1)).alias("_rows"))
+    reported = (df.where(date.isNotNull()).select(state, date).distinct()
                 .withColumn("_next", F.lead(date).over(by_date)))
     weeks = F.expr(f"cast(array({', '.join(str(int(d)) for d in grid)}) as array<int>)")
     gap = F.filter(weeks, lambda g: (g > date) & (F.col("_next").isNull() | (g < F.col("_next"))))
     gaps = (reported.withColumn("_gap", gap).where(F.size("_gap") > 0)
-            .select("_gap", "_rows", state, date))
+            .select("_gap", state, date))
     kind = df.schema[spec.date].dataType.simpleString()
     dated = _join_state_facts(df, gaps, [spec.state, spec.date], spec)
     own = F.array(date)
@@ -56,10 +59,8 @@ def close_missing(df: DataFrame, spec: PanelSpec = SHEET, *, closed: str = "Clos
     """
     rows = df.where(F.col(spec.date).isNotNull())
     # one row per state, holding its sorted report dates
-    calendar = (rows.groupBy(spec.state, spec.date).agg(F.count(F.lit(1)).alias("_rows"))
-                .groupBy(spec.state).agg(F.sort_array(F.collect_list(spec.date)).alias("_dates"),
-                                         F.sum("_rows").alias("_rows"))
-                .select("_dates", "_rows", spec.state))
+    calendar = (rows.select(spec.state, spec.date).distinct()
+                .groupBy(spec.state).agg(F.sort_array(F.collect_list(spec.date)).alias("_dates")))
 
     def with_calendar(table: DataFrame) -> DataFrame:
         return _join_state_facts(table, calendar, [spec.state], spec)
