@@ -7,7 +7,9 @@ brings the rows of such a group into one task:
   shuffle partitions.
 * ``InOrder`` looks back, sums up and aggregates over groups in row order.  Rows are range-sorted and
   cut into chunks, each chunk is scanned by itself, and one summary row per chunk carries the scan
-  from chunk to chunk.  Hot and ordinary groups take the same plan.
+  from chunk to chunk.
+* ``dealt`` counts the rows of each group ahead.  Where none is larger than a chunk, the rows are dealt by
+  group once and scanned where they lie; chunks are for inputs with a larger one.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from rollcall.spec import PanelSpec
 HOT_ROWS = 1_000_000
 # A chunk of sorted rows holds at most 2^CHUNK_BITS of them.
 CHUNK_BITS = 20
+# ``dealt`` gives a task about this many rows.
+TASK_ROWS = 200_000
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], *, count: str, salt: Column,
@@ -67,6 +71,20 @@ def row_salt(df: DataFrame, spec: PanelSpec) -> Column:
     return F.col(spec.order) if spec.order in df.columns else fingerprint(df.columns, "salt")
 
 
+def dealt(rows: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The rows with those of a group in one task; None if a group has more than 2^CHUNK_BITS rows.
+
+    The number of tasks grows with the rows, as packed bytes, by which Spark would choose it, say little about them.
+    """
+    names = [F.col(f"`{k}`") for k in keys]
+    sizes = (rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.max("n").alias("most"), F.sum("n").alias("total")).first())
+    if (sizes["most"] or 0) > 1 << CHUNK_BITS:
+        return None
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-(sizes["total"] or 0) // TASK_ROWS))
+    return rows.repartition(tasks, *names)
+
+
 # the rows of one group in one chunk
 SEGMENT = ["_group", "_chunk"]
 
@@ -176,7 +194,15 @@ def in_order(rows: DataFrame, spec: PanelSpec, *, fits: bool = False) -> InOrder
     return InOrder(rows, list(spec.entity_key), [F.col(spec.date).asc_nulls_last(), F.col(spec.order).asc()], fits=fits)
 
 
+def by_entity(rows: DataFrame, spec: PanelSpec, *, fits: bool = False) -> InOrder:
+    """``in_order`` in chunks only where an entity has more rows than one."""
+    whole = rows if fits else dealt(rows, spec.entity_key)
+    return in_order(rows if whole is None else whole, spec, fits=whole is not None)
+
+
 def add_slot_facts(rows: DataFrame, spec: PanelSpec, facts: dict[str, Column]) -> DataFrame:
     """Add aggregates over each row's (state, entity, date) slot."""
-    slots = InOrder(rows, list(spec.slot_key), [F.col(spec.order).asc()])
+    whole = dealt(rows, spec.entity_key)
+    slots = InOrder(rows if whole is None else whole, list(spec.slot_key), [F.col(spec.order).asc()],
+                    fits=whole is not None)
     return slots.with_facts(facts).done(*facts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.cells import (is_dirty, like_column, null_safe_add, replace_columns,
                                       to_long)
-from rollcall.functions.spread import in_order
+from rollcall.functions.spread import by_entity
 from rollcall.operators.densify import fill_missing_dates
 from rollcall.spec import SHEET, PanelSpec
 
@@ -30,7 +30,7 @@ def carry_closed_event(df: DataFrame, spec: PanelSpec = SHEET, *, since: int = C
     closing = F.when((F.col(spec.date) >= since) & (F.col(spec.status) == "CLOSED")
                      & (F.col("_prev").getField(spec.status) == "OPEN"), place)
 
-    scanned = (in_order(rows.withColumns(numbers), spec, fits=one_row_per_date)
+    scanned = (by_entity(rows.withColumns(numbers), spec, fits=one_row_per_date)
                .with_previous([spec.status, *numbers])
                .with_facts({"_from": F.max(closing), "_event": F.max_by("_prev", closing)}))
     marked = scanned.done("_from", "_event")
@@ -87,7 +87,7 @@ def _with_past_events(df: DataFrame, spec: PanelSpec, skip_first_transition: boo
 
     added = {f"_add{n}": F.when(reopened, F.coalesce(F.col("_prev").getField(n), F.lit(0))).otherwise(0) for n in known}
     sums = {f"_sum{n}": F.col(f"_add{n}") for n in known} | {"_events": F.col("_reopened")}
-    scanned = (in_order(rows.withColumns(known), spec, fits=one_row_per_date)
+    scanned = (by_entity(rows.withColumns(known), spec, fits=one_row_per_date)
                .with_previous([spec.status, *known])
                .with_columns(added | {"_reopened": reopened.cast("bigint")}).with_sums(sums))
     return rows, scanned.done(*sums)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.cells import any_of, fingerprint, text_to_double, to_long
-from rollcall.functions.spread import attach, in_order, row_salt
+from rollcall.functions.spread import attach, by_entity, dealt, row_salt
 from rollcall.operators.standardize import standardize
 from rollcall.spec import SHEET, PanelSpec
 
@@ -112,14 +112,20 @@ def open_duplicates(df: DataFrame, spec: PanelSpec = SHEET) -> DataFrame:
     content = [c for c in df.columns if c != spec.order]
     rows = df.where((F.col(spec.status) == "OPEN") & F.col(spec.date).isNotNull()
                     & F.col(spec.entity).isNotNull())
+    whole = dealt(rows, spec.entity_key)
     kept = [F.min(spec.order).alias(spec.order)] if spec.order in df.columns else []
     # copies are combined before the shuffle
-    distinct = rows.groupBy(*[F.col(f"`{c}`") for c in content]).agg(
+    distinct = (rows if whole is None else whole).groupBy(*[F.col(f"`{c}`") for c in content]).agg(
         F.count(F.lit(1)).alias("_copies"), *kept)
+    error = F.when(F.col("_kinds") > 1, OPEN_ROWS_DIFFER).otherwise(OPEN_ROWS_SAME)
+    if whole is not None:  # an entity's rows lie in one task
+        slot = Window.partitionBy(*spec.slot_key)
+        return (distinct.where(F.col(spec.state).isNotNull())
+                .withColumns({"_open": F.sum("_copies").over(slot), "_kinds": F.count(F.lit(1)).over(slot)})
+                .where("_open > 1").select(*[F.col(f"`{c}`") for c in df.columns], error.alias("error")))
     facts = distinct.groupBy(*spec.slot_key).agg(
         F.sum("_copies").alias("_open"), F.count(F.lit(1)).alias("_rows"),
         F.count(F.lit(1)).alias("_kinds")).where("_open > 1").drop("_open")
-    error = F.when(F.col("_kinds") > 1, OPEN_ROWS_DIFFER).otherwise(OPEN_ROWS_SAME)
     return (attach(distinct, facts, spec.slot_key, count="_rows",
                    salt=fingerprint(content, "s"), how="inner")
             .select(*[F.col(f"`{c}`") for c in df.columns], error.alias("error")))
@@ -182,7 +188,7 @@ def falling_totals(df: DataFrame, spec: PanelSpec = SHEET, *, only_this_week: bo
     slim = rows.select(spec.state, spec.facility, spec.date, spec.facility_type, spec.entity,
                        spec.order, *[v.alias(n) for n, v in numbers.items()])
 
-    before = in_order(slim, spec, fits=one_row_per_date).with_previous([spec.date, *numbers]).done("_prev")
+    before = by_entity(slim, spec, fits=one_row_per_date).with_previous([spec.date, *numbers]).done("_prev")
     falls, pairs = [], []
     for i, c in enumerate(spec.running):
         now, was = F.col(f"_v{i}"), F.col("_prev").getField(f"_v{i}")

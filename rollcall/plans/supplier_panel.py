@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # shipments to a task that makes the panel; two of them give about one report
-TASK_ITEMS = 300_000
+TASK_ITEMS = 100_000
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """What keeps a task's memory and the rows shuffled from growing faster than the input."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from rollcall.functions import cells
-from rollcall.operators import densify
+from rollcall.functions import cells, spread
+from rollcall.operators import carry, collapse, densify, quality
 from rollcall.plans import supplier_panel
 
 SF = "/root/testdata/sf0.001"
@@ -39,3 +40,28 @@ def test_tidy_text_is_the_pattern(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     pattern = F.trim(F.regexp_replace(F.upper(F.coalesce("t", F.lit(""))), cells.BLANK_RUN, " "))
     assert all(r["a"] == r["b"] for r in rows.select(cells.tidy_text(F.col("t")).alias("a"), pattern.alias("b")).collect())
+
+
+def _reports(spark):
+    rows = [(s, f"f{e}", e, 20210107 + d, status, 5 + d, 9 - d, 1, 0) for s in ("X", None) for e in (*range(4), None)
+            for d in range(4) for status in ("OPEN", "OPEN", "CLOSED", "OPEN")]
+    rows += [("X", "f9", 9, 20210107, "OPEN", n, 6, 1, 0) for n in range(3)]
+    return spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "State string, Facility string, ctp_id int, Date int, "
+                                 "Outbrk_Status string, Cume_Res_Pos int, Cume_Staff_Pos int, Outbrk_Res_Pos int, "
+                                 "Outbrk_Staff_Pos int, _ord bigint").withColumn("CTP_Facility_Type", F.lit("NH"))
+
+
+@pytest.mark.parametrize("step", [collapse.collapse_adding, quality.open_duplicates, quality.falling_totals,
+                                  carry.add_past_events, carry.carry_closed_event])
+def test_entities_that_fit_a_task_are_dealt_once(spark, monkeypatch, step):
+    """No second shuffle by chunk, tasks by the number of rows, and the rows that chunks give."""
+    monkeypatch.setattr(spread, "TASK_ROWS", 10)
+    rows = _reports(spark).localCheckpoint()
+    out = step(rows, supplier_panel.SPEC)
+    plan = _plan(out)
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "_chunk" not in plan
+    assert out.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(spread, "CHUNK_BITS", 1)
+    monkeypatch.setattr(spread, "HOT_ROWS", 2)
+    hot = step(rows, supplier_panel.SPEC)
+    assert out.exceptAll(hot).isEmpty() and hot.exceptAll(out).isEmpty() and not out.isEmpty()
