@@ -424,6 +424,57 @@ def test_starting_weights_see_every_training_document(spark):
         assert (mixer.weights == whole.weights).all() and (mixer.weights != part.weights).any()
 
 
+def test_numbers_of_hashes_are_their_ranks():
+    rng = np.random.default_rng(29)
+    near = (np.uint64(7) << np.uint64(40)) + rng.integers(0, 5, 300).astype(np.uint64)  # alike in their first bits
+    for h in (near, rng.integers(0, 1 << 63, 500).astype(np.uint64)[rng.integers(0, 500, 3000)], near[:1]):
+        names, number = contextmix.numbered(h)
+        plain, ids = np.unique(h, return_inverse=True)
+        assert (names == plain).all() and (number == ids).all()
+
+
+def test_gates_step_together_and_score_as_one_by_one(monkeypatch):
+    """The chances are those of a plain loop over decisions, in one step for the class bits of a token."""
+    import zstandard
+    rng, unpack = np.random.default_rng(31), zstandard.ZstdDecompressor()
+    zeros, ones = rng.integers(0, 9, (2, contextmix.CONTEXTS * contextmix.SLOTS)).astype(float)
+    mass = np.full(32, 40.0)
+    mixer = contextmix.Mixer(zeros, ones, mass)
+    coded = []
+    for size in (1, 2, 130, 40, 530):
+        names, ids = np.unique(rng.integers(1, 20, size).astype(np.uint64) << np.uint64(48), return_inverse=True)
+        coded.append((size, contextmix.packed_text(names, ids, rng.integers(0, 9, len(names)), zstandard.ZstdCompressor())))
+    steps, einsum = [], np.einsum
+    monkeypatch.setattr(contextmix.np, "einsum", lambda *a, **k: steps.append(1) or einsum(*a, **k))
+    got = mixer.score(contextmix.Texts(coded, unpack))[0]
+    assert len(steps) == contextmix.LANE // contextmix.BITS + contextmix.LANE
+
+    def mixed(weights, context, node, zero, one):
+        x = np.append([mixer.stretched[k][contextmix.slot(context[k:k + 1], np.uint32(node))[0]]
+                       for k in range(contextmix.CONTEXTS)], contextmix.OFFSET)
+        p = 1 / (1 + np.exp(-np.clip(weights @ x, -12, 12)))
+        whole = (1 - p) * zero + p * one
+        weights += 0.004 * (p * one / whole - p) * x
+        return whole
+
+    for (size, blob), score in zip(coded, got):
+        text, total = contextmix.Texts([(size, blob)], unpack), 0.0
+        contexts = np.array(text.contexts())
+        for t in range(size):
+            if t % (contextmix.LANE // contextmix.BITS) == 0:
+                bits = mixer.weights.astype(float)
+            if (t - 1) % contextmix.LANE == 0:
+                source = mixer.weights[0].astype(float)
+            c, node = int(text.classes[t]), 1
+            drawn = (text.counts[text.ids[t]] + 0.1) / mass[c]
+            for b in range(contextmix.BITS):
+                bit = c >> (contextmix.BITS - 1 - b) & 1
+                at = (1 << b) + (c >> (contextmix.BITS - b)) + 1
+                drawn *= mixed(bits[1 + b], contexts[:, t], at, 1 - bit, bit)
+            total += np.log10(drawn * (mixed(source, contexts[:, t], 0, 1, text.copied[t] / drawn) if t else 1))
+        assert score == pytest.approx(total, rel=1e-4)
+
+
 def test_score_does_not_depend_on_company(spark):
     rows = [(k, t, None, None, 0) for k, t in enumerate(["a b a b c", "a b a b c", "", None, "q " * 900, "a b a b c"])]
     got = {r["doc_id"]: r["score"] for r in contextmix.report(frame(spark, rows)).collect()}
