@@ -161,9 +161,9 @@ def process_states(df: DataFrame, states: Iterable[str] | None = None, spec: Pan
     chosen = {chain: members for chain, members in chosen.items() if members}
     if not chosen:
         raise ValueError("none of the requested states has a chain")
-    state, chain_of = tidy_text(F.col(f"`{spec.state}`")), F.lit(None).cast("string")
-    for chain, members in chosen.items():
-        chain_of = F.when(state.isin(*members), chain).otherwise(chain_of)
+    # looked up, so that the state's text is tidied once for all chains
+    chains = F.create_map(*[F.lit(x) for chain, members in chosen.items() for s in members for x in (s, chain)])
+    chain_of = F.try_element_at(chains, tidy_text(F.col(f"`{spec.state}`")))
     tagged = df.withColumn("_chain", chain_of).where(F.col("_chain").isNotNull())
     if settling:
         tagged = settle(tagged, by="_chain")

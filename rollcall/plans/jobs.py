@@ -10,7 +10,7 @@ from threading import Thread
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.lineage import scope, settle
+from rollcall.functions.lineage import compilable, scope, settle
 from rollcall.operators import quality, standardize
 from rollcall.plans.chains import ALL_STATES, SIDE_OUTPUTS, process_states
 from rollcall.sources import sheets, sinks
@@ -37,7 +37,7 @@ def process(spark: SparkSession, manifest_path: str, states: Iterable[str] | Non
     All output is staged before any of it replaces older output.  What the job writes on its way is removed
     at its end, but for the table behind the result, which belongs to a ``lineage.scope`` around the call.
     """
-    with scope(spark) if out or overwrite_final or reports else nullcontext():
+    with compilable(spark), scope(spark) if out or overwrite_final or reports else nullcontext():
         manifest = sheets.read_manifest(spark, manifest_path)
         raw = sheets.read_states(spark, manifest, states, spec=spec, multi_line=multi_line)
         registry = None

@@ -692,7 +692,9 @@ def _entry_files(spark, sf_dir, folder: str, coded: DataFrame, states, known: Co
         F.col("s_name").alias("Facility"), nothing.alias("City"), nothing.alias("County"), code.alias("ctp_state"),
         nothing.alias("CTP_Facility_Type"), code.alias("state"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("ctp_id")),
         f"{folder}/registry")
-    there = rows.select("sheet").distinct()
+    # the sheets just written, by their folders; the panel need not be made again for that
+    names = F.array(*[F.lit(s) for s in sinks.states_below(spark, f"{folder}/entry")]).cast("array<string>")
+    there = spark.range(1, numPartitions=1).select(F.explode(names).alias("sheet"))
     _csv(there.select(F.col("sheet").alias("State"), F.concat(F.lit(f"{folder}/entry/sheet="), "sheet").alias("Entry"),
                       F.concat(F.lit(f"{folder}/final-"), "sheet").alias("Final")), f"{folder}/manifest")
 

@@ -94,6 +94,11 @@ def _directories(spark: SparkSession, path: str) -> dict[str, str]:
     return {unquote(n[len(key):]): n for n in names if n.startswith(key)}
 
 
+def states_below(spark: SparkSession, path: str) -> list[str]:
+    """The states that have a directory there."""
+    return sorted(_directories(spark, path))
+
+
 def commit(stages: Iterable[Callable[[], Staged]]) -> list[Staged]:
     """Stage several outputs; if one fails, none is kept."""
     done: list[Staged] = []

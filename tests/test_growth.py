@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import cells, spread
 from rollcall.operators import carry, collapse, densify, entity, quality, standardize
-from rollcall.plans import supplier_panel
+from rollcall.plans import jobs, supplier_panel
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +92,30 @@ def test_lookup_counts_rows_once(spark, monkeypatch, hot_rows):
     assert {(r["Facility"], r["_id"]) for r in out.select("Facility", "_id").collect()} == {
         *((f"F{e}", f"S{e}1") for e in (0, 1, 2, 9)), ("FNONE", "S")}
     assert out.count() == rows.count()
+
+
+def test_process_keeps_methods_short_enough_to_be_compiled(spark, monkeypatch):
+    """Steps over all columns of a sheet would else run interpreted; the session's own setting comes back."""
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+
+    def stop(*_):
+        seen.append(spark.conf.get(name))
+        raise KeyError(name)
+
+    monkeypatch.setattr(jobs.sheets, "read_manifest", stop)
+    before = spark.conf.get(name)
+    with pytest.raises(KeyError):
+        jobs.process(spark, "manifest")
+    assert seen == ["8000"] and spark.conf.get(name) == before
+
+
+def test_sheets_take_one_pass_over_shipments(spark, monkeypatch, tmp_path):
+    """The manifest names the sheets written; the panel is not made again for it."""
+    plans, write = [], supplier_panel._csv
+    monkeypatch.setattr(supplier_panel, "_csv", lambda rows, *a, **k: (plans.append(_plan(rows)), write(rows, *a, **k)))
+    coded = supplier_panel._coded(spark, SF)
+    supplier_panel._entry_files(spark, SF, str(tmp_path), coded, supplier_panel.STATES)
+    assert ["l_shipdate" in p for p in plans] == [True, False, False]
+    listed = {tuple(r) for r in spark.read.option("header", True).csv(f"{tmp_path}/manifest").collect()}
+    assert listed == {(s, f"{tmp_path}/entry/sheet={s}", f"{tmp_path}/final-{s}")
+                      for s, in coded.select("State").distinct().collect()}
