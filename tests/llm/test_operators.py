@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -475,6 +476,90 @@ def test_gates_step_together_and_score_as_one_by_one(monkeypatch):
         assert score == pytest.approx(total, rel=1e-4)
 
 
+def test_weights_are_carried_through_a_text():
+    """A text is mixed from its first token to its last; only the next text starts anew."""
+    import zstandard
+    rng, unpack = np.random.default_rng(37), zstandard.ZstdDecompressor()
+    zeros, ones = rng.integers(0, 9, (2, contextmix.CONTEXTS * contextmix.SLOTS)).astype(float)
+    mass, coded = np.full(32, 40.0), []
+    mixer = contextmix.Mixer(zeros, ones, mass)
+    for size in (3, 700, 1, 240):
+        names, ids = np.unique(rng.integers(1, 20, size).astype(np.uint64) << np.uint64(48), return_inverse=True)
+        coded.append((size, contextmix.packed_text(names, ids, rng.integers(0, 9, len(names)), zstandard.ZstdCompressor())))
+    for (size, blob), score in zip(coded, mixer.score(contextmix.Texts(coded, unpack), None)[0]):
+        text, total = contextmix.Texts([(size, blob)], unpack), 0.0
+        contexts, weights = np.array(text.contexts()), mixer.weights.astype(float)
+
+        def chance(gate, t, node, zero, one):
+            x = np.append([mixer.stretched[k][contextmix.slot(contexts[k, t:t + 1], np.uint32(node))[0]]
+                           for k in range(contextmix.CONTEXTS)], contextmix.OFFSET)
+            p = 1 / (1 + np.exp(-np.clip(weights[gate] @ x, -12, 12)))
+            whole = (1 - p) * zero + p * one
+            weights[gate] += 0.004 * (p * one / whole - p) * x
+            return whole
+
+        for t in range(size):
+            c = int(text.classes[t])
+            drawn = (text.counts[text.ids[t]] + 0.1) / mass[c]
+            for b in range(contextmix.BITS):
+                bit = c >> (contextmix.BITS - 1 - b) & 1
+                drawn *= chance(1 + b, t, (1 << b) + (c >> (contextmix.BITS - b)) + 1, 1 - bit, bit)
+            total += np.log10(drawn * (chance(0, t, 0, 1, text.copied[t] / drawn) if t else 1))
+        assert score == pytest.approx(total, rel=1e-4)
+
+
+def test_counters_are_those_of_all_training_documents(spark, monkeypatch):
+    """Each context of one or two tokens has its own counters, in every block, with what all blocks have met."""
+    monkeypatch.setattr(contextmix, "BLOCK", 20)
+    rng = random.Random(41)
+    texts = {k: [f"w{rng.randint(0, 150)}" for _ in range(rng.randint(0, 40))] for k in range(70)}
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id bigint, text string").repartition(3)
+    words = {k: [*t, "end"] for k, t in texts.items()}
+    taught = [k for k in words if not language_fold(k)]
+    counts = brute.Counter(w for k in taught for w in words[k])
+
+    def before(k, t):
+        return [(words[k][t - 1] if t else None,), (words[k][t - 2] if t > 1 else None, words[k][t - 1] if t else None)]
+
+    met = defaultdict(list)
+    for k in taught:
+        own, earlier = brute.Counter(words[k]), set()
+        for t, w in enumerate(words[k]):
+            n = counts[w] - own[w]  # as a lesson
+            for c in before(k, t):
+                met[c].append((int(contextmix.class_of(np.array([n]))[0]), (w if n else None) in earlier))
+            earlier.add(w if n else None)
+    table, _, mass = contextmix._coded(docs, "doc_id", "text", 4, 3)
+    told = contextmix._told(table, 3).where("block IS NOT NULL")
+    mixer = contextmix.Mixer(None, None, mass)
+    mixer.known = np.zeros(len(contextmix.FIXED) * contextmix.NODES, np.float32)
+    looked = 0
+    for block in [r["block"] for r in table.select("block").distinct().collect()]:
+        rows = table.where(F.col("block") == block).toArrow()
+        here = contextmix.Block(rows, 300, lessons=False)
+        here.listen(told.where(F.col("block") == block).toArrow(), mixer)
+        for k, batch in enumerate(here.batches):
+            spelling, source = here.contexts(k)
+            bits, nodes = batch.bits()
+            for row, begin in zip(here.rows[k], batch.starts):
+                doc = rows["doc_id"][row].as_py()
+                for t, w in enumerate(words[doc]):
+                    c, at = int(contextmix.class_of(np.array([counts[w]]))[0]), begin + t
+                    for context, key in zip((1, 2), before(doc, t)):
+                        for b in range(contextmix.BITS):
+                            shift = contextmix.BITS - 1 - b
+                            there = [x >> shift & 1 for x, _ in met[key] if x >> (shift + 1) == c >> (shift + 1)]
+                            got = spelling[context][at:at + 1].inputs(1 + b, nodes[b, at:at + 1], bits[b, at:at + 1])[0]
+                            if len(there) < 64:
+                                assert got == pytest.approx(np.log((sum(there) + 0.4) / (len(there) - sum(there) + 0.4)), abs=1e-4)
+                                looked += len(there) > 1
+                        seen = [x for _, x in met[key]]
+                        if t and len(seen) < 64:
+                            got = source[context][at:at + 1].inputs(0, np.uint32(0), None)[0]
+                            assert got == pytest.approx(np.log((sum(seen) + 0.4) / (len(seen) - sum(seen) + 0.4)), abs=1e-4)
+    assert looked > 1000
+
+
 def test_score_does_not_depend_on_company(spark):
     rows = [(k, t, None, None, 0) for k, t in enumerate(["a b a b c", "a b a b c", "", None, "q " * 900, "a b a b c"])]
     got = {r["doc_id"]: r["score"] for r in contextmix.report(frame(spark, rows)).collect()}
